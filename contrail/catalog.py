@@ -30,11 +30,12 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None, ctes: bool = True):
+def register(name: str, sql: str | None = None, ctes: bool = True, extra: str = "",
+             recursive: bool = False):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = A.with_ctes(sql) if ctes else sql.strip()
+            SQL[name] = A.with_ctes(sql, extra, recursive) if ctes else sql.strip()
         return fn
     return deco
 
@@ -331,3 +332,769 @@ def a10(spark, d):
                      F.max(ts).alias("newest"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# ======================================================================
+# W: window-like operators and tracks
+# ======================================================================
+
+@register("w1_dedup_keep_last", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def w1(spark, d):
+    return dedup.keep_last(A.table(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"])
+
+
+@register("w2_dedup_keep_any", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) AS rn
+  FROM customer) WHERE rn = 1""")
+def w2(spark, d):
+    return dedup.keep_any(A.table(spark, d, "customer"), ["c_nationkey"])
+
+
+_GAP_SQL = """
+SELECT event_id, user_id, ts,
+       coalesce(CAST(date_sub('hour', lag(ts) OVER (PARTITION BY user_id ORDER BY ts), ts) AS DOUBLE), 0.0)
+         AS gap_hours
+FROM events"""
+
+
+@register("w3_gap_hours", _GAP_SQL)
+def w3(spark, d):
+    ev = A.table(spark, d, "events").select("event_id", "user_id", "ts")
+    return trk.gap_hours(ev, ["user_id"], "ts").select("event_id", "user_id", "ts", "gap_hours")
+
+
+@register("w4_sessionize", f"""
+SELECT event_id, user_id, ts, gap_hours,
+       CAST(sum(CASE WHEN gap_hours > 15 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS segment_id
+FROM ({_GAP_SQL})""")
+def w4(spark, d):
+    ev = A.table(spark, d, "events").select("event_id", "user_id", "ts")
+    return trk.with_segments(ev, ["user_id"], "ts", 15.0).select(
+        "event_id", "user_id", "ts", "gap_hours", "segment_id")
+
+
+@register("w5_latest_segment", f"""
+SELECT g.event_id, g.user_id, g.ts FROM (
+  SELECT *, CASE WHEN prev_ts IS NULL OR date_sub('hour', prev_ts, ts) > 15 THEN ts END AS start_ts
+  FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev_ts
+        FROM events)) g
+JOIN (SELECT user_id, max(start_ts) AS latest FROM (
+        SELECT user_id, ts, CASE WHEN prev_ts IS NULL OR date_sub('hour', prev_ts, ts) > 15 THEN ts END AS start_ts
+        FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev_ts FROM events))
+      GROUP BY user_id) m ON m.user_id = g.user_id
+WHERE g.ts >= m.latest""")
+def w5(spark, d):
+    ev = A.table(spark, d, "events").select("event_id", "user_id", "ts")
+    return trk.latest_segment(ev, ["user_id"], "ts", 15.0)
+
+
+def _track_ctes(src: str, p: str, label: str) -> str:
+    """SQL of the track pipeline (C6) over positions CTE ``src``."""
+    hav = hav_sql("w.klat", "w.klng", "o.lat", "o.lng")
+    return f"""
+{p}_pts AS (
+  SELECT flight_code, lat, lng, last_updated_utc, heading_deg, upper(flight_code) AS track
+  FROM {src}
+  WHERE lat IS NOT NULL AND lng IS NOT NULL AND last_updated_utc IS NOT NULL
+    AND (abs(lat) > 0.01 OR abs(lng) > 0.01) AND lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180),
+{p}_seg AS (
+  SELECT *, CASE WHEN prev_t IS NULL OR date_sub('hour', prev_t, last_updated_utc) > 15
+                 THEN last_updated_utc END AS start_t
+  FROM (SELECT *, lag(last_updated_utc) OVER (PARTITION BY track
+          ORDER BY last_updated_utc, flight_code, lat, lng) AS prev_t FROM {p}_pts)),
+{p}_latest AS (
+  SELECT s.* EXCLUDE (prev_t, start_t) FROM {p}_seg s
+  JOIN (SELECT track, max(start_t) AS ls FROM {p}_seg GROUP BY track) m ON m.track = s.track
+  WHERE s.last_updated_utc >= m.ls),
+{p}_ord AS (
+  SELECT *, row_number() OVER (PARTITION BY track ORDER BY last_updated_utc, flight_code, lat, lng) AS rn
+  FROM {p}_latest),
+{p}_walk(track, rn, klat, klng, kept) AS (
+  SELECT track, rn, lat, lng, true FROM {p}_ord WHERE rn = 1
+  UNION ALL
+  SELECT o.track, o.rn,
+         CASE WHEN {hav} <= 400.0 THEN o.lat ELSE w.klat END,
+         CASE WHEN {hav} <= 400.0 THEN o.lng ELSE w.klng END,
+         {hav} <= 400.0
+  FROM {p}_walk w JOIN {p}_ord o ON o.track = w.track AND o.rn = w.rn + 1),
+{p}_kept AS (
+  SELECT o.* EXCLUDE (rn) FROM {p}_ord o JOIN {p}_walk w ON w.track = o.track AND w.rn = o.rn
+  WHERE w.kept),
+{p}_track AS (
+  SELECT flight_code, time_bucket, lat, lng, last_updated_utc, '{label}' AS flight_type, heading_deg,
+         strftime(time_bucket, '%Y-%m-%d %H:%M') AS time_label, upper(flight_code) AS track
+  FROM (SELECT *, make_timestamp((epoch_us(last_updated_utc) // 900000000) * 900000000) AS time_bucket,
+          row_number() OVER (PARTITION BY flight_code,
+                               (epoch_us(last_updated_utc) // 900000000)
+                             ORDER BY last_updated_utc DESC, lat DESC, lng DESC) AS brn
+        FROM {p}_kept) WHERE brn = 1)"""
+
+
+DEP_TRACK = _track_ctes("flights", "dep", TR.DEPARTURE_LABEL)
+ARR_TRACK = _track_ctes("(SELECT *, CAST(NULL AS DOUBLE) AS heading_deg FROM arrivals)", "arr",
+                        TR.ARRIVAL_LABEL)
+
+
+@register("w6_jump_filter",
+          "SELECT flight_code, lat, lng, last_updated_utc, heading_deg, track FROM dep_kept",
+          extra=DEP_TRACK, recursive=True)
+def w6(spark, d):
+    return TR.track_points(A.flights(spark, d))
+
+
+@register("w7_bearing", f"""
+SELECT *, CASE
+  WHEN lag(lat) OVER w IS NOT NULL THEN {bearing_sql('lag(lat) OVER w', 'lag(lng) OVER w', 'lat', 'lng')}
+  WHEN lead(lat) OVER w IS NOT NULL THEN {bearing_sql('lat', 'lng', 'lead(lat) OVER w', 'lead(lng) OVER w')}
+  ELSE 0.0 END AS bearing
+FROM dep_track WINDOW w AS (PARTITION BY track ORDER BY time_bucket, flight_code)""",
+          extra=DEP_TRACK, recursive=True)
+def w7(spark, d):
+    return TR.path_points(TR.flight_tracks(A.flights(spark, d), TR.DEPARTURE_LABEL))
+
+
+@register("c6_flight_track", "SELECT * FROM dep_track", extra=DEP_TRACK, recursive=True)
+def c6(spark, d):
+    return TR.flight_tracks(A.flights(spark, d), TR.DEPARTURE_LABEL)
+
+
+@register("c7_pick_flight_track", """
+SELECT * EXCLUDE (side) FROM (
+  SELECT *, 1 AS side FROM dep_track UNION ALL SELECT *, 0 AS side FROM arr_track) t
+WHERE side = (
+  SELECT arg_max(side, newest * 10 + side) FROM (
+    SELECT track, side, epoch_us(max(last_updated_utc)) AS newest FROM (
+      SELECT track, last_updated_utc, 1 AS side FROM dep_track
+      UNION ALL SELECT track, last_updated_utc, 0 AS side FROM arr_track) GROUP BY track, side) n
+  WHERE n.track = t.track)""", extra=DEP_TRACK + "," + ARR_TRACK, recursive=True)
+def c7(spark, d):
+    return TR.pick_flight_tracks(A.flights(spark, d), A.arrivals(spark, d))
+
+
+@register("c11_path_points", f"""
+SELECT track, flight_code, time_bucket, lat, lng, time_label, CASE
+  WHEN lag(lat) OVER w IS NOT NULL THEN {bearing_sql('lag(lat) OVER w', 'lag(lng) OVER w', 'lat', 'lng')}
+  WHEN lead(lat) OVER w IS NOT NULL THEN {bearing_sql('lat', 'lng', 'lead(lat) OVER w', 'lead(lng) OVER w')}
+  ELSE 0.0 END AS bearing
+FROM arr_track WINDOW w AS (PARTITION BY track ORDER BY time_bucket, flight_code)""",
+          extra=ARR_TRACK, recursive=True)
+def c11(spark, d):
+    pts = TR.path_points(TR.flight_tracks(A.arrivals(spark, d), TR.ARRIVAL_LABEL))
+    return pts.select("track", "flight_code", "time_bucket", "lat", "lng", "time_label", "bearing")
+
+
+@register("a9_track_bounds", f"""
+SELECT track,
+  least(min(lat), {TR.AIRPORT_LAT}) - greatest((greatest(max(lat), {TR.AIRPORT_LAT}) - least(min(lat), {TR.AIRPORT_LAT})) * 0.15, 0.08) AS south,
+  least(min(lng), {TR.AIRPORT_LNG}) - greatest((greatest(max(lng), {TR.AIRPORT_LNG}) - least(min(lng), {TR.AIRPORT_LNG})) * 0.15, 0.08) AS west,
+  greatest(max(lat), {TR.AIRPORT_LAT}) + greatest((greatest(max(lat), {TR.AIRPORT_LAT}) - least(min(lat), {TR.AIRPORT_LAT})) * 0.15, 0.08) AS north,
+  greatest(max(lng), {TR.AIRPORT_LNG}) + greatest((greatest(max(lng), {TR.AIRPORT_LNG}) - least(min(lng), {TR.AIRPORT_LNG})) * 0.15, 0.08) AS east
+FROM dep_track GROUP BY track""", extra=DEP_TRACK, recursive=True)
+def a9(spark, d):
+    return TR.tracks_bounds(TR.flight_tracks(A.flights(spark, d), TR.DEPARTURE_LABEL))
+
+
+# ======================================================================
+# F: filters
+# ======================================================================
+
+@register("f1_local_date_range", f"""
+SELECT flight_code, scheduled_departure_utc FROM schedules
+WHERE {_local_date_sql('scheduled_departure_utc')} BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'""")
+def f1(spark, d):
+    return filters.filter_local_date_range(A.schedules(spark, d), "scheduled_departure_utc",
+                                           RANGE_START, RANGE_END) \
+        .select("flight_code", "scheduled_departure_utc")
+
+
+@register("f2_single_local_day", f"""
+SELECT flight_code, last_updated_utc FROM arrivals
+WHERE {_local_date_sql('last_updated_utc')} = DATE '{ONE_DAY}'""")
+def f2(spark, d):
+    return filters.filter_local_day(A.arrivals(spark, d), "last_updated_utc", ONE_DAY) \
+        .select("flight_code", "last_updated_utc")
+
+
+@register("f3_contains_ci", """
+SELECT p_partkey, p_name FROM part WHERE contains(lower(CAST(p_name AS VARCHAR)), 'ring')""")
+def f3(spark, d):
+    return filters.filter_text(A.table(spark, d, "part"), "p_name", "RiNg").select("p_partkey", "p_name")
+
+
+@register("f4_code_or_name_contains", """
+SELECT flight_code, scheduled_departure_utc, arrival_airport, arr_airport_name FROM schedules
+WHERE contains(lower(arrival_airport), 'ion_1') OR contains(lower(arr_airport_name), 'ion_1')""")
+def f4(spark, d):
+    return filters.filter_code_or_name(A.schedules(spark, d), "arrival_airport",
+                                       "arr_airport_name", "ION_1") \
+        .select("flight_code", "scheduled_departure_utc", "arrival_airport", "arr_airport_name")
+
+
+@register("f5_valid_coordinate", """
+SELECT flight_code, last_updated_utc, lat, lng FROM flights
+WHERE (abs(lat) > 0.01 OR abs(lng) > 0.01) AND lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180""")
+def f5(spark, d):
+    return filters.filter_valid_coordinates(A.flights(spark, d)) \
+        .select("flight_code", "last_updated_utc", "lat", "lng")
+
+
+@register("f6_code_match", """
+SELECT flight_code, last_updated_utc FROM arrivals WHERE upper(flight_code) = 'FL7'""")
+def f6(spark, d):
+    return filters.filter_flight_code(A.arrivals(spark, d), "  fl7 ") \
+        .select("flight_code", "last_updated_utc")
+
+
+@register("f7_drop_nulls_subset", """
+SELECT flight_code, scheduled_departure_utc, departure_airport, arrival_airport, ingest_order
+FROM sched_typed""")
+def f7(spark, d):
+    raw = A.raw_schedules(spark, d).select(
+        F.col("flight_iata").alias("flight_code"),
+        tm.epoch_seconds_to_ts("dep_time_ts").alias("scheduled_departure_utc"),
+        F.col("dep_iata").alias("departure_airport"), F.col("arr_iata").alias("arrival_airport"),
+        "ingest_order")
+    return filters.drop_null_keys(raw, ["flight_code", "departure_airport", "arrival_airport"])
+
+
+@register("f8_conjunction_filters", """
+SELECT flight_code, scheduled_departure_utc, airline_code FROM facts
+WHERE last_updated_utc IS NOT NULL AND airline_code IS NOT NULL""")
+def f8(spark, d):
+    return A.facts(spark, d).where(F.col("last_updated_utc").isNotNull()
+                                   & F.col("airline_code").isNotNull()) \
+        .select("flight_code", "scheduled_departure_utc", "airline_code")
+
+
+# ======================================================================
+# O: sorts and top-k (order is part of the result, the oracle checks rows)
+# ======================================================================
+
+@register("o1_mixed_direction_sort", ACTIVE_ROUTES_SQL)
+def o1(spark, d):
+    return G.active_routes(A.schedules(spark, d), A.airports(spark, d), origin=A.ORIGIN)
+
+
+@register("o2_ascending_sort", """
+SELECT CAST(hour(scheduled_departure_utc) AS INTEGER) AS departure_hour_utc, count(*) AS flight_count
+FROM schedules GROUP BY 1 ORDER BY 1""")
+def o2(spark, d):
+    return G.hourly_traffic(A.schedules(spark, d))
+
+
+@register("o3_newest_first", """
+SELECT flight_code, airline_name, arrival_airport, arr_airport_name, scheduled_departure_utc,
+       scheduled_arrival_utc, departure_delay_mins, arrival_delay_mins, status
+FROM schedules ORDER BY scheduled_departure_utc DESC NULLS FIRST""")
+def o3(spark, d):
+    return D.departures_table(A.schedules(spark, d))
+
+
+@register("o4_top10_destinations", f"""
+SELECT * FROM ({ACTIVE_ROUTES_SQL}) ORDER BY flight_count DESC, arrival_airport LIMIT 10""")
+def o4(spark, d):
+    return D.top_k(G.active_routes(A.schedules(spark, d), A.airports(spark, d), origin=A.ORIGIN),
+                   10, "flight_count", "arrival_airport")
+
+
+@register("o5_top15_airlines", """
+SELECT * FROM (
+  SELECT f.airline_code, l.name AS airline_name,
+         round_even(avg(f.departure_delay_mins), 2) AS avg_departure_delay_mins,
+         count(*) AS total_flights
+  FROM facts f LEFT JOIN airlines l ON l.iata_code = f.airline_code
+  WHERE f.last_updated_utc IS NOT NULL AND f.airline_code IS NOT NULL
+  GROUP BY f.airline_code, l.name)
+ORDER BY total_flights DESC, airline_code LIMIT 15""")
+def o5(spark, d):
+    return D.top_k(G.airline_performance(A.facts(spark, d), A.airlines(spark, d)),
+                   15, "total_flights", "airline_code")
+
+
+@register("o6_head_zero", "SELECT * FROM schedules LIMIT 0")
+def o6(spark, d):
+    return A.schedules(spark, d).limit(0)
+
+
+# ======================================================================
+# U: set operations
+# ======================================================================
+
+@register("u1_concat_same_schema", """
+SELECT flight_code, scheduled_departure_utc AS ts, 'Z Krakowa' AS direction FROM schedules
+UNION ALL SELECT flight_code, last_updated_utc, 'Do Krakowa' FROM arrivals""")
+def u1(spark, d):
+    s = A.schedules(spark, d).select("flight_code", F.col("scheduled_departure_utc").alias("ts"),
+                                     F.lit(D.DEPARTURES_DIRECTION).alias("direction"))
+    a = A.arrivals(spark, d).select("flight_code", F.col("last_updated_utc").alias("ts"),
+                                    F.lit(D.ARRIVALS_DIRECTION).alias("direction"))
+    return s.unionByName(a)
+
+
+@register("u2_concat_frames", """
+SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, ts, user_id, CAST(value AS VARCHAR) FROM events WHERE event_type = 'view'""")
+def u2(spark, d):
+    ev = A.table(spark, d, "events")
+    a = ev.where(F.col("event_type") == "purchase").select("event_id", "ts", "user_id", "value")
+    b = ev.where(F.col("event_type") == "view").select(
+        "event_id", "ts", "user_id", F.col("value").cast("string").alias("value"))
+    return align.concat_frames([a, b])
+
+
+@register("u3_schema_aligned_union", """
+SELECT CAST(c_custkey AS DOUBLE) AS k, c_name AS name, CAST(NULL AS INTEGER) AS region FROM customer
+UNION ALL
+SELECT CAST(n_nationkey AS DOUBLE), n_name, n_regionkey FROM nation""")
+def u3(spark, d):
+    c = A.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    n = A.table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"),
+                                           F.col("n_regionkey").alias("region"))
+    return align.align_union([c, n])
+
+
+# ======================================================================
+# X: scalar functions
+# ======================================================================
+
+def _events(spark, d):
+    return A.table(spark, d, "events")
+
+
+@register("x1_time_parts", """
+SELECT event_id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS epoch_s,
+       CAST(hour(ts) AS INTEGER) AS hour_utc, CAST(isodow(ts) AS INTEGER) AS weekday,
+       CAST(ts AS DATE) AS day_utc, CAST(year(ts) AS INTEGER) AS y,
+       CAST(month(ts) AS INTEGER) AS m, CAST(day(ts) AS INTEGER) AS d
+FROM events""")
+def x1(spark, d):
+    return _events(spark, d).select(
+        "event_id", tm.epoch_seconds("ts").alias("epoch_s"), tm.hour_utc("ts").alias("hour_utc"),
+        tm.iso_weekday("ts").alias("weekday"), F.to_date("ts").alias("day_utc"),
+        F.year("ts").alias("y"), F.month("ts").alias("m"), F.dayofmonth("ts").alias("d"))
+
+
+@register("x2_truncate_format", """
+SELECT event_id, make_timestamp((epoch_us(ts) // 900000000) * 900000000) AS time_bucket,
+       strftime(make_timestamp((epoch_us(ts) // 900000000) * 900000000), '%Y-%m-%d %H:%M') AS time_label
+FROM events""")
+def x2(spark, d):
+    b = tm.truncate_minutes("ts", 15)
+    return _events(spark, d).select("event_id", b.alias("time_bucket"),
+                                    tm.minute_label(b).alias("time_label"))
+
+
+@register("x3_bearing", f"""
+SELECT flight_code, last_updated_utc,
+       {bearing_sql(str(TR.AIRPORT_LAT), str(TR.AIRPORT_LNG), 'lat', 'lng')} AS bearing
+FROM flights""")
+def x3(spark, d):
+    return A.flights(spark, d).select(
+        "flight_code", "last_updated_utc",
+        geo.bearing_deg(TR.AIRPORT_LAT, TR.AIRPORT_LNG, "lat", "lng").alias("bearing"))
+
+
+@register("x4_haversine", f"""
+SELECT flight_code, last_updated_utc,
+       {hav_sql(str(TR.AIRPORT_LAT), str(TR.AIRPORT_LNG), 'lat', 'lng')} AS distance_km
+FROM flights""")
+def x4(spark, d):
+    return A.flights(spark, d).select(
+        "flight_code", "last_updated_utc",
+        geo.haversine_km(TR.AIRPORT_LAT, TR.AIRPORT_LNG, "lat", "lng").alias("distance_km"))
+
+
+@register("x5_timezone", f"""
+SELECT event_id, timezone('{WARSAW}', ts AT TIME ZONE 'UTC') AS local_ts,
+       {_local_date_sql('ts')} AS local_date
+FROM events""")
+def x5(spark, d):
+    return _events(spark, d).select("event_id", tm.to_local("ts", WARSAW).alias("local_ts"),
+                                    tm.local_date("ts", WARSAW).alias("local_date"))
+
+
+@register("x6_floor_bucket", """
+SELECT airport_city, observation_time_utc,
+       CAST(floor(temp_celsius / 5) AS DOUBLE) * 5 AS temp_bucket,
+       CAST(floor(wind_speed_mps / 2) AS DOUBLE) * 2 AS wind_bucket
+FROM weather""")
+def x6(spark, d):
+    return A.weather(spark, d).select(
+        "airport_city", "observation_time_utc",
+        numeric.floor_step("temp_celsius", 5).alias("temp_bucket"),
+        numeric.floor_step("wind_speed_mps", 2).alias("wind_bucket"))
+
+
+@register("x7_bucket_label", """
+SELECT airport_city, observation_time_utc,
+       CAST(CAST(CAST(floor(temp_celsius / 5) AS DOUBLE) * 5 AS BIGINT) AS VARCHAR) || '-' ||
+       CAST(CAST(CAST(floor(temp_celsius / 5) AS DOUBLE) * 5 + 5 AS BIGINT) AS VARCHAR) || ' C' AS temp_label
+FROM weather""")
+def x7(spark, d):
+    t0 = numeric.floor_step("temp_celsius", 5)
+    return A.weather(spark, d).select("airport_city", "observation_time_utc",
+                                      numeric.range_label(t0, 5, " C").alias("temp_label"))
+
+
+@register("x8_case_when", """
+SELECT airport_city, observation_time_utc,
+       CASE WHEN visibility_meters < 3000 THEN 'low' WHEN visibility_meters < 8000 THEN 'medium'
+            ELSE 'high' END AS visibility_level
+FROM weather""")
+def x8(spark, d):
+    return A.weather(spark, d).select("airport_city", "observation_time_utc",
+                                      numeric.visibility_level("visibility_meters")
+                                      .alias("visibility_level"))
+
+
+@register("x9_round2", "SELECT event_id, round_even(value / 3, 2) AS v FROM events")
+def x9(spark, d):
+    return _events(spark, d).select("event_id", numeric.round2(F.col("value") / 3).alias("v"))
+
+
+@register("x10_basic_aggregates", """
+SELECT event_type, round(avg(value), 6) AS mean_value, max(value) AS max_value,
+       round(sum(value), 6) AS sum_value, count(*) AS n, count(DISTINCT user_id) AS users,
+       arg_max(value, ts) AS last_value
+FROM events GROUP BY event_type""")
+def x10(spark, d):
+    return _events(spark, d).groupBy("event_type").agg(
+        F.round(F.avg("value"), 6).alias("mean_value"), F.max("value").alias("max_value"),
+        F.round(F.sum("value"), 6).alias("sum_value"), F.count(F.lit(1)).alias("n"),
+        F.count_distinct("user_id").alias("users"), F.max_by("value", "ts").alias("last_value"))
+
+
+@register("x11_string_functions", """
+SELECT p_partkey, upper(p_name) AS name_upper, lower(p_brand) AS brand_lower,
+       trim('  ' || p_type || ' ') AS type_trimmed,
+       contains(lower(p_name), 'bolt') AS has_bolt
+FROM part""")
+def x11(spark, d):
+    return A.table(spark, d, "part").select(
+        "p_partkey", F.upper("p_name").alias("name_upper"), F.lower("p_brand").alias("brand_lower"),
+        F.trim(F.concat(F.lit("  "), F.col("p_type"), F.lit(" "))).alias("type_trimmed"),
+        text.contains_ci("p_name", "BOLT").alias("has_bolt"))
+
+
+@register("x12_value_map", """
+SELECT event_id,
+  CASE CAST(user_id % 9 AS INTEGER) WHEN 1 THEN 'Poniedziałek' WHEN 2 THEN 'Wtorek' WHEN 3 THEN 'Środa'
+    WHEN 4 THEN 'Czwartek' WHEN 5 THEN 'Piątek' WHEN 6 THEN 'Sobota' WHEN 7 THEN 'Niedziela'
+    ELSE 'Nieznany' END AS label
+FROM events""")
+def x12(spark, d):
+    return _events(spark, d).select(
+        "event_id", numeric.value_map((F.col("user_id") % 9).cast("int"), D.WEEKDAY_LABELS,
+                                      D.UNKNOWN_LABEL).alias("label"))
+
+
+@register("x13_null_and_range", """
+SELECT flight_code, last_updated_utc, abs(lat - 45.0) AS lat_offset,
+       lat BETWEEN 42 AND 46 AS in_band, heading_deg IS NULL AS no_heading,
+       coalesce(aircraft_model, 'unknown') AS model
+FROM flights""")
+def x13(spark, d):
+    return A.flights(spark, d).select(
+        "flight_code", "last_updated_utc", F.abs(F.col("lat") - 45.0).alias("lat_offset"),
+        F.col("lat").between(42, 46).alias("in_band"), F.col("heading_deg").isNull().alias("no_heading"),
+        F.coalesce("aircraft_model", F.lit("unknown")).alias("model"))
+
+
+@register("x14_diff_cumsum_row_index", """
+SELECT event_id, value - lag(value) OVER w AS diff,
+       round(sum(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running,
+       CAST(row_number() OVER w - 1 AS INTEGER) AS row_index,
+       event_type IN ('view', 'click') AS is_position
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)""")
+def x14(spark, d):
+    from pyspark.sql import Window
+    w = Window.partitionBy("user_id").orderBy("ts")
+    return _events(spark, d).select(
+        "event_id", (F.col("value") - F.lag("value").over(w)).alias("diff"),
+        F.round(F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)), 6).alias("running"),
+        (F.row_number().over(w) - 1).alias("row_index"),
+        F.col("event_type").isin("view", "click").alias("is_position"))
+
+
+@register("x15_cast_matrix", """
+SELECT event_id, CAST(value AS VARCHAR) AS as_text,
+       CAST(trunc(value) AS INTEGER) AS as_int, CAST(trunc(value * 100) AS BIGINT) AS as_long,
+       CAST(CAST(value AS VARCHAR) AS DOUBLE) AS round_trip,
+       TRY_CAST('n/a' || CAST(event_id AS VARCHAR) AS DOUBLE) AS bad_text,
+       CAST(user_id AS DOUBLE) AS as_double
+FROM events""")
+def x15(spark, d):
+    ev = _events(spark, d)
+    return ev.select(
+        "event_id", F.col("value").cast("string").alias("as_text"),
+        F.col("value").cast("int").alias("as_int"), (F.col("value") * 100).cast("long").alias("as_long"),
+        F.col("value").cast("string").cast("double").alias("round_trip"),
+        F.try_to_number(F.concat(F.lit("n/a"), F.col("event_id").cast("string")), F.lit("9999"))
+         .cast("double").alias("bad_text"),
+        F.col("user_id").cast("double").alias("as_double"))
+
+
+# ======================================================================
+# P: projections
+# ======================================================================
+
+@register("p1_rename_cast_select", """
+SELECT name AS airport_city, make_timestamp(CAST(trunc(CAST(dt AS DOUBLE)) AS BIGINT) * 1000000) AS observation_time_utc,
+       CAST("main.temp" AS DOUBLE) AS temp_celsius, CAST("main.feels_like" AS DOUBLE) AS feels_like_celsius,
+       CAST(trunc(CAST("main.pressure" AS DOUBLE)) AS INTEGER) AS pressure_hpa,
+       CAST(trunc(CAST("main.humidity" AS DOUBLE)) AS INTEGER) AS humidity_percent,
+       CAST("wind.speed" AS DOUBLE) AS wind_speed_mps,
+       CAST(trunc(CAST("clouds.all" AS DOUBLE)) AS INTEGER) AS cloudiness_percent,
+       CAST(trunc(CAST(visibility AS DOUBLE)) AS INTEGER) AS visibility_meters
+FROM raw_weather""")
+def p1(spark, d):
+    return SV.project_weather(A.raw_weather(spark, d), order=[])
+
+
+@register("p2_tolerant_number_cast", """
+SELECT event_id, CAST(trunc(CAST(CAST(value AS VARCHAR) AS DOUBLE)) AS INTEGER) AS delay_mins
+FROM events""")
+def p2(spark, d):
+    return _events(spark, d).select("event_id", numeric.tolerant_int(F.col("value").cast("string"))
+                                    .alias("delay_mins"))
+
+
+@register("p3_epoch_to_utc", """
+SELECT ingest_order, updated, make_timestamp(updated * 1000000) AS last_updated_utc FROM raw_flights""")
+def p3(spark, d):
+    return A.raw_flights(spark, d).select("ingest_order", "updated",
+                                          tm.epoch_seconds_to_ts("updated").alias("last_updated_utc"))
+
+
+@register("p4_optional_column", """
+SELECT flight_code, last_updated_utc, reg_number, icao_24bit_hex, lat AS live_lat, lng AS live_lng,
+       altitude_ft, ground_speed_knt, CAST(NULL AS DOUBLE) AS heading_deg, status AS live_status,
+       aircraft_manufacturer, CAST(NULL AS VARCHAR) AS aircraft_model, aircraft_built_year,
+       aircraft_age_years
+FROM flights""")
+def p4(spark, d):
+    return G._flight_side(A.flights(spark, d).drop("heading_deg", "aircraft_model"))
+
+
+@register("p5_null_default", """
+SELECT ingest_order, CAST(trunc(coalesce(CAST(arr_delayed AS DOUBLE), 0.0)) AS INTEGER) AS arrival_delay_mins
+FROM raw_schedules""")
+def p5(spark, d):
+    return A.raw_schedules(spark, d).select(
+        "ingest_order", numeric.null_default_int("arr_delayed").alias("arrival_delay_mins"))
+
+
+def _weather_body():
+    """A nested weather payload per click event (JSON text)."""
+    v = F.format_string("%.2f", F.col("value"))
+    return F.concat(
+        F.lit('{"cod": '), F.when(F.col("value") > 100, F.lit("404")).otherwise(F.lit("200")),
+        F.lit(', "name": "'), F.lit(A.CITY), F.lit('", "dt": '), tm.epoch_seconds("ts").cast("string"),
+        F.lit(', "main": {"temp": '), v, F.lit(', "humidity": '), (F.col("event_id") % 100).cast("string"),
+        F.lit('}, "wind": {"speed": '), v, F.lit('}, "weather": [{"id": 800}]}'))
+
+
+_WEATHER_RECORD = T.StructType([
+    T.StructField("cod", T.LongType()), T.StructField("name", T.StringType()),
+    T.StructField("dt", T.LongType()),
+    T.StructField("main", T.StructType([T.StructField("temp", T.DoubleType()),
+                                        T.StructField("humidity", T.LongType())])),
+    T.StructField("wind", T.StructType([T.StructField("speed", T.DoubleType())])),
+    T.StructField("weather", T.ArrayType(T.StructType([T.StructField("id", T.LongType())])))])
+
+
+@register("p6_flatten_nested", f"""
+SELECT event_id, CAST(CASE WHEN value > 100 THEN 404 ELSE 200 END AS BIGINT) AS cod,
+       '{A.CITY}' AS name, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS dt,
+       CAST(printf('%.2f', value) AS DOUBLE) AS "main.temp",
+       CAST(event_id % 100 AS BIGINT) AS "main.humidity",
+       CAST(printf('%.2f', value) AS DOUBLE) AS "wind.speed"
+FROM events WHERE event_type = 'click'""")
+def p6(spark, d):
+    ev = _events(spark, d).where(F.col("event_type") == "click") \
+        .select("event_id", _weather_body().alias("body"))
+    flat = RAW.parse_weather(ev, _WEATHER_RECORD, keep=["event_id"])
+    return flat.drop("weather")
+
+
+@register("p7_ordered_subset", """
+SELECT flight_code, airline_name, departure_airport, dep_airport_name, last_updated_utc, status,
+       lat, lng FROM arrivals""")
+def p7(spark, d):
+    return D.visible_columns(A.arrivals(spark, d), D.ARRIVAL_COLUMNS)
+
+
+@register("p8_display_labels", """
+SELECT flight_code AS "Numer lotu", airline_name AS "Linia lotnicza", arrival_airport AS "Kod lotniska",
+       arr_airport_name AS "Lotnisko docelowe", scheduled_departure_utc AS "Planowany odlot",
+       scheduled_arrival_utc AS "Planowany przylot",
+       departure_delay_mins AS "Opóźnienie odlotu (min)",
+       arrival_delay_mins AS "Opóźnienie przylotu (min)", status AS "Status"
+FROM schedules""")
+def p8(spark, d):
+    return D.with_labels(D.visible_columns(A.schedules(spark, d), D.DEPARTURE_COLUMNS),
+                         D.DEPARTURE_COLUMN_LABELS)
+
+
+@register("p9_literal_columns", f"""
+SELECT flight_code, last_updated_utc, 'Do Krakowa' AS direction, '{TR.ARRIVAL_LABEL}' AS flight_type,
+       CAST(NULL AS DOUBLE) AS bucket_start
+FROM arrivals""")
+def p9(spark, d):
+    return A.arrivals(spark, d).select(
+        "flight_code", "last_updated_utc", F.lit(D.ARRIVALS_DIRECTION).alias("direction"),
+        F.lit(TR.ARRIVAL_LABEL).alias("flight_type"), F.lit(None).cast("double").alias("bucket_start"))
+
+
+@register("p10_column_drop_replace", """
+SELECT f.flight_code, f.scheduled_departure_utc, f.airline_code, l.name AS airline_name
+FROM facts f LEFT JOIN airlines l ON l.iata_code = f.airline_code""")
+def p10(spark, d):
+    from contrail.operators.joins import join_airlines
+    f = A.facts(spark, d).select("flight_code", "scheduled_departure_utc", "airline_code",
+                                 F.lit("stale").alias("airline_name"))
+    return join_airlines(f, A.airlines(spark, d), dedup_order=[], replace=True)
+
+
+# ======================================================================
+# Q: data quality
+# ======================================================================
+
+@register("q1_non_empty_check", """
+SELECT 'schedules' AS dataset, count(*) AS row_count, count(*) > 0 AS passed FROM schedules
+UNION ALL SELECT 'flights', count(*), count(*) > 0 FROM flights
+UNION ALL SELECT 'weather', count(*), count(*) > 0 FROM weather""")
+def q1(spark, d):
+    out = None
+    for name, df in (("schedules", A.schedules(spark, d)), ("flights", A.flights(spark, d)),
+                     ("weather", A.weather(spark, d))):
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("dataset"), "row_count", (F.col("row_count") > 0).alias("passed"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("q2_no_null_key", """
+SELECT count(*) AS row_count, count(*) FILTER (WHERE flight_code IS NULL) AS null_keys,
+       count(*) > 0 AND count(*) FILTER (WHERE flight_code IS NULL) = 0 AS passed
+FROM schedules""")
+def q2(spark, d):
+    return SV.dq_metrics(A.schedules(spark, d))
+
+
+@register("q3_row_contract", f"""
+SELECT flight_iata AS flight_code, {A._ts('dep_time_ts')} AS scheduled_departure_utc,
+       concat_ws(',', CASE WHEN arr_iata IS NULL THEN 'arrival_airport' END) AS violations
+FROM raw_schedules WHERE arr_iata IS NULL""")
+def q3(spark, d):
+    typed = A.raw_schedules(spark, d).select(
+        F.col("flight_iata").alias("flight_code"), F.col("status"),
+        F.col("dep_iata").alias("departure_airport"), F.col("arr_iata").alias("arrival_airport"),
+        tm.epoch_seconds_to_ts("dep_time_ts").alias("scheduled_departure_utc"),
+        tm.epoch_seconds_to_ts("arr_time_ts").alias("scheduled_arrival_utc"))
+    bad = SV.contract_violations(typed, SV.SCHEDULE_REQUIRED)
+    return bad.select("flight_code", "scheduled_departure_utc",
+                      F.array_join("violations", ",").alias("violations"))
+
+
+# ======================================================================
+# S: sources and sinks (payload parsing, schema-grouped reads, day lists)
+# ======================================================================
+
+_FLIGHT_RECORD = T.StructType([T.StructField("flight_iata", T.StringType()),
+                               T.StructField("updated", T.LongType())])
+
+
+def _payload_bodies(spark, d):
+    """One API-like JSON payload per event: purchases carry a two-record
+    ``response`` list, views a bare record, errors / signups error bodies,
+    clicks weather bodies."""
+    ev = _events(spark, d)
+    ep = tm.epoch_seconds("ts").cast("string")
+    uid = F.col("user_id").cast("string")
+    body = (F.when(F.col("event_type") == "purchase", F.concat(
+                F.lit('{"response": [{"flight_iata": "FL'), uid, F.lit('", "updated": '), ep,
+                F.lit('}, {"flight_iata": "FL'), uid, F.lit('B", "updated": '),
+                (tm.epoch_seconds("ts") + 1).cast("string"), F.lit("}]}")))
+             .when(F.col("event_type") == "view", F.concat(
+                F.lit('{"flight_iata": "FL'), uid, F.lit('", "updated": '), ep, F.lit("}")))
+             .when(F.col("event_type") == "error", F.lit('{"error": {"message": "limit reached"}}'))
+             .when(F.col("event_type") == "signup", F.lit('{"cod": "month_limit_exceeded"}'))
+             .otherwise(_weather_body()))
+    kind = F.when(F.col("event_type") == "click", "weather").otherwise("flights")
+    return ev.select("event_id", kind.alias("kind"), body.alias("body"))
+
+
+@register("s1_read_raw_json", """
+SELECT event_id, 0 AS record_pos, 'FL' || CAST(user_id AS VARCHAR) AS flight_iata,
+       CAST(epoch_us(ts) // 1000000 AS BIGINT) AS updated
+FROM events WHERE event_type IN ('purchase', 'view')
+UNION ALL
+SELECT event_id, 1, 'FL' || CAST(user_id AS VARCHAR) || 'B', CAST(epoch_us(ts) // 1000000 AS BIGINT) + 1
+FROM events WHERE event_type = 'purchase'""")
+def s1(spark, d):
+    b = _payload_bodies(spark, d).where((F.col("kind") == "flights") & RAW.payload_ok("body"))
+    return RAW.parse_records(b, _FLIGHT_RECORD, keep=["event_id"])
+
+
+@register("s2_skip_error_payloads", """
+SELECT event_id, CASE WHEN event_type = 'click' THEN 'weather' ELSE 'flights' END AS kind
+FROM events WHERE event_type IN ('purchase', 'view') OR (event_type = 'click' AND value <= 100)""")
+def s2(spark, d):
+    b = _payload_bodies(spark, d)
+    ok = F.when(F.col("kind") == "weather", RAW.payload_ok("body", weather=True)) \
+          .otherwise(RAW.payload_ok("body"))
+    return b.where(ok).select("event_id", "kind")
+
+
+@register("s3_read_raw_parquet", """
+SELECT r_regionkey, r_name, CAST(NULL AS INTEGER) AS n_nationkey, CAST(NULL AS VARCHAR) AS n_name,
+       CAST(NULL AS INTEGER) AS n_regionkey FROM region
+UNION ALL SELECT NULL, NULL, n_nationkey, n_name, n_regionkey FROM nation""")
+def s3(spark, d):
+    df = RAW.read_raw_parquet(spark, [f"{d}/region.parquet", f"{d}/nation.parquet"])
+    return df.drop("file_path", "file_time", "record_pos")
+
+
+@register("s9_day_list", """
+SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE) - 1, CAST(max(ts) AS DATE) + 1,
+                                   INTERVAL 1 DAY)) AS DATE) AS day
+FROM events""")
+def s9(spark, d):
+    ev = _events(spark, d).agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi"))
+    return ev.select(F.explode(F.sequence(F.date_sub("lo", 1), F.date_add("hi", 1))).alias("day"))
+
+
+@register("s11_combined_fleets", """
+SELECT * FROM fleets WHERE manufacturer IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY')""")
+def s11(spark, d):
+    return A.fleets(spark, d).where(F.col("manufacturer").isin("AUTOMOBILE", "BUILDING", "MACHINERY"))
+
+
+# ======================================================================
+# Dashboard tables
+# ======================================================================
+
+@register("c10_flight_table", """
+SELECT flight_code, airline_name, arrival_airport, arr_airport_name, scheduled_departure_utc,
+       scheduled_arrival_utc, departure_delay_mins, arrival_delay_mins, status
+FROM schedules
+WHERE contains(lower(airline_name), 'a')
+  AND (contains(lower(arrival_airport), 'ion_1') OR contains(lower(arr_airport_name), 'ion_1'))""")
+def c10(spark, d):
+    return D.departures_table(A.schedules(spark, d), airline_filter="A", airport_filter="ION_1")
+
+
+@register("c12_load_range", f"""
+SELECT flight_code, airline_name, departure_airport, dep_airport_name, last_updated_utc, status, lat, lng
+FROM arrivals
+WHERE {_local_date_sql('last_updated_utc')} BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'""")
+def c12(spark, d):
+    arr = filters.filter_local_date_range(A.arrivals(spark, d), "last_updated_utc",
+                                          RANGE_START, RANGE_END)
+    return D.arrivals_table(arr)

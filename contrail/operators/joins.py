@@ -17,9 +17,20 @@ from contrail.operators.dedup import keep_last
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+_PROBED: dict[tuple[int, int], bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded probe)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The probe reads at most ``max_rows + 1`` rows; its answer is remembered
+    per semantically equal plan for the session, so a dictionary used by
+    many queries is checked once.
+    """
+    key = (df.semanticHash(), max_rows)
+    if key not in _PROBED:
+        _PROBED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _PROBED[key]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -356,6 +356,8 @@ correlation AS (
 """
 
 
-def with_ctes(select: str) -> str:
-    """An oracle query: the shared CTEs, then ``select``."""
-    return f"WITH {SQL_CTES.strip()}\n{select.strip()}"
+def with_ctes(select: str, extra: str = "", recursive: bool = False) -> str:
+    """An oracle query: the shared CTEs (+ ``extra`` ones), then ``select``."""
+    head = "WITH RECURSIVE" if recursive else "WITH"
+    more = f",\n{extra.strip()}" if extra.strip() else ""
+    return f"{head} {SQL_CTES.strip()}{more}\n{select.strip()}"
