@@ -1098,3 +1098,29 @@ def c12(spark, d):
     arr = filters.filter_local_date_range(A.arrivals(spark, d), "last_updated_utc",
                                           RANGE_START, RANGE_END)
     return D.arrivals_table(arr)
+
+
+# ======================================================================
+# R: streaming
+# ======================================================================
+
+@register("r2_live_position_buckets", """
+SELECT flight_code, time_bucket, lat, lng, heading_deg, last_updated_utc, time_label FROM (
+  SELECT flight_code, make_timestamp((epoch_us(last_updated_utc) // 900000000) * 900000000) AS time_bucket,
+         lat, lng, heading_deg, last_updated_utc,
+         strftime(make_timestamp((epoch_us(last_updated_utc) // 900000000) * 900000000), '%Y-%m-%d %H:%M') AS time_label,
+         row_number() OVER (PARTITION BY flight_code, epoch_us(last_updated_utc) // 900000000
+                            ORDER BY last_updated_utc DESC, lat DESC, lng DESC) AS rn
+  FROM flights_typed WHERE lat IS NOT NULL AND lng IS NOT NULL)
+WHERE rn = 1
+  AND time_bucket + INTERVAL 15 MINUTE <= (SELECT max(last_updated_utc) FROM flights_typed) - INTERVAL 1 HOUR""")
+def r2(spark, d):
+    from contrail.streaming.incremental import live_position_buckets, run_to_table
+    ev = spark.readStream.schema(A.table(spark, d, "events").schema) \
+        .option("pathGlobFilter", "events.parquet").parquet(d) \
+        .where(F.col("event_type") == "view")
+    raw = A.raw_flights_from(ev)
+    pos = raw.select(F.col("flight_iata").alias("flight_code"), "lat", "lng",
+                     F.col("dir").alias("heading_deg"),
+                     tm.epoch_seconds_to_ts("updated").alias("last_updated_utc"))
+    return run_to_table(live_position_buckets(pos), "r2")

@@ -78,7 +78,11 @@ def _lat(mult=1):
 
 
 def raw_flights(spark, d) -> DataFrame:
-    e = _events(spark, d, "view")
+    return raw_flights_from(_events(spark, d, "view"))
+
+
+def raw_flights_from(e: DataFrame) -> DataFrame:
+    """Raw position snapshots from view events (batch or stream)."""
     return e.select(
         F.concat(F.lit("FL"), _s("user_id")).alias("flight_iata"),
         F.concat(F.lit("SP-"), _s("user_id")).alias("reg_number"),
