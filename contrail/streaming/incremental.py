@@ -46,12 +46,12 @@ def merge_into_silver(batch: DataFrame, base: str, keys: list[str], date_col: st
     cols = batch.columns
     merged = new.withColumn("__rank", F.lit(1))
     if _exists(spark, base):
-        old = (spark.read.parquet(base).join(days, PARTITION_COLS, "left_semi")
-               .select(*cols, *PARTITION_COLS).withColumn("__rank", F.lit(0)))
+        old = with_day_partitions(spark.read.parquet(base).select(*cols), date_col) \
+            .join(days, PARTITION_COLS, "left_semi").withColumn("__rank", F.lit(0))
         merged = old.unionByName(merged)
     merged = keep_last(merged, keys, ["__rank"]).drop("__rank")
-    merged.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(stage_dir)
-    (spark.read.parquet(stage_dir).repartition(*PARTITION_COLS)
+    merged.drop(*PARTITION_COLS).write.mode("overwrite").parquet(stage_dir)
+    (with_day_partitions(spark.read.parquet(stage_dir), date_col).repartition(*PARTITION_COLS)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(*PARTITION_COLS).parquet(base))
 

@@ -1,0 +1,98 @@
+"""Tracks: buckets, legs, jumps, bearings, bounds."""
+
+import math
+import random
+from datetime import datetime, timedelta
+
+from contrail.operators import tracks as T
+from contrail.plans import tracks as TR
+
+POS = "flight_code string, lat double, lng double, last_updated_utc timestamp_ntz"
+
+
+def test_bucket_positions(spark):
+    df = spark.createDataFrame([
+        ("FR1", 50.1, 19.8, datetime(2025, 6, 1, 10, 7)),
+        ("FR1", 50.2, 19.9, datetime(2025, 6, 1, 10, 12)),
+        ("LO2", 51.0, 20.0, datetime(2025, 6, 1, 10, 40))], POS)
+    fr1 = T.bucket_positions(df, 15).where("flight_code = 'FR1'").collect()
+    assert len(fr1) == 1 and fr1[0].lat == 50.2 and fr1[0].time_label == "2025-06-01 10:00"
+
+
+def test_latest_leg_only(spark):
+    df = spark.createDataFrame([
+        ("FR1", 50.0, 19.0, datetime(2025, 6, 1, 8)), ("FR1", 50.1, 19.1, datetime(2025, 6, 1, 8, 30)),
+        ("FR1", 52.0, 21.0, datetime(2025, 6, 10, 9)), ("FR1", 52.1, 21.1, datetime(2025, 6, 10, 9, 30))], POS)
+    tr = TR.flight_tracks(df, "Odlot z KRK", code="FR1").orderBy("time_bucket").collect()
+    assert [r.lat for r in tr] == [52.0, 52.1] and {r.flight_type for r in tr} == {"Odlot z KRK"}
+
+
+def test_case_insensitive_code(spark):
+    df = spark.createDataFrame([("fr1", 50.1, 19.8, datetime(2025, 6, 1, 10))], POS)
+    assert TR.flight_tracks(df, "x", code="FR1").count() == 1
+
+
+def test_pick_newest_side(spark):
+    dep = spark.createDataFrame([("FR1", 50.0, 19.0, datetime(2025, 6, 1, 8))], POS)
+    arr = spark.createDataFrame([("FR1", 51.0, 20.0, datetime(2025, 6, 10, 9))], POS)
+    rows = TR.pick_flight_tracks(dep, arr, "FR1").collect()
+    assert len(rows) == 1 and rows[0].flight_type == "Przylot do KRK" and rows[0].lat == 51.0
+    tie = TR.pick_flight_tracks(dep, dep, "FR1").collect()
+    assert len(tie) == 1 and tie[0].flight_type == "Odlot z KRK"
+
+
+def test_gap_rounding(spark):
+    t0 = datetime(2025, 6, 1)
+    df = spark.createDataFrame([
+        ("A", 1.0, 1.0, t0), ("A", 1.0, 1.0, t0 + timedelta(hours=15, minutes=59)),
+        ("A", 1.0, 1.0, t0 + timedelta(hours=31, minutes=59)),
+        ("A", 1.0, 1.0, t0 + timedelta(hours=48))], POS)
+    seg = T.with_segments(df, ["flight_code"], "last_updated_utc", 15.0).orderBy("last_updated_utc").collect()
+    assert [r.gap_hours for r in seg] == [0.0, 15.0, 16.0, 16.0]
+    assert [r.segment_id for r in seg] == [0, 0, 1, 2]
+    last = T.latest_segment(df, ["flight_code"], "last_updated_utc", 15.0).collect()
+    assert len(last) == 1
+
+
+def _hav(a, b, c, d):
+    a, b, c, d = map(math.radians, (a, b, c, d))
+    h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+    return 6371.0 * 2 * math.asin(math.sqrt(h))
+
+
+def test_jump_filter_equals_python_loop(spark):
+    rnd = random.Random(3)
+    rows = []
+    for k in range(6):
+        t = datetime(2025, 6, 1)
+        for i in range(60):
+            t += timedelta(minutes=rnd.randint(1, 30))
+            rows.append((f"T{k}", rnd.uniform(40, 55), rnd.uniform(0, 25), t))
+    df = spark.createDataFrame(rows, POS).repartition(5)
+    got = {(r.flight_code, r.last_updated_utc) for r in
+           T.filter_jumps(df, ["flight_code"], "last_updated_utc", 400.0).collect()}
+    exp = set()
+    for k in range(6):
+        pts = sorted([r for r in rows if r[0] == f"T{k}"], key=lambda r: r[3])
+        kept = [pts[0]]
+        for p in pts[1:]:
+            if _hav(kept[-1][1], kept[-1][2], p[1], p[2]) <= 400.0:
+                kept.append(p)
+        exp |= {(p[0], p[3]) for p in kept}
+    assert got == exp and 0 < len(got) < len(rows)
+
+
+def test_bearings_and_bounds(spark):
+    df = spark.createDataFrame([
+        ("A", 50.0, 19.0, datetime(2025, 6, 1, 10)), ("A", 51.0, 19.0, datetime(2025, 6, 1, 10, 15)),
+        ("B", 50.0, 19.0, datetime(2025, 6, 1, 10))],
+        POS).withColumn("track", __import__("pyspark.sql.functions", fromlist=["col"]).col("flight_code"))
+    rows = {(r.track, r.lat): r.bearing for r in
+            T.with_bearings(df, ["track"], ["last_updated_utc"]).collect()}
+    assert abs(rows[("A", 50.0)] - 0.0) < 1e-9 and abs(rows[("A", 51.0)] - 0.0) < 1e-9
+    assert rows[("B", 50.0)] == 0.0
+    east = spark.createDataFrame([("C", 50.0, 19.0, datetime(2025, 6, 1)), ("C", 50.0, 20.0, datetime(2025, 6, 1, 1))], POS)
+    b = {r.lng: r.bearing for r in T.with_bearings(east, ["flight_code"], ["last_updated_utc"]).collect()}
+    assert 89 < b[19.0] < 90 and 89 < b[20.0] < 90
+    box = T.track_bounds(df.where("track = 'A'"), ["track"], 50.0777, 19.7848).collect()[0]
+    assert abs(box.south - (50.0 - 0.15)) < 1e-9 and abs(box.west - (19.0 - 0.11772)) < 1e-6
