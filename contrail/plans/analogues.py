@@ -36,8 +36,15 @@ CITY = "Krakow"
 J3_TOLERANCE = timedelta(minutes=10)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table (read-only input), one DataFrame per session and path."""
+    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 def _events(spark, d, kind):
