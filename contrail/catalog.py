@@ -1124,3 +1124,187 @@ def r2(spark, d):
                      F.col("dir").alias("heading_deg"),
                      tm.epoch_seconds_to_ts("updated").alias("last_updated_utc"))
     return run_to_table(live_position_buckets(pos), "r2")
+
+
+# ======================================================================
+# S (storage round trips), C8, C9, R1, R3: these write into the session's
+# shared checkpoint folder and read the result back.
+# ======================================================================
+
+def _scratch(spark, name):
+    from contrail.session import scratch_path
+    return scratch_path(spark, name)
+
+
+_RAW_FILE_COLS = ["file_path", "file_time", "record_pos"]
+
+_SCHEDULE_RECORD = T.StructType([
+    T.StructField("flight_iata", T.StringType()), T.StructField("status", T.StringType()),
+    T.StructField("dep_iata", T.StringType()), T.StructField("arr_iata", T.StringType()),
+    T.StructField("airline_iata", T.StringType()), T.StructField("dep_time_ts", T.LongType()),
+    T.StructField("arr_time_ts", T.LongType()), T.StructField("dep_delayed", T.DoubleType()),
+    T.StructField("arr_delayed", T.DoubleType()), T.StructField("ingest_order", T.LongType())])
+
+
+@register("s12_bronze_landing", "SELECT * FROM raw_flights")
+def s12(spark, d):
+    base = _scratch(spark, "s12")
+    TB.land_snapshot(A.raw_flights(spark, d), f"{base}/flights")
+    return RAW.read_raw(spark, f"{base}/flights").drop(*_RAW_FILE_COLS)
+
+
+@register("s13_raw_json_landing", "SELECT * FROM raw_schedules")
+def s13(spark, d):
+    base = _scratch(spark, "s13")
+    TB.land_json(A.raw_schedules(spark, d), f"{base}/schedules")
+    return RAW.read_raw(spark, f"{base}/schedules", _SCHEDULE_RECORD).drop(*_RAW_FILE_COLS)
+
+
+@register("s5_prefix_scan_mixed_formats", """
+SELECT * FROM raw_schedules UNION ALL SELECT * FROM raw_schedules""")
+def s5(spark, d):
+    base = _scratch(spark, "s5")
+    raw = A.raw_schedules(spark, d)
+    TB.land_snapshot(raw, f"{base}/KRK/parquet")
+    TB.land_json(raw, f"{base}/KRK/json")
+    return RAW.read_raw(spark, f"{base}/KRK", _SCHEDULE_RECORD).drop(*_RAW_FILE_COLS)
+
+
+@register("s14_partitioned_write", "SELECT * FROM weather")
+def s14(spark, d):
+    base = _scratch(spark, "s14")
+    TB.write_partitioned(A.weather(spark, d), "observation_time_utc", f"{base}/weather")
+    from contrail import schemas as SCH
+    return TB.read_silver(spark, f"{base}/weather", SCH.WEATHER)
+
+
+@register("s6_silver_scan", "SELECT * FROM flights")
+def s6(spark, d):
+    base = _scratch(spark, "s6")
+    TB.write_partitioned(A.flights(spark, d), "last_updated_utc", f"{base}/flights")
+    return TB.read_silver(spark, f"{base}/flights")
+
+
+@register("s7_partition_range_scan", f"""
+SELECT * FROM weather
+WHERE CAST(observation_time_utc AS DATE) BETWEEN DATE '{RANGE_START}' - 1 AND DATE '{RANGE_END}' + 1""")
+def s7(spark, d):
+    base = _scratch(spark, "s7")
+    TB.write_partitioned(A.weather(spark, d), "observation_time_utc", f"{base}/weather")
+    return TB.read_silver_range(spark, f"{base}/weather", RANGE_START, RANGE_END)
+
+
+@register("s8_raw_range_scan", f"""
+SELECT * FROM raw_arrivals
+WHERE CAST(make_timestamp(updated * 1000000) AS DATE) BETWEEN DATE '{RANGE_START}' - 1 AND DATE '{RANGE_END}' + 1""")
+def s8(spark, d):
+    base = _scratch(spark, "s8")
+    raw = A.raw_arrivals(spark, d)
+    TB.land_snapshot(raw.withColumn("__ingest", tm.epoch_seconds_to_ts("updated")),
+                     f"{base}/arrivals", day_col="__ingest")
+    return TB.read_raw_range(spark, f"{base}/arrivals", RANGE_START, RANGE_END).drop("__ingest")
+
+
+@register("s10_dictionary_scan", "SELECT * FROM airports")
+def s10(spark, d):
+    path = _scratch(spark, "s10") + "/airports"
+    first = RAW.load_dictionary(spark, path, fetch=lambda: A.airports(spark, d))
+    again = RAW.load_dictionary(spark, path, fetch=None)  # now served from storage
+    assert first is not None and again is not None
+    return again
+
+
+@register("s15_table_write", ACTIVE_ROUTES_SQL)
+def s15(spark, d):
+    path = _scratch(spark, "s15") + "/active_routes"
+    TB.write_table(G.active_routes(A.schedules(spark, d), A.airports(spark, d), origin=A.ORIGIN), path)
+    return spark.read.parquet(path)
+
+
+@register("s17_named_gold_read", ACTIVE_ROUTES_SQL)
+def s17(spark, d):
+    base = _scratch(spark, "s17")
+    TB.write_table(G.active_routes(A.schedules(spark, d), A.airports(spark, d), origin=A.ORIGIN),
+                   f"{base}/active_routes")
+    return TB.load_gold(spark, base, "active_routes")
+
+
+@register("s16_csv_export", """
+SELECT flight_code, airline_name, arrival_airport, arr_airport_name, scheduled_departure_utc,
+       scheduled_arrival_utc, departure_delay_mins, arrival_delay_mins, status
+FROM schedules""")
+def s16(spark, d):
+    path = _scratch(spark, "s16")
+    table = D.departures_table(A.schedules(spark, d))
+    TB.write_csv(table, path)
+    return (spark.read.schema(table.schema).option("header", True)
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path))
+
+
+def _land_bronze(spark, d):
+    from contrail.plans import jobs
+    raw_base, dict_base = _scratch(spark, "bronze"), _scratch(spark, "dict")
+    jobs.land_raw(A.raw_schedules(spark, d), raw_base, f"schedules/{A.ORIGIN}")
+    jobs.land_raw(A.raw_flights(spark, d), raw_base, f"flights/departures/{A.ORIGIN}")
+    jobs.land_raw(A.raw_weather(spark, d), raw_base, f"weather/{A.ORIGIN}")
+    for name, fn in (("airports", A.airports), ("airlines", A.airlines), ("fleets", A.fleets)):
+        RAW.load_dictionary(spark, f"{dict_base}/{name}", fetch=lambda fn=fn: fn(spark, d))
+    return raw_base, dict_base
+
+
+def _run_silver(spark, d):
+    from contrail.plans import jobs
+    raw_base, dict_base = _land_bronze(spark, d)
+    silver = _scratch(spark, "silver")
+    jobs.process_silver_layer(spark, raw_base, dict_base, silver, order=["ingest_order"],
+                              airport=A.ORIGIN)
+    return silver, dict_base
+
+
+@register("c8_process_silver_layer", "SELECT * FROM schedules")
+def c8(spark, d):
+    from contrail import schemas as SCH
+    silver, _ = _run_silver(spark, d)
+    return TB.read_silver(spark, f"{silver}/schedules", SCH.SCHEDULES)
+
+
+@register("c9_process_gold_layer", """
+SELECT f.airline_code, l.name AS airline_name,
+       round_even(avg(f.departure_delay_mins), 2) AS avg_departure_delay_mins,
+       count(*) AS total_flights
+FROM facts f LEFT JOIN airlines l ON l.iata_code = f.airline_code
+WHERE f.last_updated_utc IS NOT NULL AND f.airline_code IS NOT NULL
+GROUP BY f.airline_code, l.name""")
+def c9(spark, d):
+    from contrail.plans import jobs
+    silver, dict_base = _run_silver(spark, d)
+    gold = _scratch(spark, "gold")
+    jobs.process_gold_layer(spark, silver, dict_base, gold, origin=A.ORIGIN)
+    return TB.load_gold(spark, gold, "airline_performance")
+
+
+@register("r1_incremental_silver", "SELECT * FROM weather")
+def r1(spark, d):
+    from contrail import schemas as SCH
+    from contrail.streaming.incremental import incremental_silver
+    raw = _scratch(spark, "r1-raw")
+    TB.land_snapshot(A.raw_weather(spark, d), raw)
+    base = _scratch(spark, "r1-silver")
+    q = incremental_silver(spark, raw, spark.read.parquet(raw).schema,
+                           lambda b: SV.clean_weather(b, order=["ingest_order"]), base,
+                           ["airport_city", "observation_time_utc"], "observation_time_utc")
+    q.awaitTermination()
+    return TB.read_silver(spark, base, SCH.WEATHER)
+
+
+@register("r3_dedup_within_watermark", """
+SELECT flight_iata, updated FROM raw_flights""")
+def r3(spark, d):
+    from contrail.streaming.incremental import dedup_first_within_watermark, run_to_table
+    ev = spark.readStream.schema(A.table(spark, d, "events").schema) \
+        .option("pathGlobFilter", "events.parquet").parquet(d) \
+        .where(F.col("event_type") == "view")
+    pos = A.raw_flights_from(ev).select("flight_iata", "updated",
+                                        tm.epoch_seconds_to_ts("updated").alias("ts"))
+    return run_to_table(dedup_first_within_watermark(pos, ["flight_iata", "updated"], "ts"),
+                        "r3").select("flight_iata", "updated")

@@ -99,9 +99,24 @@ def _leaf(root, dotted: str):
 
 
 def read_raw_json(spark: SparkSession, paths, record_schema: T.StructType,
-                  weather: bool = False) -> DataFrame:
+                  weather: bool = False, lines: bool = False) -> DataFrame:
     """S1 + S2 over files: parse, drop error payloads, explode records.
-    Ingest order columns: ``file_time``, ``file_path``, ``record_pos``."""
+    Ingest order columns: ``file_time``, ``file_path``, ``record_pos``.
+
+    API snapshots hold one payload per file; files written by Spark itself
+    (``lines=True``, JSON Lines) hold one record per line."""
+    if lines:
+        df = spark.read.text(paths).select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_modification_time").alias("file_time"),
+            F.col("value").alias("body"))
+        if weather:
+            return parse_weather(df, record_schema, keep=["file_path", "file_time"]) \
+                .withColumn("record_pos", F.lit(0))
+        return df.select("file_path", "file_time",
+                         F.lit(0).alias("record_pos"),
+                         F.from_json("body", record_schema).alias("__r")) \
+                 .select("file_path", "file_time", "record_pos", "__r.*")
     bodies = read_json_bodies(spark, paths).where(payload_ok("body", weather))
     keep = ["file_path", "file_time"]
     if weather:
@@ -153,11 +168,16 @@ def read_raw(spark: SparkSession, prefix: str, record_schema: T.StructType | Non
              .select("path").collect()]
     pq = sorted(p for p in files if p.endswith(".parquet"))
     js = sorted(p for p in files if p.endswith(".json"))
+    # files written by Spark itself are JSON Lines, API snapshots are documents
+    jl = [p for p in js if p.rsplit("/", 1)[-1].startswith("part-")]
+    jd = [p for p in js if p not in set(jl)]
     frames = []
     if pq:
         frames.append(read_raw_parquet(spark, pq))
-    if js and record_schema is not None:
-        frames.append(read_raw_json(spark, js, record_schema, weather))
+    if jd and record_schema is not None:
+        frames.append(read_raw_json(spark, jd, record_schema, weather))
+    if jl and record_schema is not None:
+        frames.append(read_raw_json(spark, jl, record_schema, weather, lines=True))
     frames = [f for f in frames if f is not None]
     return align_union(frames) if frames else None
 

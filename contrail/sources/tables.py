@@ -84,9 +84,21 @@ def day_sequence(spark: SparkSession, start: date, end: date, pad: bool = False)
     return spark.range(1).select(F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("day"))
 
 
-def land_snapshot(records: DataFrame, path: str) -> None:
-    """Flattened records appended as one Parquet snapshot."""
-    flatten(records).write.mode("append").parquet(path)
+def land_snapshot(records: DataFrame, path: str, day_col: str | None = None) -> None:
+    """Flattened records appended as a Parquet snapshot; with
+    ``day_col`` (a timestamp) the snapshot is filed under its UTC day
+    (``year=/month=/day=``) so later range scans prune by day (S8)."""
+    flat = flatten(records)
+    if day_col is None:
+        flat.write.mode("append").parquet(path)
+        return
+    with_day_partitions(flat.withColumn("__day", F.col(day_col)), "__day").drop("__day") \
+        .write.mode("append").partitionBy(*PARTITION_COLS).parquet(path)
+
+
+def read_raw_range(spark: SparkSession, base: str, start: date, end: date) -> DataFrame:
+    """Raw snapshots of the padded day range only (partition pruned)."""
+    return read_silver_range(spark, base, start, end, pad=True)
 
 
 def land_json(records: DataFrame, path: str) -> None:
