@@ -1308,3 +1308,28 @@ def r3(spark, d):
                                         tm.epoch_seconds_to_ts("updated").alias("ts"))
     return run_to_table(dedup_first_within_watermark(pos, ["flight_iata", "updated"], "ts"),
                         "r3").select("flight_iata", "updated")
+
+
+@register("s4_format_dispatch", "SELECT * FROM raw_flights UNION ALL SELECT * FROM raw_flights")
+def s4(spark, d):
+    base = _scratch(spark, "s4")
+    raw = A.raw_flights(spark, d)
+    TB.land_snapshot(raw, f"{base}/snap/a")          # .parquet -> Parquet reader
+    TB.land_json(raw, f"{base}/snap/b")              # .json    -> JSON reader
+    raw.select(F.col("flight_iata")).write.text(f"{base}/snap/c")  # .txt -> ignored
+    rec = T.StructType([raw.schema[c] for c in raw.columns])
+    return RAW.read_raw(spark, f"{base}/snap", rec).drop(*_RAW_FILE_COLS)
+
+
+@register("q4_argument_checks", """
+SELECT flight_code, scheduled_departure_utc FROM schedules WHERE false""")
+def q4(spark, d):
+    """Inverted date range -> no rows (schema kept); unknown gold name -> ValueError."""
+    try:
+        TB.load_gold(spark, _scratch(spark, "q4"), "hourly_traffic")
+        raise AssertionError("unknown gold dataset accepted")
+    except ValueError:
+        pass
+    return filters.filter_local_date_range(A.schedules(spark, d), "scheduled_departure_utc",
+                                           RANGE_END, RANGE_START) \
+        .select("flight_code", "scheduled_departure_utc")

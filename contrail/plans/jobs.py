@@ -56,7 +56,7 @@ def process_silver_layer(spark: SparkSession, raw_base: str, dict_base: str, sil
             continue
         cleaned, obs = SV.observe_dq(clean(raw), name,
                                      key="flight_code" if name == "schedules" else None)
-        TB.write_partitioned(cleaned, date_col, f"{silver_base}/{name}")
+        TB.write_partitioned(cleaned, date_col, f"{silver_base}/{name}", skip_if_empty=False)
         out[name] = SV.assert_dq(obs, name)
     return out
 

@@ -25,13 +25,16 @@ def with_day_partitions(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, date_col: str, base: str,
-                      quarantine: str | None = None) -> bool:
+                      quarantine: str | None = None, skip_if_empty: bool = True) -> bool:
     """Overwrite only the day partitions present in ``df``.
 
     Rows with a null date cannot be placed in a day and go to
-    ``quarantine`` (if given).  An empty input writes nothing (False).
+    ``quarantine`` (if given).  An empty input writes nothing (False); with
+    dynamic overwrite an empty write touches no partition either, so
+    ``skip_if_empty=False`` saves the probe (and keeps the write the first
+    action of an observed plan).
     """
-    if df.isEmpty():
+    if skip_if_empty and df.isEmpty():
         return False
     if quarantine is not None:
         bad = df.where(F.col(date_col).isNull())
