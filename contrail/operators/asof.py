@@ -120,8 +120,9 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cand = F.when(F.col("__side") == 0, F.struct("__t", "__R"))
     swept = (allrows
-             .withColumn("__prev", F.last(cand, ignorenulls=True).over(w_prev))
-             .withColumn("__next", F.last(cand, ignorenulls=True).over(w_next))
+             .select("__t", "__side", "__L",
+                     F.last(cand, ignorenulls=True).over(w_prev).alias("__prev"),
+                     F.last(cand, ignorenulls=True).over(w_next).alias("__next"))
              .where(F.col("__side") == 1))
 
     dp = F.col("__t") - F.col("__prev.__t")
@@ -130,6 +131,5 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     prev_ok = F.col("__prev").isNotNull() & (dp <= tol)
     use_next = next_ok & (~prev_ok | (dn <= dp))
     match = F.when(use_next, F.col("__next.__R")).when(prev_ok, F.col("__prev.__R"))
-    return swept.select(
-        *[F.col("__L").getField(c).alias(c) for c in left.columns],
-        *[match.getField(c).alias(c) for c in right_payload])
+    return swept.select(F.col("__L.*"), match.alias("__M")).select(
+        *[F.col(_q(c)) for c in left.columns], F.col("__M.*"))

@@ -118,6 +118,62 @@ def _haversine_np(lat1, lon1, lat2, lon2):
     return EARTH_RADIUS_KM * 2 * np.arcsin(np.sqrt(a))
 
 
+class _JumpFold:
+    """State of the jump filter across the Arrow batches of one partition.
+
+    Rows arrive sorted by (track, time).  While every point is kept the
+    reference point is simply the previous row, so distances between
+    consecutive rows are computed for the whole batch at once and runs of
+    kept rows are accepted in bulk; only after a rejected jump is the
+    distance to the last *kept* point computed row by row.
+    """
+
+    def __init__(self, max_km: float):
+        self.max_km = max_km
+        self.key = None          # track of the previous row
+        self.prev = None         # (lat, lng) of the previous row
+        self.ref = None          # (lat, lng) of the last kept row
+        self.consecutive = False  # ref is the previous row
+
+    def keep_mask(self, keys, la, lo) -> np.ndarray:
+        n = len(keys)
+        newk = np.empty(n, dtype=bool)
+        newk[0] = self.key is None or keys[0] != self.key
+        if n > 1:
+            newk[1:] = keys[1:] != keys[:-1]
+        dcons = np.full(n, np.inf)
+        if self.prev is not None:
+            dcons[0] = _haversine_np(self.prev[0], self.prev[1], la[0], lo[0])
+        if n > 1:
+            dcons[1:] = _haversine_np(la[:-1], lo[:-1], la[1:], lo[1:])
+        bad = newk | ~(dcons <= self.max_km)
+        bad_idx = np.flatnonzero(bad)
+        keep = np.zeros(n, dtype=bool)
+        i = 0
+        while i < n:
+            if newk[i]:
+                keep[i] = True
+                self.ref, self.consecutive = (la[i], lo[i]), True
+                i += 1
+            elif self.consecutive:
+                pos = np.searchsorted(bad_idx, i)
+                k = bad_idx[pos] if pos < len(bad_idx) else n
+                if k > i:  # rows i..k-1 are all within reach of their predecessor
+                    keep[i:k] = True
+                    self.ref = (la[k - 1], lo[k - 1])
+                    i = k
+                elif not newk[i]:  # a jump away from the previous (kept) row
+                    self.consecutive = False
+                    i += 1
+            else:
+                if _haversine_np(self.ref[0], self.ref[1], la[i], lo[i]) <= self.max_km:
+                    keep[i] = True
+                    self.ref, self.consecutive = (la[i], lo[i]), True
+                i += 1
+        self.key, self.prev = keys[-1], (la[-1], lo[-1])
+        return keep
+
+
 def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
                  lat: str = "lat", lng: str = "lng",
                  order: list[str] | None = None) -> DataFrame:
@@ -135,28 +191,19 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
     max_km = float(max_km)
 
     def fold(batches):
-        last_key = None
-        last_pt = None
+        state = _JumpFold(max_km)
         for pdf in batches:
-            n = len(pdf)
-            if n == 0:
+            if len(pdf) == 0:
                 yield pdf
                 continue
-            kv = list(zip(*[pdf[k].tolist() for k in keys])) if len(keys) > 1 \
-                else pdf[keys[0]].tolist()
-            la = pdf[lat].to_numpy(dtype="float64")
-            lo = pdf[lng].to_numpy(dtype="float64")
-            keep = np.zeros(n, dtype=bool)
-            for i in range(n):
-                if kv[i] != last_key:
-                    last_key = kv[i]
-                    last_pt = (la[i], lo[i])
-                    keep[i] = True
-                    continue
-                if _haversine_np(last_pt[0], last_pt[1], la[i], lo[i]) <= max_km:
-                    keep[i] = True
-                    last_pt = (la[i], lo[i])
-            yield pdf[keep]
+            if len(keys) == 1:
+                kv = pdf[keys[0]].to_numpy(dtype=object)
+            else:
+                kv = np.array(list(zip(*[pdf[k].tolist() for k in keys])) + [None],
+                              dtype=object)[:-1]
+            mask = state.keep_mask(kv, pdf[lat].to_numpy(dtype="float64"),
+                                   pdf[lng].to_numpy(dtype="float64"))
+            yield pdf[mask]
 
     return srt.mapInPandas(fold, schema=df.schema)
 

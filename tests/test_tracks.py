@@ -96,3 +96,39 @@ def test_bearings_and_bounds(spark):
     assert 89 < b[19.0] < 90 and 89 < b[20.0] < 90
     box = T.track_bounds(df.where("track = 'A'"), ["track"], 50.0777, 19.7848).collect()[0]
     assert abs(box.south - (50.0 - 0.15)) < 1e-9 and abs(box.west - (19.0 - 0.11772)) < 1e-6
+
+
+def test_jump_filter_fast_path_matches_loop():
+    """Smooth tracks with rare jumps and returns, across batch boundaries."""
+    import numpy as np
+    rnd = random.Random(11)
+    rows = []
+    for k in range(5):
+        lat, lng = 50.0, 19.0
+        for i in range(300):
+            if rnd.random() < 0.03:
+                rows.append((f"T{k}", lat + 8, lng + 8))  # jump out
+            else:
+                lat += rnd.uniform(-0.3, 0.3)
+                lng += rnd.uniform(-0.3, 0.3)
+                rows.append((f"T{k}", lat, lng))
+    exp = []
+    last_key, ref = None, None
+    for key, la, lo in rows:
+        if key != last_key:
+            last_key, ref = key, (la, lo)
+            exp.append(True)
+        elif _hav(ref[0], ref[1], la, lo) <= 400.0:
+            ref = (la, lo)
+            exp.append(True)
+        else:
+            exp.append(False)
+    for batch in (7, 64, 5000):
+        st = T._JumpFold(400.0)
+        got = []
+        for s in range(0, len(rows), batch):
+            part = rows[s:s + batch]
+            got += list(st.keep_mask(np.array([r[0] for r in part], dtype=object),
+                                     np.array([r[1] for r in part]), np.array([r[2] for r in part])))
+        assert got == exp
+    assert 0 < exp.count(False) < len(exp)
