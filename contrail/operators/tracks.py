@@ -174,38 +174,148 @@ class _JumpFold:
         return keep
 
 
+def _chunk_keys(pdf, cols: list[str]) -> np.ndarray:
+    """One comparable string per row identifying its (track[, chunk])."""
+    out = pdf[cols[0]].astype(str)
+    for c in cols[1:]:
+        out = out + "\x00" + pdf[c].astype(str)
+    return out.to_numpy(dtype=object)
+
+
 def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
-                 lat: str = "lat", lng: str = "lng",
-                 order: list[str] | None = None) -> DataFrame:
+                 lat: str = "lat", lng: str = "lng", order: list[str] | None = None,
+                 chunks: int | None = None, max_rounds: int = 1000) -> DataFrame:
     """In time order keep a point when it lies within ``max_km`` of the
     last *kept* point of its track; a track's first point is always kept.
 
-    The rule is path dependent (a fold), so each track is scanned in order:
-    rows are hash-partitioned by track, sorted inside the partition, and one
-    Arrow-batched pass carries only the last kept point (O(1) state, no
-    group is ever collected).  Tracks are spread over all tasks.
+    The rule is a fold (path dependent), yet one long track must not become
+    one task.  Exact parallel form:
+
+    1. Rows are range-partitioned by (track, time) into ordered, balanced
+       ranges (sized by AQE from the data volume unless ``chunks`` is
+       given), so a long track is split over many tasks.  Each
+       (track, range) chunk is folded as if it started fresh (its first point
+       kept) in one Arrow-batched pass with O(1) state; the result is
+       written to the shared checkpoint folder.
+    2. On the tiny per-chunk summary (first point, last kept point) a chunk
+       whose first point lies within ``max_km`` of the previous chunk's last
+       kept point is already exact (the true fold keeps that point and
+       restarts there).  Only the other chunks are folded again, from their
+       true entry point, and their last kept points re-checked; this repeats
+       until nothing changes (normally zero or one round).
     """
+    spark = df.sparkSession
     order = list(order or [])
-    srt = (df.repartition(*[F.col(_q(k)) for k in keys])
-             .sortWithinPartitions(*keys, ts, *order))
+    sort_cols = [*keys, ts, *order]
     max_km = float(max_km)
+    b_schema = T.StructType(df.schema.fields + [T.StructField("__part", T.IntegerType()),
+                                                T.StructField("__keep", T.BooleanType())])
 
-    def fold(batches):
+    def fresh_fold(batches):
+        from pyspark import TaskContext
+        part = TaskContext.get().partitionId()
         state = _JumpFold(max_km)
         for pdf in batches:
             if len(pdf) == 0:
-                yield pdf
                 continue
-            if len(keys) == 1:
-                kv = pdf[keys[0]].to_numpy(dtype=object)
-            else:
-                kv = np.array(list(zip(*[pdf[k].tolist() for k in keys])) + [None],
-                              dtype=object)[:-1]
-            mask = state.keep_mask(kv, pdf[lat].to_numpy(dtype="float64"),
+            mask = state.keep_mask(_chunk_keys(pdf, keys), pdf[lat].to_numpy(dtype="float64"),
                                    pdf[lng].to_numpy(dtype="float64"))
-            yield pdf[mask]
+            yield pdf.assign(__part=np.int32(part), __keep=mask)
+
+    from contrail.session import scratch_path
+    root = scratch_path(spark, "jumps")
+    # the input is written once: range partitioning samples it before the
+    # shuffle, and sampling a written table does not recompute the upstream
+    df.write.parquet(f"{root}/input")
+    src = spark.read.parquet(f"{root}/input")
+    range_cols = [F.col(_q(c)) for c in sort_cols]
+    ranged = (src.repartitionByRange(chunks, *range_cols) if chunks
+              else src.repartitionByRange(*range_cols)).sortWithinPartitions(*sort_cols)
+    ranged.mapInPandas(fresh_fold, b_schema).write.parquet(f"{root}/fresh")
+    b = spark.read.parquet(f"{root}/fresh")
+
+    rank = F.struct(F.col(_q(ts)), *[F.col(_q(o)) for o in order])
+    pt = F.struct(F.col(lat).alias("la"), F.col(lng).alias("lo"))
+    summary = b.groupBy(*keys, "__part").agg(
+        F.min_by(pt, rank).alias("__first"),
+        F.max_by(F.when(F.col("__keep"), pt), F.when(F.col("__keep"), rank)).alias("__exit"))
+    # per-chunk tables are tiny (one row per track and range): kept in
+    # memory, recomputable from the written fold on executor loss
+    base = summary.select(*keys, "__part", "__first", "__exit").persist()
+    chunk = [*keys, "__part"]
+    w = Window.partitionBy(*keys).orderBy("__part")
+    exits = base
+    corrected = None
+    dirty = None
+    for rnd in range(max_rounds):
+        # entry of a chunk = last kept point of the chunk before it
+        ent = exits.select(*chunk, "__first", F.lag("__exit").over(w).alias("__entry"))
+        far = _haversine_col("__entry", "__first") > F.lit(max_km)
+        dirty = ent.where(F.col("__entry").isNotNull() & far).select(*chunk, "__entry").persist()
+        if dirty.count() == 0:
+            corrected = None
+            break
+        corrected = _refold(b.join(dirty, chunk, "inner"), keys, sort_cols, lat, lng,
+                            max_km, f"{root}/refold{rnd}")
+        refolded_exit = corrected.groupBy(*chunk).agg(
+            F.coalesce(F.max_by(F.when(F.col("__keep"), pt), F.when(F.col("__keep"), rank)),
+                       F.first("__entry")).alias("__new_exit"))
+        # exits implied by this round: fresh ones, except the re-folded chunks
+        nxt = (base.join(refolded_exit, chunk, "left")
+                   .select(*chunk, "__first",
+                           F.coalesce("__new_exit", "__exit").alias("__exit")))
+        nxt = nxt.persist()
+        diff = nxt.alias("n").join(exits.alias("o"), chunk, "inner") \
+                  .where(~F.col("n.__exit").eqNullSafe(F.col("o.__exit")))
+        exits = nxt
+        if diff.isEmpty():
+            break  # fixpoint: entries, dirty chunks and re-folds are consistent
+    else:
+        raise RuntimeError("jump filter did not converge")
+
+    keep = b.where("__keep")
+    if corrected is not None:
+        keep = (keep.join(dirty.select(*keys, "__part"), [*keys, "__part"], "left_anti")
+                    .unionByName(corrected.where("__keep").drop("__entry")))
+    return keep.select(*df.columns)
+
+
+def _haversine_col(a: str, b: str):
+    from contrail.functions.geo import haversine_km
+    return haversine_km(F.col(a).getField("la"), F.col(a).getField("lo"),
+                        F.col(b).getField("la"), F.col(b).getField("lo"))
+
+
+def _refold(rows: DataFrame, keys: list[str], sort_cols: list[str], lat: str, lng: str,
+            max_km: float, path: str) -> DataFrame:
+    """Fold the rows of the given chunks again, each starting from its
+    ``__entry`` point (the true last kept point before the chunk)."""
+    spark = rows.sparkSession
+    schema = rows.schema
 
-    return srt.mapInPandas(fold, schema=df.schema)
+    def fold(batches):
+        state = _JumpFold(max_km)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            ck = _chunk_keys(pdf, [*keys, "__part"])
+            la = pdf[lat].to_numpy(dtype="float64")
+            lo = pdf[lng].to_numpy(dtype="float64")
+            starts = np.ones(len(pdf), dtype=bool)
+            starts[0] = ck[0] != state.key
+            starts[1:] = ck[1:] != ck[:-1]
+            ins = np.flatnonzero(starts)
+            # a synthetic first row per chunk stands for the entry point
+            ela = np.array([pdf["__entry"].iloc[i]["la"] for i in ins], dtype="float64")
+            elo = np.array([pdf["__entry"].iloc[i]["lo"] for i in ins], dtype="float64")
+            mask = state.keep_mask(np.insert(ck, ins, ck[ins]), np.insert(la, ins, ela),
+                                   np.insert(lo, ins, elo))
+            yield pdf.assign(__keep=np.delete(mask, ins + np.arange(len(ins))))
+
+    (rows.drop("__keep").repartition(*[F.col(_q(k)) for k in keys], "__part")
+         .sortWithinPartitions(*keys, "__part", *sort_cols[len(keys):])
+         .mapInPandas(fold, schema).write.parquet(path))
+    return spark.read.parquet(path)
 
 
 def bucket_positions(df: DataFrame, minutes: int = 15, key: str = "flight_code",

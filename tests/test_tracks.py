@@ -132,3 +132,32 @@ def test_jump_filter_fast_path_matches_loop():
                                      np.array([r[1] for r in part]), np.array([r[2] for r in part])))
         assert got == exp
     assert 0 < exp.count(False) < len(exp)
+
+
+def test_parallel_jump_filter_many_chunks(spark):
+    """One long track split over many ranges, with jumps across range edges."""
+    rnd = random.Random(5)
+    rows, t = [], datetime(2025, 6, 1)
+    lat, lng = 50.0, 19.0
+    for k in range(2):
+        for i in range(400):
+            t += timedelta(minutes=1)
+            if rnd.random() < 0.05:
+                rows.append((f"T{k}", lat + 9, lng + 9, t))
+            else:
+                lat += rnd.uniform(-0.3, 0.3)
+                lng += rnd.uniform(-0.3, 0.3)
+                rows.append((f"T{k}", lat, lng, t))
+    df = spark.createDataFrame(rows, POS)
+    exp = set()
+    for k in range(2):
+        pts = [r for r in rows if r[0] == f"T{k}"]
+        kept = [pts[0]]
+        for p in pts[1:]:
+            if _hav(kept[-1][1], kept[-1][2], p[1], p[2]) <= 400.0:
+                kept.append(p)
+        exp |= {(p[0], p[3]) for p in kept}
+    for chunks in (1, 3, 16, 64):
+        got = {(r.flight_code, r.last_updated_utc) for r in
+               T.filter_jumps(df, ["flight_code"], "last_updated_utc", 400.0, chunks=chunks).collect()}
+        assert got == exp, chunks
