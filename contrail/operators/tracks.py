@@ -338,17 +338,36 @@ def bucket_positions(df: DataFrame, minutes: int = 15, key: str = "flight_code",
 
 
 def with_bearings(df: DataFrame, keys: list[str], order: list[str],
-                  lat: str = "lat", lng: str = "lng") -> DataFrame:
+                  lat: str = "lat", lng: str = "lng", bucket: timedelta = DAY) -> DataFrame:
     """Bearing from the previous point; the first point looks ahead to
-    the next; a lone point gets 0.0.  Input is one row per 15-minute bucket,
-    so a key holds at most 96 rows per day."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    plat, plng = F.lag(lat).over(w), F.lag(lng).over(w)
-    nlat, nlng = F.lead(lat).over(w), F.lead(lng).over(w)
-    b = (F.when(plat.isNotNull(), bearing_deg(plat, plng, F.col(lat), F.col(lng)))
-          .when(nlat.isNotNull(), bearing_deg(F.col(lat), F.col(lng), nlat, nlng))
+    the next; a lone point gets 0.0.
+
+    ``order[0]`` is the time column.  Rows are partitioned by (track, day):
+    the last point of the previous non-empty day and the first point of the
+    next one come from a tiny per-(track, day) summary, so no track has to
+    fit one task.
+    """
+    width = int(bucket.total_seconds() * 1_000_000)
+    ts = order[0]
+    rank = F.struct(*[F.col(_q(o)) for o in order])
+    pt = F.struct(F.col(lat).alias("la"), F.col(lng).alias("lo"))
+    rows = df.withColumn("__d", F.floor(epoch_micros(ts, _ts_kind(df, ts)) / F.lit(width)))
+    wd = Window.partitionBy(*keys).orderBy("__d")
+    edges = (rows.groupBy(*keys, "__d")
+                 .agg(F.min_by(pt, rank).alias("__first"), F.max_by(pt, rank).alias("__last"))
+                 .select(*keys, "__d", F.lag("__last").over(wd).alias("__before"),
+                         F.lead("__first").over(wd).alias("__after")))
+    w = Window.partitionBy(*keys, "__d").orderBy(*[F.col(_q(o)) for o in order])
+    j = rows.join(edges, [*keys, "__d"], "left")
+    prev = F.coalesce(F.lag(pt).over(w), F.col("__before"))
+    nxt = F.coalesce(F.lead(pt).over(w), F.col("__after"))
+    j = j.withColumn("__prev", prev).withColumn("__next", nxt)
+    b = (F.when(F.col("__prev").isNotNull(),
+                bearing_deg(F.col("__prev.la"), F.col("__prev.lo"), F.col(lat), F.col(lng)))
+          .when(F.col("__next").isNotNull(),
+                bearing_deg(F.col(lat), F.col(lng), F.col("__next.la"), F.col("__next.lo")))
           .otherwise(F.lit(0.0)))
-    return df.withColumn("bearing", b)
+    return j.withColumn("bearing", b).select(*df.columns, "bearing")
 
 
 def track_bounds(df: DataFrame, keys: list[str], center_lat: float, center_lng: float,

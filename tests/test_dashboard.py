@@ -100,3 +100,16 @@ def test_text_filters(spark):
     assert filters.filter_code_or_name(df, "arrival_airport", "arr_airport_name", "bud").count() == 1
     t = D.departures_table(df, airline_filter="air", airport_filter="w")
     assert [r.flight_code for r in t.collect()] == ["LO1"]
+
+
+@pytest.mark.parametrize(("utc", "day", "included"), [
+    (datetime(2025, 3, 29, 23, 0), date(2025, 3, 30), True),    # 00:00 CET
+    (datetime(2025, 3, 30, 21, 59), date(2025, 3, 30), True),   # 23:59 CEST (23-hour day)
+    (datetime(2025, 3, 30, 22, 0), date(2025, 3, 30), False),   # 00:00 next day
+    (datetime(2025, 10, 25, 22, 0), date(2025, 10, 26), True),  # 00:00 CEST
+    (datetime(2025, 10, 26, 22, 59), date(2025, 10, 26), True), # 23:59 CET (25-hour day)
+    (datetime(2025, 10, 26, 23, 0), date(2025, 10, 26), False),
+])
+def test_local_day_across_dst(spark, utc, day, included):
+    df = spark.createDataFrame([("X", utc)], "flight_code string, scheduled_departure_utc timestamp_ntz")
+    assert (filters.filter_local_day(df, "scheduled_departure_utc", day).count() == 1) == included

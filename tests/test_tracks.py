@@ -161,3 +161,15 @@ def test_parallel_jump_filter_many_chunks(spark):
         got = {(r.flight_code, r.last_updated_utc) for r in
                T.filter_jumps(df, ["flight_code"], "last_updated_utc", 400.0, chunks=chunks).collect()}
         assert got == exp, chunks
+
+
+def test_bearings_across_day_edges(spark):
+    """Neighbours on other days (with empty days between) are found."""
+    t0 = datetime(2025, 6, 1, 23, 45)
+    df = spark.createDataFrame([
+        ("A", 50.0, 19.0, t0), ("A", 51.0, 19.0, t0 + timedelta(minutes=30)),
+        ("A", 51.0, 20.0, t0 + timedelta(days=3))], POS)
+    rows = T.with_bearings(df, ["flight_code"], ["last_updated_utc"]).orderBy("last_updated_utc").collect()
+    assert abs(rows[0].bearing - 0.0) < 1e-9            # looks ahead across midnight
+    assert abs(rows[1].bearing - 0.0) < 1e-9            # from the previous day's point
+    assert 80 < rows[2].bearing < 90                    # from a point three days earlier
