@@ -79,3 +79,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a large cluster run, from the input volume and core count.
+
+    * scan splits of ``target_partition_bytes`` (fewer, fuller tasks than the
+      128 MB default; a 100 TB scan is ~400k tasks);
+    * an initial shuffle width that keeps every shuffle partition around the
+      target size (AQE then coalesces small ones and splits skewed joins), and
+      never below 3 waves of the cluster's cores;
+    * AQE advisory size = target, skew threshold = 4 x target, and
+      ``parallelismFirst`` off so coalescing honours the size target.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }

@@ -20,6 +20,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail.functions.time import minute_label
 from contrail.operators.dedup import keep_last
@@ -42,12 +43,18 @@ def merge_into_silver(batch: DataFrame, base: str, keys: list[str], date_col: st
     """
     spark = batch.sparkSession
     new = with_day_partitions(batch.where(F.col(date_col).isNotNull()), date_col)
-    days = new.select(*PARTITION_COLS).distinct()
     cols = batch.columns
     merged = new.withColumn("__rank", F.lit(1))
     if _exists(spark, base):
-        old = with_day_partitions(spark.read.parquet(base).select(*cols), date_col) \
-            .join(days, PARTITION_COLS, "left_semi").withColumn("__rank", F.lit(0))
+        # the days a batch touches: a handful of keys, turned into a static
+        # partition filter so only those day folders are read
+        days = [f"{r[0]}-{r[1]}-{r[2]}" for r in
+                new.select(*PARTITION_COLS).distinct().collect()]
+        schema = T.StructType(batch.schema.fields +
+                              [T.StructField(c, T.StringType()) for c in PARTITION_COLS])
+        old = (spark.read.schema(schema).parquet(base)
+               .where(F.concat_ws("-", *PARTITION_COLS).isin(days))
+               .select(*cols, *PARTITION_COLS).withColumn("__rank", F.lit(0)))
         merged = old.unionByName(merged)
     merged = keep_last(merged, keys, ["__rank"]).drop("__rank")
     merged.drop(*PARTITION_COLS).write.mode("overwrite").parquet(stage_dir)
@@ -75,9 +82,12 @@ def incremental_silver(spark: SparkSession, raw_dir: str, raw_schema, clean: Cal
                   F.col("_metadata.row_index").alias("i"))))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean(batch)
-        stage = os.path.join(ckpt, "stage", str(batch_id))
-        merge_into_silver(cleaned, base, keys, date_col, stage)
+        cleaned = clean(batch).persist()  # read twice: touched days, merge
+        try:
+            stage = os.path.join(ckpt, "stage", str(batch_id))
+            merge_into_silver(cleaned, base, keys, date_col, stage)
+        finally:
+            cleaned.unpersist()
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="15 minutes")

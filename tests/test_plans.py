@@ -46,3 +46,10 @@ def test_unkeyed_asof_partitions_by_time_bucket(spark):
     r = spark.range(50).selectExpr("id AS rid", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id * 2, 0) AS rt")
     plan = _plan(asof_nearest(l, r, "t", "rt", tolerance=timedelta(minutes=1)))
     assert "hashpartitioning(__b" in plan
+
+
+def test_cluster_conf_sizes():
+    from contrail.session import cluster_conf
+    c = cluster_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(1 << 20, 8000)["spark.sql.shuffle.partitions"]) == 24000
