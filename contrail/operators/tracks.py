@@ -247,7 +247,10 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
     exits = base
     corrected = None
     dirty = None
+    spent = []  # superseded per-round tables, released at the end
     for rnd in range(max_rounds):
+        if dirty is not None:
+            spent.append(dirty)
         # entry of a chunk = last kept point of the chunk before it
         ent = exits.select(*chunk, "__first", F.lag("__exit").over(w).alias("__entry"))
         far = _haversine_col("__entry", "__first") > F.lit(max_km)
@@ -265,6 +268,8 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
                    .select(*chunk, "__first",
                            F.coalesce("__new_exit", "__exit").alias("__exit")))
         nxt = nxt.persist()
+        if exits is not base:
+            spent.append(exits)
         diff = nxt.alias("n").join(exits.alias("o"), chunk, "inner") \
                   .where(~F.col("n.__exit").eqNullSafe(F.col("o.__exit")))
         exits = nxt
@@ -273,6 +278,8 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
     else:
         raise RuntimeError("jump filter did not converge")
 
+    for t in spent + [exits, base]:
+        t.unpersist()
     keep = b.where("__keep")
     if corrected is not None:
         keep = (keep.join(dirty.select(*keys, "__part"), [*keys, "__part"], "left_anti")
