@@ -184,7 +184,8 @@ def _chunk_keys(pdf, cols: list[str]) -> np.ndarray:
 
 def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
                  lat: str = "lat", lng: str = "lng", order: list[str] | None = None,
-                 chunks: int | None = None, max_rounds: int = 1000) -> DataFrame:
+                 chunks: int | None = None, max_rounds: int = 1000,
+                 chunk_bytes: int = 128 << 20) -> DataFrame:
     """In time order keep a point when it lies within ``max_km`` of the
     last *kept* point of its track; a track's first point is always kept.
 
@@ -192,7 +193,7 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
     one task.  Exact parallel form:
 
     1. Rows are range-partitioned by (track, time) into ordered, balanced
-       ranges (sized by AQE from the data volume unless ``chunks`` is
+       ranges (one per ``chunk_bytes`` of stored input unless ``chunks`` is
        given), so a long track is split over many tasks.  Each
        (track, range) chunk is folded as if it started fresh (its first point
        kept) in one Arrow-batched pass with O(1) state; the result is
@@ -228,9 +229,10 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
     # shuffle, and sampling a written table does not recompute the upstream
     df.write.parquet(f"{root}/input")
     src = spark.read.parquet(f"{root}/input")
+    if not chunks:  # one ordered range per ~chunk_bytes of input (file metadata only)
+        chunks = max(1, -(-_stored_bytes(spark, f"{root}/input") // chunk_bytes))
     range_cols = [F.col(_q(c)) for c in sort_cols]
-    ranged = (src.repartitionByRange(chunks, *range_cols) if chunks
-              else src.repartitionByRange(*range_cols)).sortWithinPartitions(*sort_cols)
+    ranged = src.repartitionByRange(int(chunks), *range_cols).sortWithinPartitions(*sort_cols)
     ranged.mapInPandas(fresh_fold, b_schema).write.parquet(f"{root}/fresh")
     b = spark.read.parquet(f"{root}/fresh")
 
@@ -287,6 +289,14 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
     return keep.select(*df.columns)
 
 
+def _stored_bytes(spark, path: str) -> int:
+    """Size of a written table from the file system's metadata."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def _haversine_col(a: str, b: str):
     from contrail.functions.geo import haversine_km
     return haversine_km(F.col(a).getField("la"), F.col(a).getField("lo"),
