@@ -55,7 +55,10 @@ def weather_correlation(facts: DataFrame, weather: DataFrame,
     matched = facts.where(F.col("last_updated_utc").isNotNull())
     out = asof_nearest(matched, weather, left_on="last_updated_utc",
                        right_on="observation_time_utc", tolerance=tolerance)
-    return out.withColumn("has_weather_match", F.col("observation_time_utc").isNotNull())
+    out = out.withColumn("has_weather_match", F.col("observation_time_utc").isNotNull())
+    # no observations at all -> no correlation table (not a table of misses);
+    # weather is small (one row per observation), so the probe is cheap
+    return out.limit(0) if weather.isEmpty() else out
 
 
 def airline_performance(facts: DataFrame, airlines: DataFrame | None,

@@ -86,3 +86,14 @@ def test_weather_impact_null_buckets(spark):
     rows = {r.metric: r for r in G.weather_impact(corr).collect()}
     assert rows["temperature_celsius"].bucket_label is None
     assert rows["visibility_level"].bucket_label == "high"
+
+
+def test_empty_inputs_keep_schema(data):
+    sched, flights, weather, airlines, airports = data
+    facts = G.schedule_flight_facts(sched, flights)
+    corr = G.weather_correlation(facts, weather.limit(0))
+    assert corr.count() == 0 and "has_weather_match" in corr.columns
+    assert G.weather_impact(corr).count() == 0
+    no_match = G.schedule_flight_facts(sched, flights.limit(0))
+    assert G.airline_performance(no_match, airlines).count() == 0
+    assert G.active_routes(sched, airports.limit(0)).count() == 0
