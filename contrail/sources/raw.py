@@ -9,12 +9,16 @@ File contents are never pulled to the driver: JSON files are read with
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.operators.align import align_union, flatten
 
+_log = logging.getLogger(__name__)
+
 # Markers of an API error payload.
 ERROR_FIELDS = ("error", "error.message", "error.code")
 MONTH_LIMIT = "month_limit_exceeded"
@@ -74,7 +78,7 @@ def parse_records(df: DataFrame, record_schema: T.StructType, body: str = "body"
     has_response = F.get_json_object(b, "$.response").isNotNull()
     recs = (F.when(b.startswith("["), as_list)
              .when(has_response, wrapped.getField("response"))
-             .otherwise(F.array(single)))
+             .when(single.isNotNull(), F.array(single)))  # unparsable -> no record
     out = df.select(*keep, F.posexplode(recs).alias("record_pos", "__r"))
     return out.select(*keep, "record_pos", "__r.*")
 
@@ -146,13 +150,18 @@ def read_raw_parquet(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     """
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for p in paths:
-        sch = spark.read.parquet(p).schema
+        try:
+            sch = spark.read.parquet(p).schema
+        except Exception as exc:  # unreadable snapshot: log and skip it
+            _log.warning("skipping unreadable file %s: %s", p, str(exc).splitlines()[0][:200])
+            continue
         if _field_names(sch) & set(ERROR_FIELDS):
+            _log.warning("skipping API error snapshot %s", p)
             continue
         groups.setdefault(sch.json(), (sch, []))[1].append(p)
     frames = []
     for sch, ps in groups.values():
-        frames.append(spark.read.schema(sch).parquet(*ps).select(
+        frames.append(spark.read.schema(sch).option("ignoreCorruptFiles", "true").parquet(*ps).select(
             "*", F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_modification_time").alias("file_time"),
             F.col("_metadata.row_index").alias("record_pos")))

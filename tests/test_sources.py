@@ -62,6 +62,14 @@ def test_prefix_scan_mixed_formats(spark, tmp_dir):
     assert sorted(r.flight_iata for r in out.collect()) == ["FR1", "LO1"]
 
 
+def test_unreadable_files_are_skipped(spark, tmp_dir):
+    spark.createDataFrame([("LO1", 1)], "flight_iata string, updated bigint").write.parquet(f"{tmp_dir}/c/ok.parquet")
+    _write(f"{tmp_dir}/c/broken.parquet", "this is not parquet at all")
+    _write(f"{tmp_dir}/c/bad.json", "{not json")
+    out = RAW.read_raw(spark, f"{tmp_dir}/c", REC)
+    assert [r.flight_iata for r in out.collect()] == ["LO1"]
+
+
 def test_partitioned_write_range_scan(spark, tmp_dir):
     base = f"{tmp_dir}/silver"
     rows = [(f"F{d}", datetime(2025, 6, d, 12)) for d in range(1, 31)]
