@@ -78,7 +78,7 @@ def parse_records(df: DataFrame, record_schema: T.StructType, body: str = "body"
     has_response = F.get_json_object(b, "$.response").isNotNull()
     recs = (F.when(b.startswith("["), as_list)
              .when(has_response, wrapped.getField("response"))
-             .when(single.isNotNull(), F.array(single)))  # unparsable -> no record
+             .when(F.get_json_object(b, "$").isNotNull(), F.array(single)))  # unparsable -> none
     out = df.select(*keep, F.posexplode(recs).alias("record_pos", "__r"))
     return out.select(*keep, "record_pos", "__r.*")
 
