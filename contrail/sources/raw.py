@@ -46,7 +46,7 @@ def read_json_bodies(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def payload_ok(body: str = "body", weather: bool = False):
-    """False for API error payloads.
+    """False for API error payloads (and for unparsable text).
 
     Drops a payload with a top-level ``error`` / ``error.message`` key, or
     ``cod == "month_limit_exceeded"``; weather payloads must also have no
@@ -57,7 +57,9 @@ def payload_ok(body: str = "body", weather: bool = False):
     err_msg = F.get_json_object(b, "$['error.message']")
     cod = F.get_json_object(b, "$.cod")
     cod_is_text = b.rlike(r'^\s*\{.*"cod"\s*:\s*"')
-    ok = err.isNull() & err_msg.isNull() & (F.coalesce(cod, F.lit("")) != F.lit(MONTH_LIMIT))
+    parsable = F.get_json_object(b, "$").isNotNull()  # unreadable payloads are skipped
+    ok = parsable & err.isNull() & err_msg.isNull() & \
+        (F.coalesce(cod, F.lit("")) != F.lit(MONTH_LIMIT))
     if weather:
         ok = ok & (cod.isNull() | ((cod == F.lit("200")) & ~cod_is_text))
     return F.coalesce(ok, F.lit(False))

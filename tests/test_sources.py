@@ -38,6 +38,7 @@ def test_weather_payloads(spark, tmp_dir):
     _write(f"{tmp_dir}/w/2.json", {"cod": "200", "name": "Krakow", "main": {"temp": 1.0}})
     _write(f"{tmp_dir}/w/3.json", {"cod": 401, "name": "Krakow", "main": {"temp": 2.0}})
     _write(f"{tmp_dir}/w/4.json", {"name": "Krakow", "main": {"temp": 3.0}})
+    _write(f"{tmp_dir}/w/5.json", "{truncated")
     out = RAW.read_raw_json(spark, f"{tmp_dir}/w", rec, weather=True)
     assert "main.temp" in out.columns
     assert sorted(r["main.temp"] for r in out.collect()) == [3.0, 16.56]
