@@ -336,7 +336,8 @@ def _refold(rows: DataFrame, keys: list[str], sort_cols: list[str], lat: str, ln
 
 
 def bucket_positions(df: DataFrame, minutes: int = 15, key: str = "flight_code",
-                     ts: str = "last_updated_utc", order: list[str] | None = None) -> DataFrame:
+                     ts: str = "last_updated_utc", order: list[str] | None = None,
+                     extra_keys: list[str] | None = None) -> DataFrame:
     """Per (flight, N-minute bucket) the latest snapshot's lat, lng and
     time (+ flight_type / heading_deg when present), with a text label.
 
@@ -347,10 +348,12 @@ def bucket_positions(df: DataFrame, minutes: int = 15, key: str = "flight_code",
     carried = ["lat", "lng", ts] + [c for c in ("flight_type", "heading_deg") if c in df.columns]
     rank = F.struct(F.col(ts), *[F.col(_q(o)) for o in (order or [])],
                     F.col("lat"), F.col("lng"))
+    extra = list(extra_keys or [])
     out = (base.withColumn("time_bucket", truncate_minutes(ts, minutes))
-               .groupBy(key, "time_bucket")
+               .groupBy(key, *extra, "time_bucket")
                .agg(F.max_by(F.struct(*carried), rank).alias("__r")))
-    return out.select(key, "time_bucket", *[F.col("__r").getField(c).alias(c) for c in carried],
+    return out.select(key, *extra, "time_bucket",
+                      *[F.col("__r").getField(c).alias(c) for c in carried],
                       minute_label("time_bucket").alias("time_label"))
 
 

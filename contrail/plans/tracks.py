@@ -26,48 +26,61 @@ ARRIVAL_LABEL = "Przylot do KRK"
 
 def track_points(positions: DataFrame, code: str | None = None,
                  max_gap_hours: float = MAX_GAP_HOURS,
-                 max_leg_jump_km: float = MAX_LEG_JUMP_KM) -> DataFrame:
+                 max_leg_jump_km: float = MAX_LEG_JUMP_KM,
+                 extra_keys: list[str] | None = None) -> DataFrame:
     """Cleaned points of each flight's latest leg, jumps removed.
 
-    Tracks are keyed by the upper-cased code; buckets later use the stored
-    code (so ``fr1`` and ``FR1`` are two bucket series of one track).
+    Tracks are keyed by the upper-cased code (plus ``extra_keys``, e.g. the
+    side of a combined departures/arrivals input); buckets later use the
+    stored code (so ``fr1`` and ``FR1`` are two bucket series of one track).
     """
+    extra = list(extra_keys or [])
     df = positions
     if code is not None:
         df = filter_flight_code(df, code)
-    cols = ["flight_code", "lat", "lng", "last_updated_utc"] + \
-        (["heading_deg"] if "heading_deg" in df.columns else [])
+    cols = ["flight_code", "lat", "lng", "last_updated_utc"] + extra + \
+        [c for c in ("heading_deg", "flight_type") if c in df.columns]
     df = (df.select(*cols)
             .dropna(subset=["lat", "lng", "last_updated_utc"])
             .where(valid_coordinates())
             .withColumn("track", F.upper("flight_code")))
-    df = keep_last(df, ["flight_code", "last_updated_utc", "lat", "lng"], [])
-    df = latest_segment(df, ["track"], "last_updated_utc", max_gap_hours,
+    df = keep_last(df, ["flight_code", "last_updated_utc", "lat", "lng", *extra], [])
+    df = latest_segment(df, ["track", *extra], "last_updated_utc", max_gap_hours,
                         order=["flight_code", "lat", "lng"])
-    return filter_jumps(df, ["track"], "last_updated_utc", max_leg_jump_km,
+    return filter_jumps(df, ["track", *extra], "last_updated_utc", max_leg_jump_km,
                         order=["flight_code", "lat", "lng"])
 
 
-def flight_tracks(positions: DataFrame, flight_type: str, code: str | None = None,
+def flight_tracks(positions: DataFrame, flight_type: str | None, code: str | None = None,
                   bucket_minutes: int = BUCKET_MINUTES, max_gap_hours: float = MAX_GAP_HOURS,
-                  max_leg_jump_km: float = MAX_LEG_JUMP_KM) -> DataFrame:
-    """Bucketed latest-leg track of every flight (or of ``code``)."""
-    pts = track_points(positions, code, max_gap_hours, max_leg_jump_km)
-    pts = pts.withColumn("flight_type", F.lit(flight_type))
-    out = bucket_positions(pts.drop("track"), bucket_minutes,
-                           order=["lat", "lng"])
+                  max_leg_jump_km: float = MAX_LEG_JUMP_KM,
+                  extra_keys: list[str] | None = None) -> DataFrame:
+    """Bucketed latest-leg track of every flight (or of ``code``).
+    ``flight_type=None`` keeps a ``flight_type`` column of the input."""
+    extra = list(extra_keys or [])
+    pts = track_points(positions, code, max_gap_hours, max_leg_jump_km, extra)
+    if flight_type is not None:
+        pts = pts.withColumn("flight_type", F.lit(flight_type))
+    out = bucket_positions(pts.drop("track"), bucket_minutes, order=["lat", "lng"],
+                           extra_keys=extra)
     return out.withColumn("track", F.upper("flight_code"))
 
 
+def _side(positions: DataFrame, side: int, label: str) -> DataFrame:
+    heading = F.col("heading_deg") if "heading_deg" in positions.columns \
+        else F.lit(None).cast("double")
+    return positions.select("flight_code", "lat", "lng", "last_updated_utc",
+                            heading.alias("heading_deg"), F.lit(side).alias("__side"),
+                            F.lit(label).alias("flight_type"))
+
+
 def pick_flight_tracks(departures: DataFrame, arrivals: DataFrame, code: str | None = None,
                        bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
     """Per track, the side (departures / arrivals) whose track has the
-    newest point; on a tie departures win."""
-    dep = flight_tracks(departures, DEPARTURE_LABEL, code, bucket_minutes) \
-        .withColumn("__side", F.lit(1))
-    arr = flight_tracks(arrivals, ARRIVAL_LABEL, code, bucket_minutes) \
-        .withColumn("__side", F.lit(0))
-    both = dep.unionByName(arr, allowMissingColumns=True)
+    newest point; on a tie departures win.  Both sides go through one track
+    pipeline, keyed by (track, side)."""
+    both_pos = _side(departures, 1, DEPARTURE_LABEL).unionByName(_side(arrivals, 0, ARRIVAL_LABEL))
+    both = flight_tracks(both_pos, None, code, bucket_minutes, extra_keys=["__side"])
     newest = both.groupBy("track", "__side").agg(F.max("last_updated_utc").alias("__newest"))
     pick = newest.groupBy("track").agg(
         F.max_by("__side", F.struct("__newest", "__side")).alias("__side"))
