@@ -173,3 +173,21 @@ def test_bearings_across_day_edges(spark):
     assert abs(rows[0].bearing - 0.0) < 1e-9            # looks ahead across midnight
     assert abs(rows[1].bearing - 0.0) < 1e-9            # from the previous day's point
     assert 80 < rows[2].bearing < 90                    # from a point three days earlier
+
+
+def test_path_points_labels_and_bearings(spark):
+    path = spark.createDataFrame([
+        ("FR1", 50.0, 19.0, datetime(2025, 6, 1, 10, 0), "2025-06-01 10:00"),
+        ("FR1", 50.1, 19.1, datetime(2025, 6, 1, 10, 15), "2025-06-01 10:15")],
+        "flight_code string, lat double, lng double, time_bucket timestamp_ntz, time_label string") \
+        .withColumn("track", __import__("pyspark.sql.functions", fromlist=["upper"]).upper("flight_code"))
+    pts = TR.path_points(path).orderBy("time_bucket").collect()
+    assert len(pts) == 2 and pts[0].time_label == "2025-06-01 10:00"
+    assert 0.0 <= pts[0].bearing <= 360.0 and pts[1].bearing > 0.0
+
+
+def test_track_bounds_include_airport_and_padding(spark):
+    path = spark.createDataFrame([("A", 50.2, 19.7), ("A", 50.4, 19.9)], "track string, lat double, lng double")
+    b = TR.tracks_bounds(path).collect()[0]
+    assert b.south < min(50.2, TR.AIRPORT_LAT) and b.north > max(50.4, TR.AIRPORT_LAT)
+    assert b.west < min(19.7, TR.AIRPORT_LNG) and b.east > max(19.9, TR.AIRPORT_LNG)
