@@ -39,10 +39,15 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str] | None = None) ->
     order = list(order or [])
     fields = df.schema.fields
     row = F.struct(*[F.col(_q(f.name)) for f in fields])
-    tiebreak = [F.col(_q(f.name)) for f in fields if _orderable(f.dataType)]
-    rank = F.struct(*(F.col(_q(o)) for o in order), F.struct(*tiebreak))
-    agg = (df.groupBy(*[F.col(_q(k)) for k in keys])
-             .agg(F.max_by(row, rank).alias("__row")))
+    rank = F.struct(*(F.col(_q(o)) for o in order))
+    groups = [F.col(_q(k)) for k in keys]
+    if all(_orderable(f.dataType) for f in fields):
+        # the row itself breaks ties, so it is carried once: max(struct(rank, row))
+        best = F.max(F.struct(rank.alias("o"), row.alias("r"))).getField("r")
+    else:
+        tiebreak = [F.col(_q(f.name)) for f in fields if _orderable(f.dataType)]
+        best = F.max_by(row, F.struct(rank.alias("o"), F.struct(*tiebreak).alias("t")))
+    agg = df.groupBy(*groups).agg(best.alias("__row"))
     return agg.select([F.col("__row").getField(f.name).alias(f.name) for f in fields])
 
 

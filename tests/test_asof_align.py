@@ -96,3 +96,10 @@ def test_keep_last_deterministic(spark):
                                "k string, o int, v string").repartition(3)
     got = {r.k: r.v for r in keep_last(df, ["k"], ["o"]).collect()}
     assert got == {"a": "r", "b": "s"}
+
+
+def test_keep_last_with_map_column(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"y": 2}), ("b", 1, {"z": 3})],
+                               "k string, o int, m map<string,int>")
+    got = {r.k: r.m for r in keep_last(df, ["k"], ["o"]).collect()}
+    assert got == {"a": {"y": 2}, "b": {"z": 3}}
