@@ -155,3 +155,31 @@ def top_k(df: DataFrame, k: int, by: str, tie: str) -> DataFrame:
 def local_range(df: DataFrame, col: str, start: date, end: date) -> DataFrame:
     from contrail.operators.filters import filter_local_date_range
     return filter_local_date_range(df, col, start, end)
+
+
+def load_dashboard_tables(spark, silver_base: str, raw_arrivals_base: str, dict_base: str,
+                          start: date, end: date, persist: bool = True) -> dict:
+    """Departures (silver schedules), live positions (silver flights)
+    and arrivals (raw arrival snapshots through C4) for local days
+    ``start..end``.  Only the padded day partitions are read (S7/S8); the
+    frames are persisted for the many dashboard queries that follow."""
+    from contrail import schemas as S
+    from contrail.operators.filters import filter_local_date_range
+    from contrail.plans import silver as SV
+    from contrail.sources import raw as RAW
+    from contrail.sources import tables as TB
+
+    airports = RAW.load_dictionary(spark, f"{dict_base}/airports")
+    airlines = RAW.load_dictionary(spark, f"{dict_base}/airlines")
+    sched = TB.read_silver_range(spark, f"{silver_base}/schedules", start, end)
+    flights = TB.read_silver_range(spark, f"{silver_base}/flights", start, end)
+    raw_arr = TB.read_raw_range(spark, raw_arrivals_base, start, end)
+    arrivals = SV.transform_arrivals(raw_arr, airports, airlines)
+    out = {
+        "schedules": filter_local_date_range(sched, "scheduled_departure_utc", start, end),
+        "flights": filter_local_date_range(flights, "last_updated_utc", start, end),
+        "arrivals": filter_local_date_range(arrivals, "last_updated_utc", start, end),
+    }
+    if persist:
+        out = {k: v.persist() for k, v in out.items()}
+    return out

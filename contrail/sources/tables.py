@@ -110,9 +110,22 @@ def land_json(records: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str) -> bool:
-    """Overwrite a table; an empty result leaves the old one in place."""
+    """Overwrite a table; an empty result leaves the old one in place.
+
+    When ``df`` reads the very table it replaces, the result is first staged
+    in the shared checkpoint folder and then swapped in (a job cannot
+    overwrite the files it is reading).
+    """
     if df.isEmpty():
         return False
+    target = path.rstrip("/")
+    reads_target = any(f.split("://", 1)[-1].startswith(target.split("://", 1)[-1] + "/")
+                       for f in df.inputFiles())
+    if reads_target:
+        from contrail.session import scratch_path
+        stage = scratch_path(df.sparkSession, "stage")
+        df.write.parquet(stage)
+        df = df.sparkSession.read.parquet(stage)
     df.write.mode("overwrite").parquet(path)
     return True
 

@@ -122,3 +122,31 @@ def test_combined_fleets(spark, tmp_dir):
             .write.parquet(f"{tmp_dir}/fleets/{c}")
     out = RAW.combined_fleets(spark, f"{tmp_dir}/fleets")
     assert sorted(r.reg_number for r in out.collect()) == ["SP-FR", "SP-LO"]
+
+
+def test_write_table_over_itself(spark, tmp_dir):
+    path = f"{tmp_dir}/gold/t"
+    spark.createDataFrame([(1,), (2,)], "x int").write.parquet(path)
+    grown = spark.read.parquet(path).union(spark.createDataFrame([(3,)], "x int"))
+    assert TB.write_table(grown, path)
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_load_dashboard_tables(spark, tmp_dir):
+    from contrail.plans import analogues as A
+    from contrail.plans import dashboard as D
+    sf = "/root/testdata/sf0.001"
+    TB.write_partitioned(A.schedules(spark, sf), "scheduled_departure_utc", f"{tmp_dir}/silver/schedules")
+    TB.write_partitioned(A.flights(spark, sf), "last_updated_utc", f"{tmp_dir}/silver/flights")
+    raw = A.raw_arrivals(spark, sf)
+    TB.land_snapshot(raw.withColumn("__t", F.col("updated").cast("timestamp")), f"{tmp_dir}/raw_arr",
+                     day_col="__t")
+    for name, fn in (("airports", A.airports), ("airlines", A.airlines)):
+        RAW.load_dictionary(spark, f"{tmp_dir}/dict/{name}", fetch=lambda fn=fn: fn(spark, sf))
+    t = D.load_dashboard_tables(spark, f"{tmp_dir}/silver", f"{tmp_dir}/raw_arr", f"{tmp_dir}/dict",
+                                date(2024, 1, 10), date(2024, 1, 12))
+    from contrail.operators.filters import filter_local_date_range
+    exp = filter_local_date_range(A.schedules(spark, sf), "scheduled_departure_utc",
+                                  date(2024, 1, 10), date(2024, 1, 12)).count()
+    assert t["schedules"].count() == exp > 0
+    assert t["arrivals"].count() > 0 and t["flights"].count() > 0
