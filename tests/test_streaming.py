@@ -57,3 +57,31 @@ def test_live_buckets_close_behind_watermark(spark, tmp_dir):
     assert out[0].time_bucket == datetime(2025, 6, 1, 10) and out[0].lat == 50.02
     assert out[-1].time_bucket == datetime(2025, 6, 1, 12)
     assert len(out) == 9
+
+
+def test_late_points_behind_watermark_are_dropped(spark, tmp_dir):
+    from datetime import timedelta
+    schema = "flight_code string, lat double, lng double, heading_deg double, last_updated_utc timestamp_ntz"
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    t0 = datetime(2025, 6, 1, 10)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(src)
+        q = (S.live_position_buckets(stream).writeStream.format("parquet").outputMode("append")
+             .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    spark.createDataFrame([("FR1", 50.0 + i / 100, 19.0, 0.0, t0 + timedelta(minutes=10 * i))
+                           for i in range(24)], schema).write.mode("append").parquet(src)
+    run()
+    first = {r.time_bucket: r.lat for r in spark.read.parquet(out).collect()}
+    assert datetime(2025, 6, 1, 10) in first and first[datetime(2025, 6, 1, 10)] == 50.01
+    # a late point for the 10:00 bucket (watermark is already ~13:50) plus fresh ones
+    late = [("FR1", 10.0, 10.0, 0.0, datetime(2025, 6, 1, 10, 14))]
+    fresh = [("FR1", 60.0, 19.0, 0.0, t0 + timedelta(hours=6, minutes=10 * i)) for i in range(3)]
+    spark.createDataFrame(late + fresh, schema).write.mode("append").parquet(src)
+    run()
+    rows = spark.read.parquet(out).collect()
+    tens = [r for r in rows if r.time_bucket == datetime(2025, 6, 1, 10)]
+    assert len(tens) == 1 and tens[0].lat == 50.01      # the late point changed nothing
+    assert len(rows) > len(first)                        # newly closed buckets were appended
