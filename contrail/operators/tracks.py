@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 
 from contrail.functions.geo import EARTH_RADIUS_KM, bearing_deg
 from contrail.functions.time import epoch_micros, minute_label, truncate_minutes
-from contrail.operators.dedup import keep_last
 
 HOUR_US = 3_600_000_000
 DAY = timedelta(days=1)

@@ -163,7 +163,6 @@ def load_dashboard_tables(spark, silver_base: str, raw_arrivals_base: str, dict_
     and arrivals (raw arrival snapshots through C4) for local days
     ``start..end``.  Only the padded day partitions are read (S7/S8); the
     frames are persisted for the many dashboard queries that follow."""
-    from contrail import schemas as S
     from contrail.operators.filters import filter_local_date_range
     from contrail.plans import silver as SV
     from contrail.sources import raw as RAW
