@@ -103,3 +103,16 @@ def test_keep_last_with_map_column(spark):
                                "k string, o int, m map<string,int>")
     got = {r.k: r.m for r in keep_last(df, ["k"], ["o"]).collect()}
     assert got == {"a": {"y": 2}, "b": {"z": 3}}
+
+
+def test_asof_on_instant_timestamps(spark):
+    from datetime import timezone
+    base = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
+    ldf = spark.createDataFrame([(1, "a", base), (2, "a", base + timedelta(hours=3))],
+                                "lid long, k string, lt timestamp")
+    rdf = spark.createDataFrame([(10, "a", base + timedelta(minutes=20)),
+                                 (11, "a", base + timedelta(hours=3, minutes=5))],
+                                "rid long, k string, rt timestamp")
+    got = {r.lid: r.rid for r in asof_nearest(ldf, rdf, "lt", "rt", by=["k"],
+                                              tolerance=timedelta(minutes=30)).collect()}
+    assert got == {1: 10, 2: 11}
