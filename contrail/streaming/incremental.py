@@ -58,7 +58,7 @@ def merge_into_silver(batch: DataFrame, base: str, keys: list[str], date_col: st
         merged = old.unionByName(merged)
     merged = keep_last(merged, keys, ["__rank"]).drop("__rank")
     merged.drop(*PARTITION_COLS).write.mode("overwrite").parquet(stage_dir)
-    (with_day_partitions(spark.read.parquet(stage_dir), date_col).repartition(*PARTITION_COLS)
+    (with_day_partitions(spark.read.parquet(stage_dir), date_col).hint("rebalance", *PARTITION_COLS)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(*PARTITION_COLS).parquet(base))
 

@@ -53,3 +53,20 @@ def test_cluster_conf_sizes():
     c = cluster_conf(100 * 2**40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(1 << 20, 8000)["spark.sql.shuffle.partitions"]) == 24000
+
+
+def test_hot_day_is_split_into_several_files(spark, tmp_dir):
+    import os
+    from datetime import datetime, timedelta
+    rows = [(f"F{i}", datetime(2025, 6, 1) + timedelta(seconds=i)) for i in range(20000)]
+    rows += [("G", datetime(2025, 6, 2))]
+    df = spark.createDataFrame(rows, "flight_code string, ts timestamp_ntz").repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        TB.write_partitioned(df, "ts", f"{tmp_dir}/t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in os.listdir(f"{tmp_dir}/t/year=2025/month=06/day=01") if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 20001
