@@ -197,7 +197,8 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
        (track, range) chunk is folded as if it started fresh (its first point
        kept) in one Arrow-batched pass with O(1) state; the result is
        written to the shared checkpoint folder.
-       Input under ``chunk_bytes`` is one range: that fold is exact as is.
+       Input under ``chunk_bytes`` is instead hash-partitioned by track
+       (every track whole in one task), so that fold is exact as is.
     2. On the tiny per-chunk summary (first point, last kept point) a chunk
        whose first point lies within ``max_km`` of the previous chunk's last
        kept point is already exact (the true fold keeps that point and
@@ -232,9 +233,10 @@ def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
     if not chunks:  # one ordered range per ~chunk_bytes of input (file metadata only)
         chunks = max(1, -(-_stored_bytes(spark, f"{root}/input") // chunk_bytes))
     if chunks == 1:
-        # a single range has no chunk edges: the fresh fold is already exact
-        one = src.repartition(1).sortWithinPartitions(*sort_cols)
-        return one.mapInPandas(fresh_fold, b_schema).where("__keep").select(*df.columns)
+        # small input: every track fits one task, so hash-partition by track
+        # (tracks stay spread over tasks) and the fresh fold is already exact
+        by_track = src.repartition(*[F.col(_q(k)) for k in keys]).sortWithinPartitions(*sort_cols)
+        return by_track.mapInPandas(fresh_fold, b_schema).where("__keep").select(*df.columns)
     range_cols = [F.col(_q(c)) for c in sort_cols]
     ranged = src.repartitionByRange(int(chunks), *range_cols).sortWithinPartitions(*sort_cols)
     ranged.mapInPandas(fresh_fold, b_schema).write.parquet(f"{root}/fresh")
