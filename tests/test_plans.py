@@ -70,3 +70,21 @@ def test_hot_day_is_split_into_several_files(spark, tmp_dir):
     hot = [f for f in os.listdir(f"{tmp_dir}/t/year=2025/month=06/day=01") if f.endswith(".parquet")]
     assert len(hot) > 1
     assert spark.read.parquet(f"{tmp_dir}/t").count() == 20001
+
+
+def test_hot_key_spreads_over_tasks(spark):
+    """All rows share one key; the as-of sweep still runs in many tasks."""
+    from pyspark.sql import functions as F
+    l = spark.range(3000).selectExpr("id AS lid", "'hot' AS k",
+                                     "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id * 15, 0) AS lt")
+    r = spark.range(3000).selectExpr("id AS rid", "'hot' AS k",
+                                     "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id * 15 + 7, 0) AS rt")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = asof_nearest(l, r, "lt", "rt", by=["k"], tolerance=timedelta(hours=1))
+        parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert out.where("rid IS NOT NULL").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert parts > 1
