@@ -60,3 +60,29 @@ def test_keep_last_property(spark, rows, parts):
     exp = {max((r for r in rows if r[0] == k), key=lambda r: (r[1], r[0], r[1], r[2]))
            for k in {r[0] for r in rows}}
     assert got == exp
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pts=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 6 * 24 * 60)),
+                    min_size=1, max_size=40, unique=True))
+def test_segments_property(spark, pts):
+    """Gaps (whole hours) and leg ids across day buckets, empty days included."""
+    from contrail.operators.tracks import latest_segment, with_segments
+    rows = [(k, BASE + timedelta(minutes=m)) for k, m in pts]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz")
+    got = {(r.k, r.t): (r.gap_hours, r.segment_id)
+           for r in with_segments(df, ["k"], "t", 15.0).collect()}
+    exp, latest = {}, set()
+    for key in {k for k, _ in rows}:
+        ts = sorted(t for k, t in rows if k == key)
+        seg, prev, segs = 0, None, []
+        for t in ts:
+            gap = 0.0 if prev is None else float(int((t - prev).total_seconds() // 3600))
+            if prev is not None and gap > 15.0:
+                seg += 1
+            exp[(key, t)] = (gap, seg)
+            segs.append((t, seg))
+            prev = t
+        latest |= {(key, t) for t, s in segs if s == seg}
+    assert got == exp
+    assert {(r.k, r.t) for r in latest_segment(df, ["k"], "t", 15.0).collect()} == latest
