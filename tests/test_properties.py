@@ -86,3 +86,33 @@ def test_segments_property(spark, pts):
         latest |= {(key, t) for t, s in segs if s == seg}
     assert got == exp
     assert {(r.k, r.t) for r in latest_segment(df, ["k"], "t", 15.0).collect()} == latest
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pts=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 5 * 24 * 4),
+                              st.floats(45, 55), st.floats(10, 25)),
+                    min_size=1, max_size=30, unique_by=lambda p: (p[0], p[1])))
+def test_bearings_property(spark, pts):
+    import math
+    from contrail.operators.tracks import with_bearings
+    rows = [(k, BASE + timedelta(minutes=15 * q), la, lo) for k, q, la, lo in pts]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, lat double, lng double")
+    got = {(r.k, r.t): r.bearing for r in with_bearings(df, ["k"], ["t"]).collect()}
+
+    def bearing(a, b, c, d):
+        x = math.sin(math.radians(d - b)) * math.cos(math.radians(c))
+        y = (math.cos(math.radians(a)) * math.sin(math.radians(c))
+             - math.sin(math.radians(a)) * math.cos(math.radians(c)) * math.cos(math.radians(d - b)))
+        return (math.degrees(math.atan2(x, y)) + 360) % 360
+
+    for key in {r[0] for r in rows}:
+        seq = sorted((r for r in rows if r[0] == key), key=lambda r: r[1])
+        for i, (_, t, la, lo) in enumerate(seq):
+            if i > 0:
+                exp = bearing(seq[i - 1][2], seq[i - 1][3], la, lo)
+            elif len(seq) > 1:
+                exp = bearing(la, lo, seq[1][2], seq[1][3])
+            else:
+                exp = 0.0
+            diff = abs(got[(key, t)] - exp) % 360
+            assert min(diff, 360 - diff) < 1e-6
