@@ -298,7 +298,7 @@ SELECT (SELECT count(*) FROM schedules
         WHERE {_local_date_sql('scheduled_departure_utc')} BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}') AS departures,
        (SELECT count(*) FROM arrivals
         WHERE {_local_date_sql('last_updated_utc')} BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}') AS arrivals,
-       (SELECT coalesce(avg(departure_delay_mins), 0.0) FROM schedules
+       (SELECT round(coalesce(avg(departure_delay_mins), 0.0), 9) FROM schedules
         WHERE {_local_date_sql('scheduled_departure_utc')} BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}') AS avg_delay_mins,
        (SELECT count(DISTINCT arrival_airport) + coalesce(max(CASE WHEN arrival_airport IS NULL THEN 1 ELSE 0 END), 0)
         FROM schedules
@@ -448,14 +448,15 @@ def w6(spark, d):
 
 
 @register("w7_bearing", f"""
-SELECT *, CASE
+SELECT *, round(CASE
   WHEN lag(lat) OVER w IS NOT NULL THEN {bearing_sql('lag(lat) OVER w', 'lag(lng) OVER w', 'lat', 'lng')}
   WHEN lead(lat) OVER w IS NOT NULL THEN {bearing_sql('lat', 'lng', 'lead(lat) OVER w', 'lead(lng) OVER w')}
-  ELSE 0.0 END AS bearing
+  ELSE 0.0 END, 9) AS bearing
 FROM dep_track WINDOW w AS (PARTITION BY track ORDER BY time_bucket, flight_code)""",
           extra=DEP_TRACK, recursive=True)
 def w7(spark, d):
-    return TR.path_points(TR.flight_tracks(A.flights(spark, d), TR.DEPARTURE_LABEL))
+    pts = TR.path_points(TR.flight_tracks(A.flights(spark, d), TR.DEPARTURE_LABEL))
+    return pts.withColumn("bearing", F.round("bearing", 9))
 
 
 @register("c6_flight_track", "SELECT * FROM dep_track", extra=DEP_TRACK, recursive=True)
@@ -477,15 +478,16 @@ def c7(spark, d):
 
 
 @register("c11_path_points", f"""
-SELECT track, flight_code, time_bucket, lat, lng, time_label, CASE
+SELECT track, flight_code, time_bucket, lat, lng, time_label, round(CASE
   WHEN lag(lat) OVER w IS NOT NULL THEN {bearing_sql('lag(lat) OVER w', 'lag(lng) OVER w', 'lat', 'lng')}
   WHEN lead(lat) OVER w IS NOT NULL THEN {bearing_sql('lat', 'lng', 'lead(lat) OVER w', 'lead(lng) OVER w')}
-  ELSE 0.0 END AS bearing
+  ELSE 0.0 END, 9) AS bearing
 FROM arr_track WINDOW w AS (PARTITION BY track ORDER BY time_bucket, flight_code)""",
           extra=ARR_TRACK, recursive=True)
 def c11(spark, d):
     pts = TR.path_points(TR.flight_tracks(A.arrivals(spark, d), TR.ARRIVAL_LABEL))
-    return pts.select("track", "flight_code", "time_bucket", "lat", "lng", "time_label", "bearing")
+    return pts.select("track", "flight_code", "time_bucket", "lat", "lng", "time_label",
+                      F.round("bearing", 9).alias("bearing"))
 
 
 @register("a9_track_bounds", f"""
@@ -691,22 +693,22 @@ def x2(spark, d):
 
 @register("x3_bearing", f"""
 SELECT flight_code, last_updated_utc,
-       {bearing_sql(str(TR.AIRPORT_LAT), str(TR.AIRPORT_LNG), 'lat', 'lng')} AS bearing
+       round({bearing_sql(str(TR.AIRPORT_LAT), str(TR.AIRPORT_LNG), 'lat', 'lng')}, 9) AS bearing
 FROM flights""")
 def x3(spark, d):
     return A.flights(spark, d).select(
         "flight_code", "last_updated_utc",
-        geo.bearing_deg(TR.AIRPORT_LAT, TR.AIRPORT_LNG, "lat", "lng").alias("bearing"))
+        F.round(geo.bearing_deg(TR.AIRPORT_LAT, TR.AIRPORT_LNG, "lat", "lng"), 9).alias("bearing"))
 
 
 @register("x4_haversine", f"""
 SELECT flight_code, last_updated_utc,
-       {hav_sql(str(TR.AIRPORT_LAT), str(TR.AIRPORT_LNG), 'lat', 'lng')} AS distance_km
+       round({hav_sql(str(TR.AIRPORT_LAT), str(TR.AIRPORT_LNG), 'lat', 'lng')}, 9) AS distance_km
 FROM flights""")
 def x4(spark, d):
     return A.flights(spark, d).select(
         "flight_code", "last_updated_utc",
-        geo.haversine_km(TR.AIRPORT_LAT, TR.AIRPORT_LNG, "lat", "lng").alias("distance_km"))
+        F.round(geo.haversine_km(TR.AIRPORT_LAT, TR.AIRPORT_LNG, "lat", "lng"), 9).alias("distance_km"))
 
 
 @register("x5_timezone", f"""
