@@ -116,3 +116,39 @@ def test_bearings_property(spark, pts):
                 exp = 0.0
             diff = abs(got[(key, t)] - exp) % 360
             assert min(diff, 360 - diff) < 1e-6
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(frames=st.lists(st.dictionaries(st.sampled_from(["a", "b", "c"]),
+                                       st.sampled_from(["int", "bigint", "double", "string"]),
+                                       min_size=1), min_size=1, max_size=4))
+def test_align_union_property(spark, frames):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    from contrail.operators.align import align_union
+
+    samples = {"int": 1, "bigint": 2, "double": 2.5, "string": "s"}
+    dfs = [spark.range(1).select(*[F.lit(samples[t]).cast(t).alias(c) for c, t in f.items()])
+           for f in frames]
+    out = align_union(dfs)
+
+    def widen(x, y):  # the rule, written out independently
+        if x == y:
+            return x
+        if {x, y} == {"bigint", "double"}:
+            return "double"
+        if "string" in (x, y):
+            return "string"
+        return "double"  # both numeric
+
+    exp_types, order = {}, []
+    for f in frames:
+        for c, t in f.items():
+            if c not in exp_types:
+                order.append(c)
+                exp_types[c] = t
+            else:
+                exp_types[c] = widen(exp_types[c], t)
+    assert out.columns == order
+    assert dict(out.dtypes) == exp_types
+    assert out.count() == len(frames)
