@@ -152,3 +152,22 @@ def test_align_union_property(spark, frames):
     assert out.columns == order
     assert dict(out.dtypes) == exp_types
     assert out.count() == len(frames)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(minutes=st.lists(st.integers(0, 365 * 24 * 60), min_size=1, max_size=30),
+       start=st.integers(0, 364), span=st.integers(0, 20))
+def test_local_date_filter_property(spark, minutes, start, span):
+    from datetime import date, timezone
+    from zoneinfo import ZoneInfo
+    from contrail.operators.filters import filter_local_date_range
+    t0 = datetime(2025, 1, 1)
+    rows = [(i, t0 + timedelta(minutes=m)) for i, m in enumerate(minutes)]
+    lo = date(2025, 1, 1) + timedelta(days=start)
+    hi = lo + timedelta(days=span)
+    df = spark.createDataFrame(rows, "i long, ts timestamp_ntz")
+    got = {r.i for r in filter_local_date_range(df, "ts", lo, hi).collect()}
+    zone = ZoneInfo("Europe/Warsaw")
+    exp = {i for i, ts in rows
+           if lo <= ts.replace(tzinfo=timezone.utc).astimezone(zone).date() <= hi}
+    assert got == exp
