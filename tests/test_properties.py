@@ -171,3 +171,34 @@ def test_local_date_filter_property(spark, minutes, start, span):
     exp = {i for i, ts in rows
            if lo <= ts.replace(tzinfo=timezone.utc).astimezone(zone).date() <= hi}
     assert got == exp
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.booleans(), st.one_of(st.none(), st.integers(-5, 90)),
+                               st.one_of(st.none(), st.floats(-15, 35).map(lambda x: round(x, 1))),
+                               st.floats(0, 15).map(lambda x: round(x, 1)),
+                               st.one_of(st.none(), st.integers(0, 12000))),
+                     min_size=1, max_size=30))
+def test_weather_impact_property(spark, rows):
+    import math
+    from collections import defaultdict
+    from contrail.plans.gold import weather_impact
+    df = spark.createDataFrame(rows, "has_weather_match boolean, departure_delay_mins int, "
+                                     "temp_celsius double, wind_speed_mps double, visibility_meters int")
+    got = {(r.metric, r.bucket_label, r.bucket_start, r.bucket_end): (r.avg_departure_delay_mins, r.flight_count)
+           for r in weather_impact(df).collect()}
+    groups = defaultdict(list)
+    for match, delay, temp, wind, vis in rows:
+        if not match or delay is None:
+            continue
+        if temp is None:
+            groups[("temperature_celsius", None, None, None)].append(delay)
+        else:
+            s = math.floor(temp / 5) * 5.0
+            groups[("temperature_celsius", f"{int(s)}-{int(s + 5)} C", s, s + 5)].append(delay)
+        w = math.floor(wind / 2) * 2.0
+        groups[("wind_speed_mps", f"{int(w)}-{int(w + 2)} m/s", w, w + 2)].append(delay)
+        level = "high" if vis is None or vis >= 8000 else ("low" if vis < 3000 else "medium")
+        groups[("visibility_level", level, None, None)].append(delay)
+    exp = {k: (round(sum(v) / len(v), 2), len(v)) for k, v in groups.items()}
+    assert got == exp
