@@ -202,3 +202,17 @@ def test_weather_impact_property(spark, rows):
         groups[("visibility_level", level, None, None)].append(delay)
     exp = {k: (round(sum(v) / len(v), 2), len(v)) for k, v in groups.items()}
     assert got == exp
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(L=st.lists(st.one_of(st.none(), times), min_size=1, max_size=25),
+       R=st.lists(times, max_size=25), tol=st.integers(min_value=0, max_value=12))
+def test_asof_unkeyed_property(spark, L, R, tol):
+    Lr = [(i, "x", t) for i, t in enumerate(L)]
+    Rr = [(j, "x", t) for j, t in enumerate(R)]
+    ldf = spark.createDataFrame([(i, BASE + timedelta(minutes=t) if t is not None else None)
+                                 for i, _, t in Lr], "lid long, lt timestamp_ntz")
+    rdf = spark.createDataFrame([(j, BASE + timedelta(minutes=t)) for j, _, t in Rr],
+                                "rid long, rt timestamp_ntz")
+    out = asof_nearest(ldf, rdf, "lt", "rt", tolerance=timedelta(minutes=tol), right_order=["rid"])
+    assert {r.lid: r.rid for r in out.collect()} == brute(Lr, Rr, tol)
