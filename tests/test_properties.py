@@ -216,3 +216,26 @@ def test_asof_unkeyed_property(spark, L, R, tol):
                                 "rid long, rt timestamp_ntz")
     out = asof_nearest(ldf, rdf, "lt", "rt", tolerance=timedelta(minutes=tol), right_order=["rid"])
     assert {r.lid: r.rid for r in out.collect()} == brute(Lr, Rr, tol)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(dep=st.lists(st.integers(0, 40 * 24 * 60), max_size=30),
+       arr=st.lists(st.integers(0, 40 * 24 * 60), max_size=30))
+def test_weekday_patterns_property(spark, dep, arr):
+    from collections import Counter, defaultdict
+    from contrail.plans import dashboard as D
+    s = spark.createDataFrame([(BASE + timedelta(minutes=m),) for m in dep],
+                              "scheduled_departure_utc timestamp_ntz")
+    a = spark.createDataFrame([(BASE + timedelta(minutes=m),) for m in arr],
+                              "last_updated_utc timestamp_ntz")
+    got = {(r.direction, r.weekday): (r.flight_count, r.avg_flights_per_day, r.weekday_label)
+           for r in D.weekday_patterns(s, a).collect()}
+    exp = {}
+    for direction, mins in ((D.DEPARTURES_DIRECTION, dep), (D.ARRIVALS_DIRECTION, arr)):
+        per_day = Counter((BASE + timedelta(minutes=m)).date() for m in mins)
+        by_wd = defaultdict(list)
+        for day, n in per_day.items():
+            by_wd[day.isoweekday()].append(n)
+        for wd, counts in by_wd.items():
+            exp[(direction, wd)] = (sum(counts), sum(counts) / len(counts), D.WEEKDAY_LABELS[wd])
+    assert got == exp
