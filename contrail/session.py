@@ -8,9 +8,11 @@ benchmarks) gets a fresh scratch folder of its own.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,7 @@ def get_spark(master: str | None = None, app: str = "contrail",
             except Exception:  # static conf already fixed by the cluster
                 pass
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -76,6 +79,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application: Python stages import
+    their functions by module, and a worker need not share the driver's folders."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, os.path.dirname(top)))
+    target = os.path.join(tempfile.mkdtemp(prefix="contrail-"), "contrail.zip")
+    with open(target, "wb") as out:  # on the driver; Spark serves it to the workers
+        out.write(held.getvalue())
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
