@@ -3,9 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from contrail.llm import exact_dedup, mixing
+from contrail.llm import byte_bpe, exact_dedup, mixing, token_counts, token_files
 from contrail.llm.common import documents
+from contrail.session import scratch_path
+
+
+def vocabulary(name: str) -> str:
+    """A file of the installed public vocabularies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_shards(documents(spark, sf_dir), path, vocabulary("word_bpe_49k.json"))
+    return token_files.read_documents(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +32,22 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), largest=True)
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks).drop("text")
+    return byte_bpe.decode(ids, ranks).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op2_token_files": op2_token_files,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op10_token_counts": op10_token_counts,
     "op3_mix_sources": op3_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
 }

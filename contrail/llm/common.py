@@ -46,11 +46,10 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound what a Python worker holds at once: at most ``rows`` texts a batch."""
-    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
+    """Bound what a Python worker gets at once: ``rows`` texts and ``size`` a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 256,
