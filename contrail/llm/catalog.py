@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import byte_bpe, exact_dedup, mixing, token_counts, token_files
+from contrail.llm import byte_bpe, exact_dedup, mixing, simhash, token_counts, token_files
 from contrail.llm.common import documents
 from contrail.session import scratch_path
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), words=3, distance=3)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_shards(documents(spark, sf_dir), path, vocabulary("word_bpe_49k.json"))
@@ -45,6 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_token_counts": op10_token_counts,
