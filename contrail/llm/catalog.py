@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import byte_bpe, exact_dedup, mixing, simhash, token_counts, token_files
+from contrail.llm import byte_bpe, exact_dedup, mixing, quality, simhash, token_counts, token_files
 from contrail.llm.common import documents
 from contrail.session import scratch_path
 
 
+#: Documents that score less are rejected.
+QUALITY_THRESHOLD = 0.7
+
+
 def vocabulary(name: str) -> str:
     """A file of the installed public vocabularies."""
     import public_tokenizers
@@ -36,6 +40,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), largest=True)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     ids = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks).drop("text")
@@ -51,6 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
+    "op4_quality": op4_quality,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_token_counts": op10_token_counts,
     "op3_mix_sources": op3_mix_sources,

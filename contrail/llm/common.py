@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.session import checkpoint_dir
@@ -72,9 +72,27 @@ def global_offsets(parts: DataFrame, part: str, value: str, out: str) -> DataFra
     ``parts`` has one row per partition of a table, so the single window
     partition below holds as many rows as the job has tasks, whatever the data.
     """
-    from pyspark.sql import Window
-
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn(out, F.coalesce(F.sum(value).over(before), F.lit(0)).cast("long"))
 
 
+
+
+def rows_of(docs: DataFrame, keepers: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``keepers`` (``doc_id``, ``sha``: id and SHA-256 of
+    the text) name; of rows equal in both one.
+
+    The join is on id and text, so a text that many rows share meets no hot key.
+    """
+    names = [column(c) for c in docs.columns]
+    sha, known = F.sha2(text_of(text_col), 256), F.col("doc_id").isNull()
+    rows = docs.select(F.struct(*names).alias("row"), column(id_col).cast("long").alias("doc_id"),
+                       sha.alias("sha"))
+    keys = ["id", "none", "sha"]
+    mine = [F.coalesce("doc_id", F.lit(0)).alias("id"), known.alias("none"), "sha"]
+    order = [F.to_json(F.struct(*[F.col(f"row.`{c}`") for c in docs.columns
+                                  if c not in (id_col, text_col)] or [F.lit(0)]))]
+    found = rows.select(*mine, "row").join(keepers.select(*mine).distinct(), keys)
+    # the window's keys are the join's: no further shuffle
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return found.withColumn("first", first).where("first = 1").select("row.*")

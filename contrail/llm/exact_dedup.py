@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import column, shuffle_width, stored, text_of
+from contrail.llm.common import column, rows_of, shuffle_width, stored, text_of
 
 _KEY = ["sha", "check", "length"]
 _RUN = "at int, sha string, check long, length long, keep long, tie long, rows long"
@@ -123,3 +123,11 @@ def decide(rows: DataFrame, largest: bool = False, width: int | None = None,
     return rows.join(told, key).select(
         "doc_id", F.col("keep").alias("keep_id"), F.col("rows").alias("group_size"),
         (F.col("tie") == F.col("keep_tie")).alias("kept"), F.col("sha").alias("text_sha256"))
+
+
+def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    largest: bool = False) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each text (:func:`exact_duplicates`)."""
+    decided = exact_duplicates(docs, id_col, text_col, largest)
+    return rows_of(docs, decided.where("kept").select("doc_id", F.col("text_sha256").alias("sha")),
+                   id_col, text_col)

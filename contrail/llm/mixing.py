@@ -65,7 +65,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ranges: int = 4096, partial: bool = True, carry: bool = False) -> DataFrame:
     """One row per input row: ``doc_id``, ``source``, ``size`` (words),
     ``source_size``, ``target`` (its source's, in words), ``taken`` (words,
-    repetitions counted); with ``carry`` also ``row``, a struct of all columns.
+    repetitions counted); with ``carry`` also ``times`` (whole documents taken) and
+    ``row``, a struct of all columns.
 
     Sources in code-point order, null last, take ``weights`` in turn and share
     ``share`` times all words; no target exceeds ``max_epochs`` times its source.
@@ -114,9 +115,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not partial:
         part = F.when(part * 2 >= F.col("size"), F.col("size")).otherwise(0)
     extra = F.when(before, F.col("size")).when(at_cut, F.least(part, F.col("size"))).otherwise(0)
+    times = (F.col("whole") + F.when(before | (at_cut & (part * 2 >= F.col("size"))), 1).otherwise(0)).cast("int")
     return out.select("doc_id", "source", "size", "source_size", "target",
                       (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"),
-                      *(["row"] if carry else []))
+                      *([times.alias("times"), "row"] if carry else []))
+
+
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as many times as it is taken, in whole
+    documents (see :func:`mix`); an empty text as often as its source is repeated."""
+    taken = mix(docs, id_col, text_col, source_col, partial=False, carry=True, **options)
+    return taken.where("times > 0").select(
+        "row", F.explode(F.expr("sequence(1, times)"))).select("row.*")
 
 
 def _cuts(rows: DataFrame, slots: DataFrame, sources: DataFrame) -> DataFrame:

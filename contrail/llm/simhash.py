@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm.common import column, pieces_of, shuffle_width, small_batches, stored, text_of
+from contrail.llm.common import (
+    column, pieces_of, rows_of, shuffle_width, small_batches, stored, text_of,
+)
 from contrail.llm.components import components
 
 #: Hashes counted at once, so a long text needs no more memory than this many.
@@ -235,4 +237,17 @@ def linked(rows: DataFrame, distance: int = 3) -> DataFrame:
     named = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(named.join(names, "root").select("fp", "component_id"), "fp")
+    return rows.join(named.join(names, "root").select("fp", "root", "component_id"), "fp")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         words: int = 3, distance: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component of :func:`near_duplicates`
+    the one with the smallest id (null last; of equal ids the smallest text digest)."""
+    text = text_of(text_col)
+    rows = docs.select(column(id_col).cast("long").alias("doc_id"), text.alias("text"),
+                       F.sha2(text, 256).alias("sha"))
+    found = linked(stored(fingerprints(rows, words=words, carry=("sha",))), distance)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha"))
+    return rows_of(docs, found.groupBy("root").agg(least.alias("least")).select(
+        "least.doc_id", "least.sha"), id_col, text_col)
