@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import byte_bpe, exact_dedup, mixing, quality, simhash, token_counts, token_files
+from contrail.llm import byte_bpe, exact_dedup, imatch, mixing, quality, simhash, token_counts, token_files
 from contrail.llm.common import documents
 from contrail.session import scratch_path
 
@@ -48,6 +48,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(documents(spark, sf_dir))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     ids = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks).drop("text")
@@ -64,6 +68,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
     "op4_quality": op4_quality,
+    "op5_imatch": op5_imatch,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_token_counts": op10_token_counts,
     "op3_mix_sources": op3_mix_sources,
