@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import byte_bpe, exact_dedup, imatch, mixing, quality, simhash, token_counts, token_files
+from contrail.llm import byte_bpe, exact_dedup, imatch, mixing, pii, quality, simhash, token_counts, token_files
 from contrail.llm.common import documents
 from contrail.session import scratch_path
 
@@ -36,6 +36,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("source")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.fit(docs))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), largest=True)
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op10_token_counts": op10_token_counts,
     "op3_mix_sources": op3_mix_sources,
+    "op7_pii": op7_pii,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
