@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import byte_bpe, exact_dedup, imatch, mixing, pii, quality, simhash, token_counts, token_files
+from contrail.llm import byte_bpe, exact_dedup, imatch, line_dedup, mixing, pii, quality, simhash, token_counts, token_files
 from contrail.llm.common import documents
 from contrail.session import scratch_path
 
@@ -41,6 +41,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", F.size("deleted").cast("long").alias("n_deleted"),
+        F.array_join("deleted", ",").alias("deleted"), F.sha2("text", 256).alias("cleaned_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), largest=True)
 
@@ -78,10 +84,40 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op3_mix_sources": op3_mix_sources,
     "op7_pii": op7_pii,
+    "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 SQL = {
+    "op8_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, line, n - 1 AS n, string_split(coalesce(text, ''), chr(10)) AS every
+            FROM documents, unnest(string_split(coalesce(text, ''), chr(10))) WITH ORDINALITY AS l(line, n)),
+        marked AS (
+            SELECT *, len(regexp_extract_all(line, '[^ \\t-\\r]+')) AS words FROM lines),
+        units AS (
+            SELECT doc_id, n, line || chr(10) || j AS u,
+                   row_number() OVER (PARTITION BY doc_id ORDER BY n, j) AS i
+            FROM marked, unnest(range(1, 1 + cast(ceil(words / {line_dedup.UNIT}) AS int))) AS r(j)
+            WHERE words > 0),
+        windows AS (
+            SELECT doc_id, i, u || chr(10) || lead(u, 1) OVER o || chr(10) || lead(u, 2) OVER o AS g
+            FROM units WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        firsts AS (
+            SELECT doc_id, i, first_value(doc_id) OVER e AS first_id, first_value(i) OVER e AS first_i
+            FROM windows WHERE g IS NOT NULL WINDOW e AS (PARTITION BY g ORDER BY doc_id, i)),
+        later AS (
+            SELECT doc_id, i FROM firsts
+            WHERE first_id <> doc_id OR i - first_i >= {line_dedup.WINDOW}),
+        gone AS (
+            SELECT DISTINCT doc_id, n FROM units SEMI JOIN (
+                SELECT doc_id, i + k AS i FROM later, unnest(range({line_dedup.WINDOW})) AS r(k)) USING (doc_id, i))
+        SELECT doc_id, count(*) AS n_lines, count(g.n) AS n_deleted,
+               coalesce(string_agg(cast(g.n AS varchar), ',' ORDER BY g.n) FILTER (g.n IS NOT NULL), '') AS deleted,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY l.n) FILTER (g.n IS NULL), '')) AS cleaned_sha256
+        FROM lines l LEFT JOIN gone g USING (doc_id, n)
+        GROUP BY doc_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
