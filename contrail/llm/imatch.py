@@ -105,7 +105,7 @@ def followed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     spot = F.col("turned").cast("double")
     cuts = rows.select(spot.alias("spot")).approxQuantile(
         "spot", [k / width for k in range(1, width)], 0.25 / width)
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *sorted(set(cuts) or {0.0}), math.inf]
     parts = Bucketizer(splits=splits, inputCol="spot", outputCol="bucket").transform(
         rows.withColumn("spot", spot)).select("turned", "text", F.col("bucket").cast("int").alias("part"))
 

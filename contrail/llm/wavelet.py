@@ -95,7 +95,8 @@ class WaveletMatrix:
 
     def count(self, token: int, start: int = 0, end: int | None = None) -> int:
         """Occurrences of ``token`` at positions from ``start`` to before ``end``."""
-        a, b = self._span(token, start, self.n if end is None else end)
+        end = self.n if end is None else min(max(end, 0), self.n)
+        a, b = self._span(token, min(max(start, 0), end), end)
         return b - a
 
     def _span(self, token: int, a: int, b: int) -> tuple[int, int]:

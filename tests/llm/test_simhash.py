@@ -1,0 +1,115 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from contrail.llm import simhash
+from contrail.llm.components import components
+
+
+def union_find(nodes, pairs):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("n,groups,distance", [(500, 40, 3), (900, 1, 3), (300, 200, 2), (130, 3, 1), (700, 2, 0)])
+def test_bit_sliced_pairs(n, groups, distance):
+    rng = np.random.default_rng(n)
+    base = rng.integers(0, 1 << 63, size=n // 20, dtype=np.uint64)
+    fps = base[rng.integers(0, len(base), n)]
+    for _ in range(3):
+        fps = fps ^ (np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64))
+    group = np.sort(rng.integers(0, groups, n))
+    i, j = simhash.within(fps, group, distance)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance
+    near &= group[:, None] == group[None, :]
+    assert set(zip(i.tolist(), j.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(np.triu(near, 1)))))
+
+
+def slow_fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x20\x09-\x0D]+", text)
+    shingles = [" ".join(words[k:k + 3]) for k in range(len(words) - 2)] if len(words) > 2 else \
+        [" ".join(words)] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def texts():
+    rng = random.Random(8)
+    out = [None, "", "  ", "One", "ONE", "one two", "É é\x85x \x1cy", "a b c " * 40_000]
+    for _ in range(25):
+        words = [rng.choice("alpha beta gamma delta eps zeta eta".split()) + str(rng.randint(0, 90)) for _ in range(160)]
+        out.append(" ".join(words))
+        for _ in range(3):
+            edit = list(words)
+            edit[rng.randrange(160)] = "edited"
+            out.append(" ".join(edit))
+    return out + ["copies everywhere here"] * 20
+
+
+def test_components_match_brute_force(spark):
+    rows = [(i + 10, t, 1) for i, t in enumerate(texts())] + [(None, "", 2), (10, "repeated id", 3)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, fp int").repartition(4)).collect()
+    assert len(got) == len(rows)
+    fps = [slow_fingerprint(t) for _, t, _ in rows]
+    pairs = [(a, b) for a in range(len(fps)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 3]
+    roots = union_find(range(len(fps)), pairs)
+    least = {}
+    for k, (doc, *_) in enumerate(rows):
+        if doc is not None:
+            least[roots[k]] = min(least.get(roots[k], doc), doc)
+    want = sorted(((str(rows[k][0]), f"{fps[k]:016x}", least.get(roots[k])) for k in range(len(rows))), key=repr)
+    assert sorted(((str(r.doc_id), r.fingerprint, r.component_id) for r in got), key=repr) == want
+    assert len(set(roots.values())) < len(fps) - 40
+
+
+def test_large_key_is_cut_into_parts(spark):
+    rng = np.random.default_rng(5)
+    center = int(rng.integers(0, 1 << 62))
+    fps = sorted({center ^ sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 5)), replace=False))
+                  for _ in range(400)})
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    links = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), 3, part=50)
+    roots = {r.node: r.root for r in components(links, "u", "v").collect()}
+    pairs = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 3]
+    want = union_find(signed, pairs)
+    assert {f: roots.get(f, f) for f in signed} == want
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = random.Random(1)
+    pairs = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)]
+    pairs += [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(150)] + [(7, 7)]
+    rng.shuffle(pairs)
+    df = spark.createDataFrame([(*sorted(p, key=lambda _: rng.random()),) for p in pairs] + [(None, 3)], "a long, b long")
+    got = {r.node: r.root for r in components(df, "a", "b").collect()}
+    want = union_find({x for p in pairs for x in p}, pairs)
+    linked = {x for p in pairs if p[0] != p[1] for x in p}
+    assert got == {k: v for k, v in want.items() if k in linked}
+
+
+def test_drop_near_duplicates_keeps_smallest_id(spark):
+    rows = [(5, "a b c d", "x"), (3, "A b c d", "y"), (9, "other words in here", None), (None, "none", "z"), (3, "A b c d", "y")]
+    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, root string"))
+    assert left.columns == ["doc_id", "text", "root"]
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(
+        [(3, "A b c d", "y"), (9, "other words in here", None), (None, "none", "z")], key=repr)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.near_duplicates(df).collect() == []
+    assert simhash.drop_near_duplicates(df).collect() == []
