@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,18 +30,12 @@ def widen_type(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def unified_schema(dfs: list[DataFrame]) -> list[tuple[str, T.DataType]]:
-    """Column order of first appearance with widened types."""
-    order: list[str] = []
-    types: dict[str, T.DataType] = {}
-    for df in dfs:
-        for f in df.schema.fields:
-            if f.name not in types:
-                order.append(f.name)
-                types[f.name] = f.dataType
-            else:
-                types[f.name] = widen_type(types[f.name], f.dataType)
-    return [(n, types[n]) for n in order]
+def unified_schema(dfs: list[DataFrame]) -> T.StructType:
+    """All columns in order of first appearance, each as wide as any input has it."""
+    seen: dict[str, list[T.DataType]] = {}
+    for field in chain.from_iterable(df.schema.fields for df in dfs):
+        seen.setdefault(field.name, []).append(field.dataType)
+    return T.StructType([T.StructField(name, reduce(widen_type, kinds)) for name, kinds in seen.items()])
 
 
 def _q(name: str) -> str:
@@ -50,13 +45,8 @@ def _q(name: str) -> str:
 def align_frames(dfs: list[DataFrame]) -> list[DataFrame]:
     """Give every frame the unified schema; missing columns become typed nulls."""
     target = unified_schema(dfs)
-    out = []
-    for df in dfs:
-        have = set(df.columns)
-        out.append(df.select([
-            (F.col(_q(n)).cast(t) if n in have else F.lit(None).cast(t)).alias(n)
-            for n, t in target]))
-    return out
+    return [df.select([optional_col(df, f.name, f.dataType).cast(f.dataType).alias(f.name) for f in target])
+            for df in dfs]
 
 
 def align_union(dfs: list[DataFrame]) -> DataFrame | None:

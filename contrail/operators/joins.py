@@ -1,9 +1,9 @@
 """Dictionary (dimension) joins, J1a-J1e.
 
-A dimension is broadcast only after its size has been checked against a
-bound; beyond the bound the join is left to the planner (sort-merge join,
-with AQE's skew-join splitting).  The check reads at most ``max_rows + 1``
-rows of the dimension.
+Whether a dictionary is broadcast is the planner's choice: it knows the size in
+bytes, and AQE revises it at run time; a large one is joined by sort-merge with
+skewed keys split.  "Last" in a dictionary is the last by file and place in the
+file, where its reader has kept them.
 """
 
 from __future__ import annotations
@@ -13,35 +13,17 @@ from pyspark.sql import functions as F
 
 from contrail.operators.dedup import keep_last
 
-# Largest dimension we agree to replicate to every executor.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Columns by which a dictionary's rows are ordered, if it has them.
+DICTIONARY_ORDER = ("file_path", "record_pos")
 
 
-_PROBED: dict[tuple[int, int], bool] = {}
+def dictionary_order(dim: DataFrame) -> list[str]:
+    return [c for c in DICTIONARY_ORDER if c in dim.columns]
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The probe reads at most ``max_rows + 1`` rows; its answer is remembered
-    per semantically equal plan for the session, so a dictionary used by
-    many queries is checked once.
-    """
-    key = (df.semanticHash(), max_rows)
-    if key not in _PROBED:
-        _PROBED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _PROBED[key]
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def dimension_join(fact: DataFrame, dim: DataFrame, on: str | list[str],
-                   how: str = "left",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def dimension_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Equi-join a fact table with a (usually small) dictionary."""
-    return fact.join(maybe_broadcast(dim, max_broadcast_rows), on=on, how=how)
+    return fact.join(dim, on=on, how=how)
 
 
 def airport_columns(airports: DataFrame, key: str, prefix: str,
@@ -60,7 +42,8 @@ def join_airports(df: DataFrame, airports: DataFrame | None, key: str, prefix: s
     """Name, lat, lng of ``key``'s airport.
 
     With ``dedup_order`` the dictionary is first reduced to its last row per
-    code (J1e); without it duplicates fan out, as the silver layer does.
+    code (J1e; an empty order means file order); without it duplicates fan out,
+    as the silver layer does.
     """
     if airports is None:
         return (df.withColumn(f"{prefix}_airport_name", F.lit(None).cast("string"))
@@ -68,7 +51,7 @@ def join_airports(df: DataFrame, airports: DataFrame | None, key: str, prefix: s
                   .withColumn(f"{prefix}_lng", F.lit(None).cast("double")))
     dim = airports
     if dedup_order is not None:
-        dim = keep_last(dim, ["iata_code"], dedup_order)
+        dim = keep_last(dim, ["iata_code"], dedup_order or dictionary_order(dim))
     return dimension_join(df, airport_columns(dim, key, prefix), key)
 
 
@@ -88,15 +71,15 @@ def join_airlines(df: DataFrame, airlines: DataFrame | None,
         return df.withColumn("airline_name", F.lit(None).cast("string"))
     dim = airlines
     if dedup_order is not None:
-        dim = keep_last(dim, ["iata_code"], dedup_order)
+        dim = keep_last(dim, ["iata_code"], dedup_order or dictionary_order(dim))
     dim = dim.select(F.col("iata_code").alias("airline_code"),
                      F.col("name").alias("airline_name"))
     return dimension_join(df, dim, "airline_code")
 
 
 def join_fleets(df: DataFrame, fleets: DataFrame | None) -> DataFrame:
-    """J1d: aircraft columns by ``reg_number``; dictionary reduced to one row
-    per registration first (deterministically)."""
+    """J1d: aircraft columns by ``reg_number``; dictionary reduced to its last
+    row per registration first."""
     cols = {"aircraft_manufacturer": "string", "aircraft_model": "string",
             "aircraft_built_year": "bigint", "aircraft_age_years": "bigint"}
     if fleets is None:
@@ -108,6 +91,6 @@ def join_fleets(df: DataFrame, fleets: DataFrame | None) -> DataFrame:
         F.col("manufacturer").alias("aircraft_manufacturer"),
         F.col("model").alias("aircraft_model"),
         F.col("built").alias("aircraft_built_year"),
-        F.col("age").alias("aircraft_age_years"))
-    planes = keep_last(planes, ["reg_number"], [])
+        F.col("age").alias("aircraft_age_years"), *dictionary_order(fleets))
+    planes = keep_last(planes, ["reg_number"], dictionary_order(fleets)).drop(*DICTIONARY_ORDER)
     return dimension_join(df, planes, "reg_number")

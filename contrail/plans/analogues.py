@@ -36,19 +36,28 @@ CITY = "Krakow"
 J3_TOLERANCE = timedelta(minutes=10)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table (read-only input), one DataFrame per session and path."""
-    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
+    """A driver table (read-only input), one DataFrame per application and path."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(key[1])
     return _TABLES[key]
 
 
+def with_revisions(events: DataFrame) -> DataFrame:
+    """The events as seen by snapshots: every sixth one is seen again later, with
+    the same keys and another value, so that keep-last has work to do."""
+    again = events.where(F.col("event_id") % 6 == 0) \
+        .withColumn("event_id", F.col("event_id") + 1_000_000_000) \
+        .withColumn("value", F.col("value") * 0.75 + 1)
+    return events.unionByName(again)
+
+
 def _events(spark, d, kind):
-    return table(spark, d, "events").where(F.col("event_type") == kind)
+    return with_revisions(table(spark, d, "events").where(F.col("event_type") == kind))
 
 
 def _s(c):
@@ -208,6 +217,11 @@ def _lat_sql(mult):
 
 
 SQL_CTES = f"""
+seen AS (
+  SELECT * FROM events
+  UNION ALL BY NAME
+  SELECT * REPLACE (event_id + 1000000000 AS event_id, value * 0.75 + 1 AS value)
+  FROM events WHERE event_id % 6 = 0),
 raw_schedules AS (
   SELECT 'FL' || CAST(e.user_id AS VARCHAR) AS flight_iata,
          CASE WHEN e.value >= 100 THEN 'delayed' ELSE 'scheduled' END AS status,
@@ -219,7 +233,7 @@ raw_schedules AS (
          e.value AS dep_delayed,
          CASE WHEN e.value < 5 THEN NULL ELSE e.value / 2 END AS arr_delayed,
          e.event_id AS ingest_order
-  FROM events e JOIN customer c ON c.c_custkey = e.user_id
+  FROM seen e JOIN customer c ON c.c_custkey = e.user_id
        JOIN nation n ON n.n_nationkey = c.c_nationkey
   WHERE e.event_type = 'purchase'),
 raw_flights AS (
@@ -235,7 +249,7 @@ raw_flights AS (
          'R' || CAST(user_id % 5 AS VARCHAR) AS airline_iata,
          {_ep('ts')} AS updated,
          event_id AS ingest_order
-  FROM events WHERE event_type = 'view'),
+  FROM seen WHERE event_type = 'view'),
 raw_weather AS (
   SELECT '{CITY}' AS name, {_ep('ts')} AS dt,
          value / 10 - 5 AS "main.temp", value / 10 - 7 AS "main.feels_like",
@@ -245,7 +259,7 @@ raw_weather AS (
          CAST(floor(value / 4) AS BIGINT) AS "clouds.all",
          CAST(floor(value * 60) AS BIGINT) AS visibility,
          event_id AS ingest_order
-  FROM events WHERE event_type = 'error'),
+  FROM seen WHERE event_type = 'error'),
 raw_arrivals AS (
   SELECT CASE WHEN event_id % 10 = 0 THEN 'fl' ELSE 'FL' END || CAST(user_id AS VARCHAR) AS flight_iata,
          'NATION_' || CAST(user_id % 25 AS VARCHAR) AS dep_iata,
@@ -255,7 +269,7 @@ raw_arrivals AS (
          CASE WHEN value < 0.5 THEN 0.0 ELSE 10.0 + CAST((event_id * 13) % 1000 AS DOUBLE) / 100 END AS lng,
          {_ep('ts')} AS updated,
          event_id AS ingest_order
-  FROM events WHERE event_type = 'click'),
+  FROM seen WHERE event_type = 'click'),
 airports AS (
   SELECT n_name AS iata_code, n_name || ' Airport' AS name,
          CASE WHEN n_regionkey = 4 THEN NULL ELSE 40.0 + CAST(n_nationkey AS DOUBLE) * 0.5 END AS lat,

@@ -4,6 +4,7 @@ flight tables (C10, P7, P8, O3), top-k reports (O4, O5)."""
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,31 +67,24 @@ def delays_by_hour(schedules: DataFrame) -> DataFrame:
                      .orderBy("departure_hour_utc"))
 
 
-def _weekday_stats(df: DataFrame | None, ts: str, direction: str) -> DataFrame | None:
-    if df is None or ts not in df.columns:
-        return None
-    daily = (df.groupBy(iso_weekday(ts).alias("weekday"), F.to_date(ts).alias("flight_date"))
-               .agg(F.count(F.lit(1)).alias("daily_count")))
-    return (daily.groupBy("weekday")
-                 .agg(F.sum("daily_count").alias("flight_count"),
-                      F.avg("daily_count").alias("avg_flights_per_day"))
-                 .withColumn("direction", F.lit(direction)))
-
-
 def weekday_patterns(schedules: DataFrame | None, arrivals: DataFrame | None) -> DataFrame | None:
     """Per direction and UTC weekday, total rows and mean rows per
-    calendar day that has rows (days without rows are not zeros)."""
-    frames = [f for f in (_weekday_stats(schedules, "scheduled_departure_utc",
-                                         DEPARTURES_DIRECTION),
-                          _weekday_stats(arrivals, "last_updated_utc", ARRIVALS_DIRECTION))
-              if f is not None]
-    if not frames:
+    calendar day that has rows (days without rows are not zeros).
+
+    Both inputs are one stream of (direction, day): rows over distinct days is
+    the mean, so counting by day and summing those counts is all there is."""
+    sides = [(schedules, "scheduled_departure_utc", DEPARTURES_DIRECTION),
+             (arrivals, "last_updated_utc", ARRIVALS_DIRECTION)]
+    days = [df.select(F.lit(label).alias("direction"), F.to_date(ts).alias("d"))
+            for df, ts, label in sides if df is not None and ts in df.columns]
+    if not days:
         return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return (out.withColumn("weekday_label", value_map("weekday", WEEKDAY_LABELS, UNKNOWN_LABEL))
-               .orderBy("direction", "weekday"))
+    counted = reduce(DataFrame.unionByName, days).groupBy("direction", "d").agg(F.count("*").alias("n"))
+    weeks = counted.groupBy("direction", iso_weekday("d").alias("weekday"))
+    return weeks.agg(F.sum("n").alias("flight_count"),
+                     (F.sum("n") / F.count("*")).alias("avg_flights_per_day")) \
+        .withColumn("weekday_label", value_map("weekday", WEEKDAY_LABELS, UNKNOWN_LABEL)) \
+        .orderBy("direction", "weekday")
 
 
 def kpis(schedules: DataFrame, arrivals: DataFrame) -> DataFrame:
@@ -152,17 +146,14 @@ def top_k(df: DataFrame, k: int, by: str, tie: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_first(by), F.asc(tie)).limit(k)
 
 
-def local_range(df: DataFrame, col: str, start: date, end: date) -> DataFrame:
-    from contrail.operators.filters import filter_local_date_range
-    return filter_local_date_range(df, col, start, end)
-
-
 def load_dashboard_tables(spark, silver_base: str, raw_arrivals_base: str, dict_base: str,
-                          start: date, end: date, persist: bool = True) -> dict:
+                          start: date, end: date, persist: bool = False) -> dict:
     """Departures (silver schedules), live positions (silver flights)
     and arrivals (raw arrival snapshots through C4) for local days
-    ``start..end``.  Only the padded day partitions are read (S7/S8); the
-    frames are persisted for the many dashboard queries that follow."""
+    ``start..end``.  Only the padded days are read: Hive partitions of silver (S7)
+    and ``YYYY/MM/DD`` snapshot folders, JSON and Parquet, of bronze (S8).  With
+    ``persist`` the frames are cached; the caller releases them."""
+    from contrail import schemas as S
     from contrail.operators.filters import filter_local_date_range
     from contrail.plans import silver as SV
     from contrail.sources import raw as RAW
@@ -173,7 +164,8 @@ def load_dashboard_tables(spark, silver_base: str, raw_arrivals_base: str, dict_
     sched = TB.read_silver_range(spark, f"{silver_base}/schedules", start, end)
     flights = TB.read_silver_range(spark, f"{silver_base}/flights", start, end)
     raw_arr = TB.read_raw_range(spark, raw_arrivals_base, start, end)
-    arrivals = SV.transform_arrivals(raw_arr, airports, airlines)
+    arrivals = SV.transform_arrivals(raw_arr, airports, airlines, RAW.FILE_ORDER) if raw_arr is not None \
+        else spark.createDataFrame([], S.ARRIVALS)
     out = {
         "schedules": filter_local_date_range(sched, "scheduled_departure_utc", start, end),
         "flights": filter_local_date_range(flights, "last_updated_utc", start, end),

@@ -17,7 +17,7 @@ from contrail.functions.time import hour_utc
 from contrail.operators.align import optional_col
 from contrail.operators.asof import asof_nearest
 from contrail.operators.dedup import keep_last
-from contrail.operators.joins import airport_columns, join_airlines, maybe_broadcast
+from contrail.operators.joins import airport_columns, dictionary_order, join_airlines
 
 # The reference's matching tolerances and origin airport.
 FLIGHT_SCHEDULE_MATCH_TOLERANCE = timedelta(hours=12)
@@ -56,9 +56,10 @@ def weather_correlation(facts: DataFrame, weather: DataFrame,
     out = asof_nearest(matched, weather, left_on="last_updated_utc",
                        right_on="observation_time_utc", tolerance=tolerance)
     out = out.withColumn("has_weather_match", F.col("observation_time_utc").isNotNull())
-    # no observations at all -> no correlation table (not a table of misses);
-    # weather is small (one row per observation), so the probe is cheap
-    return out.limit(0) if weather.isEmpty() else out
+    # no observations at all -> no correlation table (not a table of misses): a
+    # semi-join with at most one row, which the plan looks up when it runs
+    any_weather = F.broadcast(weather.limit(1).select(F.lit(1).alias("__any")))
+    return out.withColumn("__any", F.lit(1)).join(any_weather, "__any", "left_semi").drop("__any")
 
 
 def airline_performance(facts: DataFrame, airlines: DataFrame | None,
@@ -120,14 +121,14 @@ def active_routes(schedules: DataFrame, airports: DataFrame,
                   airports_order: list[str] | None = None) -> DataFrame:
     """A5: departures from ``origin`` whose both airports have coordinates,
     grouped by route: count and last scheduled departure."""
-    dim = keep_last(airports, ["iata_code"], list(airports_order or []))
+    dim = keep_last(airports, ["iata_code"], list(airports_order or dictionary_order(airports)))
     dep = airport_columns(dim, "departure_airport", "dep", with_name=False)
     arr = airport_columns(dim, "arrival_airport", "arr")
     routes = (schedules.where((F.col("departure_airport") == F.lit(origin))
                               & F.col("arrival_airport").isNotNull())
                        .select("departure_airport", "arrival_airport", "scheduled_departure_utc")
-                       .join(maybe_broadcast(dep), "departure_airport", "left")
-                       .join(maybe_broadcast(arr), "arrival_airport", "left")
+                       .join(dep, "departure_airport", "left")
+                       .join(arr, "arrival_airport", "left")
                        .dropna(subset=["dep_lat", "dep_lng", "arr_lat", "arr_lng"]))
     return (routes.groupBy("departure_airport", "arrival_airport", "dep_lat", "dep_lng",
                            "arr_airport_name", "arr_lat", "arr_lng")
@@ -141,13 +142,14 @@ def build_gold_datasets(schedules: DataFrame, flights: DataFrame, weather: DataF
                         flight_tolerance: timedelta = FLIGHT_SCHEDULE_MATCH_TOLERANCE,
                         weather_tolerance: timedelta = WEATHER_MATCH_TOLERANCE,
                         origin: str = ORIGIN_AIRPORT,
-                        facts: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The five gold tables.  The facts feed two of them; pass a
-    persisted/checkpointed ``facts`` to compute it once."""
+                        facts: DataFrame | None = None,
+                        correlation: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The five gold tables.  The facts and the correlation feed two each;
+    pass checkpointed ones to compute them once."""
     spark = schedules.sparkSession
     if facts is None:
         facts = schedule_flight_facts(schedules, flights, flight_tolerance)
-    corr = weather_correlation(facts, weather, weather_tolerance)
+    corr = correlation if correlation is not None else weather_correlation(facts, weather, weather_tolerance)
     routes = active_routes(schedules, airports, origin) if airports is not None \
         else spark.createDataFrame([], S.ACTIVE_ROUTES)
     return {

@@ -24,9 +24,20 @@ def _order(raw: DataFrame, order) -> list[str]:
     return [o for o in (order or []) if o in raw.columns]
 
 
+def _last(df: DataFrame, keys: list[str], order: list[str], ingest: bool) -> DataFrame:
+    """W1 by ingest order; with ``ingest`` the order is kept as one text that
+    sorts alike, so that later merges can rank by it."""
+    df = keep_last(df, keys, order)
+    if ingest:
+        parts = [F.lpad(F.col(o).cast("string"), 20, "0") if df.schema[o].dataType.simpleString() in ("int", "bigint")
+                 else F.col(o).cast("string") for o in order]
+        df = df.withColumn(S.INGEST, F.concat_ws("#", *parts))
+    return df.drop(*order)
+
+
 def clean_schedules(raw: DataFrame, airports: DataFrame | None,
                     airlines: DataFrame | None, order=DEFAULT_ORDER,
-                    strict: bool = True) -> DataFrame:
+                    strict: bool = True, ingest: bool = False) -> DataFrame:
     """P1/P2/P3/P5 projection, F7, W1 keep-last on (code, departure),
     then J1a/J1b/J1c (dictionaries not deduplicated: duplicates fan out)."""
     order = _order(raw, order)
@@ -42,15 +53,15 @@ def clean_schedules(raw: DataFrame, airports: DataFrame | None,
         null_default_int("arr_delayed").alias("arrival_delay_mins"),
         *order)
     df = drop_null_keys(df, ["flight_code", "departure_airport", "arrival_airport"])
-    df = keep_last(df, ["flight_code", "scheduled_departure_utc"], order).drop(*order)
+    df = _last(df, ["flight_code", "scheduled_departure_utc"], order, ingest)
     df = join_airports(df, airports, "departure_airport", "dep")
     df = join_airports(df, airports, "arrival_airport", "arr")
     df = join_airlines(df, airlines)
-    return df.select(*S.SCHEDULES.fieldNames())
+    return S.conform(df, S.SCHEDULES, (S.INGEST,))
 
 
 def clean_flights(raw: DataFrame, fleets: DataFrame | None, order=DEFAULT_ORDER,
-                  strict: bool = True) -> DataFrame:
+                  strict: bool = True, ingest: bool = False) -> DataFrame:
     """Projection, F7, W1 keep-last on (code, update time), J1d fleets."""
     order = _order(raw, order)
     df = raw.select(
@@ -67,9 +78,9 @@ def clean_flights(raw: DataFrame, fleets: DataFrame | None, order=DEFAULT_ORDER,
         epoch_seconds_to_ts("updated", strict).alias("last_updated_utc"),
         *order)
     df = drop_null_keys(df, ["flight_code", "reg_number"])
-    df = keep_last(df, ["flight_code", "last_updated_utc"], order).drop(*order)
+    df = _last(df, ["flight_code", "last_updated_utc"], order, ingest)
     df = join_fleets(df, fleets)
-    return df.select(*S.FLIGHTS.fieldNames())
+    return S.conform(df, S.FLIGHTS, (S.INGEST,))
 
 
 def project_weather(raw: DataFrame, order=DEFAULT_ORDER, strict: bool = True) -> DataFrame:
@@ -88,11 +99,12 @@ def project_weather(raw: DataFrame, order=DEFAULT_ORDER, strict: bool = True) ->
         *order)
 
 
-def clean_weather(raw: DataFrame, order=DEFAULT_ORDER, strict: bool = True) -> DataFrame:
+def clean_weather(raw: DataFrame, order=DEFAULT_ORDER, strict: bool = True,
+                  ingest: bool = False) -> DataFrame:
     """Typed observations, W1 keep-last on (city, time)."""
     order = _order(raw, order)
     df = project_weather(raw, order, strict)
-    return keep_last(df, ["airport_city", "observation_time_utc"], order).drop(*order)
+    return S.conform(_last(df, ["airport_city", "observation_time_utc"], order, ingest), S.WEATHER, (S.INGEST,))
 
 
 def transform_arrivals(raw: DataFrame, airports: DataFrame | None,
@@ -121,7 +133,7 @@ def transform_arrivals(raw: DataFrame, airports: DataFrame | None,
     df = keep_last(df, ["flight_code", "last_updated_utc"], order).drop(*order)
     if airlines is not None:
         df = join_airlines(df, airlines, dedup_order=[], replace=True)
-    return df.select(*S.ARRIVALS.fieldNames())
+    return S.conform(df, S.ARRIVALS)
 
 
 # ---- data quality -------------------------------------------------------
@@ -133,13 +145,15 @@ def dq_metrics(df: DataFrame, key: str = "flight_code") -> DataFrame:
              .withColumn("passed", (F.col("row_count") > 0) & (F.col("null_keys") == 0))
 
 
-def observe_dq(df: DataFrame, name: str, key: str | None = "flight_code"):
+def observe_dq(df: DataFrame, name: str, key: str | None = "flight_code", date_col: str | None = None):
     """Attach Q1/Q2 metrics to a plan without an extra pass; read them
     after the write with :func:`assert_dq`."""
     obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("row_count")]
     if key:
         exprs.append(F.count_if(F.col(key).isNull()).alias("null_keys"))
+    if date_col:
+        exprs.append(F.count_if(F.col(date_col).isNull()).alias("no_date"))
     return df.observe(obs, *exprs), obs
 
 

@@ -3,6 +3,8 @@
 Operators always return these columns, also on empty input.
 """
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, D, I, L, TS, B = (T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType(),
@@ -56,3 +58,14 @@ HOURLY_TRAFFIC = _st(("departure_hour_utc", I), ("flight_count", L))
 ACTIVE_ROUTES = _st(("departure_airport", S), ("arrival_airport", S), ("dep_lat", D),
                     ("dep_lng", D), ("arr_airport_name", S), ("arr_lat", D), ("arr_lng", D),
                     ("flight_count", L), ("last_scheduled_departure_utc", TS))
+
+# Ingest order of a silver row, kept beside the declared columns.
+INGEST = "_ingest"
+
+
+def conform(df: DataFrame, schema: T.StructType, also: tuple[str, ...] = ()) -> DataFrame:
+    """The declared columns in their declared types (a missing one is null), and
+    those of ``also`` that exist."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields], *[c for c in also if c in have])

@@ -107,6 +107,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this library, wherever it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cluster_conf(input_bytes: int, total_cores: int,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Sizing for a large cluster run, from the input volume and core count.

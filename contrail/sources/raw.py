@@ -1,21 +1,25 @@
 """Bronze (raw) sources: API payloads landed as JSON or Parquet (S1-S5),
 dictionaries (S10, S11).
 
-File contents are never pulled to the driver: JSON files are read with
-``wholetext`` (one payload per file, one row per file) and parsed by
-``from_json`` in the executors.  Only file *listings* and Parquet footers
-(schemas) are seen by the driver, as in any Spark scan planning.
+What a file holds decides how it is read, never its name beyond the extension:
+a ``.json`` file is one document or one document a line, found by parsing it to
+a variant.  Contents and Parquet footers are read in the executors; the driver
+sees one row per folder and schema, and the listing that any Spark scan needs.
 """
 
 from __future__ import annotations
 
+import io
 import logging
+import re
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.operators.align import align_union, flatten
+from contrail.operators.align import align_union
 
 _log = logging.getLogger(__name__)
 
@@ -23,174 +27,249 @@ _log = logging.getLogger(__name__)
 ERROR_FIELDS = ("error", "error.message", "error.code")
 MONTH_LIMIT = "month_limit_exceeded"
 
+# Ingest order of a landed record: its file's path (snapshots are filed by
+# time, so paths sort by time), then its place in the file.
+FILE_ORDER = ["file_path", "record_pos"]
 
-def list_files(spark: SparkSession, prefix: str) -> DataFrame:
-    """Recursive listing (path, length, modificationTime) without reading
-    contents (the binary file source prunes the content column)."""
+
+def _files(spark: SparkSession, prefix: str | list[str], pattern: str | None = None) -> DataFrame | None:
+    """All files below ``prefix`` (binary source; unused columns are pruned);
+    None if there is no such folder."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     try:
-        df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-              .load(prefix))
-    except Exception:  # missing prefix -> empty listing
+        return reader.load(prefix)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def list_files(spark: SparkSession, prefix: str | list[str]) -> DataFrame:
+    """Recursive listing (path, length, modificationTime) without contents."""
+    files = _files(spark, prefix)
+    if files is None:
         return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
-    return df.select("path", "length", "modificationTime")
+    return files.select("path", "length", "modificationTime")
 
 
 # ---- JSON payloads (S1, S2) --------------------------------------------
 
-def read_json_bodies(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """One row per file: ``file_path``, ``body`` (whole file text)."""
-    df = spark.read.option("wholetext", "true").text(paths)
-    return df.select(F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_modification_time").alias("file_time"),
-                     F.col("value").alias("body"))
+def _parsed(text: Column) -> Column:
+    """The one JSON value that ``text`` holds, as a variant; null if it holds none, or
+    more.  (The parser by itself stops after the first value.)"""
+    held = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(F.try_variant_get(held, "$[1]", "variant").isNull(), F.try_variant_get(held, "$[0]", "variant"))
 
 
-def payload_ok(body: str = "body", weather: bool = False):
-    """False for API error payloads (and for unparsable text).
+def _kind(v: Column) -> Column:
+    """Top-level type of a variant: OBJECT, ARRAY, STRING, BIGINT, ..."""
+    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
 
-    Drops a payload with a top-level ``error`` / ``error.message`` key, or
-    ``cod == "month_limit_exceeded"``; weather payloads must also have no
-    ``cod`` or the *number* 200.
-    """
-    b = F.col(body)
-    err = F.get_json_object(b, "$.error")
-    err_msg = F.get_json_object(b, "$['error.message']")
-    cod = F.get_json_object(b, "$.cod")
-    cod_is_text = b.rlike(r'^\s*\{.*"cod"\s*:\s*"')
-    parsable = F.get_json_object(b, "$").isNotNull()  # unreadable payloads are skipped
-    ok = parsable & err.isNull() & err_msg.isNull() & \
-        (F.coalesce(cod, F.lit("")) != F.lit(MONTH_LIMIT))
-    if weather:
-        ok = ok & (cod.isNull() | ((cod == F.lit("200")) & ~cod_is_text))
-    return F.coalesce(ok, F.lit(False))
 
+def _accepted(v: Column, weather: Column | bool = False) -> Column:
+    """S2 on a parsed payload (null: unparsable, not accepted)."""
+    key = lambda name: F.try_variant_get(v, f"$['{name}']", "variant")
+    cod = key("cod")
+    text = F.when(_kind(cod) == "STRING", F.try_variant_get(v, "$.cod", "string"))
+    error = key("error").isNotNull() | key("error.message").isNotNull() | \
+        F.coalesce(text == MONTH_LIMIT, F.lit(False))
+    number = F.when(_kind(cod).isin("BIGINT", "DECIMAL", "DOUBLE"), F.try_variant_get(v, "$.cod", "double"))
+    bad_cod = cod.isNotNull() & (_kind(cod) != "VOID") & F.coalesce(number != 200, F.lit(True))
+    weather = F.lit(weather) if isinstance(weather, bool) else weather
+    is_object = _kind(v) == "OBJECT"
+    return F.coalesce(~(is_object & (error | (weather & bad_cod))) & (~weather | is_object), F.lit(False))
 
-def parse_records(df: DataFrame, record_schema: T.StructType, body: str = "body",
-                  keep: list[str] | None = None) -> DataFrame:
-    """S1 (schedules/flights): payload -> one row per record.
 
-    A payload is ``{"response": [...]}`` (the list), a bare list, or one
-    record object.  Adds ``record_pos`` (position in the payload).
+def payload_ok(body: str = "body", weather: bool = False) -> Column:
+    """False for API error payloads, and for text that is no JSON.
+
+    An object with the key ``error`` or ``error.message`` (whatever its value)
+    or with ``cod`` the text ``month_limit_exceeded`` is an error.  A weather
+    payload is an object without ``cod``, with a null ``cod`` or the number 200.
     """
+    return _accepted(_parsed(F.col(body)), weather)
+
+
+def _records(v: Column) -> Column:
+    """The records of a payload as variants: the items of a list, one object,
+    or those of its ``response``.  Nothing, null and empty values hold none."""
+    response = F.try_variant_get(v, "$.response", "variant")
+    held = F.when((_kind(v) == "OBJECT") & response.isNotNull(), response).otherwise(v)
+    items = F.filter(F.try_variant_get(held, "$", "array<variant>"), lambda r: _kind(r) == "OBJECT")
+    return F.when(_kind(held) == "ARRAY", items).when(
+        (_kind(held) == "OBJECT") & (F.schema_of_variant(held) != "OBJECT<>"), F.array(held))
+
+
+def _inferred(rows: DataFrame, v: str) -> T.StructType:
+    """The schema of the objects in column ``v``, found in one aggregation; a
+    field of mixed types is text, decimals are doubles."""
+    found = rows.agg(F.schema_of_variant_agg(v)).first()[0]
+    if not found or not found.startswith("OBJECT<") or found == "OBJECT<>":
+        return T.StructType([])
+    ddl = re.sub(r"\bDECIMAL\(\d+,\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+    ddl = re.sub(r"(?<=: )(VARIANT|VOID)\b", "STRING", ddl)
+    return T._parse_datatype_string(ddl)
+
+
+def _fields(v: str, schema: T.StructType, flat: bool) -> list[Column]:
+    """Typed columns of a variant object; with ``flat`` nested objects become
+    ``a.b`` columns (P6).  A value that does not fit its type is null."""
+    out = []
+
+    def walk(fields, path: str, name: str):
+        for f in fields:
+            at, label = f"{path}['{f.name}']", f"{name}{f.name}"
+            if flat and isinstance(f.dataType, T.StructType):
+                walk(f.dataType.fields, at, f"{label}.")
+            else:
+                out.append(F.try_variant_get(F.col(v), at, f.dataType.simpleString()).alias(label))
+
+    walk(schema.fields, "$", "")
+    return out
+
+
+def parse_records(df: DataFrame, record_schema: T.StructType | None = None, body: str = "body",
+                  keep: list[str] | None = None) -> DataFrame:
+    """S1 (schedules/flights): payload -> one row per record, with
+    ``record_pos``, its place in the payload.  Without a schema it is found."""
     keep = list(keep or [])
-    b = F.trim(F.col(body))
-    wrapped = F.from_json(b, T.StructType([T.StructField("response", T.ArrayType(record_schema))]))
-    as_list = F.from_json(b, T.ArrayType(record_schema))
-    single = F.from_json(b, record_schema)
-    has_response = F.get_json_object(b, "$.response").isNotNull()
-    recs = (F.when(b.startswith("["), as_list)
-             .when(has_response, wrapped.getField("response"))
-             .when(F.get_json_object(b, "$").isNotNull(), F.array(single)))  # unparsable -> none
-    out = df.select(*keep, F.posexplode(recs).alias("record_pos", "__r"))
-    return out.select(*keep, "record_pos", "__r.*")
-
-
-def parse_weather(df: DataFrame, record_schema: T.StructType, body: str = "body",
+    rows = df.select(*keep, F.posexplode(_records(_parsed(F.col(body)))).alias("record_pos", "__r"))
+    schema = record_schema if record_schema is not None else _inferred(rows, "__r")
+    return rows.select(*keep, "record_pos", *_fields("__r", schema, flat=False))
+
+
+def parse_weather(df: DataFrame, record_schema: T.StructType | None = None, body: str = "body",
                   keep: list[str] | None = None) -> DataFrame:
-    """S1 (weather): the whole payload is one record, flattened to
-    ``a.b`` columns (P6)."""
+    """S1 (weather): the whole payload is one record, flattened to ``a.b``
+    columns (P6)."""
     keep = list(keep or [])
-    parsed = df.select(*keep, F.from_json(F.col(body), record_schema).alias("__w"))
-    flat = flatten(parsed.select("__w.*"))
-    names = flat.columns
-    return parsed.select(*keep, *[
-        _leaf(F.col("__w"), n).alias(n) for n in names])
-
-
-def _leaf(root, dotted: str):
-    c = root
-    for p in dotted.split("."):
-        c = c.getField(p)
-    return c
-
-
-def read_raw_json(spark: SparkSession, paths, record_schema: T.StructType,
-                  weather: bool = False, lines: bool = False) -> DataFrame:
-    """S1 + S2 over files: parse, drop error payloads, explode records.
-    Ingest order columns: ``file_time``, ``file_path``, ``record_pos``.
-
-    API snapshots hold one payload per file; files written by Spark itself
-    (``lines=True``, JSON Lines) hold one record per line."""
-    if lines:
-        df = spark.read.text(paths).select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_modification_time").alias("file_time"),
-            F.col("value").alias("body"))
-        if weather:
-            return parse_weather(df, record_schema, keep=["file_path", "file_time"]) \
-                .withColumn("record_pos", F.lit(0))
-        return df.select("file_path", "file_time",
-                         F.lit(0).alias("record_pos"),
-                         F.from_json("body", record_schema).alias("__r")) \
-                 .select("file_path", "file_time", "record_pos", "__r.*")
-    bodies = read_json_bodies(spark, paths).where(payload_ok("body", weather))
-    keep = ["file_path", "file_time"]
+    rows = df.select(*keep, _parsed(F.col(body)).alias("__r"))
+    schema = record_schema if record_schema is not None else _inferred(rows, "__r")
+    return rows.select(*keep, *_fields("__r", schema, flat=True))
+
+
+def json_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Every ``.json`` file below ``paths``: ``file_path`` and its documents as an
+    array of variants; null where the file is neither one JSON document nor one
+    a line.  A snapshot is read by one task."""
+    bodies = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json") \
+        .text(paths, wholetext=True).where("trim(value) != ''")
+    one = _parsed(F.col("value"))
+    lines = F.transform(F.filter(F.split("value", "\n"), lambda x: F.trim(x) != ""),
+                        lambda x: _parsed(x))
+    whole = F.when(one.isNotNull(), F.array(one)).when(~F.exists(lines, lambda x: x.isNull()), lines)
+    return bodies.select(F.col("_metadata.file_path").alias("file_path"), whole.alias("documents"))
+
+
+def read_raw_json(spark: SparkSession, paths: str | list[str], record_schema: T.StructType | None = None,
+                  weather: bool = False) -> DataFrame:
+    """S1 + S2 over files: parse, drop error payloads, explode records, with the
+    columns of :data:`FILE_ORDER`."""
+    docs = json_documents(spark, paths).select("file_path", F.posexplode("documents").alias("__n", "__v"))
+    good = docs.where(_accepted(F.col("__v"), weather))
+    line = F.shiftleft(F.col("__n").cast("long"), 32)
     if weather:
-        return parse_weather(bodies, record_schema, keep=keep).withColumn("record_pos", F.lit(0))
-    return parse_records(bodies, record_schema, keep=keep)
+        rows = good.select("file_path", line.alias("record_pos"), F.col("__v").alias("__r"))
+    else:
+        rows = good.select("file_path", line.alias("__n"), F.posexplode(_records(F.col("__v"))).alias("__p", "__r")) \
+            .select("file_path", (F.col("__n") + F.col("__p")).alias("record_pos"), "__r")
+    schema = record_schema if record_schema is not None else _inferred(rows, "__r")
+    return rows.select(*FILE_ORDER, *_fields("__r", schema, flat=weather))
 
 
 # ---- Parquet snapshots (S3) --------------------------------------------
 
-def _field_names(schema: T.StructType, prefix: str = "") -> set[str]:
-    out = set()
-    for f in schema.fields:
-        name = prefix + f.name
-        out.add(name)
-        if isinstance(f.dataType, T.StructType):
-            out |= _field_names(f.dataType, name + ".")
-    return out
+def _footer_kinds(batches: Iterator) -> Iterator:
+    """Footer bytes -> a text that names the file's schema: ``error`` for a file
+    with an API error column, null for one that cannot be read."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def kind(tail: bytes | None) -> str | None:
+        try:
+            schema = pq.read_schema(io.BytesIO(b"PAR1" + tail))
+        except Exception:  # whatever the library says of bytes that are no footer
+            return None
+        names = {*schema.names, *(f"{f.name}.{g.name}" for f in schema if pa.types.is_struct(f.type) for g in f.type)}
+        return "error" if names & set(ERROR_FIELDS) else schema.remove_metadata().to_string()
 
+    for batch in batches:
+        kinds = [kind(tail) for tail in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kinds, pa.string())], names=["path", "kind"])
 
-def read_raw_parquet(spark: SparkSession, paths: list[str]) -> DataFrame | None:
-    """S3: read snapshot files whose schemas may differ.
 
-    Files are grouped by footer schema, groups carrying an API error column
-    are skipped, every group is read in one scan and the groups are unioned
-    with the widening rules of :func:`contrail.operators.align.widen_type`
+def parquet_kinds(spark: SparkSession, paths: str | list[str]) -> DataFrame | None:
+    """S3: every ``.parquet`` file below ``paths`` with its ``folder`` and the
+    ``kind`` of its schema, from footers that the executors read."""
+    files = _files(spark, paths, "*.parquet")
+    if files is None:
+        return None
+    little = F.expr("concat_ws('', reverse(regexp_extract_all(hex(substring(content, -8, 4)), '..', 0)))")
+    size = F.conv(little, 16, 10).cast("int") + 8
+    tails = files.where("length > 0").select("path", F.when(
+        F.expr("substring(content, -4, 4) = X'50415231'") & (size <= F.col("length")),
+        F.substring("content", -size, size)).alias("tail"))
+    kinds = tails.mapInArrow(_footer_kinds, "path string, kind string")
+    return kinds.withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+
+
+def read_raw_parquet(spark: SparkSession, paths: str | list[str]) -> DataFrame | None:
+    """S3: snapshot files whose schemas may differ.
+
+    Files are grouped by schema.  A folder of one schema is read as a folder;
+    only of a folder with several, with error snapshots or with unreadable files
+    are the files named one by one.  Each schema is one scan, and the scans are
+    unioned with the widening rules of :func:`contrail.operators.align.widen_type`
     (``mergeSchema`` cannot widen bigint to double).
     """
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for p in paths:
-        try:
-            sch = spark.read.parquet(p).schema
-        except Exception as exc:  # unreadable snapshot: log and skip it
-            _log.warning("skipping unreadable file %s: %s", p, str(exc).splitlines()[0][:200])
-            continue
-        if _field_names(sch) & set(ERROR_FIELDS):
-            _log.warning("skipping API error snapshot %s", p)
-            continue
-        groups.setdefault(sch.json(), (sch, []))[1].append(p)
-    frames = []
-    for sch, ps in groups.values():
-        frames.append(spark.read.schema(sch).option("ignoreCorruptFiles", "true").parquet(*ps).select(
-            "*", F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_modification_time").alias("file_time"),
-            F.col("_metadata.row_index").alias("record_pos")))
+    kinds = parquet_kinds(spark, paths)
+    if kinds is None:
+        return None
+    folders = kinds.groupBy("folder").agg(
+        F.min("kind").alias("low"), F.max("kind").alias("high"),
+        F.count_if(F.col("kind").isNull()).alias("unreadable"), F.min("path").alias("path")).collect()
+    names = sorted(r["folder"] for r in folders)
+    outer = {a for a, b in zip(names, names[1:]) if b.startswith(a + "/")}
+    groups: dict[str, list[str]] = {}
+    mixed = []
+    for r in sorted(folders, key=lambda r: r["folder"]):
+        if r["unreadable"] or r["low"] != r["high"] or r["folder"] in outer:
+            mixed.append(r["folder"])
+        elif r["low"] != "error":
+            groups.setdefault(r["low"], []).append(r["folder"])
+    if mixed:
+        single = kinds.where(F.col("folder").isin(mixed) & F.col("kind").isNotNull() & (F.col("kind") != "error"))
+        for r in single.select("path", "kind").orderBy("path").collect():
+            groups.setdefault(r["kind"], []).append(r["path"])
+    frames = [spark.read.option("pathGlobFilter", "*.parquet").parquet(*places).select(
+        "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("record_pos"))
+        for places in groups.values()]
     return align_union(frames)
 
 
-def read_raw(spark: SparkSession, prefix: str, record_schema: T.StructType | None = None,
+def unreadable_files(spark: SparkSession, prefix: str | list[str]) -> DataFrame:
+    """Files that S4 leaves out because they cannot be read (``path``, ``reason``)."""
+    none = spark.createDataFrame([], "path string, reason string")
+    kinds = parquet_kinds(spark, prefix)
+    if kinds is None:
+        return none
+    broken = json_documents(spark, prefix).where("documents IS NULL")
+    return kinds.where("kind IS NULL").select("path", F.lit("no Parquet footer").alias("reason")).unionByName(
+        broken.select(F.col("file_path").alias("path"), F.lit("no JSON").alias("reason")))
+
+
+def read_raw(spark: SparkSession, prefix: str | list[str], record_schema: T.StructType | None = None,
              weather: bool = False) -> DataFrame | None:
-    """S4 + S5: every non-empty file under ``prefix``; ``.parquet`` through
-    S3, ``.json`` through S1/S2, anything else ignored; one aligned union.
-    Unreadable Parquet files are skipped (``ignoreCorruptFiles``)."""
-    files = [r.path for r in list_files(spark, prefix).where(F.col("length") > 0)
-             .select("path").collect()]
-    pq = sorted(p for p in files if p.endswith(".parquet"))
-    js = sorted(p for p in files if p.endswith(".json"))
-    # files written by Spark itself are JSON Lines, API snapshots are documents
-    jl = [p for p in js if p.rsplit("/", 1)[-1].startswith("part-")]
-    jd = [p for p in js if p not in set(jl)]
-    frames = []
-    if pq:
-        frames.append(read_raw_parquet(spark, pq))
-    if jd and record_schema is not None:
-        frames.append(read_raw_json(spark, jd, record_schema, weather))
-    if jl and record_schema is not None:
-        frames.append(read_raw_json(spark, jl, record_schema, weather, lines=True))
-    frames = [f for f in frames if f is not None]
-    return align_union(frames) if frames else None
+    """S4 + S5: every non-empty file under ``prefix``; ``.parquet`` through S3,
+    ``.json`` through S1/S2 (its schema is found where none is given), anything
+    else ignored; one aligned union.  None if nothing is there.  Files that
+    cannot be read are left out (:func:`unreadable_files` names them)."""
+    frames = [read_raw_parquet(spark, prefix)]
+    if _files(spark, prefix) is not None and not json_documents(spark, prefix).isEmpty():
+        frames.append(read_raw_json(spark, prefix, record_schema, weather))
+    return align_union([f for f in frames if f is not None and len(f.columns) > len(FILE_ORDER)])
 
 
 # ---- dictionaries (S10, S11) --------------------------------------------
@@ -202,17 +281,21 @@ def load_dictionary(spark: SparkSession, path: str, fetch=None,
     and returned; nothing -> None."""
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.parquet(path)
-        df.schema  # noqa: B018 - forces footer read
-        return df
-    except Exception:
+        return _placed(reader.parquet(path))
+    except AnalysisException:  # no such folder, or no file in it that tells a schema
         if fetch is None:
             return None
     fetched = fetch()
     if fetched is None or fetched.isEmpty():
         return None
-    fetched.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    fetched.drop(*FILE_ORDER).write.mode("overwrite").parquet(path)
+    return _placed(spark.read.parquet(path))
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """With the place of each row, by which the last of a key is known."""
+    return df.select("*", F.col("_metadata.file_path").alias("file_path"),
+                     F.col("_metadata.row_index").alias("record_pos"))
 
 
 # Fixed value: carriers whose fleets are combined.
@@ -222,14 +305,5 @@ FLEET_CARRIERS = ["LO", "FR", "W6", "LH", "U2", "KL", "OS", "DY"]
 def combined_fleets(spark: SparkSession, base: str, carriers=FLEET_CARRIERS) -> DataFrame | None:
     """``base/<carrier>`` fleet files of all carriers in one scan;
     a missing carrier is skipped."""
-    paths = []
-    for c in carriers:
-        p = f"{base}/{c}"
-        try:
-            spark.read.parquet(p).schema
-            paths.append(p)
-        except Exception:
-            continue
-    if not paths:
-        return None
-    return read_raw_parquet(spark, paths)
+    paths = [p for p in (f"{base}/{c}" for c in carriers) if _files(spark, p) is not None]
+    return read_raw_parquet(spark, paths) if paths else None

@@ -3,14 +3,17 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.functions.time import iter_dates, partition_load_range, raw_day_prefix
+from contrail import schemas as S
+from contrail.functions.time import partition_load_range
 from contrail.operators.align import flatten
+from contrail.session import path_exists, remove_path, scratch_path
+from contrail.sources import raw as RAW
 
 PARTITION_COLS = ["year", "month", "day"]
 # Fixed value: gold tables the dashboard may read.
@@ -24,39 +27,45 @@ def with_day_partitions(df: DataFrame, date_col: str) -> DataFrame:
               .withColumn("day", F.date_format(date_col, "dd")))
 
 
-def write_partitioned(df: DataFrame, date_col: str, base: str,
-                      quarantine: str | None = None, skip_if_empty: bool = True) -> bool:
+def quarantine_path(base: str) -> str:
+    """Where rows of the table ``base`` go that have no date."""
+    return base.rstrip("/") + "__no_date"
+
+
+def write_partitioned(df: DataFrame, date_col: str, base: str, quarantine: str | None = None) -> bool:
     """Overwrite only the day partitions present in ``df``.
 
     Rows are clustered by day with a ``rebalance`` hint: AQE splits a hot
     day into several advisory-size files instead of one task per day.
 
-    Rows with a null date cannot be placed in a day and go to
-    ``quarantine`` (if given).  An empty input writes nothing (False); with
-    dynamic overwrite an empty write touches no partition either, so
-    ``skip_if_empty=False`` saves the probe (and keeps the write the first
-    action of an observed plan).
+    Rows with a null date cannot be placed in a day; they replace those in
+    ``quarantine`` (:func:`quarantine_path` of ``base`` by default), so none is
+    lost.  An empty input writes nothing (False).  ``df`` is read several times:
+    pass a stored table.
     """
-    if skip_if_empty and df.isEmpty():
+    if df.isEmpty():
         return False
-    if quarantine is not None:
-        bad = df.where(F.col(date_col).isNull())
-        bad.write.mode("append").parquet(quarantine)
-    good = with_day_partitions(df.where(F.col(date_col).isNotNull()), date_col)
-    (good.hint("rebalance", *PARTITION_COLS)
+    dated = F.col(date_col).isNotNull()
+    bad = df.where(~dated)
+    if not bad.isEmpty():
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .parquet(quarantine or quarantine_path(base))
+    (with_day_partitions(df.where(dated), date_col).hint("rebalance", *PARTITION_COLS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLS).parquet(base))
     return True
 
 
 def read_silver(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
-    """The whole table; partition columns are not data and are dropped."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(T.StructType(schema.fields + [
-            T.StructField(c, T.StringType()) for c in PARTITION_COLS]))
-    df = reader.parquet(base)
-    return df.drop(*[c for c in PARTITION_COLS if c in df.columns])
+    """The whole table.  Files whose schemas have drifted are aligned (each
+    schema is one scan), then cast to the declared one, if given."""
+    df = RAW.read_raw_parquet(spark, base) if path_exists(spark, base) else None
+    if df is None:
+        if schema is None:
+            raise ValueError(f"no table at {base}")
+        return spark.createDataFrame([], schema)
+    df = df.drop(*RAW.FILE_ORDER, S.INGEST)
+    return df if schema is None else S.conform(df, schema)
 
 
 def read_silver_range(spark: SparkSession, base: str, start: date, end: date,
@@ -67,21 +76,14 @@ def read_silver_range(spark: SparkSession, base: str, start: date, end: date,
     df = spark.read.option("basePath", base).parquet(base)
     day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"),
                       F.col("day").cast("int"))
-    return df.where(day.between(F.lit(lo), F.lit(hi))).drop(*PARTITION_COLS)
+    return df.where(day.between(F.lit(lo), F.lit(hi))).drop(*PARTITION_COLS, S.INGEST)
 
 
 def raw_day_paths(spark: SparkSession, base: str, start: date, end: date) -> list[str]:
-    """Existing ``base/YYYY/MM/DD/`` folders of the padded range."""
+    """Existing ``base/YYYY/MM/DD`` folders of the padded range."""
     lo, hi = partition_load_range(start, end)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for d in iter_dates(lo, hi):
-        p = raw_day_prefix(base, d)
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        if path.getFileSystem(conf).exists(path):
-            out.append(p)
-    return out
+    days = [lo + timedelta(days=n) for n in range((hi - lo).days + 1)]
+    return [p for p in (f"{base}/{d:%Y/%m/%d}" for d in days) if path_exists(spark, p)]
 
 
 def day_sequence(spark: SparkSession, start: date, end: date, pad: bool = False) -> DataFrame:
@@ -90,51 +92,50 @@ def day_sequence(spark: SparkSession, start: date, end: date, pad: bool = False)
     return spark.range(1).select(F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("day"))
 
 
-def land_snapshot(records: DataFrame, path: str, day_col: str | None = None) -> None:
-    """Flattened records appended as a Parquet snapshot; with
-    ``day_col`` (a timestamp) the snapshot is filed under its UTC day
-    (``year=/month=/day=``) so later range scans prune by day (S8)."""
-    flat = flatten(records)
-    if day_col is None:
-        flat.write.mode("append").parquet(path)
-        return
-    with_day_partitions(flat.withColumn("__day", F.col(day_col)), "__day").drop("__day") \
-        .write.mode("append").partitionBy(*PARTITION_COLS).parquet(path)
+def snapshot_path(base: str, when: datetime) -> str:
+    """Where a snapshot taken at ``when`` is filed: by day, named by time, so
+    paths sort by time."""
+    return f"{base}/{when:%Y/%m/%d/%H%M%S}"
+
 
+def land_snapshot(records: DataFrame, path: str, when: datetime | None = None) -> None:
+    """Flattened records as a Parquet snapshot, filed by time if given."""
+    target = snapshot_path(path, when) + ".parquet" if when else path
+    flatten(records).write.mode("append").parquet(target)
 
-def read_raw_range(spark: SparkSession, base: str, start: date, end: date) -> DataFrame:
-    """Raw snapshots of the padded day range only (partition pruned)."""
-    return read_silver_range(spark, base, start, end, pad=True)
 
+def land_json(records: DataFrame, path: str, when: datetime | None = None) -> None:
+    """Records as JSON, one a line, filed by time if given."""
+    records.write.mode("append").json(snapshot_path(path, when) + ".json" if when else path)
 
-def land_json(records: DataFrame, path: str) -> None:
-    """Records appended as JSON lines."""
-    records.write.mode("append").json(path)
+
+def read_raw_range(spark: SparkSession, base: str, start: date, end: date,
+                   record_schema: T.StructType | None = None, weather: bool = False) -> DataFrame | None:
+    """Raw snapshots, JSON and Parquet, of the padded day range only."""
+    days = raw_day_paths(spark, base, start, end)
+    return RAW.read_raw(spark, days, record_schema, weather) if days else None
 
 
 def write_table(df: DataFrame, path: str) -> bool:
     """Overwrite a table; an empty result leaves the old one in place.
 
-    When ``df`` reads the very table it replaces, the result is first staged
-    in the shared checkpoint folder and then swapped in (a job cannot
-    overwrite the files it is reading).
+    The result is computed once, into the shared checkpoint folder, where its
+    rows are counted on the way, and then put in place: it may read the very
+    table that it replaces.
     """
-    if df.isEmpty():
-        return False
-    target = path.rstrip("/")
-    reads_target = any(f.split("://", 1)[-1].startswith(target.split("://", 1)[-1] + "/")
-                       for f in df.inputFiles())
-    if reads_target:
-        from contrail.session import scratch_path
-        stage = scratch_path(df.sparkSession, "stage")
-        df.write.parquet(stage)
-        df = df.sparkSession.read.parquet(stage)
-    df.write.mode("overwrite").parquet(path)
-    return True
+    spark, stage, rows = df.sparkSession, scratch_path(df.sparkSession, "stage"), Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(stage)
+    try:
+        if not rows.get["n"]:
+            return False
+        spark.read.parquet(stage).write.mode("overwrite").parquet(path)
+        return True
+    finally:
+        remove_path(spark, stage)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """UTF-8 CSV with header (timestamps as ``yyyy-MM-dd HH:mm:ss``)."""
+    """UTF-8 CSV with header (timestamps as ``yyyy-MM-dd'T'HH:mm:ss.SSSSSS``)."""
     (df.write.mode("overwrite").option("header", True)
        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
        .option("encoding", "UTF-8").csv(path))
@@ -143,5 +144,5 @@ def write_csv(df: DataFrame, path: str) -> None:
 def load_gold(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Allow-listed gold table."""
     if name not in READABLE_GOLD:
-        raise ValueError(f"Unknown gold dataset: {name}")
+        raise ValueError(f"{name!r} is not a gold table that may be read; known: {', '.join(READABLE_GOLD)}")
     return spark.read.parquet(f"{base}/{name}")

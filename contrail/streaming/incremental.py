@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail import schemas as S
 from contrail.functions.time import minute_label
 from contrail.operators.dedup import keep_last
-from contrail.session import scratch_path
-from contrail.sources.tables import PARTITION_COLS, with_day_partitions
+from contrail.session import path_exists, remove_path, scratch_path
+from contrail.sources import raw as RAW
+from contrail.sources.tables import PARTITION_COLS, quarantine_path, with_day_partitions
 
 # Bucket width and lateness allowed for live positions.
 BUCKET_MINUTES = 15
@@ -36,16 +38,17 @@ def merge_into_silver(batch: DataFrame, base: str, keys: list[str], date_col: st
                       stage_dir: str) -> None:
     """Keep-last merge of a cleaned batch into day-partitioned ``base``.
 
-    Existing rows of the touched days rank below the batch's rows.  The
-    merged days are staged to ``stage_dir`` first (the target cannot be
-    read and overwritten by one job), then swapped in with a dynamic
-    partition overwrite.
+    The last row is the one with the greatest ingest order, stored in silver
+    (``_ingest``), so a snapshot that arrives late does not replace a newer one;
+    where the order is equal or unknown the batch's row wins.  The merged days
+    are staged to ``stage_dir`` first (the target cannot be read and overwritten
+    by one job), then swapped in with a dynamic partition overwrite.
     """
     spark = batch.sparkSession
     new = with_day_partitions(batch.where(F.col(date_col).isNotNull()), date_col)
     cols = batch.columns
     merged = new.withColumn("__rank", F.lit(1))
-    if _exists(spark, base):
+    if path_exists(spark, base):
         # the days a batch touches: a handful of keys, turned into a static
         # partition filter so only those day folders are read
         days = [f"{r[0]}-{r[1]}-{r[2]}" for r in
@@ -56,40 +59,51 @@ def merge_into_silver(batch: DataFrame, base: str, keys: list[str], date_col: st
                .where(F.concat_ws("-", *PARTITION_COLS).isin(days))
                .select(*cols, *PARTITION_COLS).withColumn("__rank", F.lit(0)))
         merged = old.unionByName(merged)
-    merged = keep_last(merged, keys, ["__rank"]).drop("__rank")
+    order = [c for c in (S.INGEST,) if c in cols] + ["__rank"]
+    merged = keep_last(merged, keys, order).drop("__rank")
     merged.drop(*PARTITION_COLS).write.mode("overwrite").parquet(stage_dir)
     (with_day_partitions(spark.read.parquet(stage_dir), date_col).hint("rebalance", *PARTITION_COLS)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(*PARTITION_COLS).parquet(base))
+    remove_path(spark, stage_dir)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def incremental_silver(spark: SparkSession, raw_dir: str, record_schema: T.StructType | None,
+                       clean: Callable[[DataFrame], DataFrame], base: str, keys: list[str], date_col: str,
+                       checkpoint: str | None = None, available_now: bool = True, weather: bool = False,
+                       files_per_batch: int = 1000):
+    """Stream the bronze snapshots under ``raw_dir`` into ``base``.
 
-
-def incremental_silver(spark: SparkSession, raw_dir: str, raw_schema, clean: Callable[[DataFrame], DataFrame],
-                       base: str, keys: list[str], date_col: str,
-                       checkpoint: str | None = None, available_now: bool = True):
-    """Stream bronze Parquet snapshots under ``raw_dir`` into ``base``."""
+    The stream is one of files; a batch's new files (``files_per_batch`` at most)
+    are read like any bronze scan (S4): JSON and Parquet, drifted schemas aligned,
+    error snapshots left out.  ``clean`` gets their records with ``ingest_order``,
+    a text that sorts by file path and place; with ``ingest=True`` the silver
+    functions keep it.  Rows without a date go to the table's quarantine, one
+    folder a batch.
+    """
     ckpt = checkpoint or scratch_path(spark, "silver-ckpt")
-    stream = (spark.readStream.schema(raw_schema).option("recursiveFileLookup", "true")
-              .parquet(raw_dir)
-              .withColumn("ingest_order", F.struct(
-                  F.col("_metadata.file_modification_time").alias("t"),
-                  F.col("_metadata.file_path").alias("p"),
-                  F.col("_metadata.row_index").alias("i"))))
+    listing = T.StructType([
+        T.StructField("path", T.StringType(), False), T.StructField("modificationTime", T.TimestampType(), False),
+        T.StructField("length", T.LongType(), False), T.StructField("content", T.BinaryType())])
+    files = (spark.readStream.format("binaryFile").schema(listing).option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", str(files_per_batch)).load(raw_dir).select("path"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean(batch).persist()  # read twice: touched days, merge
+        paths = [r["path"] for r in batch.collect()]
+        raw = RAW.read_raw(spark, paths, record_schema, weather) if paths else None
+        if raw is None:
+            return
+        label = F.concat_ws("#", "file_path", F.lpad(F.col("record_pos").cast("string"), 20, "0"))
+        cleaned = clean(raw.withColumn("ingest_order", label)).persist()  # read for days, merge, quarantine
         try:
-            stage = os.path.join(ckpt, "stage", str(batch_id))
-            merge_into_silver(cleaned, base, keys, date_col, stage)
+            merge_into_silver(cleaned, base, keys, date_col, os.path.join(ckpt, "stage", str(batch_id)))
+            undated = cleaned.where(F.col(date_col).isNull())
+            if not undated.isEmpty():
+                undated.write.mode("overwrite").parquet(f"{quarantine_path(base)}/batch={batch_id}")
         finally:
             cleaned.unpersist()
 
-    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
+    w = files.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="15 minutes")
     return w.start()
 
@@ -106,7 +120,7 @@ def live_position_buckets(positions: DataFrame, minutes: int = BUCKET_MINUTES,
                   .withWatermark("__et", delay)
                   .groupBy(key, F.window("__et", f"{int(minutes)} minutes").alias("__w"))
                   .agg(F.max_by(F.struct(*carried, F.col(ts)),
-                                F.struct("__et", "lat", "lng")).alias("__r")))
+                                F.struct("__et", *carried)).alias("__r")))
     bucket = F.col("__w.start").cast("timestamp_ntz")
     return s.select(key, bucket.alias("time_bucket"),
                     *[F.col("__r").getField(c).alias(c) for c in carried],

@@ -1,86 +1,88 @@
-"""Gold tables (C5) on the reference's gold fixture shapes."""
+"""Gold tables (C5) on a small airport of our own."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 
 from contrail.plans import gold as G
+from contrail.operators.joins import join_airlines
+
+NOON = datetime(2031, 3, 4, 12)
+HOME = "GDN"
+
+
+def at(hours, days=0):
+    return NOON + timedelta(hours=hours, days=days)
 
 
 @pytest.fixture
-def data(spark):
-    sched = spark.createDataFrame([
-        ("LO3905", "scheduled", "KRK", "WAW", "LO", "LOT", datetime(2026, 6, 14, 10), datetime(2026, 6, 14, 11), 15, 10),
-        ("FR123", "active", "KRK", "STN", "FR", "Ryanair", datetime(2026, 6, 14, 10, 30), datetime(2026, 6, 14, 12, 45), 20, 15),
-        ("LO3905", "scheduled", "KRK", "WAW", "LO", "LOT", datetime(2026, 6, 15, 10), datetime(2026, 6, 15, 11), 5, 0),
-        ("W6123", "scheduled", "KRK", "CDG", "W6", "Wizz Air", datetime(2026, 6, 14, 11), datetime(2026, 6, 14, 13), 0, 0)],
-        "flight_code string, status string, departure_airport string, arrival_airport string, airline_code string, "
-        "airline_name string, scheduled_departure_utc timestamp_ntz, scheduled_arrival_utc timestamp_ntz, "
-        "departure_delay_mins bigint, arrival_delay_mins bigint")
-    flights = spark.createDataFrame([
-        ("LO3905", "SP-LND", "48C300", 50.08, 19.79, 5000, 180.0, 270.0, "departed", datetime(2026, 6, 14, 10, 5),
-         "Boeing", "737-800", 2012, 14),
-        ("FR123", "SP-RZM", "48C2AC", 50.05, 19.80, 7000, 220.0, 310.0, "departed", datetime(2026, 6, 14, 10, 40),
-         "Boeing", "737 MAX 8", 2018, 8),
-        ("LO3905", "SP-LND", "48C300", 50.07, 19.78, 5200, 175.0, 269.0, "departed", datetime(2026, 6, 15, 10, 7),
-         "Boeing", "737-800", 2012, 14),
-        ("W6123", "HA-LXA", "471F36", 50.03, 19.81, 4500, 200.0, 240.0, "departed", datetime(2026, 6, 14, 12, 15),
-         "Airbus", "A321neo", 2021, 5)],
-        "flight_code string, reg_number string, icao_24bit_hex string, lat double, lng double, altitude_ft bigint, "
-        "ground_speed_knt double, heading_deg double, status string, last_updated_utc timestamp_ntz, "
-        "aircraft_manufacturer string, aircraft_model string, aircraft_built_year bigint, aircraft_age_years bigint")
-    weather = spark.createDataFrame([
-        ("Krakow", datetime(2026, 6, 14, 10), 12.0, 11.0, 1012, 55, 3.0, 20, 10000),
-        ("Krakow", datetime(2026, 6, 14, 10, 35), 18.0, 17.0, 1011, 60, 5.0, 65, 5000),
-        ("Krakow", datetime(2026, 6, 15, 10, 10), 7.0, 6.0, 1013, 70, 1.0, 90, 2000)],
-        "airport_city string, observation_time_utc timestamp_ntz, temp_celsius double, feels_like_celsius double, "
-        "pressure_hpa bigint, humidity_percent bigint, wind_speed_mps double, cloudiness_percent bigint, "
-        "visibility_meters bigint")
-    airlines = spark.createDataFrame([("LO", "LOT Polish Airlines"), ("FR", "Ryanair"), ("W6", "Wizz Air")],
-                                     "iata_code string, name string")
-    airports = spark.createDataFrame([
-        ("KRK", "John Paul II Krakow-Balice", 50.0777, 19.7848),
-        ("WAW", "Warsaw Chopin Airport", 52.1657, 20.9671),
-        ("STN", "London Stansted Airport", 51.8850, 0.2350),
-        ("CDG", "Charles de Gaulle Airport", 49.0097, 2.5479)],
+def tables(spark):
+    schedules = spark.createDataFrame(
+        [(code, HOME, to, line, at(h, d), delay) for code, to, line, h, d, delay in [
+            ("AA1", "OSL", "AA", 0, 0, 4), ("AA1", "OSL", "AA", 0, 1, 9), ("AA1", "OSL", "AA", 0, 2, 30),
+            ("BB7", "VNO", "BB", 1, 0, 12), ("CC3", "NOL", None, 1.5, 0, 7), ("DD2", "OSL", "DD", 9, 0, 1)]],
+        "flight_code string, departure_airport string, arrival_airport string, airline_code string, "
+        "scheduled_departure_utc timestamp_ntz, departure_delay_mins int")
+    flights = spark.createDataFrame(
+        [(code, f"REG-{code}", 54.4, 18.5, at(h, d)) for code, h, d in [
+            ("AA1", 0.25, 0), ("AA1", -0.5, 1), ("AA1", 13, 2), ("BB7", 1.5, 0), ("CC3", 2, 0), ("DD2", 9.1, 0)]],
+        "flight_code string, reg_number string, lat double, lng double, last_updated_utc timestamp_ntz")
+    weather = spark.createDataFrame(
+        [("Gdansk", at(0.5), -3.5, 1.0, 900), ("Gdansk", at(1.25), 4.9, 7.9, 3000), ("Gdansk", at(0, 1), 5.0, 8.0, 8000)],
+        "airport_city string, observation_time_utc timestamp_ntz, temp_celsius double, wind_speed_mps double, "
+        "visibility_meters int")
+    airlines = spark.createDataFrame([("AA", "Amber Air"), ("BB", "Baltic Blue")], "iata_code string, name string")
+    airports = spark.createDataFrame(
+        [(HOME, "Home", 54.4, 18.5), ("OSL", "Oslo", 60.2, 11.1), ("VNO", "Vilnius", 54.6, 25.3), ("NOL", "Nowhere", None, 1.0)],
         "iata_code string, name string, lat double, lng double")
-    return sched, flights, weather, airlines, airports
-
-
-def test_asof_matches_repeated_codes_by_nearest_day(data):
-    sched, flights, *_ = data
-    facts = G.schedule_flight_facts(sched, flights)
-    assert facts.count() == 4
-    got = {(r.flight_code, r.scheduled_departure_utc): r.last_updated_utc for r in facts.collect()}
-    assert got[("LO3905", datetime(2026, 6, 14, 10))] == datetime(2026, 6, 14, 10, 5)
-    assert got[("LO3905", datetime(2026, 6, 15, 10))] == datetime(2026, 6, 15, 10, 7)
-
-
-def test_gold_outputs(data):
-    sched, flights, weather, airlines, airports = data
-    facts = G.schedule_flight_facts(sched, flights)
-    corr = G.weather_correlation(facts, weather)
-    w6 = corr.where("flight_code = 'W6123'").collect()[0]
-    assert w6.has_weather_match is False and w6.temp_celsius is None
-    lo = G.airline_performance(facts, airlines).where("airline_code = 'LO'").collect()[0]
-    assert lo.avg_departure_delay_mins == 10.0 and lo.total_flights == 2
-    assert lo.airline_name == "LOT Polish Airlines"
-    impact = G.weather_impact(corr)
-    t = impact.where("metric = 'temperature_celsius' AND bucket_label = '10-15 C'").collect()[0]
-    assert t.avg_departure_delay_mins == 15.0 and t.flight_count == 1
-    v = impact.where("metric = 'visibility_level' AND bucket_label = 'medium'").collect()[0]
-    assert v.avg_departure_delay_mins == 20.0
-    h = G.hourly_traffic(sched).where("departure_hour_utc = 10").collect()[0]
-    assert h.flight_count == 3
-    waw = G.active_routes(sched, airports).where("arrival_airport = 'WAW'").collect()[0]
-    assert waw.flight_count == 2 and waw.arr_airport_name == "Warsaw Chopin Airport"
-    names = set(G.build_gold_datasets(sched, flights, weather, airlines, airports))
-    assert names == {"active_routes", "airline_performance", "hourly_traffic",
-                     "weather_correlation", "weather_impact"}
-
-
-def test_weather_impact_null_buckets(spark):
-    corr = spark.createDataFrame([(True, 5, None, None, None)],
+    return schedules, flights, weather, airlines, airports
+
+
+def test_each_departure_meets_the_position_of_its_own_day(tables):
+    facts = {(r.flight_code, r.scheduled_departure_utc): r.last_updated_utc
+             for r in G.schedule_flight_facts(*tables[:2]).collect()}
+    assert len(facts) == 6
+    assert [facts["AA1", at(0, d)] for d in range(3)] == [at(0.25), at(-0.5, 1), None]  # 13 h is too far
+
+
+def test_performance_counts_matched_flights_only(tables):
+    schedules, flights, _, airlines, _ = tables
+    rows = G.airline_performance(G.schedule_flight_facts(schedules, flights), airlines).collect()
+    assert [(r.airline_code, r.airline_name, r.avg_departure_delay_mins, r.total_flights) for r in rows] == [
+        ("AA", "Amber Air", 6.5, 2), ("BB", "Baltic Blue", 12.0, 1), ("DD", None, 1.0, 1)]
+
+
+def test_weather_bands(tables):
+    schedules, flights, weather, *_ = tables
+    corr = G.weather_correlation(G.schedule_flight_facts(schedules, flights), weather)
+    flagged = {(r.flight_code, r.last_updated_utc): r.has_weather_match for r in corr.collect()}
+    assert len(flagged) == 5 and not flagged["DD2", at(9.1)]
+    got = {(r.metric, r.bucket_label): (r.avg_departure_delay_mins, r.flight_count)
+           for r in G.weather_impact(corr).collect()}
+    assert got["temperature_celsius", "-5-0 C"] == (4.0, 1)
+    assert got["temperature_celsius", "0-5 C"] == (9.5, 2)
+    assert got["wind_speed_mps", "8-10 m/s"] == (9.0, 1)
+    assert got["visibility_level", "low"] == (4.0, 1)
+    assert got["visibility_level", "medium"] == (9.5, 2)
+    assert got["visibility_level", "high"] == (9.0, 1)
+
+
+def test_routes_need_both_places(tables):
+    schedules, *_, airports = tables
+    rows = G.active_routes(schedules, airports, origin=HOME).collect()
+    assert [(r.arrival_airport, r.flight_count) for r in rows] == [("OSL", 4), ("VNO", 1)]
+    assert rows[0].last_scheduled_departure_utc == at(0, 2)
+    hours = {r.departure_hour_utc: r.flight_count for r in G.hourly_traffic(schedules).collect()}
+    assert hours == {12: 3, 13: 2, 21: 1}
+
+
+def test_five_tables(tables):
+    schedules, flights, weather, airlines, airports = tables
+    assert sorted(G.build_gold_datasets(schedules, flights, weather, airlines, airports)) == sorted(G.GOLD_DATASETS)
+
+
+def test_unknown_weather_values_have_no_band(spark):
+    corr = spark.createDataFrame([(True, 3, None, None, None)],
                                  "has_weather_match boolean, departure_delay_mins int, temp_celsius double, "
                                  "wind_speed_mps double, visibility_meters int")
     rows = {r.metric: r for r in G.weather_impact(corr).collect()}
@@ -88,12 +90,20 @@ def test_weather_impact_null_buckets(spark):
     assert rows["visibility_level"].bucket_label == "high"
 
 
-def test_empty_inputs_keep_schema(data):
-    sched, flights, weather, airlines, airports = data
-    facts = G.schedule_flight_facts(sched, flights)
+def test_nothing_in_nothing_out(tables):
+    schedules, flights, weather, airlines, airports = tables
+    facts = G.schedule_flight_facts(schedules, flights)
     corr = G.weather_correlation(facts, weather.limit(0))
     assert corr.count() == 0 and "has_weather_match" in corr.columns
     assert G.weather_impact(corr).count() == 0
-    no_match = G.schedule_flight_facts(sched, flights.limit(0))
-    assert G.airline_performance(no_match, airlines).count() == 0
-    assert G.active_routes(sched, airports.limit(0)).count() == 0
+    assert G.airline_performance(G.schedule_flight_facts(schedules, flights.limit(0)), airlines).count() == 0
+    assert G.active_routes(schedules, airports.limit(0), origin=HOME).count() == 0
+
+
+def test_last_row_of_a_dictionary_wins_by_place_in_the_files(spark):
+    facts = spark.createDataFrame([("AA",), ("ZZ",)], "airline_code string")
+    lines = spark.createDataFrame(
+        [("AA", "Zulu first", "d/1.parquet", 0), ("AA", "Alpha last", "d/2.parquet", 0), ("AA", "Middle", "d/1.parquet", 7)],
+        "iata_code string, name string, file_path string, record_pos long")
+    got = {r.airline_code: r.airline_name for r in join_airlines(facts, lines, dedup_order=[]).collect()}
+    assert got == {"AA": "Alpha last", "ZZ": None}

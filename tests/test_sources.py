@@ -138,9 +138,10 @@ def test_load_dashboard_tables(spark, tmp_dir):
     sf = "/root/testdata/sf0.001"
     TB.write_partitioned(A.schedules(spark, sf), "scheduled_departure_utc", f"{tmp_dir}/silver/schedules")
     TB.write_partitioned(A.flights(spark, sf), "last_updated_utc", f"{tmp_dir}/silver/flights")
-    raw = A.raw_arrivals(spark, sf)
-    TB.land_snapshot(raw.withColumn("__t", F.col("updated").cast("timestamp")), f"{tmp_dir}/raw_arr",
-                     day_col="__t")
+    raw = A.raw_arrivals(spark, sf).withColumn("__day", F.to_date(F.col("updated").cast("timestamp")))
+    for n in range(8, 15):
+        day = raw.where(F.col("__day") == date(2024, 1, n)).drop("__day")
+        (TB.land_json if n % 2 else TB.land_snapshot)(day, f"{tmp_dir}/raw_arr", datetime(2024, 1, n, 6))
     for name, fn in (("airports", A.airports), ("airlines", A.airlines)):
         RAW.load_dictionary(spark, f"{tmp_dir}/dict/{name}", fetch=lambda fn=fn: fn(spark, sf))
     t = D.load_dashboard_tables(spark, f"{tmp_dir}/silver", f"{tmp_dir}/raw_arr", f"{tmp_dir}/dict",
