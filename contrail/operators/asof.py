@@ -11,9 +11,12 @@ candidate-pair join, so a hot key or a busy hour cannot blow up into
    with the neighbouring bucket (about ``2 * tolerance / width`` = 25 % extra
    rows by default).  Every bucket therefore sees all right rows that can
    match any of its left rows.
-2. Left and right rows are unioned and shuffled once on ``(by..., bucket)``,
-   so even one key holding a third of all rows is spread over many tasks
-   (one per time bucket).
+2. Left and right rows are unioned and shuffled once on ``(by..., bucket,
+   part)``.  A bucket with more than ``split_rows`` left rows (counted map-side
+   first) is cut into parts: each of its left rows goes to one, its few right
+   rows to all.  So neither a key nor a busy hour that holds a third of all
+   rows meets in one task.  The list of such buckets has at most
+   ``left rows / split_rows`` entries, which bounds its broadcast.
 3. Inside each partition two running windows (time ascending and time
    descending, both ``UNBOUNDED PRECEDING .. CURRENT ROW``, i.e. linear)
    carry the previous and the next right row to every left row.
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.time import epoch_micros
+from contrail.operators.dedup import _orderable
 
 _SPREAD = 4096  # buckets over which never-matching left rows are spread
 
@@ -52,7 +56,7 @@ def _hashable(df: DataFrame) -> list:
 def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                  by: list[str] | tuple = (), tolerance: timedelta = timedelta(hours=1),
                  right_order: list[str] | None = None,
-                 bucket_width: timedelta | None = None) -> DataFrame:
+                 bucket_width: timedelta | None = None, split_rows: int = 1_000_000) -> DataFrame:
     """Left rows + the nearest right row (same ``by`` values) within tolerance.
 
     Output: all left columns, then the right columns except ``by`` (the right
@@ -81,46 +85,55 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     r_struct = T.StructType(r_fields)
     order = list(right_order or [])
 
+    # Left side: never-matching rows (null key/time) get spread-out buckets.
+    lt = epoch_micros(left_on, _dtype(left, left_on))
+    l_null = F.col(_q(left_on)).isNull()
+    for b in by:
+        l_null = l_null | F.col(_q(b)).isNull()
+    l_bucket = F.when(l_null, -1 - F.pmod(F.xxhash64(*_hashable(left)), F.lit(_SPREAD))) \
+                .otherwise(F.floor(lt / F.lit(width)))
+    spot = [*key_cols, "__b"]
+    keyed = left.select(
+        *[F.col(_q(b)).alias(kc) for b, kc in zip(by, key_cols)],
+        l_bucket.alias("__b"), lt.alias("__t"), F.lit(1).alias("__side"),
+        F.xxhash64(*_hashable(left)).alias("__h"),
+        F.struct(*[F.col(_q(c)) for c in left.columns]).alias("__L"))
+    heavy = F.broadcast(
+        keyed.groupBy(*spot).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > split_rows)
+        .select(*spot, F.ceil(F.col("__n") / F.lit(split_rows)).cast("int").alias("__parts")))
+    part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(F.pmod("__h", F.col("__parts"))).cast("int")
+
     # Right side: only rows that can match.
     rt = epoch_micros(right_on, _dtype(right, right_on))
     r_ok = F.col(_q(right_on)).isNotNull()
     for b in by:
         r_ok = r_ok & F.col(_q(b)).isNotNull()
-    r_order = F.struct(*[F.col(_q(o)) for o in order]) if order else \
-        F.struct(*[F.col(_q(f.name)) for f in r_fields
-                   if not isinstance(f.dataType, T.MapType)])
     lo_b = F.floor((rt - F.lit(tol)) / F.lit(width))
     hi_b = F.floor((rt + F.lit(tol)) / F.lit(width))
     buckets = F.when(lo_b == hi_b, F.array(lo_b)).otherwise(F.sequence(lo_b, hi_b))
+    ordered = [F.struct(*[F.col(_q(o)) for o in order]).alias("__o")] if order else []
+    if not order and not all(_orderable(f.dataType) for f in r_fields):
+        ordered = [F.struct(*[F.col(_q(f.name)) for f in r_fields if _orderable(f.dataType)]).alias("__o")]
     rhs = right.where(r_ok).select(
         *[F.col(_q(b)).alias(kc) for b, kc in zip(by, key_cols)],
-        F.explode(buckets).alias("__b"), rt.alias("__t"), F.lit(0).alias("__side"),
-        r_order.alias("__o"),
-        F.lit(None).cast(l_struct).alias("__L"),
+        F.explode(buckets).alias("__b"), rt.alias("__t"), F.lit(0).alias("__side"), *ordered,
         F.struct(*[F.col(_q(c)) for c in right_payload]).alias("__R"))
-    o_type = rhs.schema["__o"].dataType
-
-    # Left side: never-matching rows (null key/time) get spread-out buckets.
-    lt = epoch_micros(left_on, _dtype(left, left_on))
-    l_null = F.col(_q(left_on)).isNull()
-    for b in by:
-        l_null = l_null | F.col(_q(b)).isNull()
-    l_bucket = F.when(l_null, -1 - F.pmod(F.xxhash64(*_hashable(left)), F.lit(_SPREAD))) \
-                .otherwise(F.floor(lt / F.lit(width)))
-    lhs = left.select(
-        *[F.col(_q(b)).alias(kc) for b, kc in zip(by, key_cols)],
-        l_bucket.alias("__b"), lt.alias("__t"), F.lit(1).alias("__side"),
-        F.lit(None).cast(o_type).alias("__o"),
-        F.struct(*[F.col(_q(c)) for c in left.columns]).alias("__L"),
-        F.lit(None).cast(r_struct).alias("__R"))
+    rhs = rhs.join(heavy, spot, "left").withColumn("__s", F.explode(F.sequence(
+        F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1))).drop("__parts") \
+        .withColumn("__L", F.lit(None).cast(l_struct))
+    lhs = keyed.join(heavy, spot, "left").withColumn("__s", part).drop("__parts", "__h") \
+        .withColumn("__R", F.lit(None).cast(r_struct))
+    if ordered:
+        lhs = lhs.withColumn("__o", F.lit(None).cast(rhs.schema["__o"].dataType))
 
     allrows = lhs.unionByName(rhs)
-    part = [*key_cols, "__b"]
-    w_prev = (Window.partitionBy(*part)
-              .orderBy(F.col("__t").asc(), F.col("__side").asc(), F.col("__o").asc())
+    place = [*spot, "__s"]
+    tie = F.col("__o" if ordered else "__R").asc()  # the right row is its own order, carried once
+    w_prev = (Window.partitionBy(*place)
+              .orderBy(F.col("__t").asc(), F.col("__side").asc(), tie)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_next = (Window.partitionBy(*part)
-              .orderBy(F.col("__t").desc(), F.col("__side").asc(), F.col("__o").asc())
+    w_next = (Window.partitionBy(*place)
+              .orderBy(F.col("__t").desc(), F.col("__side").asc(), tie)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cand = F.when(F.col("__side") == 0, F.struct("__t", "__R"))
     swept = (allrows

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.operators.align import align_union, flatten, widen_type
@@ -116,3 +117,25 @@ def test_asof_on_instant_timestamps(spark):
     got = {r.lid: r.rid for r in asof_nearest(ldf, rdf, "lt", "rt", by=["k"],
                                               tolerance=timedelta(minutes=30)).collect()}
     assert got == {1: 10, 2: 11}
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_a_hot_bucket_is_swept_in_parts(spark, by):
+    """All left rows in one bucket: several tasks have output, and the same answer."""
+    start = datetime(2031, 1, 1, 6)
+    left = spark.range(4000).select(F.lit("a").alias("k"), F.col("id"), (F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(
+        secs=(F.col("id") % 600).cast("decimal(18,6)"))).alias("t"))
+    right = spark.createDataFrame([("a", start + timedelta(seconds=s), s) for s in (5, 60, 61, 400, 590)],
+                                  "rk string, rt timestamp_ntz, v int")
+    right = right.withColumnRenamed("rk", "k") if by else right.drop("rk")
+    kw = dict(left_on="t", right_on="rt", by=by, tolerance=timedelta(minutes=10))
+    whole = asof_nearest(left, right, **kw)
+    parts = asof_nearest(left, right, split_rows=100, **kw)
+    assert sorted(whole.collect()) == sorted(parts.collect())
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = parts.groupBy(F.spark_partition_id()).agg(F.max("rt")).collect()
+        assert len(tasks) > 1 and len(whole.groupBy(F.spark_partition_id()).agg(F.max("rt")).collect()) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
