@@ -447,6 +447,14 @@ def w6(spark, d):
     return TR.track_points(A.flights(spark, d))
 
 
+@register("w6_jump_filter_ranges",
+          "SELECT flight_code, lat, lng, last_updated_utc, heading_deg, track FROM dep_kept",
+          extra=DEP_TRACK, recursive=True)
+def w6_ranges(spark, d):
+    """The same over five ranges, which cut tracks."""
+    return TR.track_points(A.flights(spark, d), chunks=5)
+
+
 @register("w7_bearing", f"""
 SELECT *, round(CASE
   WHEN lag(lat) OVER w IS NOT NULL THEN {bearing_sql('lag(lat) OVER w', 'lag(lng) OVER w', 'lat', 'lng')}

@@ -123,8 +123,8 @@ class _JumpFold:
     Rows arrive sorted by (track, time).  While every point is kept the
     reference point is simply the previous row, so distances between
     consecutive rows are computed for the whole batch at once and runs of
-    kept rows are accepted in bulk; only after a rejected jump is the
-    distance to the last *kept* point computed row by row.
+    kept rows are accepted in bulk; after a rejected jump the distances to the
+    last *kept* point are computed for growing blocks of rows.
     """
 
     def __init__(self, max_km: float):
@@ -164,11 +164,20 @@ class _JumpFold:
                 elif not newk[i]:  # a jump away from the previous (kept) row
                     self.consecutive = False
                     i += 1
-            else:
-                if _haversine_np(self.ref[0], self.ref[1], la[i], lo[i]) <= self.max_km:
-                    keep[i] = True
-                    self.ref, self.consecutive = (la[i], lo[i]), True
-                i += 1
+            else:  # look for the next point in reach, in blocks that grow
+                block = 64
+                while i < n and not newk[i]:
+                    ends = np.flatnonzero(newk[i:i + block])
+                    stop = i + int(ends[0]) if len(ends) else min(n, i + block)
+                    near = np.flatnonzero(_haversine_np(self.ref[0], self.ref[1], la[i:stop], lo[i:stop])
+                                          <= self.max_km)
+                    if len(near):
+                        i += int(near[0])
+                        keep[i] = True
+                        self.ref, self.consecutive = (la[i], lo[i]), True
+                        i += 1
+                        break
+                    i, block = stop, 2 * block
         self.key, self.prev = keys[-1], (la[-1], lo[-1])
         return keep
 

@@ -27,7 +27,7 @@ ARRIVAL_LABEL = "Przylot do KRK"
 def track_points(positions: DataFrame, code: str | None = None,
                  max_gap_hours: float = MAX_GAP_HOURS,
                  max_leg_jump_km: float = MAX_LEG_JUMP_KM,
-                 extra_keys: list[str] | None = None) -> DataFrame:
+                 extra_keys: list[str] | None = None, chunks: int | None = None) -> DataFrame:
     """Cleaned points of each flight's latest leg, jumps removed.
 
     Tracks are keyed by the upper-cased code (plus ``extra_keys``, e.g. the
@@ -48,7 +48,7 @@ def track_points(positions: DataFrame, code: str | None = None,
     df = latest_segment(df, ["track", *extra], "last_updated_utc", max_gap_hours,
                         order=["flight_code", "lat", "lng"])
     return filter_jumps(df, ["track", *extra], "last_updated_utc", max_leg_jump_km,
-                        order=["flight_code", "lat", "lng"])
+                        order=["flight_code", "lat", "lng"], chunks=chunks)
 
 
 def flight_tracks(positions: DataFrame, flight_type: str | None, code: str | None = None,

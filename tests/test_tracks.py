@@ -191,3 +191,18 @@ def test_track_bounds_include_airport_and_padding(spark):
     b = TR.tracks_bounds(path).collect()[0]
     assert b.south < min(50.2, TR.AIRPORT_LAT) and b.north > max(50.4, TR.AIRPORT_LAT)
     assert b.west < min(19.7, TR.AIRPORT_LNG) and b.east > max(19.9, TR.AIRPORT_LNG)
+
+
+def test_first_point_far_off_is_folded_in_blocks():
+    """After a bad first point the search for one in reach is by blocks, not by rows."""
+    import time
+
+    import numpy as np
+    n = 200_000
+    la, lo = np.full(n, 50.0), np.full(n, 19.0)
+    la[0] = 80.0
+    la[-1] = 80.0
+    fold, start = T._JumpFold(400.0), time.perf_counter()
+    keep = fold.keep_mask(np.array(["A"] * n, dtype=object), la, lo)
+    assert np.flatnonzero(keep).tolist() == [0, n - 1]
+    assert time.perf_counter() - start < 1.0
