@@ -12,8 +12,9 @@ candidate-pair join, so a hot key or a busy hour cannot blow up into
    rows by default).  Every bucket therefore sees all right rows that can
    match any of its left rows.
 2. Left and right rows are unioned and shuffled once on ``(by..., bucket,
-   part)``.  A bucket with more than ``split_rows`` left rows (counted map-side
-   first) is cut into parts: each of its left rows goes to one, its few right
+   part)``.  With ``split_rows``, a bucket with more left rows (counted map-side
+   first, in a second pass over the left side, so give it a stored table) is cut
+   into parts: each of its left rows goes to one, its few right
    rows to all.  So neither a key nor a busy hour that holds a third of all
    rows meets in one task.  The list of such buckets has at most
    ``left rows / split_rows`` entries, which bounds its broadcast.
@@ -56,7 +57,8 @@ def _hashable(df: DataFrame) -> list:
 def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                  by: list[str] | tuple = (), tolerance: timedelta = timedelta(hours=1),
                  right_order: list[str] | None = None,
-                 bucket_width: timedelta | None = None, split_rows: int = 1_000_000) -> DataFrame:
+                 bucket_width: timedelta | None = None,
+                 split_rows: int | None = None) -> DataFrame:
     """Left rows + the nearest right row (same ``by`` values) within tolerance.
 
     Output: all left columns, then the right columns except ``by`` (the right
@@ -98,10 +100,9 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         l_bucket.alias("__b"), lt.alias("__t"), F.lit(1).alias("__side"),
         F.xxhash64(*_hashable(left)).alias("__h"),
         F.struct(*[F.col(_q(c)) for c in left.columns]).alias("__L"))
-    heavy = F.broadcast(
+    heavy = None if split_rows is None else F.broadcast(
         keyed.groupBy(*spot).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > split_rows)
         .select(*spot, F.ceil(F.col("__n") / F.lit(split_rows)).cast("int").alias("__parts")))
-    part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(F.pmod("__h", F.col("__parts"))).cast("int")
 
     # Right side: only rows that can match.
     rt = epoch_micros(right_on, _dtype(right, right_on))
@@ -118,11 +119,17 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         *[F.col(_q(b)).alias(kc) for b, kc in zip(by, key_cols)],
         F.explode(buckets).alias("__b"), rt.alias("__t"), F.lit(0).alias("__side"), *ordered,
         F.struct(*[F.col(_q(c)) for c in right_payload]).alias("__R"))
-    rhs = rhs.join(heavy, spot, "left").withColumn("__s", F.explode(F.sequence(
-        F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1))).drop("__parts") \
-        .withColumn("__L", F.lit(None).cast(l_struct))
-    lhs = keyed.join(heavy, spot, "left").withColumn("__s", part).drop("__parts", "__h") \
-        .withColumn("__R", F.lit(None).cast(r_struct))
+    lhs = keyed
+    if heavy is None:
+        rhs, lhs = (side.withColumn("__s", F.lit(0)) for side in (rhs, lhs))
+    else:
+        parts = F.coalesce(F.col("__parts"), F.lit(1))
+        rhs = rhs.join(heavy, spot, "left").withColumn(
+            "__s", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+        lhs = lhs.join(heavy, spot, "left").withColumn(
+            "__s", F.pmod("__h", parts).cast("int")).drop("__parts")
+    rhs = rhs.withColumn("__L", F.lit(None).cast(l_struct))
+    lhs = lhs.drop("__h").withColumn("__R", F.lit(None).cast(r_struct))
     if ordered:
         lhs = lhs.withColumn("__o", F.lit(None).cast(rhs.schema["__o"].dataType))
 

@@ -40,21 +40,24 @@ def _flight_side(flights: DataFrame) -> DataFrame:
 
 def schedule_flight_facts(schedules: DataFrame, flights: DataFrame,
                           tolerance: timedelta = FLIGHT_SCHEDULE_MATCH_TOLERANCE,
-                          right_order: list[str] | None = None) -> DataFrame:
+                          right_order: list[str] | None = None,
+                          split_rows: int | None = None) -> DataFrame:
     """Each scheduled departure + the nearest live snapshot of the same
     flight code within ``tolerance`` (left join semantics)."""
     return asof_nearest(schedules, _flight_side(flights),
                         left_on="scheduled_departure_utc", right_on="last_updated_utc",
-                        by=["flight_code"], tolerance=tolerance, right_order=right_order)
+                        by=["flight_code"], tolerance=tolerance, right_order=right_order,
+                        split_rows=split_rows)
 
 
 def weather_correlation(facts: DataFrame, weather: DataFrame,
-                        tolerance: timedelta = WEATHER_MATCH_TOLERANCE) -> DataFrame:
+                        tolerance: timedelta = WEATHER_MATCH_TOLERANCE,
+                        split_rows: int | None = None) -> DataFrame:
     """J3 + J4: matched facts + the nearest weather observation (no key);
     ``has_weather_match`` flags a found observation."""
     matched = facts.where(F.col("last_updated_utc").isNotNull())
     out = asof_nearest(matched, weather, left_on="last_updated_utc",
-                       right_on="observation_time_utc", tolerance=tolerance)
+                       right_on="observation_time_utc", tolerance=tolerance, split_rows=split_rows)
     out = out.withColumn("has_weather_match", F.col("observation_time_utc").isNotNull())
     # no observations at all -> no correlation table (not a table of misses): a
     # semi-join with at most one row, which the plan looks up when it runs

@@ -20,6 +20,10 @@ from contrail.sources import raw as RAW
 from contrail.sources import tables as TB
 
 
+# Left rows of an as-of bucket that one task sweeps; a hot flight or hour is cut into parts.
+SPLIT_ROWS = 1_000_000
+
+
 def load_dictionaries(spark: SparkSession, dict_base: str, fetchers: dict | None = None):
     """Airports, airlines and fleets dictionaries."""
     fetchers = fetchers or {}
@@ -80,8 +84,8 @@ def process_gold_layer(spark: SparkSession, silver_base: str, dict_base: str, go
     flights = TB.read_silver(spark, f"{silver_base}/flights", S.FLIGHTS)
     weather = TB.read_silver(spark, f"{silver_base}/weather", S.WEATHER)
     airports, airlines, _ = load_dictionaries(spark, dict_base)
-    facts = G.schedule_flight_facts(schedules, flights).checkpoint(eager=True)
-    correlation = G.weather_correlation(facts, weather, weather_tolerance).checkpoint(eager=True)
+    facts = G.schedule_flight_facts(schedules, flights, split_rows=SPLIT_ROWS).checkpoint(eager=True)
+    correlation = G.weather_correlation(facts, weather, weather_tolerance, SPLIT_ROWS).checkpoint(eager=True)
     data = G.build_gold_datasets(schedules, flights, weather, airlines, airports, origin=origin,
                                  facts=facts, correlation=correlation)
     return {name: TB.write_table(df, f"{gold_base}/{name}") for name, df in data.items()}
