@@ -7,7 +7,7 @@ driver data) to a single task.  Gap/segment logic therefore partitions by
 edge (the previous point's time, the number of leg starts so far, the start
 of the latest leg) is computed on a small per-``(key, bucket)`` summary table
 and joined back on ``(key, bucket)``, the partitioning the rows already
-have, so the big side is shuffled once.
+have.
 """
 
 from __future__ import annotations

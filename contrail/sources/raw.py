@@ -215,14 +215,15 @@ def parquet_kinds(spark: SparkSession, paths: str | list[str]) -> DataFrame | No
     return kinds.withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
 
 
-def read_raw_parquet(spark: SparkSession, paths: str | list[str]) -> DataFrame | None:
+def read_raw_parquet(spark: SparkSession, paths: str | list[str], placed: bool = True) -> DataFrame | None:
     """S3: snapshot files whose schemas may differ.
 
     Files are grouped by schema.  A folder of one schema is read as a folder;
     only of a folder with several, with error snapshots or with unreadable files
     are the files named one by one.  Each schema is one scan, and the scans are
     unioned with the widening rules of :func:`contrail.operators.align.widen_type`
-    (``mergeSchema`` cannot widen bigint to double).
+    (``mergeSchema`` cannot widen bigint to double).  ``placed`` adds the columns
+    of :data:`FILE_ORDER`.
     """
     kinds = parquet_kinds(spark, paths)
     if kinds is None:
@@ -243,10 +244,8 @@ def read_raw_parquet(spark: SparkSession, paths: str | list[str]) -> DataFrame |
         single = kinds.where(F.col("folder").isin(mixed) & F.col("kind").isNotNull() & (F.col("kind") != "error"))
         for r in single.select("path", "kind").orderBy("path").collect():
             groups.setdefault(r["kind"], []).append(r["path"])
-    frames = [spark.read.option("pathGlobFilter", "*.parquet").parquet(*places).select(
-        "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("record_pos"))
-        for places in groups.values()]
-    return align_union(frames)
+    frames = [spark.read.option("pathGlobFilter", "*.parquet").parquet(*places) for places in groups.values()]
+    return align_union([_placed(f) if placed else f for f in frames])
 
 
 def unreadable_files(spark: SparkSession, prefix: str | list[str]) -> DataFrame:

@@ -59,12 +59,12 @@ def write_partitioned(df: DataFrame, date_col: str, base: str, quarantine: str |
 def read_silver(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
     """The whole table.  Files whose schemas have drifted are aligned (each
     schema is one scan), then cast to the declared one, if given."""
-    df = RAW.read_raw_parquet(spark, base) if path_exists(spark, base) else None
+    df = RAW.read_raw_parquet(spark, base, placed=False) if path_exists(spark, base) else None
     if df is None:
         if schema is None:
             raise ValueError(f"no table at {base}")
         return spark.createDataFrame([], schema)
-    df = df.drop(*RAW.FILE_ORDER, S.INGEST)
+    df = df.drop(S.INGEST)
     return df if schema is None else S.conform(df, schema)
 
 
