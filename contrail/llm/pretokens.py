@@ -98,6 +98,26 @@ class Cache(dict):
         return value
 
 
+class RecurringCache(Cache):
+    """A cache that starts afresh when full, but looks at what it held before
+    first: pieces that recur stay, the others go.  It holds up to two ``limit``."""
+
+    def __init__(self, make, limit: int, longest: int = 64):
+        super().__init__(make, limit, longest)
+        self.before: dict = {}
+
+    def __missing__(self, piece):
+        value = self.before.get(piece)
+        if value is None:
+            value = self.make(piece)
+        if len(piece) <= self.longest:
+            if len(self) >= self.limit:
+                self.before = dict(self)
+                self.clear()
+            self[piece] = value
+        return value
+
+
 #: The letters that byte-level vocabularies write for the 256 bytes.
 def byte_letters() -> dict[int, str]:
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -10,7 +10,9 @@ numbers of their tokens.
 from __future__ import annotations
 
 import functools
+import gc
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from contrail.llm.common import (
     BROADCAST_BYTES, column, global_offsets, pieces_of, shuffle_width, small_batches, text_of,
 )
-from contrail.llm.pretokens import LATIN, Cache, byte_letters, spelled
+from contrail.llm.pretokens import LATIN, RecurringCache, byte_letters, spelled
 from contrail.llm.token_counts import added_tokens, tokenizer
 from contrail.llm.wavelet import WaveletMatrix
 
@@ -36,16 +38,17 @@ _SHARD = ("part int, shard int, tokens long, ids array<long>, lengths array<int>
 
 
 @functools.lru_cache(maxsize=2)
-def _words(path: str) -> Cache:
+def _words(path: str) -> RecurringCache:
     """Run of a text without white space -> its ids as 32-bit integers."""
     model, letters = tokenizer(path).model, byte_letters()
 
     def word(piece: str) -> bytes:
-        return np.asarray([t.id for t in model.tokenize(spelled(piece, letters))], "<u4").tobytes()
+        ids = [t.id for t in model.tokenize(spelled(piece, letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    words = Cache(word, limit=150_000)
-    return Cache(lambda run: b"".join([words[p] for p in WORD_SPLIT.findall(run.lower())]),
-                 limit=150_000)
+    words = RecurringCache(word, limit=300_000)
+    return RecurringCache(lambda run: b"".join([words[p] for p in WORD_SPLIT.findall(run.lower())]),
+                          limit=200_000)
 
 
 def encode_words(text: str, path: str) -> bytes:
@@ -72,6 +75,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        gc.disable()  # nothing here makes cycles, and each collection would walk the caches
         part, number = TaskContext.get().partitionId(), 0
         end = np.asarray([end_id], "<u4").tobytes()
         ids, lengths, held, size = [], [], [], 0

@@ -9,7 +9,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from contrail.llm import byte_bpe, token_counts, token_files
-from contrail.llm.pretokens import ByteLevel, Cache
+from contrail.llm.pretokens import ByteLevel, Cache, RecurringCache
 from contrail.llm.wavelet import WaveletMatrix
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -78,6 +78,11 @@ def test_cache_stays_bounded():
     for k in range(100):
         assert cache[str(k)] == len(str(k))
     assert cache["abc"] == 3 and len(cache) <= 11
+    made = []
+    cache = RecurringCache(lambda p: made.append(p) or len(p), limit=10)
+    for k in range(100):
+        assert cache["often"] == 5 and cache[str(k)] == len(str(k))
+    assert made.count("often") == 1 and len(cache) + len(cache.before) <= 20
 
 
 def test_token_files(spark, tmp_dir):
