@@ -47,6 +47,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("deleted", ",").alias("deleted"), F.sha2("text", 256).alias("cleaned_sha256"))
 
 
+def op8_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_every_repeat(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", F.size("deleted").cast("long").alias("n_deleted"),
+        F.array_join("deleted", ",").alias("deleted"), F.sha2("text", 256).alias("cleaned_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), largest=True)
 
@@ -85,6 +91,7 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op7_pii": op7_pii,
     "op8_line_dedup": op8_line_dedup,
+    "op8_every_line": op8_every_line,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
@@ -118,6 +125,20 @@ SQL = {
         FROM lines l LEFT JOIN gone g USING (doc_id, n)
         GROUP BY doc_id
     """,
+    "op8_every_line": """
+        WITH lines AS (
+            SELECT doc_id, line, n - 1 AS n
+            FROM documents, unnest(string_split(coalesce(text, ''), chr(10))) WITH ORDINALITY AS l(line, n)),
+        marked AS (
+            SELECT *, regexp_matches(line, '[^ \\t-\\r]')
+                      AND row_number() OVER (PARTITION BY line ORDER BY doc_id, n) > 1 AS gone
+            FROM lines)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+               coalesce(string_agg(cast(n AS varchar), ',' ORDER BY n) FILTER (gone), '') AS deleted,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS cleaned_sha256
+        FROM marked
+        GROUP BY doc_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

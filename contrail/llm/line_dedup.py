@@ -12,6 +12,10 @@ map-side.  Windows with an earlier place make up the repeated runs; their lines
 No pairs of places are ever formed, so a line that a third of all texts have costs
 no more than any other.
 
+Repeats shorter than a window stay.  Where every repeated line is to go, however
+short, :func:`drop_every_repeat` needs no windows: each line's earliest place is found
+by the same kind of aggregate, and a text keeps the lines it is the earliest place of.
+
 All of it is DataFrame operations.
 """
 
@@ -29,13 +33,25 @@ WINDOW = 3
 _PLACE = ["none", "id", "th"]
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
-    """The place of every row, its lines and its units (n: line from 0, u: hash)."""
+def _rows(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    """The place of every row and its lines."""
     rows = docs.select(
         column(id_col).isNull().alias("none"),
         F.coalesce(column(id_col).cast("long"), F.lit(0)).alias("id"),
         F.xxhash64(text_of(text_col)).alias("th"), text_of(text_col).alias("t"), *more)
-    rows = rows.withColumn("lines", F.split("t", "\n", -1)).drop("t")
+    return rows.withColumn("lines", F.split("t", "\n", -1)).drop("t")
+
+
+def _without(gone: DataFrame) -> DataFrame:
+    """The result for ``doc_id``, ``lines`` and the ``deleted`` ones."""
+    left = "array_except(sequence(0, size(lines) - 1), deleted)"
+    return gone.select("doc_id", F.size("lines").cast("long").alias("n_lines"), "deleted",
+                       F.expr(f"array_join(transform({left}, n -> lines[n]), '\n')").alias("text"))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    """As :func:`_rows`, with the units (n: line from 0, u: hash)."""
+    rows = _rows(docs, id_col, text_col, *more)
     units = rf"""flatten(transform(filter(transform(lines, (x, n) -> named_struct('n', n, 'x', x)),
             y -> y.x rlike '[^ \\t-\\r]'),
         y -> transform(sequence(1, cast(ceil(regexp_count(y.x, '[^ \\t-\\r]+') / {UNIT}) AS int)),
@@ -95,6 +111,23 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "do
         k -> units[k - 1].n))"""
     gone = found.select("doc_id", "lines", F.expr(
         f"CASE WHEN starts IS NULL THEN cast(array() AS array<int>) ELSE array_sort({covered}) END").alias("deleted"))
-    left = "array_except(sequence(0, size(lines) - 1), deleted)"
-    return gone.select("doc_id", F.size("lines").cast("long").alias("n_lines"), "deleted",
-                       F.expr(f"array_join(transform({left}, n -> lines[n]), '\n')").alias("text"))
+    return _without(gone)
+
+
+def drop_every_repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As :func:`drop_repeated_lines`, but every line that is not blank goes if it also
+    stands at an earlier place, whatever its length and its neighbours.
+
+    The lines of all repeated runs are among them.  What is joined to the texts are
+    the lines that stay, by place, so no line's repeats ever meet in one task.
+    """
+    filled = F.expr("transform(lines, x -> CASE WHEN x rlike '[^ \\t-\\r]' THEN xxhash64(x) END)")
+    rows = _rows(docs, id_col, text_col, column(id_col).cast("long").alias("doc_id")).withColumn("hashes", filled)
+    each = _rows(docs, id_col, text_col).select(*_PLACE, F.posexplode(filled).alias("n", "h")).where("h IS NOT NULL")
+    first = each.groupBy("h").agg(F.min(F.struct(*_PLACE, "n")).alias("first"))
+    stay = first.groupBy(*[F.col(f"first.{c}").alias(c) for c in _PLACE]).agg(
+        F.collect_list("first.n").alias("stay"))
+    found = rows.join(stay, _PLACE, "left")
+    numbers = "filter(sequence(0, size(lines) - 1), n -> hashes[n] IS NOT NULL)"
+    return _without(found.select("doc_id", "lines", F.expr(
+        f"array_except({numbers}, coalesce(stay, cast(array() AS array<int>)))").alias("deleted")))

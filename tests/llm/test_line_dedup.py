@@ -61,3 +61,25 @@ def test_every_line_stays_somewhere(spark):
 
 def test_empty_table(spark):
     assert line_dedup.drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_single_repeated_lines_go(spark):
+    rng = random.Random(4)
+    lines = [f"line {k}" for k in range(40)] + ["", " \t", "long " * 60, "é\x85 x", "\x85"]
+    rows = [(i * 2, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 9)))) for i in range(80)]
+    rows += [(1001, None), (1003, ""), (1005, "same\n" * 400), (None, "line 0\nnew at the end\nline 0")]
+    want = brute(rows, 1)
+    got = line_dedup.drop_every_repeat(spark.createDataFrame(
+        [(*r, "x", 3) for r in rows], "doc_id long, text string, lines string, n int").repartition(6)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (list(r.deleted), r.text) == want[r.doc_id], r.doc_id
+        assert r.n_lines == (dict(rows)[r.doc_id] or "").count("\n") + 1
+
+
+def test_repeated_rows_and_short_lines(spark):
+    rows = [(1, "all rights reserved\na"), (2, "b\nall rights reserved"), (2, "b\nall rights reserved"), (2, "a\nc")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text) for r in line_dedup.drop_every_repeat(df).collect())
+    assert got == [(1, "all rights reserved\na"), (2, "b"), (2, "b"), (2, "c")]
+    assert line_dedup.drop_every_repeat(df.limit(0)).collect() == []
