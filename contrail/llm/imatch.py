@@ -10,6 +10,10 @@ sorted distinct terms in that subset.  Subsets come in several sizes, so that
 short and long documents both have subsets with a handful of their terms.  The
 last signature is that of all its distinct terms, of the lexicon or not.
 
+A text that very many documents are near copies of lifts its own terms over the band.
+So a text with more terms above the band than places in the subsets has its blank
+signatures filled: with the hash of its terms above the band that are in the subset.
+
 All of it is DataFrame operations.
 """
 
@@ -39,16 +43,24 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
+def _drawn(subset: Column, term: Column) -> Column:
+    """The term is in the subset."""
+    size = F.element_at(F.array(*[F.lit(1 << b) for b in SIZES]), F.floor(subset / EACH).cast("int") + 1)
+    return F.pmod(F.xxhash64(subset, term), size) == 0
+
+
 def lexicon(docs: DataFrame, text_col: str = "text",
             band: tuple[float, float] = (2.0, 7.0)) -> DataFrame:
-    """(``term``, ``subset``) for the terms in the band and each of their subsets."""
+    """(``term``, ``subset``) for the terms in the band and each of their subsets, and
+    with a null ``subset`` those that stand in more documents than the band allows."""
     n = docs.count()
     counts = docs.select(F.explode(terms(text_of(text_col))).alias("term")).groupBy("term") \
         .agg(F.count("*").alias("df"))
-    kept = counts.where((F.col("df") <= n * math.exp(-band[0])) & (F.col("df") >= n * math.exp(-band[1])))
-    size = F.element_at(F.array(*[F.lit(1 << b) for b in SIZES]), F.floor(F.col("subset") / EACH).cast("int") + 1)
-    every = kept.select("term", F.explode(F.sequence(F.lit(0), F.lit(SUBSETS - 1))).alias("subset"))
-    return stored(every.where(F.pmod(F.xxhash64("subset", "term"), size) == 0))
+    kept = counts.where(F.col("df") >= n * math.exp(-band[1]))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: _drawn(k, F.col("term")))
+    none = F.array(F.lit(None).cast("int"))
+    return stored(kept.select("term", F.explode(
+        F.when(F.col("df") <= n * math.exp(-band[0]), drawn).otherwise(none)).alias("subset")))
 
 
 def _hex(value: Column) -> Column:
@@ -56,28 +68,36 @@ def _hex(value: Column) -> Column:
 
 
 def signatures(rows: DataFrame, keys: list[str], texts: list[str], words: DataFrame) -> DataFrame:
-    """For each row that has lexicon terms: ``keys``, ``which`` (index of the text)
-    and ``signed``, a map from subset to signature.  Rows with equal keys must be
-    in one partition for this to need no shuffle."""
+    """For each row that has lexicon terms: ``keys``, ``which`` (index of the text),
+    ``signed``, a map from subset to signature, and ``places``, how many its terms
+    take in the subsets.  Rows with equal keys must be in one partition for this to
+    need no shuffle."""
     each = rows.select(*keys, F.posexplode(F.array(*[terms(F.col(t)) for t in texts])).alias("which", "terms"))
     each = each.select(*keys, "which", F.explode("terms").alias("term"))
     held = words.count() * 24
     found = each.join(F.broadcast(words) if held <= BROADCAST_BYTES else words, "term")
     signed = found.groupBy(*keys, "which", "subset").agg(
-        _hex(F.xxhash64(F.sort_array(F.collect_list("term")))).alias("signature"))
+        _hex(F.xxhash64(F.sort_array(F.collect_list("term")))).alias("signature"), F.count("*").alias("places"))
     return signed.groupBy(*keys, "which").agg(
-        F.map_from_entries(F.collect_list(F.struct("subset", "signature"))).alias("signed"))
+        F.map_from_entries(F.collect_list(F.struct("subset", "signature"))).alias("signed"),
+        F.sum("places").alias("places"))
 
 
-def whole(text: Column) -> Column:
+def whole(found: Column) -> Column:
     """Signature of all distinct terms."""
-    return _hex(F.xxhash64(F.array_sort(terms(text))))
+    return _hex(F.xxhash64(F.array_sort(found)))
+
 
+def fingerprint(signed: Column, places: Column, common: Column, all_terms: Column) -> Column:
+    """The signatures by subset and that of all terms.  A subset without a term is
+    blank, or has the signature of the ``common`` terms in it where these outnumber
+    the text's ``places``."""
+    def filled(k: Column) -> Column:
+        drawn = F.filter(common, lambda x: _drawn(k, x))
+        return F.when(F.size(drawn) > 0, _hex(F.xxhash64(F.array_sort(drawn))))
 
-def fingerprint(signed: Column, all_terms: Column) -> Column:
-    """The signatures by subset, blank where it has no term, and that of all terms."""
-    one = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
-                      lambda k: F.coalesce(F.try_element_at(signed, k), F.lit(BLANK)))
+    one = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.coalesce(
+        F.try_element_at(signed, k), F.when(F.size(common) > places, filled(k)), F.lit(BLANK)))
     return F.concat_ws("", F.array_append(one, all_terms))
 
 
@@ -141,19 +161,27 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     without any term have that of no term.  A table of one row is its own next.
     An empty table gives an empty result.
     """
-    words = lexicon(docs, text_col, band)
+    every = lexicon(docs, text_col, band)
+    words, above = every.where("subset IS NOT NULL"), every.where("subset IS NULL")
     rows = followed(docs, id_col, text_col).withColumn("edited", edited(F.col("text"), F.col("next")))
     keys, texts = ["part", "row"], ["text", "edited", "next"]
     signed = signatures(rows, keys, texts, words)
     signed = signed.groupBy(*keys).agg(F.map_from_entries(
-        F.collect_list(F.struct("which", "signed"))).alias("signed"))
+        F.collect_list(F.struct("which", F.struct("signed", "places")))).alias("signed"))
+    # one row, of at most e**band[0] times a text's mean number of distinct terms
+    above = above.agg(F.collect_list("term").alias("above"))
     narrow = rows.select(
         *keys, "doc_id", F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"), *[whole(F.col(t)).alias(f"all_{t}") for t in texts])
+        F.sha2("edited", 256).alias("edited_sha256"), *[terms(F.col(t)).alias(f"terms_{t}") for t in texts])
+    narrow = narrow.crossJoin(F.broadcast(above)).select(
+        *keys, "doc_id", "n_chars", "edited_sha256", *[whole(F.col(f"terms_{t}")).alias(f"all_{t}") for t in texts],
+        *[F.array_intersect(f"terms_{t}", "above").alias(f"common_{t}") for t in texts])
     none = F.create_map().cast("map<int,string>")
+    mine = [F.try_element_at("signed", F.lit(k)) for k in range(len(texts))]
     prints = narrow.join(signed, keys, "left").select("*", *[
-        fingerprint(F.coalesce(F.try_element_at("signed", F.lit(k)), none), F.col(f"all_{t}")).alias(f"print_{t}")
-        for k, t in enumerate(texts)])
+        fingerprint(F.coalesce(m["signed"], none), F.coalesce(m["places"], F.lit(0)), F.col(f"common_{t}"),
+                    F.col(f"all_{t}")).alias(f"print_{t}")
+        for m, t in zip(mine, texts)])
     return prints.select(
         "doc_id", "n_chars", "edited_sha256", F.col("print_text").alias("fingerprint"),
         F.col("print_edited").alias("edited_fingerprint"),

@@ -92,3 +92,50 @@ def test_ties_nulls_and_single_rows(spark):
     assert alone[0].edited_sha256 == hashlib.sha256(b"one two tone two t").hexdigest()
     assert alone[0].near_next == 1.0
     assert imatch.fingerprint_edits(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_near_copies_that_a_third_of_rows_are(spark):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(3000)]
+    hot = [f"hot{k}" for k in range(150)]
+
+    def copy():
+        mine = list(hot)
+        for k in rng.sample(range(len(mine)), 3):
+            mine[k] = rng.choice(words)
+        return " ".join(mine)
+
+    plain = [(2 * k, " ".join(rng.sample(words, 100))) for k in range(200)]
+    copies = [(1000 + k, copy()) for k in range(100)]
+    got = {r.doc_id: r for r in imatch.fingerprint_edits(spark.createDataFrame(
+        plain + copies, "doc_id long, text string").repartition(5)).collect()}
+    near = [got[d].near_next for d, _ in copies[1:]]
+    assert min(near) > 0.2 and sum(near) / len(near) > 0.5
+    assert min(got[d].near_edited for d, _ in copies[1:]) > 0.1
+    assert got[1000].near_next < 0.1 and max(got[d].near_next for d, _ in plain[1:]) < 0.1
+    # without the group nothing lies above the band: the others' signatures are of the band only
+    band = math.exp(-2) * 300
+    assert max(sum(w in t.split() for _, t in plain) for w in words) < band
+    assert any(imatch.BLANK in got[d].fingerprint for d, _ in plain)
+    assert got[1001].fingerprint.count(imatch.BLANK) < 30
+
+
+def test_filled_signatures_by_the_rule(spark):
+    texts = ["a b c d e f g h"] * 5 + ["a b c d e f g x1", "y1 y2 y3 y4 y5", "y1 y2 y3 y4 a", ""]
+    got = imatch.fingerprint_edits(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"), band=(0.7, 1.6)).collect()
+    n, sets = len(texts), [term_set(t) for t in texts]
+    df = {x: sum(x in s for s in sets) for s in sets for x in s}
+    band = {x for x in df if n * math.exp(-1.6) <= df[x] <= n * math.exp(-0.7)}
+    above = {x for x in df if df[x] > n * math.exp(-0.7)}
+
+    def inside(k, x):
+        seed = xxhash.xxh64_intdigest(struct.pack("<i", k), 42)
+        return h(struct.pack("<q", x), seed) % (1 << imatch.SIZES[k // imatch.EACH]) == 0
+
+    for r in got:
+        mine = sets[r.doc_id]
+        parts = [{x for x in mine & band if inside(k, x)} for k in range(imatch.SUBSETS)]
+        if len(mine & above) > sum(map(len, parts)):
+            parts = [p or {x for x in mine & above if inside(k, x)} for k, p in enumerate(parts)]
+        assert r.fingerprint == "".join(signed(p) if p else imatch.BLANK for p in parts) + signed(mine)
