@@ -32,15 +32,38 @@ def quarantine_path(base: str) -> str:
     return base.rstrip("/") + "__no_date"
 
 
+def _row_counts(df: DataFrame) -> DataFrame:
+    """Equal rows (by JSON: null fields and the order of columns do not count) as
+    ``key``, their number ``n`` and one of them as ``row``."""
+    second = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    key = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {
+        "timestampNTZFormat": second, "timestampFormat": f"{second}XXX"}), 256)
+    return df.groupBy(key.alias("key")).agg(
+        F.count("*").alias("n"), F.any_value(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"))
+
+
+def _not_there(df: DataFrame, path: str) -> DataFrame:
+    """The rows of ``df`` that the table at ``path`` lacks; of equal rows as many as
+    it has fewer, so a batch that is written again adds nothing."""
+    spark = df.sparkSession
+    there = RAW.read_raw_parquet(spark, path, placed=False) if path_exists(spark, path) else None
+    if there is None:
+        return df
+    held = _row_counts(there).select("key", F.col("n").alias("held"))
+    more = _row_counts(df).join(held, "key", "left").withColumn("more", F.col("n") - F.coalesce("held", F.lit(0)))
+    return more.where("more > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("more").cast("int")))) \
+        .select("row.*")
+
+
 def write_partitioned(df: DataFrame, date_col: str, base: str, quarantine: str | None = None) -> bool:
     """Overwrite only the day partitions present in ``df``.
 
     Rows are clustered by day with a ``rebalance`` hint: AQE splits a hot
     day into several advisory-size files instead of one task per day.
 
-    Rows with a null date cannot be placed in a day; they replace those in
-    ``quarantine`` (:func:`quarantine_path` of ``base`` by default), so none is
-    lost.  An empty input writes nothing (False).  ``df`` is read several times:
+    Rows with a null date cannot be placed in a day; they are added to those in
+    ``quarantine`` (:func:`quarantine_path` of ``base`` by default) unless they are
+    there already, so none is lost, of this call or an earlier one.  An empty input writes nothing (False).  ``df`` is read several times:
     pass a stored table.
     """
     if df.isEmpty():
@@ -48,8 +71,8 @@ def write_partitioned(df: DataFrame, date_col: str, base: str, quarantine: str |
     dated = F.col(date_col).isNotNull()
     bad = df.where(~dated)
     if not bad.isEmpty():
-        bad.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .parquet(quarantine or quarantine_path(base))
+        path = quarantine or quarantine_path(base)
+        _not_there(bad, path).write.mode("append").parquet(path)
     (with_day_partitions(df.where(dated), date_col).hint("rebalance", *PARTITION_COLS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLS).parquet(base))

@@ -94,6 +94,27 @@ def test_null_dates_quarantined(spark, tmp_dir):
     assert [r.flight_code for r in spark.read.parquet(f"{tmp_dir}/q").collect()] == ["B"]
 
 
+def test_undated_rows_of_earlier_batches_stay(spark, tmp_dir):
+    schema = "flight_code string, ts timestamp_ntz, seen map<string,int>"
+    first = spark.createDataFrame([("A", datetime(2025, 6, 1), {}), ("B", None, {"x": 1}), ("B", None, {"x": 1})], schema)
+    second = spark.createDataFrame([("C", None, None), ("B", None, {"x": 1})], schema)
+    wider = spark.createDataFrame([("D", None, "LH")], "flight_code string, ts timestamp_ntz, airline string")
+    for batch in (first, second, wider, second, wider, first):
+        TB.write_partitioned(batch, "ts", f"{tmp_dir}/s")
+    kept = TB.read_silver(spark, TB.quarantine_path(f"{tmp_dir}/s"))
+    assert sorted(r.flight_code for r in kept.collect()) == ["B", "B", "C", "D"]
+    assert [r.airline for r in kept.where("airline IS NOT NULL").collect()] == ["LH"]
+    assert [r.flight_code for r in TB.read_silver(spark, f"{tmp_dir}/s").collect()] == ["A"]
+
+
+def test_undated_rows_that_differ_by_a_microsecond(spark, tmp_dir):
+    at = [datetime(2025, 6, 1, 0, 0, 0, n) for n in (1, 2, 3)]
+    df = spark.createDataFrame([(None, t) for t in at], "ts timestamp_ntz, seen timestamp_ntz")
+    for batch in (df.where(F.col("seen") == at[0]), df):
+        TB.write_partitioned(batch, "ts", f"{tmp_dir}/s")
+    assert sorted(r.seen for r in TB.read_silver(spark, TB.quarantine_path(f"{tmp_dir}/s")).collect()) == at
+
+
 def test_table_csv_gold_and_dictionary(spark, tmp_dir):
     df = spark.createDataFrame([("WAW", 2)], "arrival_airport string, flight_count long")
     assert TB.write_table(df, f"{tmp_dir}/gold/active_routes")
