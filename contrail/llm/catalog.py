@@ -38,7 +38,7 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return pii.find(docs, pii.fit(docs))
+    return pii.find(docs, pii.fit(docs)).drop("text_sha256")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
