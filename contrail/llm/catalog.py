@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import byte_bpe, exact_dedup, imatch, line_dedup, mixing, pii, quality, simhash, token_counts, token_files
+from contrail.llm import (
+    alignment, byte_bpe, exact_dedup, imatch, line_dedup, mixing, orchard, pii, quality, simhash,
+    token_counts, token_files, topk,
+)
 from contrail.llm.common import documents
 from contrail.session import scratch_path
 
@@ -81,6 +84,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(embeddings(spark, sf_dir), k=10, scale=1024, every=100)
+
+
+def op12_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(embeddings(spark, sf_dir), k=40, rounds=5, scale=256, size=64, seed=2).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        orchard.digest().alias("centroid_sha256"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.score_links(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"),
+                                 vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -93,9 +115,71 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op8_every_line": op8_every_line,
     "op9_exact_dedup": op9_exact_dedup,
+    "op11_topk": op11_topk,
+    "op12_orchard": op12_orchard,
+    "op13_alignment": op13_alignment,
 }
 
+
+def _clusters_sql(k: int = 40, rounds: int = 5, scale: int = 256, size: int = 64, seed: int = 2) -> str:
+    """Rounds of assignment and means, each a pair of tables."""
+    steps = [f"""
+        kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: cast(floor({scale} * cast(x AS double)) AS bigint)) AS v
+            FROM embeddings
+            WHERE len(embedding) = {size}
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+        parts AS MATERIALIZED (SELECT r, generate_subscripts(v, 1) AS j, unnest(v) AS x FROM kept),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+            FROM (SELECT sha256('{seed}:' || vec_id) AS h, v FROM kept ORDER BY h NULLS LAST, v LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+        p{i} AS MATERIALIZED (SELECT c, generate_subscripts(v, 1) AS j, unnest(v) AS x FROM c{i}),
+        a{i} AS MATERIALIZED (
+            SELECT r, c, d FROM (
+                SELECT a.r, b.c, sum((a.x - b.x) * (a.x - b.x)) AS d
+                FROM parts a JOIN p{i} b USING (j) GROUP BY ALL)
+            QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""
+        m{i} AS MATERIALIZED (
+            SELECT c, list(x ORDER BY j) AS v FROM (
+                SELECT c, j, cast(sum(x) AS bigint) AS s, count(*) AS n,
+                       (s - ((s % n) + n) % n) // n AS x
+                FROM a{i} JOIN parts USING (r) GROUP BY c, j)
+            GROUP BY c),
+        c{i + 1} AS MATERIALIZED (
+            SELECT c{i}.c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return f"""
+        WITH {",".join(steps)}
+        SELECT vec_id, cast(a.c AS int) AS cluster, cast(d AS bigint) AS distance,
+               cast(sum(d) OVER (PARTITION BY a.c) AS bigint) AS cluster_inertia,
+               cast(sum(d) OVER () AS bigint) AS inertia,
+               sha256(array_to_string(f.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN kept USING (r) JOIN c{rounds} f ON f.c = a.c
+    """
+
 SQL = {
+    "op11_topk": """
+        WITH kept AS (
+            SELECT DISTINCT vec_id,
+                   list_transform(embedding, lambda x: cast(floor(1024 * cast(x AS double)) AS bigint)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        scored AS (
+            SELECT q.vec_id AS query_id, q.v AS q, c.vec_id,
+                   cast(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0) AS bigint) AS score
+            FROM kept q JOIN kept c ON len(q.v) = len(c.v) AND (q.vec_id IS DISTINCT FROM c.vec_id OR q.v <> c.v)
+            WHERE q.vec_id % 100 = 0)
+        SELECT query_id, cast(row_number() OVER (PARTITION BY query_id, q ORDER BY score DESC, vec_id) AS int) AS rank,
+               vec_id, score
+        FROM scored
+        QUALIFY rank <= 10
+    """,
+    "op12_orchard": _clusters_sql(),
     "op8_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, line, n - 1 AS n, string_split(coalesce(text, ''), chr(10)) AS every
