@@ -6,7 +6,8 @@ the end that serves it best, some entries at a time, and never looks a vector up
 in a list.  What it has read of a vector gives a lower bound (each list unread
 gives at least its worst part) and an upper bound (at most the part last read
 there).  It stops when all but a short list of vectors have upper bounds below the
-k-th lower bound, and resolves the scores of that list.
+k-th lower bound, and resolves the scores of that list; short is a list that takes
+less to resolve than the lists' rest takes to read.
 
 Queries and candidates meet as blocks: a task holds one block of each, so no row
 is paired with a row outside its task's two blocks, and what leaves a task is k
@@ -24,26 +25,26 @@ from contrail.llm.common import shuffle_width, stored
 from contrail.llm.vectors import EXACT, matrix, quantised
 
 #: Parts of the lists that have been read at each look at the bounds.
-DEPTHS = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1)
+DEPTHS = (1 / 16, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 1)
 
 #: Rows of a block of candidates, at least and at most, and of a block of queries.
 CANDIDATES, QUERIES = (1 << 12, 1 << 16), 1 << 12
 
 
 class Lists:
-    """The sorted lists of a block: for each component its rows by rising value."""
+    """The sorted lists of a block, two for each component: its rows by falling value
+    and, at the same place plus the number of components, by rising value."""
 
     def __init__(self, values: np.ndarray):
-        self.values = values                                      # rows x components
-        self.up = np.argsort(values, axis=0, kind="stable").T     # components x places
-        self.sorted = np.take_along_axis(values.T, self.up, axis=1)
+        self.values = values                                        # rows x components
+        up = np.argsort(values, axis=0, kind="stable").T
+        self.rows = np.concatenate((up[:, ::-1], up))               # lists x places
+        # doubles hold these whole numbers (quantised() sees to it)
+        self.parts = np.take_along_axis(np.concatenate((values.T, values.T)), self.rows, axis=1).astype(np.float64)
 
-    def read(self, lists: np.ndarray, begin: int, end: int, rising: np.ndarray):
-        """Rows and values at places ``begin`` to ``end`` of some lists, each read
-        from its low end where ``rising`` and else from its high end."""
-        n = self.up.shape[1]
-        places = np.where(rising[:, None], np.arange(begin, end), np.arange(n - 1 - begin, n - 1 - end, -1))
-        return self.up[lists[:, None], places], self.sorted[lists[:, None], places]
+    def read(self, lists: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and values at places ``begin`` to ``end`` of some lists."""
+        return self.rows[lists, begin:end], self.parts[lists, begin:end]
 
 
 def search(query: np.ndarray, lists: Lists, k: int, own: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -55,32 +56,41 @@ def search(query: np.ndarray, lists: Lists, k: int, own: int = -1) -> tuple[np.n
     peak = int(np.abs(query).max(initial=0)) * int(np.abs(values).max(initial=0)) * max(1, size)
     kind = np.float64 if 4 * peak < EXACT else object   # Python's whole numbers beyond doubles
     weights = query[used].astype(kind)
-    rising = query[used] < 0
-    worst = weights * np.where(rising, lists.sorted[used, -1], lists.sorted[used, 0]).astype(kind)
+    # each list is read from the end that serves the query best
+    mine = used + np.where(query[used] < 0, size, 0)
+    worst = weights * lists.parts[mine, -1].astype(kind)
     over = np.zeros(n, kind)                        # parts read, less those lists' worst
-    seen = np.zeros((n, len(used)), kind)
+    seen = np.zeros((len(used), n), np.float32)
+    row = np.arange(len(used))[:, None]
     rest, done = np.ones(n, bool), 0
     if own >= 0:
         rest[own] = False
     for depth in DEPTHS if len(used) and rest.sum() > 4 * k else ():
         upto = max(done + 1, int(n * depth))
-        rows, parts = lists.read(used, done, upto, rising)
-        parts = parts * weights[:, None]
-        gain = (parts - worst[:, None]).ravel()
+        rows, parts = lists.read(mine, done, upto)
+        gain = parts.astype(kind, copy=False) * weights[:, None]
+        last = gain[:, -1] - worst                  # an unread list gives no more than this
+        gain -= worst[:, None]
         if kind is object:
-            np.add.at(over, rows.ravel(), gain)
+            np.add.at(over, rows.ravel(), gain.ravel())
         else:
-            over += np.bincount(rows.ravel(), gain, n)
-        seen[rows, np.arange(len(used))[:, None]] = 1
-        done, last = upto, parts[:, -1]
-        if upto == n:
+            over += np.bincount(rows.ravel(), gain.ravel(), n)
+        done = upto
+        if done == n:
             break
-        # an unread list gives at most the part last read; the worst part cancels out
-        upper = over + (last - worst).sum() - seen @ (last - worst)
+        seen[row, rows] = 1
         lower = over[rest]
         kth = np.sort(lower)[-k] if kind is object else np.partition(lower, len(lower) - k)[-k]
-        rest &= upper >= kth
-        if rest.sum() <= 4 * k:
+        most = last.sum()
+        if most >= kth:
+            continue                                # vectors not met at all may still qualify
+        if kind is object:
+            rest &= over + most - last @ seen.astype(object) >= kth
+        else:                                       # single precision, with room for its error
+            slack = 2.0 ** -22 * len(used) * most + 1
+            rest &= over + (most + slack) - last.astype(np.float32) @ seen >= kth
+        # resolving the vectors left by looking at them is less than reading on
+        if rest.sum() <= max(4 * k, (n - done) // 4):
             break
     found = np.flatnonzero(rest)
     if kind is object:
