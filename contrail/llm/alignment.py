@@ -5,8 +5,8 @@ ends, so a text gives two rising lists of ends.  The shorter list drives: for ea
 of its ends an exponential search from the last position brackets the place in the
 longer list and a binary search finds it.  The ends that both lists hold cut the
 text into groups, the smallest runs of tokens of either side that cover the same
-bytes.  The position of an end in the other list is also its rank there, and the
-ranks before and after a token bound the tokens of the other side that it overlaps.
+bytes.  The place found for an end is also its rank in the other list, and the ranks
+of a token's two ends bound the tokens of the other side that it overlaps.
 
 Corpus-wide counts of linked pairs of ids start as sums within a task, so a pair
 that every text holds is one row a task.  To put the counts back on the documents,
@@ -40,25 +40,29 @@ SHARE = 2.0 ** -17
 HELD = 1 << 20
 
 
-def common_ends(one: list[int], two: list[int]) -> tuple[list[int], list[int], list[int]]:
-    """Positions in ``one`` and in ``two`` of the ends that both hold, and of every
-    end of the shorter list its rank in the longer: how many there are smaller."""
+def common_ends(one: list[int], two: list[int]) -> tuple[list[int], list[int]]:
+    """Positions in ``one`` and in ``two`` of the ends that both hold."""
     if len(one) > len(two):
-        theirs, mine, ranks = common_ends(two, one)
-        return mine, theirs, ranks
+        return common_ends(two, one)[::-1]
     n, low = len(two), 0
-    mine, theirs, ranks = [], [], []
+    two = [*two, float("inf")]
+    mine, theirs = [], []
     for i, end in enumerate(one):
-        high, step = low, 1
-        while high < n and two[high] < end:      # the bracket doubles
-            low, high, step = high + 1, high + step, step * 2
-        low = bisect_left(two, end, low, min(high, n))
-        ranks.append(low)
-        if low < n and two[low] == end:
+        if two[low] < end:
+            low = _gallop(two, end, low, n)
+        if two[low] == end:
             mine.append(i)
             theirs.append(low)
             low += 1
-    return mine, theirs, ranks
+    return mine, theirs
+
+
+def _gallop(ends: list[int], end: int, low: int, n: int) -> int:
+    """First place after ``low`` whose end is not smaller: the bracket doubles, then halves."""
+    step, high = 1, low + 1
+    while high < n and ends[high] < end:
+        low, high, step = high, high + 2 * step, step * 2
+    return bisect_left(ends, end, low + 1, min(high, n))
 
 
 #: Bytes of a text whose ends are compared at once.
@@ -71,7 +75,7 @@ def aligned_ends(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarr
     cuts = np.arange(SPAN, (int(one[-1]) if len(one) else 0) + SPAN, SPAN)
     i = j = 0
     for up_to_i, up_to_j in zip(np.searchsorted(one, cuts).tolist(), np.searchsorted(two, cuts).tolist()):
-        a, b, _ = common_ends(one[i:up_to_i].tolist(), two[j:up_to_j].tolist())
+        a, b = common_ends(one[i:up_to_i].tolist(), two[j:up_to_j].tolist())
         mine.append(np.array(a, np.int64) + i)
         theirs.append(np.array(b, np.int64) + j)
         i, j = up_to_i, up_to_j
@@ -83,13 +87,14 @@ def aligned_ends(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def overlaps(ends: list[int], other: list[int]) -> list[tuple[int, int]]:
     """For each token that ends at ``ends`` the range (end exclusive) of the tokens
     of the other side that share a byte with it, from the ranks of its two ends.
-    Both lists cover the same bytes and ``ends`` is not the longer one."""
-    _, _, ranks = common_ends(ends, other)
-    begin, out = 0, []
-    for end, rank in zip(ends, ranks):
+    Both lists cover the same bytes."""
+    begin, rank, out = 0, 0, []
+    for end in ends:
+        if other[rank] < end:
+            rank = _gallop(other, end, rank, len(other))
         out.append((begin, rank + 1))
         # a token that goes on beyond this end also overlaps the next one
-        begin = rank + 1 if other[rank] == end else rank
+        rank = begin = rank + (other[rank] == end)
     return out
 
 
@@ -138,27 +143,33 @@ class PieceSide:
     """Tokens of the sentencepiece model at ``path``, which itself puts a space
     before a text; ``text`` here already has that space.
 
-    Where no token of the model holds a space after another character, merges never
-    cross such a place, and a text is encoded in pieces that begin with spaces.
+    Where no token of the model holds a space after another character, and none a
+    line end beside another character, merges never cross such places, and a text is
+    encoded in pieces that begin with spaces or a line end.
     """
 
     def __init__(self, path: str):
         self.path = path
-        inner = any(" " in t.lstrip(b" ").decode("utf-8", "replace") for t in _piece_table(path))
-        self.whole = inner
+        self.whole = any(b" " in t.lstrip(b" ") or len(t) > 1 and b"\n" in t for t in _piece_table(path))
 
     def pieces(self, text: str) -> list[str]:
-        # one last space goes with the word before: the library gives "" no tokens
-        return [text] if self.whole else re.findall(r" +[^ ]+(?: \Z)?| +", text)
+        # one space before a line end or the end of the text is no piece by itself, as
+        # the library gives "" no tokens
+        return [text] if self.whole else _SPACED.findall(text)
 
     @property
     def table(self) -> list[bytes]:
         return _piece_table(self.path)
 
     def encode(self, piece: str) -> list[int]:
+        if piece[0] == "\n":      # the library's own space is the first token
+            return _processor(self.path).encode(piece)[1:]
         return _processor(self.path).encode(piece[1:])
 
 
+_SPACED = re.compile(r" +\n?[^ \n]*(?: \Z)?|\n[^ \n]*(?: \Z)?")
+
+
 @functools.lru_cache(maxsize=2)
 def _processor(path: str):
     import sentencepiece
@@ -181,7 +192,7 @@ class Encoder:
     def __init__(self, side):
         self.side, self.table = side, side.table
         self.lengths = np.array([len(t) for t in self.table], np.int64)
-        self.cache = RecurringCache(self._make, 200_000)
+        self.cache = RecurringCache(self._make, 400_000)
 
     def _make(self, piece: str) -> bytes:
         ids = self.side.encode(piece)
