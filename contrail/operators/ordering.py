@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.operators.ranges import with_ranges
+
 
 def with_row_number(ordered: DataFrame, name: str = "row_number") -> DataFrame:
     """``ordered`` (the result of a global sort) with the place of each row from 1.
@@ -21,30 +23,27 @@ def with_row_number(ordered: DataFrame, name: str = "row_number") -> DataFrame:
         name, (F.col("__before") + F.col("__i") + 1).cast("long")).drop("__p", "__i", "__before")
 
 
-def running(df: DataFrame, key: str, ts: str, tie: str, value: str) -> DataFrame:
+def running(df: DataFrame, key: str, ts: str, tie: str, value: str,
+            range_rows: int | None = None) -> DataFrame:
     """``df`` with ``diff`` (to the value before), ``running`` (sum so far) and
     ``row_index`` (from 0) of each ``key`` in order of ``ts``, then ``tie``.
 
-    Rows are windowed by key and day; what a day inherits comes from one row per
-    (key, day), so a key's whole history never meets in one task.
+    A key with a large share of the rows is cut into ranges, and what a range
+    inherits comes from one row a (key, range).
     """
-    day = F.to_date(ts)
-    parts = ["__key", "__day"]
-    rows = df.withColumn("__key", F.col(key)).withColumn("__day", day)
-    within = Window.partitionBy(*parts).orderBy(ts, tie)
+    ranged = with_ranges(df, [key], [ts, tie], range_rows)
+    before = ranged.before()
+    within = ranged.window([F.col(f"`{ts}`"), F.col(f"`{tie}`")])
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days = rows.groupBy(*parts).agg(F.sum(value).alias("__sum"), F.count("*").alias("__n"),
-                                    F.max_by(value, F.struct(ts, tie)).alias("__last"))
-    by_day = Window.partitionBy("__key").orderBy("__day")
-    earlier = by_day.rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.select(
-        F.col("__key").alias("__k"), F.col("__day").alias("__d"), F.sum("__sum").over(earlier).alias("__sum"),
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n"), F.lag("__last").over(by_day).alias("__last"))
-    placed = rows.select(
-        "*", F.lag(value).over(within).alias("__lag"), F.sum(value).over(upto).alias("__run"),
-        F.row_number().over(within).alias("__row"))
-    joined = placed.join(carried, F.col("__key").eqNullSafe(F.col("__k")) & F.col("__day").eqNullSafe(F.col("__d")))
+    rows = ranged.inherited(
+        ranged.rows, [F.sum(value).alias("__s"), F.count(F.lit(1)).alias("__c"),
+                      F.max_by(value, F.struct(ts, tie)).alias("__l")],
+        [F.sum("__s").over(before).alias("__sum"), F.sum("__c").over(before).alias("__n"),
+         F.lag("__l").over(ranged.by_range()).alias("__last")])
+    placed = rows.select("*", F.lag(value).over(within).alias("__lag"), F.sum(value).over(upto).alias("__run"),
+                         F.row_number().over(within).alias("__row"))
     lag = F.when(F.col("__row") == 1, F.col("__last")).otherwise(F.col("__lag"))
     total = F.coalesce(F.col("__run") + F.col("__sum"), F.col("__run"), F.col("__sum"))
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(value) - lag).alias("diff"),
-                         total.alias("running"), (F.col("__n") + F.col("__row") - 1).cast("int").alias("row_index"))
+    index = F.coalesce("__n", F.lit(0)) + F.col("__row") - 1
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(value) - lag).alias("diff"),
+                         total.alias("running"), index.cast("int").alias("row_index"))

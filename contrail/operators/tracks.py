@@ -1,19 +1,14 @@
 """Position-track operators: gaps and legs (W3-W5), jump filter (W6),
 bearings (W7), last-per-bucket (A7) and bounding boxes (A9).
 
-Skew: per-key windows would send a hot flight code (or a hot user in the
-driver data) to a single task.  Gap/segment logic therefore partitions by
-``(key, time bucket)`` (default one day).  The state that crosses a bucket
-edge (the previous point's time, the number of leg starts so far, the start
-of the latest leg) is computed on a small per-``(key, bucket)`` summary table
-and joined back on ``(key, bucket)``, the partitioning the rows already
-have.
+Skew: a key that holds a large share of the rows is cut into ranges of its
+order (see :mod:`contrail.operators.ranges`); the state that crosses a range's
+edge (the previous point's time, the number of leg starts so far, the start of
+the latest leg) comes from one row a (key, range).
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,9 +16,9 @@ from pyspark.sql import types as T
 
 from contrail.functions.geo import EARTH_RADIUS_KM, bearing_deg
 from contrail.functions.time import epoch_micros, minute_label, truncate_minutes
+from contrail.operators.ranges import Ranged, with_ranges
 
 HOUR_US = 3_600_000_000
-DAY = timedelta(days=1)
 
 
 def _q(n: str) -> str:
@@ -35,80 +30,69 @@ def _ts_kind(df: DataFrame, ts: str) -> str:
         else "timestamp_ntz"
 
 
-def with_previous_time(df: DataFrame, keys: list[str], ts: str,
-                       bucket: timedelta = DAY, order: list[str] | None = None) -> DataFrame:
-    """Adds ``__t`` (epoch micros), ``__b`` (time bucket) and ``__prev``
-    (epoch micros of the previous row of the same key in time order; null on
-    the key's first row).  Rows with a null key or time are dropped."""
-    width = int(bucket.total_seconds() * 1_000_000)
-    order = list(order or [])
-    pts = (df.dropna(subset=[*keys, ts])
-             .withColumn("__t", epoch_micros(ts, _ts_kind(df, ts)))
-             .withColumn("__b", F.floor(F.col("__t") / F.lit(width))))
-    # last time of every (key, bucket), then of the previous non-empty bucket
-    summary = pts.groupBy(*keys, "__b").agg(F.max("__t").alias("__bmax"))
-    carry = summary.select(
-        *keys, "__b",
-        F.lag("__bmax").over(Window.partitionBy(*keys).orderBy("__b")).alias("__carry"))
-    # one marker row per bucket carrying the previous bucket's last time
-    markers = carry.where(F.col("__carry").isNotNull()).select(
-        *keys, "__b", F.col("__carry").alias("__t"), F.lit(True).alias("__marker"))
-    rows = pts.withColumn("__marker", F.lit(False))
-    cols = [c for c in rows.columns]
-    for c in cols:
-        if c not in markers.columns:
-            markers = markers.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
-    both = rows.unionByName(markers.select(cols))
-    w = Window.partitionBy(*keys, "__b").orderBy(
-        F.col("__t"), F.col("__marker").desc(), *[F.col(_q(o)) for o in order])
-    return (both.withColumn("__prev", F.lag("__t").over(w))
-                .where(~F.col("__marker")).drop("__marker"))
-
-
-def gap_hours(df: DataFrame, keys: list[str], ts: str, bucket: timedelta = DAY,
-              order: list[str] | None = None) -> DataFrame:
+def _timed(df: DataFrame, keys: list[str], ts: str, order: list[str] | None,
+           range_rows: int | None) -> tuple[Ranged, list]:
+    """Rows with ``__t`` (epoch micros) and their ranges; rows with a null key or time go."""
+    pts = df.dropna(subset=[*keys, ts]).withColumn("__t", epoch_micros(ts, _ts_kind(df, ts)))
+    order = ["__t", *(order or [])]
+    return with_ranges(pts, keys, order, range_rows), [F.col(_q(o)) for o in order]
+
+
+def _with_previous(ranged: Ranged, order: list) -> DataFrame:
+    """Adds ``__prev``: ``__t`` of the key's row before, null on its first row."""
+    rows = ranged.inherited(ranged.rows, [F.max("__t").alias("__last")],
+                            [F.lag("__last").over(ranged.by_range()).alias("__edge")])
+    return rows.withColumn("__prev", F.coalesce(F.lag("__t").over(ranged.window(order)), "__edge")).drop("__edge")
+
+
+def with_previous_time(df: DataFrame, keys: list[str], ts: str, order: list[str] | None = None,
+                       range_rows: int | None = None) -> DataFrame:
+    """Adds ``__t`` (epoch micros) and ``__prev`` (epoch micros of the previous row of
+    the same key in time order; null on the key's first row).  Rows with a null key or
+    time are dropped."""
+    ranged, by = _timed(df, keys, ts, order, range_rows)
+    return ranged.plain(_with_previous(ranged, by))
+
+
+def _gap():
+    return F.coalesce(F.floor((F.col("__t") - F.col("__prev")) / F.lit(HOUR_US)), F.lit(0)).cast("double")
+
+
+def gap_hours(df: DataFrame, keys: list[str], ts: str, order: list[str] | None = None,
+              range_rows: int | None = None) -> DataFrame:
     """Whole elapsed hours since the key's previous row (first row: 0).
 
     Truncating, like ``total_hours()`` of a duration: 15 h 59 m -> 15.
     """
-    out = with_previous_time(df, keys, ts, bucket, order)
-    gap = F.coalesce(F.floor((F.col("__t") - F.col("__prev")) / F.lit(HOUR_US)), F.lit(0))
-    return out.withColumn("gap_hours", gap.cast("double"))
+    return with_previous_time(df, keys, ts, order, range_rows).withColumn("gap_hours", _gap())
 
 
 def with_segments(df: DataFrame, keys: list[str], ts: str, max_gap_hours: float = 15.0,
-                  bucket: timedelta = DAY, order: list[str] | None = None) -> DataFrame:
+                  order: list[str] | None = None, range_rows: int | None = None) -> DataFrame:
     """``segment_id`` = number of gaps > ``max_gap_hours`` up to the row
     (running per key, from 0).  Also adds ``gap_hours``."""
-    g = gap_hours(df, keys, ts, bucket, order)
-    g = g.withColumn("__start", (F.col("gap_hours") > F.lit(float(max_gap_hours))).cast("int"))
-    # starts per (key, bucket) and the count in all earlier buckets of the key
-    per_bucket = g.groupBy(*keys, "__b").agg(F.sum("__start").alias("__n"))
-    before = per_bucket.select(
-        *keys, "__b",
-        F.coalesce(F.sum("__n").over(
-            Window.partitionBy(*keys).orderBy("__b")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
-    g = g.join(before, [*keys, "__b"], "left")
-    w = (Window.partitionBy(*keys, "__b")
-         .orderBy("__t", *[F.col(_q(o)) for o in (order or [])])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return g.withColumn("segment_id",
-                        (F.col("__offset") + F.sum("__start").over(w)).cast("long"))
+    ranged, by = _timed(df, keys, ts, order, range_rows)
+    g = _with_previous(ranged, by).withColumn("gap_hours", _gap())
+    g = ranged.stored(g.withColumn("__start", (F.col("gap_hours") > F.lit(float(max_gap_hours))).cast("int")))
+    g = ranged.inherited(g, [F.sum("__start").alias("__n")],
+                         [F.sum("__n").over(ranged.before()).alias("__offset")])
+    upto = ranged.window(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranged.plain(g.withColumn("segment_id", (F.coalesce("__offset", F.lit(0)) + F.sum("__start").over(upto))
+                                     .cast("long")).drop("__offset"))
 
 
 def latest_segment(df: DataFrame, keys: list[str], ts: str, max_gap_hours: float = 15.0,
-                   bucket: timedelta = DAY, order: list[str] | None = None) -> DataFrame:
+                   order: list[str] | None = None, range_rows: int | None = None) -> DataFrame:
     """Only the rows of each key's latest leg (after its last long gap)."""
-    g = gap_hours(df, keys, ts, bucket, order)
-    is_start = (F.col("__prev").isNull()) | (F.col("gap_hours") > F.lit(float(max_gap_hours)))
-    g = g.withColumn("__start_t", F.when(is_start, F.col("__t")))
-    per_bucket = g.groupBy(*keys, "__b").agg(F.max("__start_t").alias("__bstart"))
-    latest = per_bucket.select(
-        *keys, "__b",
-        F.max("__bstart").over(Window.partitionBy(*keys)).alias("__latest"))
-    out = g.join(latest, [*keys, "__b"], "inner").where(F.col("__t") >= F.col("__latest"))
-    return out.select(*df.columns)
+    ranged, by = _timed(df, keys, ts, order, range_rows)
+    g = _with_previous(ranged, by)
+    is_start = F.col("__prev").isNull() | (_gap() > F.lit(float(max_gap_hours)))
+    g = ranged.stored(g.withColumn("__start_t", F.when(is_start, F.col("__t"))))
+    whole_key = ranged.by_range().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    g = ranged.inherited(g, [F.max("__start_t").alias("__n")], [F.max("__n").over(whole_key).alias("__latest")])
+    here = F.max("__start_t").over(ranged.whole())
+    return (g.withColumn("__here", F.coalesce("__latest", here)).where(F.col("__t") >= F.col("__here"))
+            .select(*[_q(c) for c in df.columns]))
 
 
 def _haversine_np(lat1, lon1, lat2, lon2):
@@ -372,37 +356,26 @@ def bucket_positions(df: DataFrame, minutes: int = 15, key: str = "flight_code",
                       minute_label("time_bucket").alias("time_label"))
 
 
-def with_bearings(df: DataFrame, keys: list[str], order: list[str],
-                  lat: str = "lat", lng: str = "lng", bucket: timedelta = DAY) -> DataFrame:
+def with_bearings(df: DataFrame, keys: list[str], order: list[str], lat: str = "lat", lng: str = "lng",
+                  range_rows: int | None = None) -> DataFrame:
     """Bearing from the previous point; the first point looks ahead to
-    the next; a lone point gets 0.0.
-
-    ``order[0]`` is the time column.  Rows are partitioned by (track, day):
-    the last point of the previous non-empty day and the first point of the
-    next one come from a tiny per-(track, day) summary, so no track has to
-    fit one task.
-    """
-    width = int(bucket.total_seconds() * 1_000_000)
-    ts = order[0]
+    the next; a lone point gets 0.0.  ``order`` starts with the time column."""
+    ranged = with_ranges(df, keys, order, range_rows)
     rank = F.struct(*[F.col(_q(o)) for o in order])
-    pt = F.struct(F.col(lat).alias("la"), F.col(lng).alias("lo"))
-    rows = df.withColumn("__d", F.floor(epoch_micros(ts, _ts_kind(df, ts)) / F.lit(width)))
-    wd = Window.partitionBy(*keys).orderBy("__d")
-    edges = (rows.groupBy(*keys, "__d")
-                 .agg(F.min_by(pt, rank).alias("__first"), F.max_by(pt, rank).alias("__last"))
-                 .select(*keys, "__d", F.lag("__last").over(wd).alias("__before"),
-                         F.lead("__first").over(wd).alias("__after")))
-    w = Window.partitionBy(*keys, "__d").orderBy(*[F.col(_q(o)) for o in order])
-    j = rows.join(edges, [*keys, "__d"], "left")
-    prev = F.coalesce(F.lag(pt).over(w), F.col("__before"))
-    nxt = F.coalesce(F.lead(pt).over(w), F.col("__after"))
-    j = j.withColumn("__prev", prev).withColumn("__next", nxt)
+    pt = F.struct(F.col(_q(lat)).alias("la"), F.col(_q(lng)).alias("lo"))
+    rows = ranged.inherited(
+        ranged.rows, [F.min_by(pt, rank).alias("__first"), F.max_by(pt, rank).alias("__last")],
+        [F.lag("__last").over(ranged.by_range()).alias("__before"),
+         F.lead("__first").over(ranged.by_range()).alias("__after")])
+    w = ranged.window([F.col(_q(o)) for o in order])
+    j = rows.withColumn("__prev", F.coalesce(F.lag(pt).over(w), "__before")) \
+            .withColumn("__next", F.coalesce(F.lead(pt).over(w), "__after"))
     b = (F.when(F.col("__prev").isNotNull(),
-                bearing_deg(F.col("__prev.la"), F.col("__prev.lo"), F.col(lat), F.col(lng)))
+                bearing_deg(F.col("__prev.la"), F.col("__prev.lo"), F.col(_q(lat)), F.col(_q(lng))))
           .when(F.col("__next").isNotNull(),
-                bearing_deg(F.col(lat), F.col(lng), F.col("__next.la"), F.col("__next.lo")))
+                bearing_deg(F.col(_q(lat)), F.col(_q(lng)), F.col("__next.la"), F.col("__next.lo")))
           .otherwise(F.lit(0.0)))
-    return j.withColumn("bearing", b).select(*df.columns, "bearing")
+    return j.withColumn("bearing", b).select(*[_q(c) for c in df.columns], "bearing")
 
 
 def track_bounds(df: DataFrame, keys: list[str], center_lat: float, center_lng: float,
