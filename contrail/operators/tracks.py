@@ -10,13 +10,15 @@ the latest leg) comes from one row a (key, range).
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.geo import EARTH_RADIUS_KM, bearing_deg
 from contrail.functions.time import epoch_micros, minute_label, truncate_minutes
-from contrail.operators.ranges import Ranged, with_ranges
+from contrail.operators.ranges import RANGE, Ranged, same, with_ranges
+from contrail.session import scratch_path
 
 HOUR_US = 3_600_000_000
 
@@ -166,172 +168,198 @@ class _JumpFold:
         return keep
 
 
-def _chunk_keys(pdf, cols: list[str]) -> np.ndarray:
-    """One comparable string per row identifying its (track[, chunk])."""
-    out = pdf[cols[0]].astype(str)
-    for c in cols[1:]:
-        out = out + "\x00" + pdf[c].astype(str)
-    return out.to_numpy(dtype=object)
+class _Sequences:
+    """Numbers the runs of equal key columns over the batches of a sorted partition;
+    null equals null."""
+
+    def __init__(self, names: list[str]):
+        self.names, self.number, self.last = names, 0, None
+
+    def of(self, batch: pa.RecordBatch) -> np.ndarray:
+        new = np.zeros(batch.num_rows, bool)
+        for name in self.names:
+            codes = batch.column(name).dictionary_encode(null_encoding="encode").indices.to_numpy()
+            new[1:] |= codes[1:] != codes[:-1]
+        first = [batch.column(n)[0].as_py() for n in self.names]
+        new[0] = self.last is not None and first != self.last
+        self.last = [batch.column(n)[-1].as_py() for n in self.names]
+        out = self.number + np.cumsum(new)
+        self.number = int(out[-1])
+        return out
+
+
+def _floats(table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy().astype("float64") if isinstance(table, pa.Table) \
+        else table.column(name).to_numpy(zero_copy_only=False).astype("float64")
+
+
+def _fresh_fold(chunk: list[str], lat: str, lng: str, max_km: float):
+    """Sorted rows with ``__keep`` of a fold that keeps each chunk's first point, and
+    ``__i``, a number that rises within a chunk."""
+
+    def run(batches):
+        state, sequences, at = _JumpFold(max_km), _Sequences(chunk), 0
+        for batch in batches:
+            if batch.num_rows:
+                keep = state.keep_mask(sequences.of(batch), _floats(batch, lat), _floats(batch, lng))
+                place = np.arange(at, at + batch.num_rows)
+                at += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place), pa.array(keep)],
+                                                 names=[*batch.schema.names, "__i", "__keep"])
+
+    return run
+
+
+def _fold_from(rows: pa.Table, entry: tuple[float, float], lat: str, lng: str, max_km: float) -> np.ndarray:
+    """Which rows of a chunk are kept when the last point kept before it is ``entry``."""
+    state = _JumpFold(max_km)
+    state.key, state.ref = 0, entry
+    return state.keep_mask(np.zeros(rows.num_rows, np.int64), _floats(rows, lat), _floats(rows, lng))
+
+
+def _walk(keys: list[str], max_km: float, window: int):
+    """What is known of a track's chunks -> the entry points of the chunks that its
+    true fold enters out of reach (``ask`` false), and where the first unknown stands,
+    the chunks to fold from that entry next (``ask`` true).
+
+    A chunk whose first point is in reach of the entry keeps that point, as the fresh
+    fold does, and from a common point on two folds coincide: its exit is the fresh one.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.drop_columns(keys).to_pylist()
+        chunks = sorted((r for r in rows if r["x_la"] is None), key=lambda r: r[RANGE])
+        known = {(r[RANGE], r["la"], r["lo"]): (r["x_la"], r["x_lo"]) for r in rows if r["x_la"] is not None}
+        out, here = [], None
+        for i, c in enumerate(chunks):
+            fresh = (c["f_la"], c["f_lo"])
+            if here is None or _haversine_np(*here, c["la"], c["lo"]) <= max_km:
+                here = fresh
+                continue
+            exit_ = known.get((c[RANGE], *here))
+            if exit_ is None:
+                out += [(d[RANGE], *here, True) for d in chunks[i:i + window] if (d[RANGE], *here) not in known]
+                break
+            out.append((c[RANGE], *here, False))
+            here = exit_
+        columns = [*zip(*out)] or [[]] * 4
+        return pa.table([*(pa.concat_arrays([table.column(k).slice(0, 1).combine_chunks()] * len(out))
+                           if out else table.column(k).slice(0, 0) for k in keys),
+                         pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.float64()),
+                         pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.bool_())],
+                        names=[*keys, RANGE, "la", "lo", "ask"])
+
+    return run
+
+
+def _exits(keys: list[str], lat: str, lng: str, max_km: float):
+    """A chunk's rows and the entries asked of it -> the exit of each entry; the entry
+    itself where the chunk has no point in reach."""
+
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        rows = rows.sort_by("__i")
+        la, lo, ends = _floats(rows, lat), _floats(rows, lng), []
+        for entry in zip(_floats(asked, "la").tolist(), _floats(asked, "lo").tolist()):
+            kept = np.flatnonzero(_fold_from(rows, entry, lat, lng, max_km))
+            ends.append((la[kept[-1]], lo[kept[-1]]) if len(kept) else entry)
+        return pa.table([*(asked.column(f"__a{i}") for i in range(len(keys))), asked.column("__ar").cast(pa.int32()),
+                         asked.column("la"), asked.column("lo"),
+                         pa.array([e[0] for e in ends], pa.float64()), pa.array([e[1] for e in ends], pa.float64())],
+                        names=[*keys, RANGE, "la", "lo", "x_la", "x_lo"])
+
+    return run
+
+
+def _refolded(keys: list[str], names: list[str], lat: str, lng: str, max_km: float):
+    """The rows of a chunk that the fold from its entry keeps."""
+
+    def run(rows: pa.Table, entry: pa.Table) -> pa.Table:
+        if not rows.num_rows or not entry.num_rows:
+            return rows.select(names).slice(0, 0)
+        rows = rows.sort_by("__i")
+        kept = _fold_from(rows, (entry.column("la")[0].as_py(), entry.column("lo")[0].as_py()), lat, lng, max_km)
+        return rows.filter(pa.array(kept)).select(names)
+
+    return run
+
+
+def jump_entries(folded: DataFrame, keys: list[str], rank: Column, lat: str, lng: str,
+                 max_km: float) -> tuple[DataFrame, int]:
+    """Entry points (``la``, ``lo``) of the chunks that the true fold enters out of
+    reach of their first point, from the stored fresh folds; and the rounds it took.
+
+    A chunk is a map from entry point to exit.  Almost all of it is one value, the
+    exit of the fresh fold; the others are found when a track's walk over its chunks
+    needs them.  An entry that a chunk lets pass is asked of twice as many chunks ahead
+    in the next round, so a point that outlasts ``r`` ranges takes log2(r) rounds.
+    Tables of a round hold some numbers a range.
+    """
+    pt = F.struct(F.col(_q(lat)).cast("double").alias("la"), F.col(_q(lng)).cast("double").alias("lo"))
+    chunk = [*map(_q, keys), RANGE]
+    key_types = ", ".join(f"`{k}` {folded.schema[k].dataType.simpleString()}" for k in keys)
+    none = F.lit(None).cast("double")
+    fresh = folded.groupBy(*chunk).agg(
+        F.min_by(pt, rank).alias("__f"), F.max_by(F.when(F.col("__keep"), pt), F.when(F.col("__keep"), rank)).alias("__e"))
+    state = fresh.select(*chunk, "__f.la", "__f.lo", F.col("__e.la").alias("f_la"), F.col("__e.lo").alias("f_lo"),
+                         none.alias("x_la"), none.alias("x_lo")).checkpoint()
+    for round_ in range(1, 1 << 30):
+        entries = state.groupBy(*map(_q, keys)).applyInArrow(
+            _walk(keys, max_km, 4 << round_), f"{key_types}, {RANGE} int, la double, lo double, ask boolean").checkpoint()
+        asked = entries.where("ask").select(
+            *[F.col(_q(k)).alias(f"__a{i}") for i, k in enumerate(keys)], F.col(RANGE).alias("__ar"), "la", "lo")
+        if asked.isEmpty():
+            return entries.drop("ask"), round_
+        of = [f"__a{i}" for i in range(len(keys))]
+        some = F.broadcast(asked.select(*of, "__ar").distinct())
+        rows = folded.join(some, same([F.col(_q(k)) for k in keys], map(F.col, of)) & (F.col(RANGE) == F.col("__ar")),
+                           "left_semi").select(*chunk, "__i", _q(lat), _q(lng))
+        found = rows.groupBy(*chunk).cogroup(asked.groupBy(*of, "__ar")).applyInArrow(
+            _exits(keys, lat, lng, max_km),
+            f"{key_types}, {RANGE} int, la double, lo double, x_la double, x_lo double")
+        state = state.unionByName(found.select(
+            *chunk, "la", "lo", none.alias("f_la"), none.alias("f_lo"), "x_la", "x_lo")).checkpoint()
 
 
 def filter_jumps(df: DataFrame, keys: list[str], ts: str, max_km: float = 400.0,
                  lat: str = "lat", lng: str = "lng", order: list[str] | None = None,
-                 chunks: int | None = None, max_rounds: int = 1000,
-                 chunk_bytes: int = 128 << 20) -> DataFrame:
+                 chunks: int | None = None, range_rows: int | None = None) -> DataFrame:
     """In time order keep a point when it lies within ``max_km`` of the
-    last *kept* point of its track; a track's first point is always kept.
-
-    The rule is a fold (path dependent), yet one long track must not become
-    one task.  Exact parallel form:
-
-    1. Rows are range-partitioned by (track, time) into ordered, balanced
-       ranges (one per ``chunk_bytes`` of stored input unless ``chunks`` is
-       given), so a long track is split over many tasks.  Each
-       (track, range) chunk is folded as if it started fresh (its first point
-       kept) in one Arrow-batched pass with O(1) state; the result is
-       written to the shared checkpoint folder.
-       Input under ``chunk_bytes`` is instead hash-partitioned by track
-       (every track whole in one task), so that fold is exact as is.
-    2. On the tiny per-chunk summary (first point, last kept point) a chunk
-       whose first point lies within ``max_km`` of the previous chunk's last
-       kept point is already exact (the true fold keeps that point and
-       restarts there).  Only the other chunks are folded again, from their
-       true entry point, and their last kept points re-checked; this repeats
-       until nothing changes (normally zero or one round).
+    last *kept* point of its track; a track's first point is always kept.  A null key
+    is a track of its own.
+
+    The rule is a fold (path dependent), yet one long track must not become one task.
+    Rows are dealt by (track, range) and each such chunk is folded as if it started
+    fresh, in one Arrow-batched pass with O(1) state.  A track of one range is done.
+    For cut tracks the folds are stored, and :func:`jump_entries` finds the chunks that
+    the true fold enters out of reach; only those are folded again, from their entry.
+    ``chunks`` asks for about as many ranges as the table were dealt to evenly.
     """
-    spark = df.sparkSession
     order = list(order or [])
-    sort_cols = [*keys, ts, *order]
     max_km = float(max_km)
-    b_schema = T.StructType(df.schema.fields + [T.StructField("__part", T.IntegerType()),
-                                                T.StructField("__keep", T.BooleanType())])
-
-    def fresh_fold(batches):
-        from pyspark import TaskContext
-        part = TaskContext.get().partitionId()
-        state = _JumpFold(max_km)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            mask = state.keep_mask(_chunk_keys(pdf, keys), pdf[lat].to_numpy(dtype="float64"),
-                                   pdf[lng].to_numpy(dtype="float64"))
-            yield pdf.assign(__part=np.int32(part), __keep=mask)
-
-    from contrail.session import scratch_path
-    root = scratch_path(spark, "jumps")
-    # the input is written once: range partitioning samples it before the
-    # shuffle, and sampling a written table does not recompute the upstream
-    df.write.parquet(f"{root}/input")
-    src = spark.read.parquet(f"{root}/input")
-    if not chunks:  # one ordered range per ~chunk_bytes of input (file metadata only)
-        chunks = max(1, -(-_stored_bytes(spark, f"{root}/input") // chunk_bytes))
-    if chunks == 1:
-        # small input: every track fits one task, so hash-partition by track
-        # (tracks stay spread over tasks) and the fresh fold is already exact
-        by_track = src.repartition(*[F.col(_q(k)) for k in keys]).sortWithinPartitions(*sort_cols)
-        return by_track.mapInPandas(fresh_fold, b_schema).where("__keep").select(*df.columns)
-    range_cols = [F.col(_q(c)) for c in sort_cols]
-    ranged = src.repartitionByRange(int(chunks), *range_cols).sortWithinPartitions(*sort_cols)
-    ranged.mapInPandas(fresh_fold, b_schema).write.parquet(f"{root}/fresh")
-    b = spark.read.parquet(f"{root}/fresh")
-
-    rank = F.struct(F.col(_q(ts)), *[F.col(_q(o)) for o in order])
-    pt = F.struct(F.col(lat).alias("la"), F.col(lng).alias("lo"))
-    summary = b.groupBy(*keys, "__part").agg(
-        F.min_by(pt, rank).alias("__first"),
-        F.max_by(F.when(F.col("__keep"), pt), F.when(F.col("__keep"), rank)).alias("__exit"))
-    # per-chunk tables are tiny (one row per track and range): kept in
-    # memory, recomputable from the written fold on executor loss
-    base = summary.select(*keys, "__part", "__first", "__exit").persist()
-    chunk = [*keys, "__part"]
-    w = Window.partitionBy(*keys).orderBy("__part")
-    exits = base
-    corrected = None
-    dirty = None
-    spent = []  # superseded per-round tables, released at the end
-    for rnd in range(max_rounds):
-        if dirty is not None:
-            spent.append(dirty)
-        # entry of a chunk = last kept point of the chunk before it
-        ent = exits.select(*chunk, "__first", F.lag("__exit").over(w).alias("__entry"))
-        far = _haversine_col("__entry", "__first") > F.lit(max_km)
-        dirty = ent.where(F.col("__entry").isNotNull() & far).select(*chunk, "__entry").persist()
-        if dirty.count() == 0:
-            corrected = None
-            break
-        corrected = _refold(b.join(dirty, chunk, "inner"), keys, sort_cols, lat, lng,
-                            max_km, f"{root}/refold{rnd}")
-        refolded_exit = corrected.groupBy(*chunk).agg(
-            F.coalesce(F.max_by(F.when(F.col("__keep"), pt), F.when(F.col("__keep"), rank)),
-                       F.first("__entry")).alias("__new_exit"))
-        # exits implied by this round: fresh ones, except the re-folded chunks
-        nxt = (base.join(refolded_exit, chunk, "left")
-                   .select(*chunk, "__first",
-                           F.coalesce("__new_exit", "__exit").alias("__exit")))
-        nxt = nxt.persist()
-        if exits is not base:
-            spent.append(exits)
-        diff = nxt.alias("n").join(exits.alias("o"), chunk, "inner") \
-                  .where(~F.col("n.__exit").eqNullSafe(F.col("o.__exit")))
-        exits = nxt
-        if diff.isEmpty():
-            break  # fixpoint: entries, dirty chunks and re-folds are consistent
-    else:
-        raise RuntimeError("jump filter did not converge")
-
-    for t in spent + [exits, base]:
-        t.unpersist()
-    keep = b.where("__keep")
-    if corrected is not None:
-        keep = (keep.join(dirty.select(*keys, "__part"), [*keys, "__part"], "left_anti")
-                    .unionByName(corrected.where("__keep").drop("__entry")))
-    return keep.select(*df.columns)
-
-
-def _stored_bytes(spark, path: str) -> int:
-    """Size of a written table from the file system's metadata."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def _haversine_col(a: str, b: str):
-    from contrail.functions.geo import haversine_km
-    return haversine_km(F.col(a).getField("la"), F.col(a).getField("lo"),
-                        F.col(b).getField("la"), F.col(b).getField("lo"))
-
-
-def _refold(rows: DataFrame, keys: list[str], sort_cols: list[str], lat: str, lng: str,
-            max_km: float, path: str) -> DataFrame:
-    """Fold the rows of the given chunks again, each starting from its
-    ``__entry`` point (the true last kept point before the chunk)."""
-    spark = rows.sparkSession
-    schema = rows.schema
-
-    def fold(batches):
-        state = _JumpFold(max_km)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            ck = _chunk_keys(pdf, [*keys, "__part"])
-            la = pdf[lat].to_numpy(dtype="float64")
-            lo = pdf[lng].to_numpy(dtype="float64")
-            starts = np.ones(len(pdf), dtype=bool)
-            starts[0] = ck[0] != state.key
-            starts[1:] = ck[1:] != ck[:-1]
-            ins = np.flatnonzero(starts)
-            # a synthetic first row per chunk stands for the entry point
-            ela = np.array([pdf["__entry"].iloc[i]["la"] for i in ins], dtype="float64")
-            elo = np.array([pdf["__entry"].iloc[i]["lo"] for i in ins], dtype="float64")
-            mask = state.keep_mask(np.insert(ck, ins, ck[ins]), np.insert(la, ins, ela),
-                                   np.insert(lo, ins, elo))
-            yield pdf.assign(__keep=np.delete(mask, ins + np.arange(len(ins))))
-
-    (rows.drop("__keep").repartition(*[F.col(_q(k)) for k in keys], "__part")
-         .sortWithinPartitions(*keys, "__part", *sort_cols[len(keys):])
-         .mapInPandas(fold, schema).write.parquet(path))
-    return spark.read.parquet(path)
+    if chunks:
+        range_rows = max(1, df.count() // chunks)
+    ranged = with_ranges(df, keys, [ts, *order], range_rows)
+    by = [F.col(_q(c)) for c in [ts, *order]]
+    chunk = [*keys, RANGE]
+    rows = ranged.rows.repartition(*ranged.parts()).sortWithinPartitions(*ranged.parts(), *by)
+    schema = T.StructType([*rows.schema.fields, T.StructField("__i", T.LongType()),
+                           T.StructField("__keep", T.BooleanType())])
+    folded = rows.mapInArrow(_fresh_fold(chunk, lat, lng, max_km), schema)
+    names = [_q(c) for c in df.columns]
+    if not ranged.cut:
+        return folded.where("__keep").select(*names)
+    path = scratch_path(df.sparkSession, "jumps")
+    folded.write.parquet(path)
+    folded = df.sparkSession.read.schema(schema).parquet(path)
+    cut = folded.where("__cut")
+    entries, _ = jump_entries(cut, keys, F.struct(*by, F.col("__i")), lat, lng, max_km)
+    of = [f"__a{i}" for i in range(len(keys))]
+    entries = entries.select(*[F.col(_q(k)).alias(a) for k, a in zip(keys, of)], F.col(RANGE).alias("__ar"), "la", "lo")
+    here = same([F.col(_q(k)) for k in keys], map(F.col, of)) & (F.col(RANGE) == F.col("__ar"))
+    some = F.broadcast(entries)       # one row a range of a cut track at most
+    again = cut.join(some, here, "left_semi").groupBy(*map(_q, chunk)).cogroup(entries.groupBy(*of, "__ar")) \
+        .applyInArrow(_refolded(keys, df.columns, lat, lng, max_km), df.schema)
+    return folded.where("__keep").join(some, here, "left_anti").select(*names).unionByName(again)
 
 
 def bucket_positions(df: DataFrame, minutes: int = 15, key: str = "flight_code",

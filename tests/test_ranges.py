@@ -98,3 +98,50 @@ def test_an_empty_table(spark):
     df = spark.createDataFrame([], "k string, ts timestamp_ntz, i int, v int, lat double, lng double")
     assert tracks.with_segments(df, ["k"], "ts", range_rows=1).collect() == []
     assert ordering.running(df, "k", "ts", "i", "v", range_rows=1).collect() == []
+
+
+def kept_by_loop(rows, max_km=400.0):
+    """Rows (key, time, i, la, lo) -> those that the rule keeps, track by track."""
+    last, out = {}, []
+    for r in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        if r[0] not in last or float(tracks._haversine_np(*last[r[0]], r[3], r[4])) <= max_km:
+            last[r[0]] = (r[3], r[4])
+            out.append(r)
+    return sorted(out, key=str)
+
+
+JUMPS = "k string, ts timestamp_ntz, i int, la double, lo double"
+
+
+def jump(spark, rows, limit):
+    df = spark.createDataFrame(rows, JUMPS)
+    return rows_of(tracks.filter_jumps(df, ["k"], "ts", lat="la", lng="lo", order=["i"], range_rows=limit))
+
+
+@pytest.mark.parametrize("limit", [20, 90, 1 << 30])
+def test_jumps_of_a_null_track_and_one_called_none(spark, limit):
+    draw = random.Random(9)
+    rows, la, lo = [], 50.0, 19.0
+    for i in range(400):
+        la, lo = la + draw.uniform(-1, 1), lo + draw.uniform(-1, 1)
+        far = 15 if draw.random() < 0.2 else 0      # glitches, some in a row, some at a range's edge
+        rows.append((None if i % 2 else "None", DAY + timedelta(minutes=i // 3), i, la + far, lo))
+    assert jump(spark, rows, limit) == kept_by_loop(rows)
+
+
+def test_a_track_whose_every_range_is_far_from_the_one_before(spark):
+    rows = [("t", DAY + timedelta(minutes=i), i, -60 + 20.0 * (i // 16 % 7) + (i // 112) % 5, 10.0 * (i // 16 % 30))
+            for i in range(64 * 16)]
+    assert jump(spark, rows, 16) == kept_by_loop(rows)
+    away = [("t", DAY + timedelta(minutes=i), i, 0.0, 0.0 if i < 16 else 90.0 + i % 5) for i in range(64 * 16)]
+    assert jump(spark, away, 16) == kept_by_loop(away)
+
+
+def test_a_point_that_outlasts_64_ranges_takes_log_rounds(spark, monkeypatch):
+    rows = [("t", DAY + timedelta(minutes=i), i, 0.0, 0.0 if i < 16 else 20.0 * (1 + i // 16 % 8))
+            for i in range(64 * 16)]
+    found = []
+    plain = tracks.jump_entries
+    monkeypatch.setattr(tracks, "jump_entries", lambda *a: found.append(plain(*a)) or found[-1])
+    assert jump(spark, rows, 16) == kept_by_loop(rows)
+    assert found[0][1] <= 7 and found[0][0].count() >= 50
