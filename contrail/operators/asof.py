@@ -11,16 +11,15 @@ candidate-pair join, so a hot key or a busy hour cannot blow up into
    with the neighbouring bucket (about ``2 * tolerance / width`` = 25 % extra
    rows by default).  Every bucket therefore sees all right rows that can
    match any of its left rows.
-2. Left and right rows are unioned and shuffled once on ``(by..., bucket,
-   part)``.  With ``split_rows``, a bucket with more left rows (counted map-side
-   first, in a second pass over the left side, so give it a stored table) is cut
-   into parts: each of its left rows goes to one, its few right
-   rows to all.  So neither a key nor a busy hour that holds a third of all
-   rows meets in one task.  The list of such buckets has at most
-   ``left rows / split_rows`` entries, which bounds its broadcast.
-3. Inside each partition two running windows (time ascending and time
+2. Left and right rows are unioned and shuffled once on ``(by..., bucket, range)``.
+   A bucket with more than ``split_rows`` rows of either side (by default a fixed
+   number, see :mod:`contrail.operators.ranges`) is cut into ranges of its time, so
+   neither a key nor a busy hour that holds a third of all rows meets in one task.
+3. Inside each range two running windows (time ascending and time
    descending, both ``UNBOUNDED PRECEDING .. CURRENT ROW``, i.e. linear)
-   carry the previous and the next right row to every left row.
+   carry the previous and the next right row to every left row.  Over the edges of
+   a range come the last right row before it and the first one behind it, from one
+   row a (bucket, range); no right row is copied to several ranges.
 4. The nearer of the two within tolerance wins; on equal distance the later
    right row wins; among equal right times the last in ``right_order`` wins.
    Unmatched left rows are kept with nulls.  Null keys/times never match.
@@ -36,6 +35,7 @@ from pyspark.sql import types as T
 
 from contrail.functions.time import epoch_micros
 from contrail.operators.dedup import _orderable
+from contrail.operators.ranges import with_ranges
 
 _SPREAD = 4096  # buckets over which never-matching left rows are spread
 
@@ -98,12 +98,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     keyed = left.select(
         *[F.col(_q(b)).alias(kc) for b, kc in zip(by, key_cols)],
         l_bucket.alias("__b"), lt.alias("__t"), F.lit(1).alias("__side"),
-        F.xxhash64(*_hashable(left)).alias("__h"),
         F.struct(*[F.col(_q(c)) for c in left.columns]).alias("__L"))
-    heavy = None if split_rows is None else F.broadcast(
-        keyed.groupBy(*spot).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > split_rows)
-        .select(*spot, F.ceil(F.col("__n") / F.lit(split_rows)).cast("int").alias("__parts")))
-
     # Right side: only rows that can match.
     rt = epoch_micros(right_on, _dtype(right, right_on))
     r_ok = F.col(_q(right_on)).isNotNull()
@@ -119,35 +114,32 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         *[F.col(_q(b)).alias(kc) for b, kc in zip(by, key_cols)],
         F.explode(buckets).alias("__b"), rt.alias("__t"), F.lit(0).alias("__side"), *ordered,
         F.struct(*[F.col(_q(c)) for c in right_payload]).alias("__R"))
-    lhs = keyed
-    if heavy is None:
-        rhs, lhs = (side.withColumn("__s", F.lit(0)) for side in (rhs, lhs))
-    else:
-        parts = F.coalesce(F.col("__parts"), F.lit(1))
-        rhs = rhs.join(heavy, spot, "left").withColumn(
-            "__s", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
-        lhs = lhs.join(heavy, spot, "left").withColumn(
-            "__s", F.pmod("__h", parts).cast("int")).drop("__parts")
     rhs = rhs.withColumn("__L", F.lit(None).cast(l_struct))
-    lhs = lhs.drop("__h").withColumn("__R", F.lit(None).cast(r_struct))
+    lhs = keyed.withColumn("__R", F.lit(None).cast(r_struct))
     if ordered:
         lhs = lhs.withColumn("__o", F.lit(None).cast(rhs.schema["__o"].dataType))
 
-    allrows = lhs.unionByName(rhs)
-    place = [*spot, "__s"]
-    tie = F.col("__o" if ordered else "__R").asc()  # the right row is its own order, carried once
-    w_prev = (Window.partitionBy(*place)
-              .orderBy(F.col("__t").asc(), F.col("__side").asc(), tie)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_next = (Window.partitionBy(*place)
-              .orderBy(F.col("__t").desc(), F.col("__side").asc(), tie)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranged = with_ranges(lhs.unionByName(rhs), spot, ["__t"], split_rows)
+    tie = "__o" if ordered else "__R"  # the right row is its own order, carried once
     cand = F.when(F.col("__side") == 0, F.struct("__t", "__R"))
-    swept = (allrows
-             .select("__t", "__side", "__L",
-                     F.last(cand, ignorenulls=True).over(w_prev).alias("__prev"),
-                     F.last(cand, ignorenulls=True).over(w_next).alias("__next"))
-             .where(F.col("__side") == 1))
+
+    def at(t):
+        return F.when(F.col("__side") == 0, F.struct(t.alias("t"), F.col(tie).alias("o")))
+
+    rows = ranged.inherited(
+        ranged.rows, [F.max_by(cand, at(F.col("__t"))).alias("__last"), F.max_by(cand, at(-F.col("__t"))).alias("__first")],
+        [F.last("__last", ignorenulls=True).over(ranged.before()).alias("__before"),
+         F.last("__first", ignorenulls=True).over(ranged.after()).alias("__after")])
+
+    def sweep(t):
+        return ranged.window([t, F.col("__side").asc(), F.col(tie).asc()]) \
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def seen(t, edge):
+        return F.coalesce(F.last(cand, ignorenulls=True).over(sweep(t)), edge)
+
+    swept = rows.select("__t", "__side", "__L", seen(F.col("__t").asc(), "__before").alias("__prev"),
+                        seen(F.col("__t").desc(), "__after").alias("__next")).where(F.col("__side") == 1)
 
     dp = F.col("__t") - F.col("__prev.__t")
     dn = F.col("__next.__t") - F.col("__t")

@@ -85,11 +85,11 @@ class Ranged:
         if not self.cut:
             return rows.select("*", *[F.lit(None).cast(t).alias(n) for n, t in self._types(rows, sums, carry)])
         table = self._carried(rows.where("__cut"), sums, carry)
-        names = [f"__i{i}" for i in range(len(self.keys))]
+        names = [f"__range_of{i}" for i in range(len(self.keys))]
         table = table.select(*[F.col(_q(k)).alias(n) for k, n in zip(self.keys, names)],
-                             F.col(RANGE).alias("__ir"), *[n for n, _ in self._types(rows, sums, carry)])
-        on = same([F.col(_q(k)) for k in self.keys], map(F.col, names)) & (F.col(RANGE) == F.col("__ir"))
-        return rows.join(F.broadcast(table), on, "left").drop(*names, "__ir")
+                             F.col(RANGE).alias("__range_at"), *[n for n, _ in self._types(rows, sums, carry)])
+        on = same([F.col(_q(k)) for k in self.keys], map(F.col, names)) & (F.col(RANGE) == F.col("__range_at"))
+        return rows.join(F.broadcast(table), on, "left").drop(*names, "__range_at")
 
     def _carried(self, rows, sums, carry):
         return rows.groupBy(*self.parts()).agg(*sums).select("*", *carry)
@@ -106,7 +106,9 @@ class Ranged:
         return self.by_range().rowsBetween(Window.unboundedPreceding, -1)
 
     def after(self):
-        return self.by_range().rowsBetween(1, Window.unboundedFollowing)
+        """The ranges behind, the nearest one last: a frame that only grows."""
+        return Window.partitionBy(*[_q(k) for k in self.keys]).orderBy(F.col(RANGE).desc()) \
+            .rowsBetween(Window.unboundedPreceding, -1)
 
     def plain(self, rows: DataFrame) -> DataFrame:
         return rows.drop(RANGE, "__cut")
@@ -123,15 +125,17 @@ def with_ranges(df: DataFrame, keys: list[str], order: list[str], range_rows: in
     if range_rows is None and estimated_bytes(df) <= SMALL_BYTES:
         return whole
     limit = range_rows or RANGE_ROWS
-    names = [f"__k{i}" for i in range(len(keys))]
+    names = [f"__range_key{i}" for i in range(len(keys))]
     mine = [F.col(_q(k)) for k in keys]
     hot = df.groupBy(*[k.alias(n) for k, n in zip(mine, names)]).agg(F.count(F.lit(1)).alias("__n")) \
-        .where(F.col("__n") > limit).persist()          # rows / limit keys at most
+        .where(F.col("__n") > limit).persist()
+    counted = hot
     try:
         rows = hot.agg(F.sum("__n")).first()[0]
         if not rows:
             return whole
         size = max(limit, -(-rows // MAX_CUTS))
+        hot = hot.where(F.col("__n") > size)            # MAX_CUTS keys at most
         here = F.struct(*[F.col(_q(o)) for o in order])
         sampled = (df.join(F.broadcast(hot), same(mine, map(F.col, names)))
                    .where(F.rand(11) < SAMPLE / size)
@@ -146,7 +150,7 @@ def with_ranges(df: DataFrame, keys: list[str], order: list[str], range_rows: in
         table = sampled.select(*names, blocks.alias("__blocks")).select(
             "*", F.transform("__blocks", lambda b: F.get(b, F.lit(0))).alias("__heads")).checkpoint()
     finally:
-        hot.unpersist()
+        counted.unpersist()
     joined = df.join(F.broadcast(table), same(mine, map(F.col, names)), "left")
     block = F.size(F.filter("__heads", lambda c: c <= here))
     inside = F.size(F.filter(F.get("__blocks", block - 1), lambda c: c <= here))

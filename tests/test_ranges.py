@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.operators import ordering, ranges, tracks
+from contrail.operators.asof import asof_nearest
 
 DAY = datetime(2024, 3, 1)
 
@@ -100,6 +101,37 @@ def test_an_empty_table(spark):
     assert ordering.running(df, "k", "ts", "i", "v", range_rows=1).collect() == []
 
 
+@pytest.mark.parametrize("by", [["k"], []])
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_asof_with_a_hot_side_in_several_ranges(spark, by, side):
+    """One key and bucket holds nearly all rows of a side; ties in time on both."""
+    draw = random.Random(4)
+
+    def rows(n, spread):
+        return [("hot" if draw.random() < 0.9 else "cold", DAY + timedelta(seconds=draw.randrange(spread)), i)
+                for i in range(n)]
+
+    left, right = (rows(1500, 7000), rows(60, 90000)) if side == "left" else (rows(60, 90000), rows(1500, 7000))
+    ldf = spark.createDataFrame(left, "k string, lt timestamp_ntz, lid int")
+    rdf = spark.createDataFrame(right, "k string, rt timestamp_ntz, rid int")
+    if not by:
+        ldf, rdf = ldf.drop("k"), rdf.drop("k")
+
+    def run(limit):
+        return asof_nearest(ldf, rdf, "lt", "rt", by=by, tolerance=timedelta(minutes=20), right_order=["rid"],
+                            split_rows=limit)
+
+    got = rows_of(run(100))
+    assert got == rows_of(run(1 << 30))
+    best = {}
+    for k, lt, lid in left:
+        near = [(abs(lt - rt), -rt.timestamp(), -rid) for rk, rt, rid in right
+                if (rk == k or not by) and abs(lt - rt) <= timedelta(minutes=20)]
+        best[lid] = -min(near)[2] if near else None
+    place = 2 if by else 1
+    assert {r[place]: r[-1] for r in got} == best
+
+
 def kept_by_loop(rows, max_km=400.0):
     """Rows (key, time, i, la, lo) -> those that the rule keeps, track by track."""
     last, out = {}, []
