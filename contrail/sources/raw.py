@@ -4,17 +4,20 @@ dictionaries (S10, S11).
 What a file holds decides how it is read, never its name beyond the extension:
 a ``.json`` file is one document or one document a line, found by parsing it to
 a variant.  Contents and Parquet footers are read in the executors; the driver
-sees one row per folder and schema, and the listing that any Spark scan needs.
+sees one row per folder and schema, the files of a folder whose files differ, and
+the listing that any Spark scan needs.
 """
 
 from __future__ import annotations
 
-import io
+import functools
+import json
 import logging
 import re
-from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,70 +184,80 @@ def read_raw_json(spark: SparkSession, paths: str | list[str], record_schema: T.
 
 # ---- Parquet snapshots (S3) --------------------------------------------
 
-def _footer_kinds(batches: Iterator) -> Iterator:
-    """Footer bytes -> a text that names the file's schema: ``error`` for a file
-    with an API error column, null for one that cannot be read."""
-    import pyarrow as pa
-    import pyarrow.parquet as pq
+def _footer_schema(spark: SparkSession, places: str | list[str]) -> T.StructType | None:
+    """The one schema that the Parquet files at ``places`` merge to: Spark reads their
+    footers, and no more of them, in a job of its own.  None where they do not merge,
+    or one is no Parquet file."""
+    reader = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        return reader.parquet(*([places] if isinstance(places, str) else places)).schema
+    except (PySparkException, Py4JJavaError):  # whatever Spark says of footers that do not fit or are none
+        return None
+
+
+def _kind_of(schema: T.StructType | None) -> str | None:
+    """A text that names a schema: ``error`` for one with an API error column."""
+    if schema is None:
+        return None
+    names = {f.name for f in schema} | {
+        f"{f.name}.{g.name}" for f in schema if isinstance(f.dataType, T.StructType) for g in f.dataType}
+    return "error" if names & set(ERROR_FIELDS) else schema.json()
 
-    def kind(tail: bytes | None) -> str | None:
-        try:
-            schema = pq.read_schema(io.BytesIO(b"PAR1" + tail))
-        except Exception:  # whatever the library says of bytes that are no footer
-            return None
-        names = {*schema.names, *(f"{f.name}.{g.name}" for f in schema if pa.types.is_struct(f.type) for g in f.type)}
-        return "error" if names & set(ERROR_FIELDS) else schema.remove_metadata().to_string()
 
-    for batch in batches:
-        kinds = [kind(tail) for tail in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kinds, pa.string())], names=["path", "kind"])
+def _kinds(spark: SparkSession, places: list[str], at_once: int = 8) -> list[tuple[str, str | None]]:
+    """(place, kind) of folders or files, some footer jobs at a time."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(zip(places, pool.map(lambda p: _kind_of(_footer_schema(spark, p)), places)))
 
 
-def parquet_kinds(spark: SparkSession, paths: str | list[str]) -> DataFrame | None:
-    """S3: every ``.parquet`` file below ``paths`` with its ``folder`` and the
-    ``kind`` of its schema, from footers that the executors read."""
+def parquet_kinds(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, str | None]] | None:
+    """S3: the ``.parquet`` files below ``paths`` as (place, kind), from footers alone;
+    kind null for a file that cannot be read.
+
+    A place is as large as its files agree: all of ``paths``, else each folder, and
+    only in a folder whose files differ, hold errors or cannot be read each file.
+    None if there is no such folder.
+    """
     files = _files(spark, paths, "*.parquet")
     if files is None:
         return None
-    little = F.expr("concat_ws('', reverse(regexp_extract_all(hex(substring(content, -8, 4)), '..', 0)))")
-    size = F.conv(little, 16, 10).cast("int") + 8
-    tails = files.where("length > 0").select("path", F.when(
-        F.expr("substring(content, -4, 4) = X'50415231'") & (size <= F.col("length")),
-        F.substring("content", -size, size)).alias("tail"))
-    kinds = tails.mapInArrow(_footer_kinds, "path string, kind string")
-    return kinds.withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    given = [paths] if isinstance(paths, str) else paths     # a file among them stands by itself
+    alone = functools.reduce(Column.__or__, [F.col("path").endswith(p) for p in given])
+    folder = F.when(alone, F.col("path")).otherwise(F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    files = files.where("length > 0").select("path", folder.alias("folder"))
+    names = [r[0] for r in files.select("folder").distinct().orderBy("folder").collect()]
+    if not names:
+        return []
+    whole = _kind_of(_footer_schema(spark, names))
+    if whole is not None and whole != "error":
+        return [(name, whole) for name in names]
+    outer = {a for a, b in zip(names, names[1:]) if b.startswith(a + "/")}
+    out = [(name, kind) for name, kind in _kinds(spark, [n for n in names if n not in outer])]
+    mixed = outer | {name for name, kind in out if kind is None or kind == "error"}
+    out = [(name, kind) for name, kind in out if name not in mixed]
+    for name in sorted(mixed):
+        out += _kinds(spark, [r[0] for r in files.where(F.col("folder") == name).select("path").orderBy("path").collect()])
+    return out
 
 
 def read_raw_parquet(spark: SparkSession, paths: str | list[str], placed: bool = True) -> DataFrame | None:
     """S3: snapshot files whose schemas may differ.
 
-    Files are grouped by schema.  A folder of one schema is read as a folder;
-    only of a folder with several, with error snapshots or with unreadable files
-    are the files named one by one.  Each schema is one scan, and the scans are
-    unioned with the widening rules of :func:`contrail.operators.align.widen_type`
-    (``mergeSchema`` cannot widen bigint to double).  ``placed`` adds the columns
-    of :data:`FILE_ORDER`.
+    Files are grouped by schema (:func:`parquet_kinds`).  Files whose schemas merge are
+    one scan, a column that a file lacks is null there; else each schema is one scan,
+    and the scans are unioned with the widening rules of
+    :func:`contrail.operators.align.widen_type` (``mergeSchema`` cannot widen bigint to
+    double).  ``placed`` adds the columns of :data:`FILE_ORDER`.
     """
     kinds = parquet_kinds(spark, paths)
     if kinds is None:
         return None
-    folders = kinds.groupBy("folder").agg(
-        F.min("kind").alias("low"), F.max("kind").alias("high"),
-        F.count_if(F.col("kind").isNull()).alias("unreadable"), F.min("path").alias("path")).collect()
-    names = sorted(r["folder"] for r in folders)
-    outer = {a for a, b in zip(names, names[1:]) if b.startswith(a + "/")}
     groups: dict[str, list[str]] = {}
-    mixed = []
-    for r in sorted(folders, key=lambda r: r["folder"]):
-        if r["unreadable"] or r["low"] != r["high"] or r["folder"] in outer:
-            mixed.append(r["folder"])
-        elif r["low"] != "error":
-            groups.setdefault(r["low"], []).append(r["folder"])
-    if mixed:
-        single = kinds.where(F.col("folder").isin(mixed) & F.col("kind").isNotNull() & (F.col("kind") != "error"))
-        for r in single.select("path", "kind").orderBy("path").collect():
-            groups.setdefault(r["kind"], []).append(r["path"])
-    frames = [spark.read.option("pathGlobFilter", "*.parquet").parquet(*places) for places in groups.values()]
+    for place, kind in kinds:
+        if kind is not None and kind != "error":
+            groups.setdefault(kind, []).append(place)
+    frames = [spark.read.option("pathGlobFilter", "*.parquet").schema(T.StructType.fromJson(json.loads(kind)))
+              .parquet(*places) for kind, places in groups.items()]
     return align_union([_placed(f) if placed else f for f in frames])
 
 
@@ -255,7 +268,8 @@ def unreadable_files(spark: SparkSession, prefix: str | list[str]) -> DataFrame:
     if kinds is None:
         return none
     broken = json_documents(spark, prefix).where("documents IS NULL")
-    return kinds.where("kind IS NULL").select("path", F.lit("no Parquet footer").alias("reason")).unionByName(
+    lost = [(place, "no Parquet footer") for place, kind in kinds if kind is None]
+    return spark.createDataFrame(lost, none.schema).unionByName(
         broken.select(F.col("file_path").alias("path"), F.lit("no JSON").alias("reason")))
 
 

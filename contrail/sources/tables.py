@@ -92,14 +92,19 @@ def read_silver(spark: SparkSession, base: str, schema: T.StructType | None = No
 
 
 def read_silver_range(spark: SparkSession, base: str, start: date, end: date,
-                      pad: bool = True) -> DataFrame:
+                      pad: bool = True, schema: T.StructType | None = None) -> DataFrame:
     """Only the day partitions of ``start..end`` (padded by a day each
-    side for local-date filters); pruned at planning (PartitionFilters)."""
+    side for local-date filters); no other day's file is listed or opened.  Days
+    whose schemas have drifted are aligned, then cast to ``schema``, if given; without
+    any of these days the result is empty, with the table's columns."""
     lo, hi = partition_load_range(start, end) if pad else (start, end)
-    df = spark.read.option("basePath", base).parquet(base)
-    day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"),
-                      F.col("day").cast("int"))
-    return df.where(day.between(F.lit(lo), F.lit(hi))).drop(*PARTITION_COLS, S.INGEST)
+    days = (lo + timedelta(days=n) for n in range((hi - lo).days + 1))
+    there = [p for p in (f"{base}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days) if path_exists(spark, p)]
+    df = RAW.read_raw_parquet(spark, there, placed=False) if there else None
+    if df is None:
+        df = spark.read.option("basePath", base).parquet(base).where(F.lit(False)).drop(*PARTITION_COLS)
+    df = df.drop(S.INGEST)
+    return df if schema is None else S.conform(df, schema)
 
 
 def raw_day_paths(spark: SparkSession, base: str, start: date, end: date) -> list[str]:

@@ -172,3 +172,38 @@ def test_load_dashboard_tables(spark, tmp_dir):
                                   date(2024, 1, 10), date(2024, 1, 12)).count()
     assert t["schedules"].count() == exp > 0
     assert t["arrivals"].count() > 0 and t["flights"].count() > 0
+
+
+def test_footers_are_read_without_the_files(spark, tmp_dir):
+    """A file larger than the source of whole files may hold still tells its schema."""
+    for name, ddl in (("a", "id bigint"), ("b", "id double, more string")):
+        spark.range(20000).selectExpr("cast(id as double) id", "'x' more").selectExpr(
+            *("cast(id as bigint) id",) if name == "a" else ("id", "more")).coalesce(1).write.parquet(f"{tmp_dir}/t/{name}")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        kinds = RAW.parquet_kinds(spark, f"{tmp_dir}/t")
+        got = RAW.read_raw_parquet(spark, f"{tmp_dir}/t", placed=False)
+        assert len(kinds) == 2 and got.count() == 40000 and dict(got.dtypes) == {"id": "double", "more": "string"}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_a_range_of_drifted_days(spark, tmp_dir):
+    from datetime import date, datetime
+    for day, ddl, row in ((9, "ts timestamp_ntz, v long", (1,)), (10, "ts timestamp_ntz, v long", (2,)),
+                          (11, "ts timestamp_ntz, v double, w string", (2.5, "new"))):
+        df = spark.createDataFrame([(datetime(2025, 6, day, 12), *row)], ddl)
+        TB.write_partitioned(df, "ts", f"{tmp_dir}/s")
+    got = TB.read_silver_range(spark, f"{tmp_dir}/s", date(2025, 6, 10), date(2025, 6, 11), pad=False)
+    assert sorted((r.v, r.w) for r in got.collect()) == [(2.0, None), (2.5, "new")]
+    assert len(got.inputFiles()) == 2
+    none = TB.read_silver_range(spark, f"{tmp_dir}/s", date(2024, 1, 1), date(2024, 1, 2))
+    assert none.collect() == [] and "v" in none.columns
+
+
+def test_one_file_of_a_folder_is_read_alone(spark, tmp_dir):
+    for n in range(2):
+        spark.range(n, n + 1).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/t")
+    names = sorted(f for f in os.listdir(f"{tmp_dir}/t") if f.endswith(".parquet"))
+    assert RAW.read_raw_parquet(spark, [f"{tmp_dir}/t/{names[0]}"], placed=False).count() == 1
+    assert RAW.read_raw_parquet(spark, [f"{tmp_dir}/t/{n}" for n in names], placed=False).count() == 2
