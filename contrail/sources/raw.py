@@ -11,9 +11,11 @@ the listing that any Spark scan needs.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import logging
 import re
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
@@ -153,24 +155,186 @@ def parse_weather(df: DataFrame, record_schema: T.StructType | None = None, body
     return rows.select(*keep, *_fields("__r", schema, flat=True))
 
 
+class _Cutter:
+    """Cuts the documents of a text, which comes in pieces, into documents of about
+    ``size`` characters with the same records in the same order: a list into lists, an
+    object whose ``response`` is a list into objects with its other members and a part
+    of that list.  One record is decoded at a time, and text behind it is let go.
+    ValueError where the text is no JSON."""
+
+    def __init__(self, pieces: Iterable[str], size: int):
+        self.text, self.pieces, self.size = "", iter(pieces), size
+        self.decode = json.JSONDecoder(parse_constant=self._refuse).raw_decode
+        self.blank = re.compile(r"[ \t\r\n]*")
+
+    @staticmethod
+    def _refuse(what):
+        raise ValueError(f"no JSON: {what}")
+
+    def more(self) -> bool:
+        piece = next(self.pieces, None)
+        self.text += piece or ""
+        return piece is not None
+
+    def behind(self, at: int) -> int:
+        end = self.blank.match(self.text, at).end()
+        while end == len(self.text) and self.more():
+            end = self.blank.match(self.text, end).end()
+        return end
+
+    def value(self, at: int):
+        """The value at ``at``, and the place behind it."""
+        while True:
+            try:
+                found, end = self.decode(self.text, at)
+                if end < len(self.text) or not self.more():   # a number may go on
+                    return found, end
+            except json.JSONDecodeError:
+                if not self.more():
+                    raise
+
+    def take(self, mark: str, at: int) -> int:
+        at = self.behind(at)
+        return self.behind(at + 1) if self.text[at:at + 1] == mark else self._refuse(f"no {mark}")
+
+    def documents(self) -> Iterator[str]:
+        at = self.behind(0)
+        while at < len(self.text):
+            cut = {"[": self.list, "{": self.object}.get(self.text[at], self.other)
+            found, at = cut(at)
+            yield from found
+            at = self.behind(at)
+            self.text, at = self.text[at:], 0
+
+    def other(self, at: int) -> tuple[list[str], int]:
+        end = self.value(at)[1]
+        return [self.text[at:end]], end
+
+    def list(self, at: int) -> tuple[list[str], int]:
+        out, held, length = [], [], 0
+        at = self.take("[", at)
+        more = self.text[at:at + 1] != "]"
+        while more:
+            (value,), end = self.other(at)
+            held.append(value)
+            length += len(value)
+            if length >= self.size:
+                out.append("[" + ",".join(held) + "]")
+                held, length = [], 0
+                self.text, end = self.text[end:], 0
+            at = self.behind(end)
+            more = self.text[at:at + 1] == ","
+            at = self.take(",", at) if more else at
+        end = self.take("]", at)
+        return out + (["[" + ",".join(held) + "]"] if held or not out else []), end
+
+    def object(self, at: int) -> tuple[list[str], int]:
+        members, lists = [], None
+        at = self.take("{", at)
+        more = self.text[at:at + 1] != "}"
+        while more:
+            key, end = self.value(at)
+            if not isinstance(key, str):
+                self._refuse("no key")
+            at = self.take(":", end)
+            if key == "response" and self.text[at:at + 1] == "[":
+                lists, end = self.list(at)
+            else:
+                (value,), end = self.other(at)
+                members.append(f"{json.dumps(key)}:{value}")
+            at = self.behind(end)
+            more = self.text[at:at + 1] == ","
+            at = self.take(",", at) if more else at
+        end = self.take("}", at)
+        if lists is None:
+            return ["{" + ",".join(members) + "}"], end
+        return ["{" + ",".join([*members, f'"response":{x}']) + "}" for x in lists], end
+
+
+#: Files beyond this many bytes are cut before they are parsed: a variant, the parsed
+#: form of a document, holds 128 MB at most, about three bytes for one of text.
+LARGE_JSON, PART_CHARS = 32 << 20, 4 << 20
+
+
+def _packed(batches: Iterator) -> Iterator:
+    """Texts between commas (file_path, block, value), in order of the file within a
+    block -> the same, some MB of them joined, numbered as ``n``."""
+    import pyarrow as pa
+
+    def row(key, n, held):
+        return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([n], pa.int64()),
+                                           pa.array([",".join(held)])], names=["file_path", "block", "n", "text"])
+
+    key, n, held, size = None, 0, [], 0
+    for batch in batches:
+        for *here, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if held and (here != key or size >= PART_CHARS):
+                yield row(key, n, held)
+                held, size, n = [], 0, n + 1
+            key = here
+            held.append(text)
+            size += len(text)
+    if held:
+        yield row(key, n, held)
+
+
+def _cut_files(batches: Iterator) -> Iterator:
+    """(file_path, text) in order -> (file_path, first, part): the parts of a file's
+    documents, with their numbers; a null part where the text is no JSON."""
+    import pyarrow as pa
+
+    def row(path, n, part):
+        return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int32()), pa.array([part], pa.string())],
+                                          names=["file_path", "first", "part"])
+
+    rows = (pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    for path, mine in itertools.groupby(rows, key=lambda r: r[0]):
+        pieces = (text if i == 0 else "," + text for i, (_, text) in enumerate(mine))
+        try:
+            for n, part in enumerate(_Cutter(pieces, PART_CHARS).documents()):
+                yield row(path, n, part)
+        except (ValueError, RecursionError):
+            yield row(path, 0, None)
+        for _ in pieces:   # the rest of a file that was given up
+            pass
+
+
 def json_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Every ``.json`` file below ``paths``: ``file_path`` and its documents as an
-    array of variants; null where the file is neither one JSON document nor one
-    a line.  A snapshot is read by one task."""
-    bodies = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json") \
-        .text(paths, wholetext=True).where("trim(value) != ''")
+    array of variants, with the number ``first`` of the first; null where the file is
+    neither one JSON document nor one a line.
+
+    A snapshot is read by one task.  A file over ``LARGE_JSON`` bytes is read in
+    splits, as the texts between its commas; one task puts them in order and cuts the
+    documents into parts with the same records, each in a row of its own, of which
+    it holds one object's ``response`` at most.  Should the file turn out to be no
+    JSON, the documents before that place stand, and a row of null documents names it."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    path, size = F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size")
     one = _parsed(F.col("value"))
     lines = F.transform(F.filter(F.split("value", "\n"), lambda x: F.trim(x) != ""),
                         lambda x: _parsed(x))
     whole = F.when(one.isNotNull(), F.array(one)).when(~F.exists(lines, lambda x: x.isNull()), lines)
-    return bodies.select(F.col("_metadata.file_path").alias("file_path"), whole.alias("documents"))
+    bodies = files.text(paths, wholetext=True).where(size <= LARGE_JSON).where("trim(value) != ''")
+    small = bodies.select(path, F.lit(0).alias("first"), whole.alias("documents"))
+    listed = _files(spark, paths, "*.json")
+    if listed is None or listed.where(F.col("length") > LARGE_JSON).isEmpty():
+        return small
+    between = files.option("lineSep", ",").text(paths).where(size > LARGE_JSON).select(
+        path, F.col("_metadata.file_block_start").alias("block"), "value")
+    packed = between.mapInArrow(_packed, "file_path string, block long, n long, text string")
+    parts = packed.repartition("file_path").sortWithinPartitions("file_path", "block", "n") \
+        .select("file_path", "text").mapInArrow(_cut_files, "file_path string, first int, part string")
+    part = _parsed(F.col("part"))
+    return small.unionByName(parts.select("file_path", "first", F.when(part.isNotNull(), F.array(part)).alias("documents")))
 
 
 def read_raw_json(spark: SparkSession, paths: str | list[str], record_schema: T.StructType | None = None,
                   weather: bool = False) -> DataFrame:
     """S1 + S2 over files: parse, drop error payloads, explode records, with the
     columns of :data:`FILE_ORDER`."""
-    docs = json_documents(spark, paths).select("file_path", F.posexplode("documents").alias("__n", "__v"))
+    docs = json_documents(spark, paths).select("file_path", "first", F.posexplode("documents").alias("__n", "__v")) \
+        .withColumn("__n", F.col("first") + F.col("__n"))
     good = docs.where(_accepted(F.col("__v"), weather))
     line = F.shiftleft(F.col("__n").cast("long"), 32)
     if weather:
@@ -270,7 +434,7 @@ def unreadable_files(spark: SparkSession, prefix: str | list[str]) -> DataFrame:
     broken = json_documents(spark, prefix).where("documents IS NULL")
     lost = [(place, "no Parquet footer") for place, kind in kinds if kind is None]
     return spark.createDataFrame(lost, none.schema).unionByName(
-        broken.select(F.col("file_path").alias("path"), F.lit("no JSON").alias("reason")))
+        broken.select(F.col("file_path").alias("path"), F.lit("no JSON").alias("reason")).distinct())
 
 
 def read_raw(spark: SparkSession, prefix: str | list[str], record_schema: T.StructType | None = None,

@@ -207,3 +207,60 @@ def test_one_file_of_a_folder_is_read_alone(spark, tmp_dir):
     names = sorted(f for f in os.listdir(f"{tmp_dir}/t") if f.endswith(".parquet"))
     assert RAW.read_raw_parquet(spark, [f"{tmp_dir}/t/{names[0]}"], placed=False).count() == 1
     assert RAW.read_raw_parquet(spark, [f"{tmp_dir}/t/{n}" for n in names], placed=False).count() == 2
+
+
+CASES = ['[]', ' [ 1 , {"a": "x}]"} ,[2]] ', '{"response": [{"a": 1}, {"a": 2}, {"a": 3}], "k": {"response": [1]}}',
+         '{"a": 1}\n{"a": 2}\n', '{}', '{"response": []}', '{"response": {"a": 1}}', '"text"', '[{"a": "\\"}]"}]']
+
+
+@pytest.mark.parametrize("text", CASES)
+@pytest.mark.parametrize("size", [1, 8, 1000])
+def test_cut_documents_hold_the_same_records(text, size):
+    def records(value):
+        held = value.get("response", value) if isinstance(value, dict) else value
+        return held if isinstance(held, list) else [held]
+
+    whole = [json.loads(t) for t in (text.strip().split("\n") if "\n" in text else [text])]
+    parts = [json.loads(t) for t in RAW._Cutter([text], size).documents()]
+    assert parts == [json.loads(t) for t in RAW._Cutter(text, size).documents()]    # a character a piece
+    assert [r for v in parts for r in records(v)] == [r for v in whole for r in records(v)]
+    assert all({**v, "response": 0} == {**whole[0], "response": 0} for v in parts if isinstance(v, dict) and "response" in v)
+
+
+@pytest.mark.parametrize("text", ["[1,]", "[1", '{"a" 1}', '{"a":1,}', "{1:2}", "[NaN]", '[{"a":1}] x', '{"response":[1,2}', "[1 2]"])
+def test_cut_documents_refuse_what_is_no_json(text):
+    with pytest.raises(ValueError):
+        list(RAW._Cutter([text], 4).documents())
+
+
+def test_a_document_that_no_variant_holds_gives_all_its_records(spark, tmp_dir):
+    """Over 136 MB: more than the parsed form of one document may have."""
+    os.makedirs(f"{tmp_dir}/raw/01")
+    with open(f"{tmp_dir}/raw/01/big.json", "w") as out:
+        out.write('{"request": {"id": 1}, "response": [')
+        out.write(", ".join('{"n": %d, "pad": "%s"}' % (n, "x" * 1000) for n in range(140_000)))
+        out.write("]}")
+    with open(f"{tmp_dir}/raw/01/small.json", "w") as out:
+        json.dump([{"n": -1, "pad": ""}], out)
+    assert os.path.getsize(f"{tmp_dir}/raw/01/big.json") > 135 << 20
+    got = RAW.read_raw(spark, f"{tmp_dir}/raw").select("n", "record_pos", "file_path")
+    big = got.where("n >= 0")
+    assert big.agg(F.count("*"), F.count_distinct("n"), F.sum("n")).first()[:] == (140_000, 140_000, 139_999 * 70_000)
+    assert got.where("n = -1").count() == 1
+    # in the order of the file
+    assert big.agg(F.count_distinct("record_pos")).first()[0] == 140_000
+    assert [r.n for r in big.orderBy("record_pos").limit(3).collect()] == [0, 1, 2]
+    assert [r.n for r in big.orderBy(F.desc("record_pos")).limit(2).collect()] == [139_999, 139_998]
+    assert RAW.unreadable_files(spark, f"{tmp_dir}/raw").count() == 0
+
+
+def test_a_large_file_that_is_no_json_is_named(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(RAW, "LARGE_JSON", 10)
+    with open(f"{tmp_dir}/bad.json", "w") as out:
+        out.write('[{"a": 1}, {"a": 2')
+    with open(f"{tmp_dir}/error.json", "w") as out:
+        out.write('{"error": "no", "response": [{"a": 7}, {"a": 8}]}')
+    with open(f"{tmp_dir}/good.json", "w") as out:
+        out.write('{"a": 3, "b": [1]}\n{"a": 4, "b": [2, 3]}')
+    assert sorted(r.a for r in RAW.read_raw(spark, tmp_dir).collect()) == [3, 4]
+    assert [os.path.basename(r.path) for r in RAW.unreadable_files(spark, tmp_dir).collect()] == ["bad.json"]
