@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ from contrail.llm.wavelet import WaveletMatrix
 #: The split of the word vocabulary, below U+0100.
 WORD_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN['L']}]+|[{LATIN['N']}]|"
                         f"[^{LATIN['S']}{LATIN['L']}{LATIN['N']}]+")
+WORD_OR_BLANK = re.compile(f"{WORD_SPLIT.pattern}| ")
 #: str.split() takes these for white space, the library doesn't; from U+0100 on
 #: the library's own normalisation is needed.
 NOT_PLAIN = re.compile("[\x1c-\x1fĀ-\U0010ffff]")
@@ -39,16 +41,14 @@ _SHARD = ("part int, shard int, tokens long, ids array<long>, lengths array<int>
 
 @functools.lru_cache(maxsize=2)
 def _words(path: str) -> RecurringCache:
-    """Run of a text without white space -> its ids as 32-bit integers."""
+    """Word (what the split leaves whole) -> its ids as 32-bit integers."""
     model, letters = tokenizer(path).model, byte_letters()
 
     def word(piece: str) -> bytes:
         ids = [t.id for t in model.tokenize(spelled(piece, letters))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    words = RecurringCache(word, limit=300_000)
-    return RecurringCache(lambda run: b"".join([words[p] for p in WORD_SPLIT.findall(run.lower())]),
-                          limit=200_000)
+    return RecurringCache(word, limit=300_000)
 
 
 def encode_words(text: str, path: str) -> bytes:
@@ -56,7 +56,46 @@ def encode_words(text: str, path: str) -> bytes:
     special = added_tokens(path)
     if NOT_PLAIN.search(text) or special and special.search(text):
         return np.asarray(tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    return b"".join(map(_words(path).__getitem__, text.split()))
+    return b"".join(map(_words(path).__getitem__, WORD_SPLIT.findall(text.lower())))
+
+
+def _gathered(values: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``values``, ``sizes`` long each, in the order of ``codes``, and where each ends."""
+    starts, picked = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+    ends = np.cumsum(picked)
+    return values[np.repeat(starts - (ends - picked), picked) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
+def _ids_of_runs(runs: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all runs, and how many each has; every distinct word is looked up once."""
+    pieces = pa.array(WORD_OR_BLANK.findall(" ".join(runs).lower()), pa.string()).dictionary_encode()
+    codes, words = pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+    cache = _words(path)
+    each = [b"" if word == " " else cache[word] for word in words]
+    sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+    ids, ends = _gathered(np.frombuffer(b"".join(each), "<u4"), sizes, codes)
+    blank = words.index(" ") if len(runs) > 1 else -1
+    last = np.append(np.flatnonzero(codes == blank), len(codes)) if len(runs) else np.zeros(0, np.int64)
+    upto = np.concatenate(([0], ends))[last]
+    return ids, np.diff(upto, prepend=0)
+
+
+def encode_batch(texts: pa.Array, path: str) -> list[bytes]:
+    """:func:`encode_words` of every text: the runs of the whole batch are found and
+    told apart in Arrow, and so are the words of its distinct runs; the ids of all are
+    gathered at once."""
+    special = added_tokens(path)
+    odd = pc.match_substring_regex(texts, r"[\x{1c}-\x{1f}\x{100}-\x{10ffff}]")     # NOT_PLAIN
+    if special:
+        odd = pc.or_(odd, pc.match_substring_regex(texts, special.pattern))
+    lists = pc.utf8_split_whitespace(texts.filter(pc.invert(odd)))
+    runs = lists.flatten().dictionary_encode()
+    ids, sizes = _ids_of_runs(runs.dictionary.to_pylist(), path)
+    ids, ends = _gathered(ids, sizes, runs.indices.to_numpy())
+    texts_end = np.concatenate(([0], ends))[np.cumsum(pc.list_value_length(lists).to_numpy())]
+    found = iter([ids[a:b].tobytes() for a, b in zip(np.concatenate(([0], texts_end)), texts_end)])
+    return [encode_words(text.as_py(), path) if strange else next(found)
+            for text, strange in zip(texts, odd.to_pylist())]
 
 
 def write_shards(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id",
@@ -69,13 +108,13 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
     id are ordered by text.  An empty table writes an empty file set.
     """
     spark = docs.sparkSession
-    small_batches(spark, rows=500)
+    small_batches(spark, rows=2000)
     levels = max(1, (max(tokenizer(vocabulary).get_vocab_size(with_added_tokens=True) - 1, end_id)).bit_length())
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        gc.disable()  # nothing here makes cycles, and each collection would walk the caches
+        gc.freeze()  # nothing here makes cycles, and each collection would walk the caches
         part, number = TaskContext.get().partitionId(), 0
         end = np.asarray([end_id], "<u4").tobytes()
         ids, lengths, held, size = [], [], [], 0
@@ -89,9 +128,9 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
                  pa.array([lengths], pa.list_(pa.int32())), pa.array([matrix], pa.binary())],
                 names=["part", "shard", "tokens", "ids", "lengths", "matrix"])
 
-        for batch in pieces_of(batches, text=1):
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = encode_words(text, vocabulary) + end
+        for batch in pieces_of(batches, rows=2000, text=1, chars=8_000_000):
+            for doc, data in zip(batch.column(0).to_pylist(), encode_batch(batch.column(1), vocabulary)):
+                data += end
                 ids.append(doc)
                 lengths.append(len(data) // 4)
                 held.append(data)
