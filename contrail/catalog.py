@@ -601,13 +601,19 @@ def o2(spark, d):
     return ordering.with_row_number(G.hourly_traffic(A.schedules(spark, d)), "place")
 
 
-@register("o3_newest_first", """
-SELECT scheduled_departure_utc, row_number() OVER (ORDER BY scheduled_departure_utc DESC NULLS FIRST) AS place
+O3_COLUMNS = ", ".join(D.DEPARTURE_COLUMNS)
+O3_TIES = ", ".join(f"{c} NULLS FIRST" for c in D.DEPARTURE_COLUMNS if c != "scheduled_departure_utc")
+
+
+@register("o3_newest_first", f"""
+SELECT {O3_COLUMNS}, row_number() OVER (ORDER BY scheduled_departure_utc DESC NULLS FIRST, {O3_TIES}) AS place
 FROM schedules""")
 def o3(spark, d):
-    # flights of one time stand in any order, so only the sort column is numbered
+    # flights of one time stand in any order in the table; the places here need one
+    table = D.departures_table(A.schedules(spark, d))
+    ties = [F.col(c).asc_nulls_first() for c in D.DEPARTURE_COLUMNS if c != "scheduled_departure_utc"]
     return ordering.with_row_number(
-        D.departures_table(A.schedules(spark, d)), "place").select("scheduled_departure_utc", "place")
+        table.orderBy(F.col("scheduled_departure_utc").desc_nulls_first(), *ties), "place")
 
 
 @register("o4_top10_destinations", f"""
