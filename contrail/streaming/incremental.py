@@ -130,13 +130,33 @@ def live_position_buckets(positions: DataFrame, minutes: int = BUCKET_MINUTES,
 
 def dedup_first_within_watermark(stream: DataFrame, keys: list[str], ts: str,
                                  delay: str = WATERMARK_DELAY) -> DataFrame:
-    """First row per key among rows within the watermark delay.  For
-    keep-*last* semantics use R1's batch merge instead."""
+    """First row per key among rows within the watermark delay, given out at
+    once.  :func:`keep_last_within_watermark` waits for the last one."""
     return (stream.withColumn("__et", F.col(ts).cast("timestamp"))
                   .withWatermark("__et", delay)
                   .dropDuplicatesWithinWatermark(keys).drop("__et"))
 
 
+def keep_last_within_watermark(stream: DataFrame, keys: list[str], ts: str, order: list[str] | None = None,
+                               delay: str = WATERMARK_DELAY) -> DataFrame:
+    """R3, keep-last: of a key's rows that follow each other within ``delay``, the one
+    that W1 keeps (greatest ``order``, by default the time; ties by the row itself).
+
+    A key's rows are a session; it is given out, once, when the watermark passes its
+    end, ``delay`` after its last row.  Rows behind the watermark are dropped, rows
+    without a time too; a key that returns later starts anew.  The state of a session
+    is one row, whatever it has seen.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    rank = F.struct(*[F.col(f"`{o}`") for o in (order or [ts])])
+    best = F.max(F.struct(rank.alias("o"), row.alias("r"))).getField("r").alias("__row")
+    return (stream.withColumn("__et", F.col(ts).cast("timestamp"))
+                  .withWatermark("__et", delay)
+                  .groupBy(*[F.col(f"`{k}`").alias(f"__key{i}") for i, k in enumerate(keys)],
+                           F.session_window("__et", delay))
+                  .agg(best).select("__row.*"))
+
+
 def run_to_table(df: DataFrame, name: str) -> DataFrame:
     """Run a streaming query once over all available input into a Parquet
     folder of the shared checkpoint area and return it as a batch table."""

@@ -85,3 +85,40 @@ def test_late_points_behind_watermark_are_dropped(spark, tmp_dir):
     tens = [r for r in rows if r.time_bucket == datetime(2025, 6, 1, 10)]
     assert len(tens) == 1 and tens[0].lat == 50.01      # the late point changed nothing
     assert len(rows) > len(first)                        # newly closed buckets were appended
+
+
+def test_keep_last_gives_what_the_batch_keeps_with_late_rows(spark, tmp_dir):
+    import random
+    from datetime import timedelta
+
+    from contrail.operators.dedup import keep_last
+    schema = "k string, v int, note string, ts timestamp_ntz"
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    t0, draw = datetime(2025, 6, 1), random.Random(3)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(src)
+        q = (S.keep_last_within_watermark(stream, ["k"], "ts", ["ts", "v"]).writeStream.format("parquet")
+             .outputMode("append").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    # every key within 40 minutes, versions out of order and repeated, over three batches
+    batches = [[], [], []]
+    for k in range(30):
+        for v in range(6):
+            row = (f"k{k}" if k else None, v, f"{k}-{v}", t0 + timedelta(minutes=10 * k + draw.randrange(40)))
+            batches[min(2, k // 10 + (v % 3 == 2 and k % 10 > 7))].append(row)
+    everything = []
+    for n, rows in enumerate(batches):
+        draw.shuffle(rows)
+        everything += rows
+        spark.createDataFrame(rows + rows[:3], schema).write.mode("append").parquet(src)
+        run()
+    spark.createDataFrame([("end", 0, "", t0 + timedelta(days=2))], schema).write.mode("append").parquet(src)
+    run()
+    late = ("k3", 99, "behind the watermark", t0 + timedelta(minutes=35))
+    spark.createDataFrame([late], schema).write.mode("append").parquet(src)
+    run()
+    batch = keep_last(spark.createDataFrame(everything, schema), ["k"], ["ts", "v"])
+    got = sorted(map(tuple, spark.read.schema(schema).parquet(out).collect()), key=str)
+    assert got == sorted(map(tuple, batch.collect()), key=str) and len(got) == 30
