@@ -21,7 +21,7 @@ from contrail.session import checkpoint_dir
 #: A key with more rows than this is cut.
 RANGE_ROWS = 1 << 20
 
-#: An input that the planner holds to be this small needs no count of its keys.
+#: Tables that are this small together need no count of their keys.
 SMALL_BYTES = 64 << 20
 
 #: Cuts that all keys have together at most; beyond that ranges grow.  Bounds the
@@ -38,9 +38,11 @@ def _q(n: str) -> str:
     return f"`{n}`"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The planner's estimate; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """What the tables that ``df`` reads hold, by the planner's figures; no job runs.
+    (Its figure for ``df`` itself multiplies the sides of every join.)"""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def same(left: list, right: list) -> Column:
@@ -118,11 +120,11 @@ def with_ranges(df: DataFrame, keys: list[str], order: list[str], range_rows: in
     """Cut the keys of ``df`` that hold more than ``range_rows`` rows.
 
     ``order`` are the columns that order a key's rows; rows equal in all of them stay
-    in one range.  Without ``range_rows`` an input that the planner holds to be under
-    ``SMALL_BYTES`` is not counted.  Null keys are one key.
+    in one range.  Without ``range_rows``, keys are not counted if the tables
+    read are under ``SMALL_BYTES`` together.  Null keys are one key.
     """
     whole = Ranged(df.withColumn(RANGE, F.lit(0)).withColumn("__cut", F.lit(False)), list(keys), False)
-    if range_rows is None and estimated_bytes(df) <= SMALL_BYTES:
+    if range_rows is None and input_bytes(df) <= SMALL_BYTES:
         return whole
     limit = range_rows or RANGE_ROWS
     names = [f"__range_key{i}" for i in range(len(keys))]
