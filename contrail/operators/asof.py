@@ -128,8 +128,8 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
 
     rows = ranged.inherited(
         ranged.rows, [F.max_by(cand, at(F.col("__t"))).alias("__last"), F.max_by(cand, at(-F.col("__t"))).alias("__first")],
-        [F.last("__last", ignorenulls=True).over(ranged.before()).alias("__before"),
-         F.last("__first", ignorenulls=True).over(ranged.after()).alias("__after")])
+        {"__before": F.last("__last", ignorenulls=True).over(ranged.before()),
+         "__after": F.last("__first", ignorenulls=True).over(ranged.after())})
 
     def sweep(t):
         return ranged.window([t, F.col("__side").asc(), F.col(tie).asc()]) \

@@ -38,8 +38,8 @@ def running(df: DataFrame, key: str, ts: str, tie: str, value: str,
     rows = ranged.inherited(
         ranged.rows, [F.sum(value).alias("__s"), F.count(F.lit(1)).alias("__c"),
                       F.max_by(value, F.struct(ts, tie)).alias("__l")],
-        [F.sum("__s").over(before).alias("__sum"), F.sum("__c").over(before).alias("__n"),
-         F.lag("__l").over(ranged.by_range()).alias("__last")])
+        {"__sum": F.sum("__s").over(before), "__n": F.sum("__c").over(before),
+         "__last": F.lag("__l").over(ranged.by_range())})
     placed = rows.select("*", F.lag(value).over(within).alias("__lag"), F.sum(value).over(upto).alias("__run"),
                          F.row_number().over(within).alias("__row"))
     lag = F.when(F.col("__row") == 1, F.col("__last")).otherwise(F.col("__lag"))

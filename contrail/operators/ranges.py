@@ -77,29 +77,23 @@ class Ranged:
         checkpoint_dir(rows.sparkSession)
         return rows.checkpoint()
 
-    def inherited(self, rows: DataFrame, sums: list, carry: list) -> DataFrame:
-        """``rows`` with what each (key, range) gets from the other ranges of its key.
+    def inherited(self, rows: DataFrame, sums: list, carry: dict) -> DataFrame:
+        """``rows`` with what each (key, range) gets from the other ranges of its key;
+        nulls where no key is cut.
 
-        ``sums`` are named aggregates of a (key, range); ``carry`` are named columns
-        over those, windowed by key in order of the range.  Only cut keys have rows
-        in the table that is joined, ``MAX_CUTS`` plus one a key at most.
+        ``sums`` are named aggregates of a (key, range); ``carry`` names columns over
+        those, windowed by key in order of the range.  Only cut keys have rows in the
+        table that is joined, ``MAX_CUTS`` plus one a key at most.
         """
         if not self.cut:
-            return rows.select("*", *[F.lit(None).cast(t).alias(n) for n, t in self._types(rows, sums, carry)])
-        table = self._carried(rows.where("__cut"), sums, carry)
+            return rows.select("*", *[F.lit(None).alias(n) for n in carry])
         names = [f"__range_of{i}" for i in range(len(self.keys))]
-        table = table.select(*[F.col(_q(k)).alias(n) for k, n in zip(self.keys, names)],
-                             F.col(RANGE).alias("__range_at"), *[n for n, _ in self._types(rows, sums, carry)])
+        table = rows.where("__cut").groupBy(*self.parts()).agg(*sums).select(
+            *[F.col(_q(k)).alias(n) for k, n in zip(self.keys, names)], F.col(RANGE).alias("__range_at"),
+            *[c.alias(n) for n, c in carry.items()])
         on = same([F.col(_q(k)) for k in self.keys], map(F.col, names)) & (F.col(RANGE) == F.col("__range_at"))
         return rows.join(F.broadcast(table), on, "left").drop(*names, "__range_at")
 
-    def _carried(self, rows, sums, carry):
-        return rows.groupBy(*self.parts()).agg(*sums).select("*", *carry)
-
-    def _types(self, rows, sums, carry):
-        schema = self._carried(rows, sums, carry).schema
-        return [(f.name, f.dataType) for f in schema.fields[len(schema.fields) - len(carry):]]
-
     def by_range(self):
         """The ranges of a key in order, for ``carry`` columns."""
         return Window.partitionBy(*[_q(k) for k in self.keys]).orderBy(RANGE)

@@ -43,7 +43,7 @@ def _timed(df: DataFrame, keys: list[str], ts: str, order: list[str] | None,
 def _with_previous(ranged: Ranged, order: list) -> DataFrame:
     """Adds ``__prev``: ``__t`` of the key's row before, null on its first row."""
     rows = ranged.inherited(ranged.rows, [F.max("__t").alias("__last")],
-                            [F.lag("__last").over(ranged.by_range()).alias("__edge")])
+                            {"__edge": F.lag("__last").over(ranged.by_range())})
     return rows.withColumn("__prev", F.coalesce(F.lag("__t").over(ranged.window(order)), "__edge")).drop("__edge")
 
 
@@ -77,7 +77,7 @@ def with_segments(df: DataFrame, keys: list[str], ts: str, max_gap_hours: float
     g = _with_previous(ranged, by).withColumn("gap_hours", _gap())
     g = ranged.stored(g.withColumn("__start", (F.col("gap_hours") > F.lit(float(max_gap_hours))).cast("int")))
     g = ranged.inherited(g, [F.sum("__start").alias("__n")],
-                         [F.sum("__n").over(ranged.before()).alias("__offset")])
+                         {"__offset": F.sum("__n").over(ranged.before())})
     upto = ranged.window(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return ranged.plain(g.withColumn("segment_id", (F.coalesce("__offset", F.lit(0)) + F.sum("__start").over(upto))
                                      .cast("long")).drop("__offset"))
@@ -91,7 +91,7 @@ def latest_segment(df: DataFrame, keys: list[str], ts: str, max_gap_hours: float
     is_start = F.col("__prev").isNull() | (_gap() > F.lit(float(max_gap_hours)))
     g = ranged.stored(g.withColumn("__start_t", F.when(is_start, F.col("__t"))))
     whole_key = ranged.by_range().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    g = ranged.inherited(g, [F.max("__start_t").alias("__n")], [F.max("__n").over(whole_key).alias("__latest")])
+    g = ranged.inherited(g, [F.max("__start_t").alias("__n")], {"__latest": F.max("__n").over(whole_key)})
     here = F.max("__start_t").over(ranged.whole())
     return (g.withColumn("__here", F.coalesce("__latest", here)).where(F.col("__t") >= F.col("__here"))
             .select(*[_q(c) for c in df.columns]))
@@ -393,8 +393,7 @@ def with_bearings(df: DataFrame, keys: list[str], order: list[str], lat: str = "
     pt = F.struct(F.col(_q(lat)).alias("la"), F.col(_q(lng)).alias("lo"))
     rows = ranged.inherited(
         ranged.rows, [F.min_by(pt, rank).alias("__first"), F.max_by(pt, rank).alias("__last")],
-        [F.lag("__last").over(ranged.by_range()).alias("__before"),
-         F.lead("__first").over(ranged.by_range()).alias("__after")])
+        {"__before": F.lag("__last").over(ranged.by_range()), "__after": F.lead("__first").over(ranged.by_range())})
     w = ranged.window([F.col(_q(o)) for o in order])
     j = rows.withColumn("__prev", F.coalesce(F.lag(pt).over(w), "__before")) \
             .withColumn("__next", F.coalesce(F.lead(pt).over(w), "__after"))
