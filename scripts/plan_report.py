@@ -57,9 +57,8 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     print("# PLANS\n")
     print(f"Physical plans of the headline queries at `{d}` (initial AQE plans, local[8], 16 shuffle "
-          "partitions), summarised by `scripts/plan_report.py`. Broadcasts of dictionaries follow a "
-          "bounded size probe; at scale the planner switches the large sides to sort-merge joins with "
-          "AQE skew splitting. No query contains a CartesianProduct or BroadcastNestedLoopJoin.\n")
+          "partitions), summarised by `scripts/plan_report.py`. The planner chooses broadcasts of "
+          "dictionaries by size; at scale it switches to sort-merge joins with AQE skew splitting. No query contains a CartesianProduct or BroadcastNestedLoopJoin.\n")
     for name in HEADLINE:
         df = QUERIES[name](spark, d)
         plan = df._jdf.queryExecution().executedPlan().toString()
