@@ -8,9 +8,10 @@ and the document's score is read from the weighted passage representation:
     g = w . (tanh(V h) * sigmoid(U h))      gated attention, soft-maxed over the bag
     score = sigmoid(c . sum(softmax(g) h) + d)
 
-The network is fitted on the driver from a bounded sample of labelled documents
-(``sample`` of them, in the order of a hash of their id, with ``bag`` evenly spaced
-passages each at most); scoring reads every passage of every document.
+The network is fitted on the driver from a bounded sample of labelled documents, in
+the order of a hash of their id: ``sample`` documents and ``most`` passages in all.  A
+document is in the sample with all its passages or not at all; scoring reads every
+passage of every document.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm.common import column, pieces_of, small_batches, text_of
+from contrail.llm.common import column, pieces_of, small_batches, stored, text_of
 
 #: Words of a passage.
 PASSAGE = 64
@@ -40,18 +41,16 @@ for _name, _members in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklm
 FIGURES = _CLASSES + 7
 
 
-def passages(text: str, most: int | None = None) -> np.ndarray:
+def passages(text: str) -> np.ndarray:
     """Figures of the passages of a text, one row each; of an empty text one row
-    of zeros.  With ``most``, of that many evenly spaced passages at most."""
+    of zeros."""
     words = text.split()
     n = len(words)
     if not n:
         return np.zeros((1, FIGURES))
-    starts = np.arange(0, n, PASSAGE)
-    if most and len(starts) > most:
-        starts = starts[np.linspace(0, len(starts) - 1, most).astype(int)]
+    starts = range(0, n, PASSAGE)
     out = np.empty((len(starts), FIGURES))
-    for row, start in enumerate(starts.tolist()):
+    for row, start in enumerate(starts):
         part = words[start:start + PASSAGE]
         held = " ".join(part)
         classes = np.bincount(_CLASS[np.frombuffer(held.encode(), np.uint8)], minlength=_CLASSES)
@@ -101,6 +100,22 @@ def _forward(p: dict, x: np.ndarray, sizes: np.ndarray) -> dict:
             "score": _sigmoid(z @ p["c"] + p["d"][0])}
 
 
+def _gradient(p: dict, x: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> dict:
+    """Slope of the mean cross entropy of the bags' scores in every weight."""
+    f = _forward(p, x, sizes)
+    error = (f["score"] - labels) / len(labels)
+    dz = error[:, None] * p["c"]
+    pulled = (dz[f["bag"]] * f["h"]).sum(axis=1)               # of the loss on each attention weight
+    mean = np.add.reduceat(f["attention"] * pulled, f["starts"])[f["bag"]]
+    dg = f["attention"] * (pulled - mean)
+    dt = dg[:, None] * p["w"] * f["s"] * (1 - f["t"] ** 2)
+    ds = dg[:, None] * p["w"] * f["t"] * f["s"] * (1 - f["s"])
+    dh = f["attention"][:, None] * dz[f["bag"]] + dt @ p["V"].T + ds @ p["U"].T
+    du = dh * (1 - f["h"] ** 2)
+    return {"A": x.T @ du, "a": du.sum(axis=0), "V": f["h"].T @ dt, "U": f["h"].T @ ds,
+            "w": (f["t"] * f["s"]).T @ dg, "c": f["z"].T @ error, "d": np.array([error.sum()])}
+
+
 def fit_bags(bags: list[np.ndarray], labels: np.ndarray, codes: int = 16, gates: int = 8,
              rounds: int = 200, rate: float = 0.03, decay: float = 1e-3, seed: int = 7) -> Model:
     """Fit on bags of passage figures and labels in 0..1 by full-batch Adam.
@@ -118,18 +133,7 @@ def fit_bags(bags: list[np.ndarray], labels: np.ndarray, codes: int = 16, gates:
     x = np.clip((every - model.mean) / model.scale, -8, 8)
     m, v = ({k: np.zeros_like(q) for k, q in p.items()} for _ in range(2))
     for step in range(1, rounds + 1):
-        f = _forward(p, x, sizes)
-        error = (f["score"] - labels) / len(labels)
-        dz = error[:, None] * p["c"]
-        pulled = (dz[f["bag"]] * f["h"]).sum(axis=1)           # of the loss on each attention weight
-        mean = np.add.reduceat(f["attention"] * pulled, f["starts"])[f["bag"]]
-        dg = f["attention"] * (pulled - mean)
-        dt = dg[:, None] * p["w"] * f["s"] * (1 - f["t"] ** 2)
-        ds = dg[:, None] * p["w"] * f["t"] * f["s"] * (1 - f["s"])
-        dh = f["attention"][:, None] * dz[f["bag"]] + dt @ p["V"].T + ds @ p["U"].T
-        du = dh * (1 - f["h"] ** 2)
-        grad = {"A": x.T @ du, "a": du.sum(axis=0), "V": f["h"].T @ dt, "U": f["h"].T @ ds,
-                "w": (f["t"] * f["s"]).T @ dg, "c": f["z"].T @ error, "d": np.array([error.sum()])}
+        grad = _gradient(p, x, sizes, labels)
         for k in p:
             g = grad[k] + (decay * p[k] / len(labels) ** 0.5 if k in "AVU" else 0)
             m[k] = 0.9 * m[k] + 0.1 * g
@@ -144,31 +148,44 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", sample: int = 4000, bag: int = 32) -> Model:
-    """Fit on at most ``sample`` labelled documents that are not held out.
-
-    Labels that are null are ignored; of several labels of one id the mean counts.
-    Labels without a document, or null ids, are ignored.
+        label_col: str = "quality", sample: int = 4000, most: int = 200_000) -> Model:
+    """Fit on at most ``sample`` labelled documents that are not held out, and at most
+    ``most`` passages in all: the first in the order of the id's hash, each whole, up
+    to the one that would go beyond (the first is always taken).
+
+    Labels that are null are ignored; of several labels of one id the mean counts, of
+    several texts of one id the smallest.  Labels without a document, or null ids, are
+    ignored.
     """
     small_batches(docs.sparkSession)
     named = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("label")) \
         .where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id"))) \
         .groupBy("id").agg(F.avg("label").alias("label"))
-    named = named.orderBy(F.xxhash64("id"), "id").limit(sample)  # the documented bound: small enough to broadcast
+    place = F.xxhash64("id").alias("place")
+    named = named.select("id", "label", place).orderBy("place", "id").limit(sample)  # bounded: broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches, text=1):
-            found = [passages(t, bag).astype("<f8").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(found, pa.binary())],
-                names=["id", "label", "figures"])
+        for batch in pieces_of(batches, text=3):
+            found = [passages(t).astype("<f8").tobytes() for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.binary())],
+                                             names=["place", "id", "label", "figures"])
 
     rows = docs.select(column(id_col).cast("long").alias("id"), text_of(text_col).alias("text")) \
-        .join(F.broadcast(named), "id").limit(2 * sample)
-    got = rows.select("id", "text", "label").mapInArrow(run, "id long, label double, figures binary").collect()
-    got.sort(key=lambda r: (r["id"], bytes(r["figures"])))
-    bags = [np.frombuffer(r["figures"], "<f8").reshape(-1, FIGURES) for r in got]
-    return fit_bags(bags, np.array([r["label"] for r in got]))
+        .join(F.broadcast(named), "id").groupBy("place", "id", "label").agg(F.min("text").alias("text"))
+    bags = stored(rows.mapInArrow(run, "place long, id long, label double, figures binary"))
+    sizes = bags.select("place", "id", F.octet_length("figures").alias("size"))   # a row a sampled document
+    total, chosen = 0, []
+    for r in sizes.orderBy("place", "id").collect():
+        total += r["size"] // (8 * FIGURES)
+        if chosen and total > most:
+            break
+        chosen.append(r)
+    if not chosen:
+        return fit_bags([], np.empty(0))
+    last = F.struct(F.lit(chosen[-1]["place"]).alias("place"), F.lit(chosen[-1]["id"]).alias("id"))
+    got = bags.where(F.struct("place", "id") <= last).orderBy("place", "id").collect()
+    return fit_bags([np.frombuffer(r["figures"], "<f8").reshape(-1, FIGURES) for r in got],
+                    np.array([r["label"] for r in got]))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -41,6 +42,95 @@ def test_gradient_is_the_slope():
     assert loss(fitted) < loss(start)
 
 
+def test_gradient_by_central_differences():
+    rng = np.random.default_rng(4)
+    sizes, labels = np.array([1, 5, 2, 3]), np.array([1.0, 0.0, 0.4, 1.0])
+    bags = [rng.normal(size=(n, quality.FIGURES)) for n in sizes]
+    p = {k: v + rng.normal(0, 0.2, v.shape) for k, v in quality.fit_bags(bags, labels, rounds=0).weights.items()}
+    x = np.concatenate(bags)
+
+    def loss():
+        s = quality._forward(p, x, sizes)["score"]
+        return -(labels * np.log(s) + (1 - labels) * np.log(1 - s)).mean()
+
+    slopes, step = quality._gradient(p, x, sizes, labels), 1e-5
+    for name, values in p.items():
+        flat = values.reshape(-1)
+        for k in rng.integers(0, len(flat), min(12, len(flat))):
+            kept = flat[k]
+            flat[k] = kept + step
+            above = loss()
+            flat[k] = kept - step
+            below = loss()
+            flat[k] = kept
+            assert abs((above - below) / (2 * step) - slopes[name].reshape(-1)[k]) < 1e-7, name
+
+
+def test_scores_are_the_formula_passage_by_passage():
+    rng = np.random.default_rng(5)
+    bags = [rng.normal(size=(n, quality.FIGURES)) for n in (1, 7, 2, 40)]
+    model = quality.fit_bags(bags, np.array([1.0, 0.0, 1.0, 0.0]), rounds=5)
+    p = model.weights
+    for bag, got in zip(bags, model.scores(bags)):
+        codes, gates = [], []
+        for passage in bag:
+            x = [min(8, max(-8, (v - m) / s)) for v, m, s in zip(passage, model.mean, model.scale)]
+            h = [math.tanh(sum(a * b for a, b in zip(x, col)) + bias) for col, bias in zip(p["A"].T, p["a"])]
+            gate = 0.0
+            for v, u, w in zip(p["V"].T, p["U"].T, p["w"]):
+                opened = 1 / (1 + math.exp(-sum(a * b for a, b in zip(h, u))))
+                gate += w * math.tanh(sum(a * b for a, b in zip(h, v))) * opened
+            codes.append(h)
+            gates.append(math.exp(gate))
+        z = [sum(g * h[k] for g, h in zip(gates, codes)) / sum(gates) for k in range(len(codes[0]))]
+        want = 1 / (1 + math.exp(-(sum(a * b for a, b in zip(z, p["c"])) + p["d"][0])))
+        assert abs(got - want) < 1e-12
+
+
+def test_fit_reads_every_passage_of_a_sampled_text(spark):
+    """One bad passage among 200, where evenly spaced ones would miss it."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(60):
+        words = clean(rng, 64 * 200).split()
+        if k % 2:
+            at = 64 * rng.randrange(200)
+            words[at:at + 64] = ["XQ!!"] * 64
+        rows.append((k, " ".join(words), 1 - k % 2))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fit(frame.drop("quality"), frame.drop("text"))
+    learnt = sorted((r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2), key=lambda r: place(spark, r[0]))
+    whole = quality.fit_bags([quality.passages(t) for _, t, _ in learnt], np.array([float(q) for _, _, q in learnt]))
+    for k in whole.weights:
+        assert np.allclose(model.weights[k], whole.weights[k])
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    scores = model.scores([quality.passages(t) for _, t, _ in held])
+    assert [s > 0.5 for s in scores] == [bool(q) for _, _, q in held]
+
+
+def place(spark, doc_id):
+    return spark.range(1).selectExpr(f"xxhash64({doc_id}L) AS h").first().h
+
+
+def test_sample_ends_at_a_whole_document(spark):
+    """Bounds count whole documents in hash order; repeated ids are one document."""
+    docs = spark.createDataFrame([(k, "a b c. " * 64 * (k % 3 + 1)) for k in range(40)] + [(5, "zzz"), (5, "zzz")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    texts = {k: "a b c. " * 64 * (k % 3 + 1) for k in range(40)}
+    order = sorted((k for k in texts if zlib.crc32(str(k).encode()) % 4 != 2), key=lambda k: place(spark, k))
+    for most in (1, 20, 10_000):
+        total, chosen = 0, []
+        for k in order:
+            total += len(quality.passages(texts[k]))
+            if chosen and total > most:
+                break
+            chosen.append(k)
+        want = quality.fit_bags([quality.passages(texts[k]) for k in chosen], np.array([k % 2 * 1.0 for k in chosen]))
+        got = quality.fit(docs, labels, most=most)
+        assert all(np.allclose(got.weights[k], want.weights[k]) for k in want.weights)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
