@@ -13,7 +13,9 @@ overlap) is encoded in one piece.  Texts of one chunk need no shuffle.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,9 @@ from contrail.llm.pretokens import ByteLevel, Cache
 #: look-ahead of the pattern.
 MARGIN = 8
 
+#: Characters of a chunk within a batch, and of its overlap with the next.
+CHUNK, OVERLAP = 2048, 256
+
 
 @functools.lru_cache(maxsize=2)
 def _ranks(path: str) -> dict[bytes, int]:
@@ -59,23 +64,55 @@ def _bytes(path: str) -> list[bytes]:
     return table
 
 
-def encode_text(text: str, path: str, split: ByteLevel) -> bytes:
-    return b"".join(map(_ids(path).__getitem__, split.split(text)))
+def split_chunks(text: str, split: ByteLevel, chunk: int = CHUNK,
+                 overlap: int = OVERLAP) -> tuple[list[str], int]:
+    """Pre-tokens of ``text``, and from how many overlapping chunks they were
+    stitched (1: split in one piece)."""
+    size = len(text)
+    if size <= chunk:
+        return split.split(text), 1
+    out, count, begin = [], 1, 0
+    pieces = split.split(text[:chunk + overlap])
+    for start in range(chunk, size, chunk):
+        after = split.split(text[start:start + chunk + overlap])
+        ends = list(itertools.accumulate(map(len, pieces), initial=begin))
+        heads = list(itertools.accumulate(map(len, after), initial=start))
+        sure = size if start + overlap >= size else start + overlap - MARGIN
+        i, j = bisect.bisect_left(ends, start), 0
+        while i < len(ends) and j < len(heads) and ends[i] != heads[j]:
+            if ends[i] < heads[j]:
+                i += 1
+            else:
+                j += 1
+        if i == len(ends) or j == len(heads) or ends[i] > sure:
+            return split.split(text), 1
+        out += pieces[:i]
+        pieces, begin, count = after[j:], heads[j], count + 1
+    return out + pieces, count
+
+
+def encode_text(text: str, path: str, split: ByteLevel, chunk: int = CHUNK,
+                overlap: int = OVERLAP) -> tuple[bytes, int]:
+    """Ids of a text, and the number of chunks it was stitched from."""
+    pieces, count = split_chunks(text, split, chunk, overlap)
+    return b"".join(map(_ids(path).__getitem__, pieces)), count
 
 
 def decode_ids(ids: bytes, path: str) -> bytes:
     return b"".join(map(_bytes(path).__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-def _whole(path: str, split: ByteLevel):
-    """Batches whose first column is a text -> the others, and its ids."""
+def _whole(path: str, split: ByteLevel, inner: tuple[int, int]):
+    """Batches (text, row, ids or null, chunks) -> (row, ids, chunks); ids that
+    are there already stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, text=0):
-            ids = [encode_text(t, path, split) for t in batch.column(0).to_pylist()]
+            got = [(ids, n) if ids is not None else encode_text(t, path, split, *inner) for t, ids, n in
+                   zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(ids, pa.binary())],
-                names=[*batch.schema.names[1:], "ids"])
+                [batch.column(1), pa.array([g[0] for g in got], pa.binary()),
+                 pa.array([g[1] for g in got], pa.int32())], names=["row", "ids", "chunks"])
 
     return run
 
@@ -124,11 +161,12 @@ def _chunks(path: str, split: ByteLevel, chunk: int, overlap: int):
 
 
 def _stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (sha, chunks in order) -> (sha, ids); null ids where two chunks
-    share no boundary."""
+    """Rows (sha, chunks in order) -> (sha, ids, number of chunks); null ids where
+    two chunks share no boundary."""
     for batch in batches:
-        out = []
+        out, counts = [], []
         for chunks in batch.column(1).to_pylist():
+            counts.append(len(chunks))
             parts, took = [], 0
             for c in chunks:
                 if c["ids"] is None or took not in c["heads"]:
@@ -137,35 +175,40 @@ def _stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts.append(c["ids"][c["head_at"][c["heads"].index(took)]:])
                 took = c["sync"]
             out.append(None if parts is None else b"".join(parts))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())],
-                                         names=["sha", "ids"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(out, pa.binary()), pa.array(counts, pa.int32())],
+            names=["sha", "ids", "chunks"])
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", chunk: int = 1 << 16,
-           overlap: int = 1 << 10) -> DataFrame:
+           overlap: int = 1 << 10, inner: tuple[int, int] = (CHUNK, OVERLAP),
+           chunks_col: str | None = None) -> DataFrame:
     """``docs`` (every row and column) with ``ids``: the text's token ids as
     little-endian 32-bit integers, by the ranks in the file at ``path``; each
     match of the split pattern is encoded by itself, special strings are text.
-
-    A null or empty text has empty ids.  Texts longer than ``chunk`` characters
-    go the way of overlapping chunks, each distinct text once however many rows
-    have it.  An empty table gives an empty result.  A column of ``docs`` named
-    ``ids`` is replaced.
+    With ``chunks_col``, also the number of overlapping chunks that the text was
+    stitched from (1: it was split in one piece).
+
+    A null or empty text has empty ids.  A text is split in overlapping chunks of
+    ``inner`` (characters, overlap) within its batch; texts longer than ``chunk``
+    characters go to several tasks in chunks of that size, each distinct text once
+    however many rows have it.  An empty table gives an empty result.  Columns of
+    ``docs`` named ``ids`` or ``chunks_col`` are replaced.
     """
     small_batches(docs.sparkSession)
     split, text = ByteLevel(), text_of(text_col)
-    names = [c for c in docs.columns if c != "ids"]
-    kept = [column(c) for c in names]
+    names = [c for c in docs.columns if c not in ("ids", chunks_col)]
+    kept = F.struct(*[column(c) for c in names]).alias("row")
     long = F.char_length(text) > chunk
 
     def encoded(rows: DataFrame) -> DataFrame:
-        rows = rows.select(text.alias("__text"), F.struct(*kept).alias("row"))
-        schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType())])
-        return rows.mapInArrow(_whole(path, split), schema)
+        schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()),
+                               T.StructField("chunks", T.IntegerType())])
+        return rows.mapInArrow(_whole(path, split, inner), schema)
 
-    short = encoded(docs.where(~long)).select("row.*", "ids")
-    long_docs = docs.where(long).select(F.sha2(text, 256).alias("sha"), text.alias("__text"),
-                                        F.struct(*kept).alias("row"))
+    short = encoded(docs.where(~long).select(
+        text.alias("__text"), kept, F.lit(None).cast("binary").alias("ids"), F.lit(1).alias("chunks")))
+    long_docs = docs.where(long).select(F.sha2(text, 256).alias("sha"), text.alias("__text"), kept)
     count = F.ceil(F.char_length("__text") / F.lit(chunk)).cast("int")
     parts = (long_docs.select("sha", "__text", count.alias("count"),
                               F.explode(F.sequence(F.lit(0), count - 1)).alias("n"))
@@ -175,13 +218,13 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", chunk: int = 1 <<
     done = parts.mapInArrow(
         _chunks(path, split, chunk, overlap),
         "sha string, n int, last boolean, ids binary, sync int, heads array<int>, head_at array<int>")
-    gathered = done.groupBy("sha").agg(F.sort_array(F.collect_list(
-        F.struct("n", "ids", "sync", "heads", "head_at"))).alias("chunks"))
-    stitched = gathered.mapInArrow(_stitched, "sha string, ids binary")
-    joined = long_docs.join(stitched, "sha")
-    whole = encoded(joined.where(F.col("ids").isNull()).select("row.*")).select("row.*", "ids")
-    return short.unionByName(joined.where(F.col("ids").isNotNull()).select("row.*", "ids")) \
-                .unionByName(whole)
+    gathered = done.groupBy("sha").agg(
+        F.sort_array(F.collect_list(F.struct("n", "ids", "sync", "heads", "head_at"))).alias("chunks"))
+    stitched = gathered.mapInArrow(_stitched, "sha string, ids binary, chunks int")
+    # texts whose chunks share no boundary have null ids yet
+    rest = encoded(long_docs.join(stitched, "sha").select("__text", "row", "ids", "chunks"))
+    extra = [F.col("chunks").alias(chunks_col)] if chunks_col else []
+    return short.unionByName(rest).select("row.*", "ids", *extra)
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:

@@ -74,10 +74,11 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
-    ids = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks).drop("text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    ids = byte_bpe.encode(docs, ranks, chunks_col="n_chunks").drop("text")
     return byte_bpe.decode(ids, ranks).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "n_chunks")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

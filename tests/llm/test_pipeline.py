@@ -110,6 +110,27 @@ def test_empty_table_runs_through(spark):
         assert docs.collect() == []
 
 
+def test_clashing_columns_and_a_very_long_text(spark, tmp_path):
+    """Columns called like those that the stages add come through all stages."""
+    names = ["__score", "score", "ids", "IDS_", "n_tokens", "ids_sha256", "Decoded_SHA256", "decoded", "sha",
+             "size", "row", "taken", "chunks", "fingerprint", "component_id", "first", "id", "none"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS)
+    long = " ".join(r.text for r in docs.where("lang = 'en'").orderBy("doc_id").limit(60).collect()) * 4
+    docs = docs.unionByName(spark.createDataFrame([(9000, long, "en", "src1", 1)], docs.schema))
+    docs = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{k}")
+        before, docs = docs.columns, spark.read.parquet(f"{tmp_path}/{k}")
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert docs.columns == before
+    held = {"n_tokens": "n_tokens_", "ids": "ids__", "ids_sha256": "ids_sha256_", "Decoded_SHA256": "Decoded_SHA256_",
+            "decoded": "decoded_"}
+    assert "text" not in docs.columns and len({c.lower() for c in docs.columns}) == len(docs.columns)
+    for r in docs.collect():
+        assert all(r[held.get(n, n)] == f"{n}{r.doc_id}" for n in names)
+        assert len(r.ids) == 4 * r.n_tokens
+
+
 def test_whole_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
 

@@ -48,6 +48,28 @@ def test_byte_bpe_round_trip(spark, frame, reference, chunk, overlap):
         assert bytes(r.decoded) == text.encode()
 
 
+@pytest.mark.parametrize("chunk,overlap", [(12, 9), (40, 12), (40, 40), (300, 64), (2048, 256)])
+def test_stitched_chunks_are_the_split_of_the_whole(chunk, overlap):
+    split, counts = ByteLevel(), []
+    for text in texts(300, 5) + ["word " * 3000, " " * 5000 + "x", "a1" * 4000]:
+        pieces, count = byte_bpe.split_chunks(text or "", split, chunk, overlap)
+        assert pieces == split.split(text or "")
+        assert count in (1, -(-len(text or "x") // chunk))
+        counts.append(count)
+    assert max(counts) > 1
+
+
+def test_texts_of_ordinary_length_are_stitched(spark, reference):
+    """No size but a chunk's own decides: several chunks within a batch, and over tasks."""
+    prose = "The don't  they'll go\n\n 12 34's, and so on. "
+    rows = [(1, prose * 30), (2, prose * 100), (3, prose * 3000), (4, "x" * 9000), (5, None), (6, "x" * 200_000)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_chunks int")
+    got = {r.doc_id: r for r in byte_bpe.encode(df, RANKS, chunks_col="n_chunks").collect()}
+    for key, text in rows:
+        assert bytes(got[key].ids) == np.asarray(reference.encode_ordinary(text or ""), "<u4").tobytes()
+    assert [got[k].n_chunks for k in range(1, 7)] == [1, 3, 3, 1, 1, 1]
+
+
 def test_byte_level_split_is_the_pattern(reference):
     split = ByteLevel()
     for text in texts(400, 9):
