@@ -1,7 +1,9 @@
 """Corpus pipeline over ``documents``: quality, exact copies, near copies, mix, token ids.
 
 Each stage gets what its predecessor wrote as Parquet and returns the columns of
-``documents``; the last returns each document's token ids.
+``documents``; the last returns each document's token ids.  Columns that a stage adds
+take names that the table does not have; what the last one returns beside the table's own
+columns keeps its name, and a column of the table called so gets underscores appended.
 """
 
 from __future__ import annotations
@@ -11,15 +13,27 @@ from pyspark.sql import functions as F
 
 from contrail.llm import byte_bpe, exact_dedup, mixing, quality, simhash
 from contrail.llm.catalog import QUALITY_THRESHOLD, vocabulary
-from contrail.llm.common import documents
+from contrail.llm.common import column, documents
 from contrail.session import scratch_path
 
 
+RESULT = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
+
+
+def free_name(wanted: str, taken: list[str]) -> str:
+    """``wanted`` with underscores appended until no name of ``taken`` equals it."""
+    names = {c.lower() for c in taken}
+    while wanted.lower() in names:
+        wanted += "_"
+    return wanted
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs, model, out="__score")
-    return scored.where(F.col("__score") >= QUALITY_THRESHOLD).drop("__score")
+    out = free_name("score", docs.columns)
+    scored = quality.score(docs, model, out=out)
+    return scored.where(F.col(out) >= QUALITY_THRESHOLD).drop(out)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +54,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them."""
     ranks = vocabulary("byte_bpe_50k.tiktoken")
-    coded = byte_bpe.decode(byte_bpe.encode(docs, ranks).drop("text"), ranks)
+    kept = []
+    for c in docs.columns:
+        clash = c.lower() in (*RESULT, "decoded")
+        kept.append((c, free_name(c + "_", docs.columns + [k for _, k in kept]) if clash else c))
+    renamed = docs.select(*[column(a).alias(b) for a, b in kept])
+    coded = byte_bpe.decode(byte_bpe.encode(renamed, ranks).drop("text"), ranks)
     return coded.select(
-        *[c for c in coded.columns if c not in ("ids", "decoded")],
+        *[column(b) for _, b in kept if b != "text"],
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
