@@ -50,15 +50,21 @@ def schedule_flight_facts(schedules: DataFrame, flights: DataFrame,
                         split_rows=split_rows)
 
 
+def match_weather(facts: DataFrame, weather: DataFrame, tolerance: timedelta = WEATHER_MATCH_TOLERANCE,
+                  split_rows: int | None = None) -> DataFrame:
+    """J3 + J4, also where ``weather`` holds nothing: all rows are misses then."""
+    matched = facts.where(F.col("last_updated_utc").isNotNull())
+    out = asof_nearest(matched, weather, left_on="last_updated_utc",
+                       right_on="observation_time_utc", tolerance=tolerance, split_rows=split_rows)
+    return out.withColumn("has_weather_match", F.col("observation_time_utc").isNotNull())
+
+
 def weather_correlation(facts: DataFrame, weather: DataFrame,
                         tolerance: timedelta = WEATHER_MATCH_TOLERANCE,
                         split_rows: int | None = None) -> DataFrame:
     """J3 + J4: matched facts + the nearest weather observation (no key);
     ``has_weather_match`` flags a found observation."""
-    matched = facts.where(F.col("last_updated_utc").isNotNull())
-    out = asof_nearest(matched, weather, left_on="last_updated_utc",
-                       right_on="observation_time_utc", tolerance=tolerance, split_rows=split_rows)
-    out = out.withColumn("has_weather_match", F.col("observation_time_utc").isNotNull())
+    out = match_weather(facts, weather, tolerance, split_rows)
     # no observations at all -> no correlation table (not a table of misses): a
     # semi-join with at most one row, which the plan looks up when it runs
     any_weather = F.broadcast(weather.limit(1).select(F.lit(1).alias("__any")))
@@ -84,10 +90,9 @@ WIND_STEP = 2.0
 METRICS = ("temperature_celsius", "wind_speed_mps", "visibility_level")
 
 
-def weather_impact(correlation: DataFrame) -> DataFrame:
-    """A2: mean delay and count by temperature band (5 C), wind band (2 m/s)
-    and visibility level, stacked.  One pass: each row is exploded into its
-    three (metric, bucket) memberships, then a single aggregation."""
+def impact_members(correlation: DataFrame, *columns) -> DataFrame:
+    """Each delayed flight with weather as its three (metric, bucket) memberships
+    ``m``, with its delay and ``columns``."""
     base = correlation.where(F.col("has_weather_match")
                              & F.col("departure_delay_mins").isNotNull())
     t0 = floor_step("temp_celsius", TEMP_STEP)
@@ -103,7 +108,14 @@ def weather_impact(correlation: DataFrame) -> DataFrame:
         member(0, METRICS[0], range_label(t0, TEMP_STEP, " C"), t0, t0 + TEMP_STEP),
         member(1, METRICS[1], range_label(w0, WIND_STEP, " m/s"), w0, w0 + WIND_STEP),
         member(2, METRICS[2], visibility_level("visibility_meters"), null_d, null_d)))
-    exploded = base.select(m.alias("m"), "departure_delay_mins")
+    return base.select(m.alias("m"), "departure_delay_mins", *columns)
+
+
+def weather_impact(correlation: DataFrame) -> DataFrame:
+    """A2: mean delay and count by temperature band (5 C), wind band (2 m/s)
+    and visibility level, stacked.  One pass: each row is exploded into its
+    three (metric, bucket) memberships, then a single aggregation."""
+    exploded = impact_members(correlation)
     return (exploded.groupBy("m.rank", "m.metric", "m.bucket_label", "m.bucket_start",
                              "m.bucket_end")
                     .agg(round2(F.avg("departure_delay_mins")).alias("avg_departure_delay_mins"),
