@@ -18,6 +18,7 @@ from contrail.plans import silver as SV
 from contrail.session import remove_path, scratch_path
 from contrail.sources import raw as RAW
 from contrail.sources import tables as TB
+from contrail.sources import versions as VS
 
 
 # Left rows of an as-of bucket that one task sweeps; a hot flight or hour is cut into parts.
@@ -33,7 +34,7 @@ def load_dictionaries(spark: SparkSession, dict_base: str, fetchers: dict | None
 
 def process_silver_layer(spark: SparkSession, raw_base: str, dict_base: str, silver_base: str,
                          record_schemas: dict[str, T.StructType] | None = None,
-                         order: list[str] | None = None, airport: str = "KRK") -> dict:
+                         order: list[str] | None = None, airport: str = "KRK", versions: bool = False) -> dict:
     """Bronze -> silver for schedules, departures (flights) and weather.
 
     Each cleaned table is computed once, into the shared checkpoint folder, with
@@ -41,6 +42,8 @@ def process_silver_layer(spark: SparkSession, raw_base: str, dict_base: str, sil
     silver is touched.  Rows without a date go to quarantine and are counted
     (``no_date``), files that cannot be read are counted (``unreadable_files``).
     Without ``order`` the last row is the last by file path and place in the file.
+    With ``versions`` each table is one of :mod:`contrail.sources.versions`, replaced by
+    one commit.
     """
     schemas = record_schemas or {}
     order = order or RAW.FILE_ORDER
@@ -65,7 +68,8 @@ def process_silver_layer(spark: SparkSession, raw_base: str, dict_base: str, sil
         cleaned.write.parquet(stage)
         try:
             metrics = SV.assert_dq(obs, name)
-            TB.write_partitioned(spark.read.parquet(stage), date_col, f"{silver_base}/{name}")
+            (VS.commit_days if versions else TB.write_partitioned)(
+                spark.read.parquet(stage), date_col, f"{silver_base}/{name}")
         finally:
             remove_path(spark, stage)
         out[name] = {**metrics, "unreadable_files": RAW.unreadable_files(spark, prefix).count()}

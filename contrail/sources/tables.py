@@ -42,11 +42,9 @@ def _row_counts(df: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.any_value(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"))
 
 
-def _not_there(df: DataFrame, path: str) -> DataFrame:
-    """The rows of ``df`` that the table at ``path`` lacks; of equal rows as many as
-    it has fewer, so a batch that is written again adds nothing."""
-    spark = df.sparkSession
-    there = RAW.read_raw_parquet(spark, path, placed=False) if path_exists(spark, path) else None
+def missing_rows(df: DataFrame, there: DataFrame | None) -> DataFrame:
+    """The rows of ``df`` that ``there`` lacks; of equal rows as many as it has fewer,
+    so a batch that is written again adds nothing."""
     if there is None:
         return df
     held = _row_counts(there).select("key", F.col("n").alias("held"))
@@ -72,7 +70,8 @@ def write_partitioned(df: DataFrame, date_col: str, base: str, quarantine: str |
     bad = df.where(~dated)
     if not bad.isEmpty():
         path = quarantine or quarantine_path(base)
-        _not_there(bad, path).write.mode("append").parquet(path)
+        there = RAW.read_raw_parquet(df.sparkSession, path, placed=False) if path_exists(df.sparkSession, path) else None
+        missing_rows(bad, there).write.mode("append").parquet(path)
     (with_day_partitions(df.where(dated), date_col).hint("rebalance", *PARTITION_COLS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLS).parquet(base))

@@ -27,6 +27,7 @@ from contrail.functions.time import minute_label
 from contrail.operators.dedup import keep_last
 from contrail.session import path_exists, remove_path, scratch_path
 from contrail.sources import raw as RAW
+from contrail.sources import versions as VS
 from contrail.sources.tables import PARTITION_COLS, quarantine_path, with_day_partitions
 
 # Bucket width and lateness allowed for live positions.
@@ -68,10 +69,35 @@ def merge_into_silver(batch: DataFrame, base: str, keys: list[str], date_col: st
     remove_path(spark, stage_dir)
 
 
+def merge_into_version(batch: DataFrame, base: str, keys: list[str], date_col: str, number: tuple[str, int]) -> None:
+    """:func:`merge_into_silver` on a table with versions, in one commit with the rows
+    without a date: readers see all of the batch or nothing of it, and a batch whose
+    number is already in is left out.  A commit of someone else's in between makes the
+    merge start again from the version that it left."""
+    spark = batch.sparkSession
+    dated = batch.where(F.col(date_col).isNotNull())
+    days = {r.d for r in dated.select(F.to_date(date_col).alias("d")).distinct().collect()}
+    order = [c for c in (S.INGEST,) if c in batch.columns] + ["__rank"]
+    while True:
+        version = VS.current(spark, base)
+        listed = VS.entries(spark, base, version)
+        if VS.seen(listed, number):
+            return
+        old = VS.read_days(spark, base, batch.schema, days, version)
+        rows = old.withColumn("__rank", F.lit(0)).unionByName(dated.withColumn("__rank", F.lit(1)))
+        merged = keep_last(rows, keys, order).drop("__rank") \
+            .unionByName(batch.where(F.col(date_col).isNull()))
+        try:
+            VS.commit_days(merged, date_col, base, number, version, days)
+            return
+        except VS.Conflict:
+            continue
+
+
 def incremental_silver(spark: SparkSession, raw_dir: str, record_schema: T.StructType | None,
                        clean: Callable[[DataFrame], DataFrame], base: str, keys: list[str], date_col: str,
                        checkpoint: str | None = None, available_now: bool = True, weather: bool = False,
-                       files_per_batch: int = 1000):
+                       files_per_batch: int = 1000, versions: bool = False):
     """Stream the bronze snapshots under ``raw_dir`` into ``base``.
 
     The stream is one of files; a batch's new files (``files_per_batch`` at most)
@@ -79,7 +105,8 @@ def incremental_silver(spark: SparkSession, raw_dir: str, record_schema: T.Struc
     error snapshots left out.  ``clean`` gets their records with ``ingest_order``,
     a text that sorts by file path and place; with ``ingest=True`` the silver
     functions keep it.  Rows without a date go to the table's quarantine, one
-    folder a batch.
+    folder a batch.  With ``versions`` the table is one of :mod:`contrail.sources.versions`,
+    and a batch is one commit.
     """
     ckpt = checkpoint or scratch_path(spark, "silver-ckpt")
     listing = T.StructType([
@@ -96,6 +123,8 @@ def incremental_silver(spark: SparkSession, raw_dir: str, record_schema: T.Struc
         label = F.concat_ws("#", "file_path", F.lpad(F.col("record_pos").cast("string"), 20, "0"))
         cleaned = clean(raw.withColumn("ingest_order", label)).persist()  # read for days, merge, quarantine
         try:
+            if versions:
+                return merge_into_version(cleaned, base, keys, date_col, (ckpt, batch_id))
             merge_into_silver(cleaned, base, keys, date_col, os.path.join(ckpt, "stage", str(batch_id)))
             undated = cleaned.where(F.col(date_col).isNull())
             if not undated.isEmpty():
