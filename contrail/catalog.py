@@ -24,6 +24,7 @@ from contrail.plans import silver as SV
 from contrail.plans import tracks as TR
 from contrail.sources import raw as RAW
 from contrail.sources import tables as TB
+from contrail.sources import versions as VS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1256,6 +1257,33 @@ def s15(spark, d):
     return spark.read.parquet(path)
 
 
+@register("s14_versioned_days", "SELECT * FROM weather")
+def s14_versions(spark, d):
+    """Two commits whose days overlap; the second one's replace the first one's."""
+    base, table, day = _scratch(spark, "s14v"), A.weather(spark, d), F.to_date("observation_time_utc")
+    VS.commit_days(table.where(day <= F.lit(RANGE_END)), "observation_time_utc", base)
+    VS.commit_days(table.where(day >= F.lit(RANGE_START)), "observation_time_utc", base)
+    return VS.read_version(spark, base)
+
+
+@register("s7_versioned_range", f"""
+SELECT * FROM weather
+WHERE CAST(observation_time_utc AS DATE) >= DATE '{RANGE_START}'
+  AND CAST(observation_time_utc AS DATE) < DATE '{RANGE_END}'""")
+def s7_versions(spark, d):
+    base = _scratch(spark, "s7v")
+    VS.commit_days(A.weather(spark, d), "observation_time_utc", base)
+    start, end = (datetime.combine(day, datetime.min.time()) for day in (RANGE_START, RANGE_END))
+    return VS.read_version(spark, base, start=start, end=end)
+
+
+@register("s15_versioned_table", ACTIVE_ROUTES_SQL)
+def s15_versions(spark, d):
+    base = _scratch(spark, "s15v")
+    VS.commit_table(G.active_routes(A.schedules(spark, d), A.airports(spark, d), origin=A.ORIGIN), base)
+    return VS.read_version(spark, base)
+
+
 @register("s17_named_gold_read", ACTIVE_ROUTES_SQL)
 def s17(spark, d):
     base = _scratch(spark, "s17")
@@ -1338,9 +1366,33 @@ FROM schedules GROUP BY 1""")(_gold_table("hourly_traffic"))
 register("c9_gold_active_routes", ACTIVE_ROUTES_SQL)(_gold_table("active_routes"))
 
 
-@register("r1_incremental_silver", "SELECT * FROM weather")
-def r1(spark, d):
-    from contrail import schemas as SCH
+def _refreshed_table(name):
+    """The gold table after two refreshes: silver up to a day, then the rest of it."""
+    def query(spark, d):
+        from contrail.plans import refresh
+        silver, gold, dicts = _scratch(spark, "silver"), _scratch(spark, "gold"), _scratch(spark, "dict")
+        for kind, fn in (("airports", A.airports), ("airlines", A.airlines), ("fleets", A.fleets)):
+            RAW.load_dictionary(spark, f"{dicts}/{kind}", fetch=lambda fn=fn: fn(spark, d))
+        tables = [(fn(spark, d).checkpoint(), col, f"{silver}/{kind}") for kind, fn, col in (
+            ("schedules", A.schedules, "scheduled_departure_utc"), ("flights", A.flights, "last_updated_utc"),
+            ("weather", A.weather, "observation_time_utc"))]
+        early = F.lit(RANGE_START)
+        for part in (lambda day: day <= early, lambda day: day > early):
+            for table, col, path in tables:
+                TB.write_partitioned(table.where(part(F.to_date(col))), col, path)
+            refresh.refresh_gold(spark, silver, dicts, gold, A.ORIGIN, weather_tolerance=A.J3_TOLERANCE)
+        return spark.read.parquet(f"{gold}/{name}").drop("on", *TB.PARTITION_COLS)
+    return query
+
+
+register("c9_refresh_gold", SQL["c9_process_gold_layer"], ctes=False)(_refreshed_table("airline_performance"))
+register("c9_refresh_correlation", "SELECT * FROM correlation")(_refreshed_table("weather_correlation_by_day"))
+register("c9_refresh_weather_impact", SQL["a2_weather_impact"], ctes=False)(_refreshed_table("weather_impact"))
+register("c9_refresh_hourly_traffic", SQL["c9_gold_hourly_traffic"], ctes=False)(_refreshed_table("hourly_traffic"))
+register("c9_refresh_active_routes", ACTIVE_ROUTES_SQL)(_refreshed_table("active_routes"))
+
+
+def _streamed_weather(spark, d, versions):
     from contrail.streaming.incremental import incremental_silver
     raw, base, ckpt = _scratch(spark, "r1-raw"), _scratch(spark, "r1-silver"), _scratch(spark, "r1-ckpt")
     seen = A.raw_weather(spark, d)
@@ -1351,8 +1403,41 @@ def r1(spark, d):
         land(part.drop("ingest_order"), raw, when)
         incremental_silver(spark, raw, None, lambda b: SV.clean_weather(b, ingest=True), base,
                            ["airport_city", "observation_time_utc"], "observation_time_utc",
-                           checkpoint=ckpt, weather=True).awaitTermination()
-    return TB.read_silver(spark, base, SCH.WEATHER)
+                           checkpoint=ckpt, weather=True, versions=versions).awaitTermination()
+    return base
+
+
+@register("r1_incremental_silver", "SELECT * FROM weather")
+def r1(spark, d):
+    from contrail import schemas as SCH
+    return TB.read_silver(spark, _streamed_weather(spark, d, False), SCH.WEATHER)
+
+
+@register("r1_versioned_silver", "SELECT * FROM weather")
+def r1_versions(spark, d):
+    from contrail import schemas as SCH
+    return VS.read_version(spark, _streamed_weather(spark, d, True), SCH.WEATHER)
+
+
+@register("r3_keep_last_within_watermark", """
+SELECT flight_iata, updated, status, ingest_order FROM (
+  SELECT *, row_number() OVER (PARTITION BY flight_iata, stay ORDER BY updated DESC, ingest_order DESC) AS rn FROM (
+    SELECT *, sum(opens) OVER (PARTITION BY flight_iata ORDER BY updated, ingest_order) AS stay FROM (
+      SELECT flight_iata, updated, status, ingest_order, CASE WHEN updated - lag(updated) OVER (
+               PARTITION BY flight_iata ORDER BY updated, ingest_order) <= 3600 THEN 0 ELSE 1 END AS opens
+      FROM raw_flights WHERE updated IS NOT NULL)))
+WHERE rn = 1 AND updated + 3600 <= (SELECT max(updated) FROM raw_flights) - 3600""")
+def r3_last(spark, d):
+    """The last position of every stay of a flight (positions an hour apart at most)
+    that the watermark has passed."""
+    from contrail.streaming.incremental import keep_last_within_watermark, run_to_table
+    ev = spark.readStream.schema(A.table(spark, d, "events").schema) \
+        .option("pathGlobFilter", "events.parquet").parquet(d) \
+        .where(F.col("event_type") == "view")
+    pos = A.raw_flights_from(A.with_revisions(ev)).select(
+        "flight_iata", "updated", "status", "ingest_order", tm.epoch_seconds_to_ts("updated").alias("ts"))
+    return run_to_table(keep_last_within_watermark(pos, ["flight_iata"], "ts", ["ts", "ingest_order"]),
+                        "r3-last").drop("ts")
 
 
 @register("r3_dedup_within_watermark", """
