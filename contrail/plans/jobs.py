@@ -40,7 +40,7 @@ def process_silver_layer(spark: SparkSession, raw_base: str, dict_base: str, sil
     Each cleaned table is computed once, into the shared checkpoint folder, with
     its data-quality metrics observed on the way; a failed check raises before
     silver is touched.  Rows without a date go to quarantine and are counted
-    (``no_date``), files that cannot be read are counted (``unreadable_files``).
+    (``no_date``), files that cannot be read are counted on the way (``unreadable_files``).
     Without ``order`` the last row is the last by file path and place in the file.
     With ``versions`` each table is one of :mod:`contrail.sources.versions`, replaced by
     one commit.
@@ -58,7 +58,8 @@ def process_silver_layer(spark: SparkSession, raw_base: str, dict_base: str, sil
          lambda r: SV.clean_weather(r, order, ingest=True), "observation_time_utc", True),
     ]
     for name, prefix, clean, date_col, weather in jobs:
-        raw = RAW.read_raw(spark, prefix, schemas.get(name), weather=weather)
+        unreadable = RAW.Unreadable()
+        raw = RAW.read_raw(spark, prefix, schemas.get(name), weather=weather, unreadable=unreadable)
         if raw is None:
             out[name] = None
             continue
@@ -72,7 +73,7 @@ def process_silver_layer(spark: SparkSession, raw_base: str, dict_base: str, sil
                 spark.read.parquet(stage), date_col, f"{silver_base}/{name}")
         finally:
             remove_path(spark, stage)
-        out[name] = {**metrics, "unreadable_files": RAW.unreadable_files(spark, prefix).count()}
+        out[name] = {**metrics, "unreadable_files": unreadable.count()}
     return out
 
 

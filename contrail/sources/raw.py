@@ -20,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -329,11 +329,30 @@ def json_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return small.unionByName(parts.select("file_path", "first", F.when(part.isNotNull(), F.array(part)).alias("documents")))
 
 
+class Unreadable:
+    """What a scan leaves out because it cannot be read, counted by the scan itself:
+    :meth:`count` is known once its rows have been computed."""
+
+    def __init__(self) -> None:
+        self.footers, self._texts = 0, None
+
+    def watch(self, docs: DataFrame) -> DataFrame:
+        self._texts = Observation()
+        broken = F.collect_set(F.when(F.col("documents").isNull(), F.col("file_path")))
+        return docs.observe(self._texts, F.size(broken).alias("n"))
+
+    def count(self) -> int:
+        return self.footers + (self._texts.get["n"] if self._texts else 0)
+
+
 def read_raw_json(spark: SparkSession, paths: str | list[str], record_schema: T.StructType | None = None,
-                  weather: bool = False) -> DataFrame:
+                  weather: bool = False, unreadable: Unreadable | None = None) -> DataFrame:
     """S1 + S2 over files: parse, drop error payloads, explode records, with the
     columns of :data:`FILE_ORDER`."""
-    docs = json_documents(spark, paths).select("file_path", "first", F.posexplode("documents").alias("__n", "__v")) \
+    docs = json_documents(spark, paths)
+    if unreadable is not None:
+        docs = unreadable.watch(docs)
+    docs = docs.select("file_path", "first", F.posexplode("documents").alias("__n", "__v")) \
         .withColumn("__n", F.col("first") + F.col("__n"))
     good = docs.where(_accepted(F.col("__v"), weather))
     line = F.shiftleft(F.col("__n").cast("long"), 32)
@@ -404,7 +423,8 @@ def parquet_kinds(spark: SparkSession, paths: str | list[str]) -> list[tuple[str
     return out
 
 
-def read_raw_parquet(spark: SparkSession, paths: str | list[str], placed: bool = True) -> DataFrame | None:
+def read_raw_parquet(spark: SparkSession, paths: str | list[str], placed: bool = True,
+                     unreadable: Unreadable | None = None) -> DataFrame | None:
     """S3: snapshot files whose schemas may differ.
 
     Files are grouped by schema (:func:`parquet_kinds`).  Files whose schemas merge are
@@ -416,6 +436,8 @@ def read_raw_parquet(spark: SparkSession, paths: str | list[str], placed: bool =
     kinds = parquet_kinds(spark, paths)
     if kinds is None:
         return None
+    if unreadable is not None:
+        unreadable.footers = sum(kind is None for _, kind in kinds)
     groups: dict[str, list[str]] = {}
     for place, kind in kinds:
         if kind is not None and kind != "error":
@@ -438,14 +460,15 @@ def unreadable_files(spark: SparkSession, prefix: str | list[str]) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, prefix: str | list[str], record_schema: T.StructType | None = None,
-             weather: bool = False) -> DataFrame | None:
+             weather: bool = False, unreadable: Unreadable | None = None) -> DataFrame | None:
     """S4 + S5: every non-empty file under ``prefix``; ``.parquet`` through S3,
     ``.json`` through S1/S2 (its schema is found where none is given), anything
     else ignored; one aligned union.  None if nothing is there.  Files that
-    cannot be read are left out (:func:`unreadable_files` names them)."""
-    frames = [read_raw_parquet(spark, prefix)]
+    cannot be read are left out: :func:`unreadable_files` names them, ``unreadable``
+    counts them on the way."""
+    frames = [read_raw_parquet(spark, prefix, unreadable=unreadable)]
     if _files(spark, prefix) is not None and not json_documents(spark, prefix).isEmpty():
-        frames.append(read_raw_json(spark, prefix, record_schema, weather))
+        frames.append(read_raw_json(spark, prefix, record_schema, weather, unreadable))
     return align_union([f for f in frames if f is not None and len(f.columns) > len(FILE_ORDER)])
 
 

@@ -174,3 +174,21 @@ def test_running_values_match_plain_python(spark):
             assert row["diff"] == (None if n == 0 else r[3] - mine[n - 1][3])
     placed = with_row_number(spark.range(100).repartition(7).orderBy(F.desc("id")), "n").collect()
     assert all(r.n == 100 - r.id for r in placed)
+
+
+def test_unreadable_files_are_counted_on_the_way(spark, tmp_dir):
+    from contrail.sources import versions as VS
+    bronze(spark, f"{tmp_dir}/raw")
+    for name in ("a.json", "b.json", "c.parquet"):
+        with open(f"{tmp_dir}/raw/weather/KRK/{name}", "w") as out:
+            out.write("{broken")
+    os.makedirs(f"{tmp_dir}/raw/schedules/KRK")
+    with open(f"{tmp_dir}/raw/schedules/KRK/d.json", "w") as out:
+        out.write("{broken")
+    seen = RAW.Unreadable()
+    assert RAW.read_raw(spark, f"{tmp_dir}/raw/schedules/KRK", unreadable=seen) is None and seen.count() == 1
+    got = jobs.process_silver_layer(spark, f"{tmp_dir}/raw", f"{tmp_dir}/dict", f"{tmp_dir}/silver", versions=True)
+    assert got["weather"] == {"row_count": 3, "no_date": 1, "unreadable_files": 3}
+    base = f"{tmp_dir}/silver/weather"
+    assert sorted(r.temp_celsius for r in VS.read_version(spark, base, S.WEATHER).collect()) == [10.0, 30.0]
+    assert [r.temp_celsius for r in VS.read_undated(spark, base).collect()] == [5.0]
