@@ -66,7 +66,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
 
     A shard closes at ``shard_tokens`` tokens; a document is never split.  A null
     or empty text is its end id alone.  Null ids come first; rows with the same
-    id are ordered by text.  An empty table writes an empty file set.
+    id are ordered by text.  Other columns are not written.  An empty table writes an
+    empty file set.
     """
     spark = docs.sparkSession
     small_batches(spark, rows=500)
@@ -75,7 +76,6 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        gc.disable()  # nothing here makes cycles, and each collection would walk the caches
         part, number = TaskContext.get().partitionId(), 0
         end = np.asarray([end_id], "<u4").tobytes()
         ids, lengths, held, size = [], [], [], 0
@@ -89,17 +89,21 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
                  pa.array([lengths], pa.list_(pa.int32())), pa.array([matrix], pa.binary())],
                 names=["part", "shard", "tokens", "ids", "lengths", "matrix"])
 
-        for batch in pieces_of(batches, text=1):
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = encode_words(text, vocabulary) + end
-                ids.append(doc)
-                lengths.append(len(data) // 4)
-                held.append(data)
-                size += lengths[-1]
-                if size >= shard_tokens:
-                    yield closed()
-                    number += 1
-                    ids, lengths, held, size = [], [], [], 0
+        gc.disable()  # nothing here makes cycles, and each collection would walk the caches
+        try:
+            for batch in pieces_of(batches, text=1):
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    data = encode_words(text, vocabulary) + end
+                    ids.append(doc)
+                    lengths.append(len(data) // 4)
+                    held.append(data)
+                    size += lengths[-1]
+                    if size >= shard_tokens:
+                        yield closed()
+                        number += 1
+                        ids, lengths, held, size = [], [], [], 0
+        finally:
+            gc.enable()  # the worker goes on to other tasks
         if ids:
             yield closed()
 
@@ -145,3 +149,104 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         run, "part int, shard int, doc_id long, offset long, n_tokens long, tokens binary")
     return docs.join(bases, ["part", "shard"]).select(
         "doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "tokens")
+
+
+# ---- look-ups in the files, by rank and select ----
+
+def _spots(shards: DataFrame) -> DataFrame:
+    """Where each document lies in its shard (``first``, ``n_tokens``); no matrix is read."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, shard, ids, lengths in zip(*(c.to_pylist() for c in batch.columns)):
+                ends = np.cumsum(np.asarray(lengths, np.int64))
+                for k in range(0, len(ids), 10_000):
+                    some = slice(k, k + 10_000)
+                    n = len(ids[some])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part] * n, pa.int32()), pa.array([shard] * n, pa.int32()),
+                         pa.array(ids[some], pa.int64()), pa.array(ends[some] - lengths[some]),
+                         pa.array(lengths[some], pa.int64())],
+                        names=["part", "shard", "doc_id", "first", "n_tokens"])
+
+    return shards.select("part", "shard", "ids", "lengths").mapInArrow(
+        run, "part int, shard int, doc_id long, first long, n_tokens long")
+
+
+def tokens_at(spark: SparkSession, path: str, wanted: DataFrame, at_once: int = 4096) -> DataFrame:
+    """The tokens at single places: rows of ``wanted`` (``doc_id``, ``offset`` from 0 in the
+    document) with their ``token``.
+
+    Only shards that hold wanted documents are searched, a place costs one rank a plane,
+    and at most ``at_once`` places of a shard are searched together.  A place beyond its
+    document, null, or of an unknown id gives no row; of documents with the same id each
+    gives one; repeated rows of ``wanted`` stay.  Its other columns are not returned.
+    """
+    shards = spark.read.schema(_SHARD).parquet(path)
+    asked = wanted.select(column("doc_id").cast("long").alias("asked"), column("offset").cast("long").alias("offset"))
+    places = _spots(shards).join(asked, F.col("doc_id").eqNullSafe(F.col("asked"))) \
+        .where("offset >= 0 AND offset < n_tokens").select(
+            "part", "shard", "doc_id", "offset", (F.col("first") + F.col("offset")).alias("place"))
+    number = F.row_number().over(Window.partitionBy("part", "shard").orderBy("place"))
+    lots = places.withColumn("lot", F.floor((number - 1) / at_once)).groupBy("part", "shard", "lot").agg(
+        F.collect_list(F.struct("doc_id", "offset", "place")).alias("places"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                matrix = WaveletMatrix.from_bytes(batch.column(1)[row].as_buffer())
+                found = batch.column(0)[row].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p["doc_id"] for p in found], pa.int64()),
+                     pa.array([p["offset"] for p in found], pa.int64()),
+                     pa.array([matrix.access(p["place"]) for p in found], pa.int64())],
+                    names=["doc_id", "offset", "token"])
+
+    return lots.join(shards.select("part", "shard", "matrix"), ["part", "shard"]).select("places", "matrix") \
+        .mapInArrow(run, "doc_id long, offset long, token long")
+
+
+def count_tokens(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """How often each of ``tokens`` occurs in the file set (``token``, ``n``), by two ranks
+    a plane and shard.  A token asked for twice is counted once; one that does not occur
+    has 0, in an empty file set too."""
+    asked = sorted(set(tokens))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                matrix = WaveletMatrix.from_bytes(batch.column(0)[row].as_buffer())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(asked, pa.int64()), pa.array([matrix.count(t) for t in asked], pa.int64())],
+                    names=["token", "n"])
+
+    shards = spark.read.schema(_SHARD).parquet(path)
+    counts = shards.select("matrix").mapInArrow(run, "token long, n long")
+    none = spark.createDataFrame([(t, 0) for t in asked], "token long, n long")
+    return counts.unionByName(none).groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def locate_tokens(spark: SparkSession, path: str, tokens: list[int], at_once: int = 10_000) -> DataFrame:
+    """Every occurrence of ``tokens``: ``token``, ``doc_id``, ``offset`` in the document, by
+    one select a plane; other tokens are not decoded.  A token asked for twice is
+    searched once.  At most ``at_once`` occurrences leave a task at a time."""
+    asked = sorted(set(tokens))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids, lengths = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                matrix = WaveletMatrix.from_bytes(batch.column(2)[row].as_buffer())
+                ends = np.cumsum(np.asarray(lengths, np.int64))
+                for token in asked:
+                    n = matrix.count(token)
+                    for k in range(0, n, at_once):
+                        places = np.asarray([matrix.locate(token, j) for j in range(k, min(k + at_once, n))], np.int64)
+                        holders = np.searchsorted(ends, places, side="right")
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([token] * len(places), pa.int64()),
+                             pa.array([ids[h] for h in holders], pa.int64()),
+                             pa.array(places - ends[holders] + np.asarray(lengths, np.int64)[holders])],
+                            names=["token", "doc_id", "offset"])
+
+    shards = spark.read.schema(_SHARD).parquet(path)
+    return shards.select("ids", "lengths", "matrix").mapInArrow(run, "token long, doc_id long, offset long")

@@ -1,4 +1,5 @@
 import base64
+import collections
 import random
 import zlib
 
@@ -6,6 +7,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from contrail.llm import byte_bpe, token_counts, token_files
@@ -124,6 +126,28 @@ def test_token_files(spark, tmp_dir):
     assert spark.read.parquet(path).count() > 10
 
 
+def test_look_ups_in_token_files(spark, tmp_dir):
+    path, vocabulary = f"{tmp_dir}/shards", P.path("word_bpe_49k.json")
+    rows = [(i, t, "x") for i, t in enumerate(texts())] + [(None, "first", "x"), (4, "twin", "x"), (4, "twin", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, matrix string").repartition(5)
+    token_files.write_shards(df, path, vocabulary, shard_tokens=200)
+    library = Tokenizer.from_file(vocabulary)
+    every = [(doc, [*library.encode(text or "", add_special_tokens=False).ids, 2]) for doc, text, _ in rows]
+    common = collections.Counter(t for _, ids in every for t in ids).most_common()
+    asked = [2, common[1][0], common[-1][0], 49_000_000, 2]
+    got = {r.token: r.n for r in token_files.count_tokens(spark, path, asked).collect()}
+    assert got == {t: sum(ids.count(t) for _, ids in every) for t in asked}
+    found = sorted(map(tuple, token_files.locate_tokens(spark, path, asked, at_once=7).collect()), key=str)
+    assert found == sorted(((t, doc, k) for t in set(asked) for doc, ids in every
+                            for k, i in enumerate(ids) if i == t), key=str)
+    places = [(doc, k) for doc, ids in every[:40] for k in range(0, len(ids) + 2, 3)]
+    places += [(None, 0), (None, None), (4, 0), (10**9, 0), (0, -1), (1, 0), (1, 0)]
+    wanted = spark.createDataFrame(places, "doc_id long, offset long").withColumn("token", F.lit("clash"))
+    got = sorted(map(tuple, token_files.tokens_at(spark, path, wanted, at_once=5).collect()), key=str)
+    assert got == sorted(((d, k, ids[k]) for d, k in places for doc, ids in every
+                          if doc == d and k is not None and 0 <= k < len(ids)), key=str)
+
+
 def test_wavelet_matrix():
     rng = np.random.default_rng(2)
     for n, top in ((0, 1), (1, 1), (700, 3), (3000, 49407), (5000, 70000)):
@@ -149,3 +173,6 @@ def test_empty_tables(spark, tmp_dir):
     assert token_counts.token_counts(df, P.path("byte_bpe_50k.json")).collect() == []
     token_files.write_shards(df, f"{tmp_dir}/none", P.path("word_bpe_49k.json"))
     assert token_files.read_documents(spark, f"{tmp_dir}/none").collect() == []
+    assert list(map(tuple, token_files.count_tokens(spark, f"{tmp_dir}/none", [7]).collect())) == [(7, 0)]
+    assert token_files.locate_tokens(spark, f"{tmp_dir}/none", [7]).collect() == []
+    assert token_files.tokens_at(spark, f"{tmp_dir}/none", df.selectExpr("doc_id", "1L AS offset")).collect() == []
