@@ -109,23 +109,27 @@ def within(fps: np.ndarray, group: np.ndarray, distance: int) -> tuple[np.ndarra
             ok[:n - shift] = group[shift:] == group[:n - shift]
             alike[row] = np.packbits(np.ascontiguousarray(ok.reshape(64, width).T), axis=1,
                                      bitorder="little").view(np.uint64).reshape(width)
-        far = ~alike
+        # a block is a word, 64 pairs; only live blocks are counted on
+        rows, words = np.nonzero(alike)
+        far, spots = ~alike[rows, words], shifts[rows] + words
         counters = [np.full_like(far, ~np.uint64(0)) if start >> k & 1 else np.zeros_like(far)
                     for k in range(kept)]
         for plane in range(64):
-            carry = np.lib.stride_tricks.sliding_window_view(ahead[plane], width)[shifts] ^ planes[plane]
+            carry = ahead[plane][spots] ^ planes[plane][words]
             for k in range(kept):
                 counters[k], carry = counters[k] ^ carry, counters[k] & carry
             far |= carry
-            if plane % 8 == 7 and (~far).max() == 0:
-                break
-        else:
-            rows, words = np.nonzero(~far)
-            bits = np.unpackbits((~far)[rows, words].view(np.uint8), bitorder="little").reshape(-1, 64)
-            which, bit = np.nonzero(bits)
-            i = lane[bit, words[which]]
-            firsts.append(i)
-            seconds.append(i + shifts[rows[which]])
+            if plane % 8 == 7:  # blocks with no pair left within reach are abandoned
+                live = np.flatnonzero(~far)
+                rows, words, spots, far = rows[live], words[live], spots[live], far[live]
+                counters = [c[live] for c in counters]
+                if not len(live):
+                    break
+        bits = np.unpackbits((~far).view(np.uint8), bitorder="little").reshape(-1, 64)
+        which, bit = np.nonzero(bits)
+        i = lane[bit, words[which]]
+        firsts.append(i)
+        seconds.append(i + shifts[rows[which]])
     if not firsts:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate(firsts), np.concatenate(seconds)
@@ -146,11 +150,11 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _links(distance: int, block: int):
-    """Rows sorted by key (key, a, b, fp) -> spanning links (u, v)."""
+    """Rows (fp, mask, key) sorted by mask and key -> spanning links (u, v)."""
 
     def starts(table: pa.Table) -> np.ndarray:
         new = np.zeros(table.num_rows, bool)
-        for name in ("band", "key", "a", "b"):
+        for name in ("mask", "key"):
             col = table[name].to_numpy()
             new[1:] |= col[1:] != col[:-1]
         return new
@@ -187,30 +191,48 @@ def _links(distance: int, block: int):
     return run
 
 
-def band_masks(distance: int) -> list[int]:
-    """The 64 bits in ``distance + 2`` bands, taken two at a time."""
+def band_masks(distance: int, given: int = 0) -> list[int]:
+    """The bits outside ``given`` in ``distance + 2`` bands; ``given`` with each two of
+    them.  Fingerprints within ``distance`` that agree in ``given`` agree in one of these."""
+    free = [b for b in range(64) if not given >> b & 1]
     count = distance + 2
-    edges = [64 * k // count for k in range(count + 1)]
-    bands = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    masks = [x | y for x, y in itertools.combinations(bands, 2)]
+    bands = [sum(1 << b for b in free[len(free) * k // count:len(free) * (k + 1) // count]) for k in range(count)]
+    masks = sorted({given & ((1 << 64) - 1) | x | y for x, y in itertools.combinations(bands, 2)})
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+def keyed(distinct: DataFrame, distance: int = 3, part: int = 2048) -> DataFrame:
+    """Groups (``mask``, ``key``) of fingerprints ``fp``: two within ``distance`` meet in
+    one at least.
+
+    A group of more than ``part`` is parted again by the bits outside its key: the same
+    bands, two at a time, of what is left.  Its rows are copied to some ten smaller
+    groups, not to a part for each other part.  Every round fixes two fifths of the
+    bits left (for a distance of 3), so four rounds leave groups of ``part`` at most: a
+    key that leaves r bits open holds 2^r different fingerprints.
+    """
+    spark, masks, out = distinct.sparkSession, band_masks(distance), None
+    rows = distinct.select("fp", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
+    while True:
+        rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
+        counts = rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
+        sized = stored(rows.join(counts, ["mask", "key"]).select("fp", "mask", "key", "n"))
+        hot = (F.col("n") > part) & (64 - F.bit_count("mask") > distance + 2)
+        done = sized.where(~hot).select("fp", "mask", "key")
+        out = done if out is None else out.unionByName(done)
+        found = sorted(r.mask for r in sized.where(hot).select("mask").distinct().collect())  # at most 10, 100, 1000
+        if not found:
+            return out
+        finer = spark.createDataFrame([(m, x) for m in found for x in band_masks(distance, m)], "mask long, finer long")
+        rows = sized.where(hot).join(F.broadcast(finer), "mask").select("fp", F.col("finer").alias("mask")).distinct()
+
+
 def links(distinct: DataFrame, distance: int = 3, part: int = 2048) -> DataFrame:
     """Links (``u``, ``v``) that connect all fingerprints ``fp`` of ``distinct``
     within ``distance`` bits of one another."""
-    masks = F.array(*[F.lit(m) for m in band_masks(distance)])
-    keyed = distinct.select("fp", F.posexplode(masks).alias("band", "mask")).select(
-        "fp", "band", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
-    counts = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    sized = keyed.join(counts, ["band", "key"]).withColumn("parts", F.ceil(F.col("n") / part).cast("int"))
-    mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
-        F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), F.col("mine")))
-    dealt = sized.withColumn("mine", mine).withColumn("other", F.explode(others)).select(
-        "band", "key", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "fp")
-    keys = ["band", "key", "a", "b"]
-    dealt = dealt.repartition(shuffle_width(distinct.sparkSession), *keys).sortWithinPartitions(*keys, "fp")
+    keys = ["mask", "key"]
+    dealt = keyed(distinct, distance, part).repartition(shuffle_width(distinct.sparkSession), *keys) \
+        .sortWithinPartitions(*keys, "fp")
     return dealt.mapInArrow(_links(distance, 4 * part), "u long, v long").distinct()
 
 

@@ -89,6 +89,25 @@ def test_large_key_is_cut_into_parts(spark):
     assert {f: roots.get(f, f) for f in signed} == want
 
 
+def test_hot_keys_are_parted_by_their_other_bits(spark):
+    rng = np.random.default_rng(9)
+    seeds = rng.integers(0, 1 << 38, 700, dtype=np.uint64)
+    fps = {int(s) for s in seeds}  # all alike in their high 26 bits, a third of them with a near one
+    for s in seeds[:250]:
+        fps.add(int(s) ^ sum(1 << int(b) for b in rng.choice(38, int(rng.integers(1, 4)), replace=False)))
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    groups = simhash.keyed(df, 3, part=40)
+    sizes = groups.groupBy("mask", "key").count().toPandas()["count"]
+    assert sizes.max() <= 40 and sizes.sum() < 20 * len(fps)
+    met = {(min(a, b), max(a, b)) for _, g in groups.toPandas().groupby(["mask", "key"])
+           for a in g.fp for b in g.fp if a != b}
+    near = {(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3}
+    assert near <= met and len(near) >= 250
+    roots = {r.node: r.root for r in components(simhash.links(df, 3, part=40), "u", "v").collect()}
+    want = union_find(fps, near)
+    assert {f: roots.get(f, f) for f in fps} == want
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(1)
     pairs = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)]
