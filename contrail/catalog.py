@@ -1128,14 +1128,10 @@ def c12(spark, d):
 def _land_arrivals(spark, d, base):
     """Arrivals as bronze snapshots, one a day in its day's folder, JSON and Parquet in
     turn.  Revisions are of the same day and come later in the file."""
-    raw = A.raw_arrivals(spark, d).withColumn("__day", F.to_date(tm.epoch_seconds_to_ts("updated"))).persist()
-    try:
-        for n, r in enumerate(raw.select("__day").distinct().orderBy("__day").collect()):
-            day = raw.where(F.col("__day") == r["__day"]).drop("__day").coalesce(1).sortWithinPartitions("ingest_order")
-            when = datetime(r["__day"].year, r["__day"].month, r["__day"].day, 23, 55)
-            (TB.land_json if n % 2 else TB.land_snapshot)(day, base, when)
-    finally:
-        raw.unpersist()
+    raw, day = A.raw_arrivals(spark, d), tm.epoch_seconds_to_ts("updated")
+    even = F.dayofmonth(day) % 2 == 0
+    TB.land_days(raw.where(even), base, day, ["ingest_order"])
+    TB.land_days(raw.where(~even), base, day, ["ingest_order"], fmt="json")
 
 
 # ======================================================================

@@ -3,9 +3,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,6 +138,37 @@ def land_json(records: DataFrame, path: str, when: datetime | None = None) -> No
     records.write.mode("append").json(snapshot_path(path, when) + ".json" if when else path)
 
 
+def land_days(records: DataFrame, base: str, day: Column, order: list[str], at: str = "235500",
+              fmt: str = "parquet") -> None:
+    """One snapshot a day, in its day's folder, all by one distributed job.
+
+    A day's rows lie in files whose names follow ``order``; a day with most of the rows
+    is written by several tasks.  A day that has a snapshot of that time already, or a row
+    without a day, is an error, before any day is put in place.
+    """
+    spark, stage = records.sparkSession, f"{base}/_land-{uuid.uuid4().hex}"
+    rows = flatten(records) if fmt == "parquet" else records
+    keys = [F.col(f"`{c}`") for c in order]
+    named = rows.withColumn("land_day", F.date_format(day, "yyyy/MM/dd"))
+    named.repartitionByRange("land_day", *keys).sortWithinPartitions("land_day", *keys) \
+        .write.partitionBy("land_day").format(fmt).save(stage)
+    try:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
+        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+        targets = {n: f"{base}/{unquote(n.split('=')[1])}/{at}.{fmt}" for n in names}
+        taken = [t for n, t in targets.items() if "__HIVE" in n or path_exists(spark, t)]
+        if taken:
+            raise ValueError(f"rows without a day, or landed before: {', '.join(sorted(taken))}")
+        for name, target in targets.items():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+            fs.mkdirs(place.getParent())
+            if not fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{stage}/{name}"), place):
+                raise OSError(f"could not put {target} in place")
+    finally:
+        remove_path(spark, stage)
+
+
 def read_raw_range(spark: SparkSession, base: str, start: date, end: date,
                    record_schema: T.StructType | None = None, weather: bool = False) -> DataFrame | None:
     """Raw snapshots, JSON and Parquet, of the padded day range only."""

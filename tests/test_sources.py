@@ -264,3 +264,26 @@ def test_a_large_file_that_is_no_json_is_named(spark, tmp_dir, monkeypatch):
         out.write('{"a": 3, "b": [1]}\n{"a": 4, "b": [2, 3]}')
     assert sorted(r.a for r in RAW.read_raw(spark, tmp_dir).collect()) == [3, 4]
     assert [os.path.basename(r.path) for r in RAW.unreadable_files(spark, tmp_dir).collect()] == ["bad.json"]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_days_land_in_one_job(spark, tmp_dir, fmt):
+    day = F.to_date(F.col("d"))
+    rows = [(i, "2025-06-01" if i % 10 else f"2025-06-{2 + i // 100:02d}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "n bigint, d string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small as they are
+    try:
+        TB.land_days(df, f"{tmp_dir}/raw", day, ["n"], fmt=fmt)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(os.listdir(f"{tmp_dir}/raw")) == ["2025"]
+    hot = f"{tmp_dir}/raw/2025/06/01/235500.{fmt}"
+    assert len([f for f in os.listdir(hot) if f.endswith(f".{fmt}")]) > 1  # a hot day is cut
+    got = RAW.read_raw(spark, f"{tmp_dir}/raw", T.StructType.fromDDL("n bigint, d string"))
+    assert sorted((r.n, r.d) for r in got.collect()) == sorted(rows)
+    there = [r.n for r in got.where("d = '2025-06-01'").orderBy(*RAW.FILE_ORDER).collect()]
+    assert there == sorted(there)
+    for again in (df, df.limit(3).withColumn("d", F.lit(None).cast("string"))):
+        with pytest.raises(ValueError):
+            TB.land_days(again, f"{tmp_dir}/raw", day, ["n"], fmt=fmt)
+    assert sorted(os.listdir(f"{tmp_dir}/raw")) == ["2025"]
