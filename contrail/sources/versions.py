@@ -26,6 +26,7 @@ from contrail import schemas as S
 from contrail.sources import raw as RAW
 from contrail.sources import tables as TB
 
+UNDATED = "contrail_undated"  # folders of rows with and without a date
 LIST = "kind string, day date, folder string, rows long, low timestamp_ntz, high timestamp_ntz"
 
 
@@ -124,18 +125,18 @@ def commit_days(df: DataFrame, date_col: str, base: str, batch: tuple[str, int]
     if batch and seen(entries(spark, base), batch):
         return None
     undated = F.col(date_col).isNull()
-    TB.with_day_partitions(df, date_col).withColumn("undated", undated) \
-        .hint("rebalance", "undated", *TB.PARTITION_COLS) \
-        .write.partitionBy("undated", *TB.PARTITION_COLS).parquet(f"{base}/data/{name}")
-    written = spark.read.schema(df.schema.add("undated", "boolean")).parquet(f"{base}/data/{name}")
+    TB.with_day_partitions(df, date_col).withColumn(UNDATED, undated) \
+        .hint("rebalance", UNDATED, *TB.PARTITION_COLS) \
+        .write.partitionBy(UNDATED, *TB.PARTITION_COLS).parquet(f"{base}/data/{name}")
+    written = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(UNDATED, T.BooleanType())])).parquet(f"{base}/data/{name}")
     time_of = F.col(date_col).cast("timestamp_ntz")
     found = written.groupBy(F.to_date(date_col).alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.min(time_of).alias("low"), F.max(time_of).alias("high")).collect()
-    new = [Entry("day", r.day, f"data/{name}/undated=false/year={r.day:%Y}/month={r.day:%m}/day={r.day:%d}",
+    new = [Entry("day", r.day, f"data/{name}/{UNDATED}=false/year={r.day:%Y}/month={r.day:%m}/day={r.day:%d}",
                  r.n, r.low, r.high) for r in found if r.day is not None]
     if any(r.day is None for r in found):
         there = read_undated(spark, base)
-        more = TB.missing_rows(written.where("undated").select(*df.columns), there)
+        more = TB.missing_rows(written.where(UNDATED).select(*df.columns), there)
         more.write.parquet(f"{base}/data/{name}-undated")
         n = spark.read.schema(df.schema).parquet(f"{base}/data/{name}-undated").count()
         new += [Entry("undated", None, f"data/{name}-undated", n)] if n else []
