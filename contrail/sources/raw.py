@@ -61,11 +61,21 @@ def list_files(spark: SparkSession, prefix: str | list[str]) -> DataFrame:
 
 # ---- JSON payloads (S1, S2) --------------------------------------------
 
+def _held(text: Column) -> Column:
+    """The JSON values that ``text`` holds, as a variant list; null if it is no JSON.  (The
+    parser by itself stops after the first value.)"""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def _only(held: Column) -> Column:
+    """The one value of a list, null if it holds none, or more."""
+    return F.when(F.try_variant_get(held, "$[1]", "variant").isNull(), F.try_variant_get(held, "$[0]", "variant"))
+
+
 def _parsed(text: Column) -> Column:
     """The one JSON value that ``text`` holds, as a variant; null if it holds none, or
-    more.  (The parser by itself stops after the first value.)"""
-    held = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(F.try_variant_get(held, "$[1]", "variant").isNull(), F.try_variant_get(held, "$[0]", "variant"))
+    more."""
+    return _only(_held(text))
 
 
 def _kind(v: Column) -> Column:
@@ -73,8 +83,8 @@ def _kind(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
 
 
-def _accepted(v: Column, weather: Column | bool = False) -> Column:
-    """S2 on a parsed payload (null: unparsable, not accepted)."""
+def _accepted(v: Column, weather: Column | bool = False, kind: Column | None = None) -> Column:
+    """S2 on a parsed payload (null: unparsable, not accepted) of the top-level type ``kind``."""
     key = lambda name: F.try_variant_get(v, f"$['{name}']", "variant")
     cod = key("cod")
     text = F.when(_kind(cod) == "STRING", F.try_variant_get(v, "$.cod", "string"))
@@ -83,7 +93,7 @@ def _accepted(v: Column, weather: Column | bool = False) -> Column:
     number = F.when(_kind(cod).isin("BIGINT", "DECIMAL", "DOUBLE"), F.try_variant_get(v, "$.cod", "double"))
     bad_cod = cod.isNotNull() & (_kind(cod) != "VOID") & F.coalesce(number != 200, F.lit(True))
     weather = F.lit(weather) if isinstance(weather, bool) else weather
-    is_object = _kind(v) == "OBJECT"
+    is_object = (_kind(v) if kind is None else kind) == "OBJECT"
     return F.coalesce(~(is_object & (error | (weather & bad_cod))) & (~weather | is_object), F.lit(False))
 
 
@@ -97,14 +107,16 @@ def payload_ok(body: str = "body", weather: bool = False) -> Column:
     return _accepted(_parsed(F.col(body)), weather)
 
 
-def _records(v: Column) -> Column:
-    """The records of a payload as variants: the items of a list, one object,
-    or those of its ``response``.  Nothing, null and empty values hold none."""
-    response = F.try_variant_get(v, "$.response", "variant")
-    held = F.when((_kind(v) == "OBJECT") & response.isNotNull(), response).otherwise(v)
-    items = F.filter(F.try_variant_get(held, "$", "array<variant>"), lambda r: _kind(r) == "OBJECT")
-    return F.when(_kind(held) == "ARRAY", items).when(
-        (_kind(held) == "OBJECT") & (F.schema_of_variant(held) != "OBJECT<>"), F.array(held))
+def _records(v: Column, kind: Column | None = None) -> Column:
+    """The records of a payload (of the top-level type ``kind``) as variants: the
+    items of a list, one object, or those of its ``response``.  Nothing, null and empty
+    values hold none."""
+    kind = _kind(v) if kind is None else kind
+    response = F.when(kind == "OBJECT", F.try_variant_get(v, "$.response", "variant"))
+    full = lambda x: (_kind(x) == "OBJECT") & (F.schema_of_variant(x) != "OBJECT<>")
+    items = lambda x: F.filter(F.try_variant_get(x, "$", "array<variant>"), lambda r: _kind(r) == "OBJECT")
+    held = lambda x, of: F.when(of == "ARRAY", items(x)).when(full(x), F.array(x))
+    return F.when(response.isNull(), held(v, kind)).otherwise(held(response, _kind(response)))
 
 
 def _inferred(rows: DataFrame, v: str) -> T.StructType:
@@ -254,6 +266,9 @@ class _Cutter:
 #: Files beyond this many bytes are cut before they are parsed: a variant, the parsed
 #: form of a document, holds 128 MB at most, about three bytes for one of text.
 LARGE_JSON, PART_CHARS = 32 << 20, 4 << 20
+#: Of a record's place these bits number the records of a document, of which 32 MB of
+#: text holds fewer than 12 million; the bits above them number the documents of a file.
+RECORD_BITS = 24
 
 
 def _packed(batches: Iterator) -> Iterator:
@@ -299,34 +314,112 @@ def _cut_files(batches: Iterator) -> Iterator:
             pass
 
 
+def _numbered(batches: Iterator) -> Iterator:
+    """Lines (file_path, block, value) in order of the file within a block -> (file_path,
+    first, part): each with its number, by which a file's lines sort.  A line that is not
+    blank has two bytes at least, so the numbers of a block, which start at its place in
+    the file, end before those of the next."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    last, seen = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path, block = batch.column(0), batch.column(1).to_numpy()
+        other = (block[1:] != block[:-1]) | pc.not_equal(path[1:], path[:-1]).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.flatnonzero(other) + 1])
+        index = np.arange(batch.num_rows) - np.repeat(starts, np.diff(starts, append=batch.num_rows))
+        if (path[0].as_py(), block[0]) == last:
+            index[:starts[1] if len(starts) > 1 else None] += seen
+        last, seen = (path[-1].as_py(), block[-1]), int(index[-1]) + 1
+        yield pa.RecordBatch.from_arrays([path, pa.array(block + index, pa.int64()), batch.column(2)],
+                                         names=["file_path", "first", "part"])
+
+
+def _json_files(spark: SparkSession):
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+
+
+def _has_large(spark: SparkSession, paths: str | list[str]) -> bool:
+    listed = _files(spark, paths, "*.json")
+    return listed is not None and not listed.where(F.col("length") > LARGE_JSON).isEmpty()
+
+
+def _has_documents(spark: SparkSession, paths: str | list[str]) -> bool:
+    """Some ``.json`` file below ``paths`` is not blank."""
+    size = F.col("_metadata.file_size")
+    if not _json_files(spark).text(paths, wholetext=True).where(size <= LARGE_JSON).where("trim(value) != ''").isEmpty():
+        return True
+    return _has_large(spark, paths) and not _json_files(spark).option("lineSep", ",").text(paths) \
+        .where(size > LARGE_JSON).where("trim(value) != ''").isEmpty()
+
+
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The lines of the large files, read in splits: file_path, size, block, value.  Of a
+    line of ``PART_CHARS`` bytes or more the reader gives no more than about that, or nothing."""
+    return _json_files(spark).option("lineSep", "\n").option("mapreduce.input.linerecordreader.line.maxlength", PART_CHARS) \
+        .text(paths).where(F.col("_metadata.file_size") > LARGE_JSON).select(
+            F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("size"),
+            F.col("_metadata.file_block_start").alias("block"), "value")
+
+
+def _line_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The large files that hold one document a line, and no line that the reader cuts or
+    leaves out."""
+    length = F.octet_length("value")
+    lines = _lines(spark, paths).select("file_path", "size", length.alias("bytes"),
+                                        F.when(length < PART_CHARS, _held(F.col("value"))).alias("held"))
+    none_or_one = F.col("held").isNotNull() & F.try_variant_get("held", "$[1]", "variant").isNull()
+    found = lines.groupBy("file_path", "size").agg(
+        F.sum(F.col("bytes").cast("long") + 1).alias("read"),
+        F.bool_and(none_or_one).alias("parsed"))
+    whole = F.col("parsed") & (F.col("size") - F.col("read") <= 3)   # a byte order mark
+    return [r[0] for r in found.where(whole).select("file_path").collect()]
+
+
 def json_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Every ``.json`` file below ``paths``: ``file_path`` and its documents as an
     array of variants, with the number ``first`` of the first; null where the file is
     neither one JSON document nor one a line.
 
-    A snapshot is read by one task.  A file over ``LARGE_JSON`` bytes is read in
-    splits, as the texts between its commas; one task puts them in order and cuts the
-    documents into parts with the same records, each in a row of its own, of which
-    it holds one object's ``response`` at most.  Should the file turn out to be no
-    JSON, the documents before that place stand, and a row of null documents names it."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    A snapshot is read by one task.  A file over ``LARGE_JSON`` bytes is read in splits:
+    by its lines, each a row of its own, where every line is a document (one scan more
+    tells).  Any other is read as the texts between its commas; one task puts them in
+    order and cuts the documents into parts with the same records, each in a row of its
+    own, of which it holds one object's ``response`` at most.  Should the file turn out
+    to be no JSON, the documents before that place stand, and a row of null documents
+    names it."""
+    files = _json_files(spark)
     path, size = F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size")
-    one = _parsed(F.col("value"))
-    lines = F.transform(F.filter(F.split("value", "\n"), lambda x: F.trim(x) != ""),
-                        lambda x: _parsed(x))
-    whole = F.when(one.isNotNull(), F.array(one)).when(~F.exists(lines, lambda x: x.isNull()), lines)
     bodies = files.text(paths, wholetext=True).where(size <= LARGE_JSON).where("trim(value) != ''")
-    small = bodies.select(path, F.lit(0).alias("first"), whole.alias("documents"))
-    listed = _files(spark, paths, "*.json")
-    if listed is None or listed.where(F.col("length") > LARGE_JSON).isEmpty():
+    # a step a value that is used more than once, so that it is parsed once
+    bodies = bodies.select(path, "value", _held(F.col("value")).alias("held"))
+    bodies = bodies.select("file_path", "value", _only(F.col("held")).alias("one"))
+    texts = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    lines = F.transform(F.transform(texts, _held), _only)
+    bodies = bodies.select("file_path", "one", F.when(F.col("one").isNull(), lines).alias("lines"))
+    whole = F.when(F.col("one").isNotNull(), F.array("one")).when(
+        ~F.exists("lines", lambda x: x.isNull()), F.col("lines"))
+    small = bodies.select("file_path", F.lit(0).cast("long").alias("first"), whole.alias("documents"))
+    if not _has_large(spark, paths):
         return small
+    by_line = _line_files(spark, paths)
+    lined = F.col("file_path").isin(by_line)
+    single = _lines(spark, paths).where(lined & ~F.trim("value").isin("", "\r")) \
+        .select("file_path", "block", "value").mapInArrow(_numbered, "file_path string, first long, part string")
     between = files.option("lineSep", ",").text(paths).where(size > LARGE_JSON).select(
-        path, F.col("_metadata.file_block_start").alias("block"), "value")
+        path, F.col("_metadata.file_block_start").alias("block"), "value").where(~lined)
     packed = between.mapInArrow(_packed, "file_path string, block long, n long, text string")
     parts = packed.repartition("file_path").sortWithinPartitions("file_path", "block", "n") \
         .select("file_path", "text").mapInArrow(_cut_files, "file_path string, first int, part string")
-    part = _parsed(F.col("part"))
-    return small.unionByName(parts.select("file_path", "first", F.when(part.isNotNull(), F.array(part)).alias("documents")))
+    for part, known in ((single, F.lit(True)), (parts, F.col("one").isNotNull())):   # blank lines hold no document
+        one = part.select("file_path", F.col("first").cast("long").alias("first"), _held(F.col("part")).alias("held")) \
+            .select("file_path", "first", _only(F.col("held")).alias("one"))
+        small = small.unionByName(one.select(
+            "file_path", "first", F.when(known, F.array_compact(F.array("one"))).alias("documents")))
+    return small
 
 
 class Unreadable:
@@ -352,15 +445,18 @@ def read_raw_json(spark: SparkSession, paths: str | list[str], record_schema: T.
     docs = json_documents(spark, paths)
     if unreadable is not None:
         docs = unreadable.watch(docs)
-    docs = docs.select("file_path", "first", F.posexplode("documents").alias("__n", "__v")) \
-        .withColumn("__n", F.col("first") + F.col("__n"))
-    good = docs.where(_accepted(F.col("__v"), weather))
-    line = F.shiftleft(F.col("__n").cast("long"), 32)
+    # outer, with a filter of its own: the one that Spark would infer parses everything again
+    docs = docs.select("file_path", "first", F.posexplode_outer("documents").alias("__n", "__v")) \
+        .where("__v IS NOT NULL").select("file_path", (F.col("first") + F.col("__n")).alias("__n"), "__v",
+                                         _kind(F.col("__v")).alias("__kind"))
+    good = docs.where(_accepted(F.col("__v"), weather, F.col("__kind")))
+    line = F.shiftleft("__n", RECORD_BITS)
     if weather:
         rows = good.select("file_path", line.alias("record_pos"), F.col("__v").alias("__r"))
     else:
-        rows = good.select("file_path", line.alias("__n"), F.posexplode(_records(F.col("__v"))).alias("__p", "__r")) \
-            .select("file_path", (F.col("__n") + F.col("__p")).alias("record_pos"), "__r")
+        rows = good.select("file_path", line.alias("__n"),
+                           F.posexplode_outer(_records(F.col("__v"), F.col("__kind"))).alias("__p", "__r")) \
+            .where("__r IS NOT NULL").select("file_path", (F.col("__n") + F.col("__p")).alias("record_pos"), "__r")
     schema = record_schema if record_schema is not None else _inferred(rows, "__r")
     return rows.select(*FILE_ORDER, *_fields("__r", schema, flat=weather))
 
@@ -467,7 +563,7 @@ def read_raw(spark: SparkSession, prefix: str | list[str], record_schema: T.Stru
     cannot be read are left out: :func:`unreadable_files` names them, ``unreadable``
     counts them on the way."""
     frames = [read_raw_parquet(spark, prefix, unreadable=unreadable)]
-    if _files(spark, prefix) is not None and not json_documents(spark, prefix).isEmpty():
+    if _files(spark, prefix) is not None and _has_documents(spark, prefix):
         frames.append(read_raw_json(spark, prefix, record_schema, weather, unreadable))
     return align_union([f for f in frames if f is not None and len(f.columns) > len(FILE_ORDER)])
 

@@ -287,3 +287,33 @@ def test_days_land_in_one_job(spark, tmp_dir, fmt):
         with pytest.raises(ValueError):
             TB.land_days(again, f"{tmp_dir}/raw", day, ["n"], fmt=fmt)
     assert sorted(os.listdir(f"{tmp_dir}/raw")) == ["2025"]
+
+
+def test_large_files_of_lines_are_read_in_splits(spark, tmp_dir, monkeypatch):
+    """Before, one task put such a file in order and cut it."""
+    rows = [{"n": n, "pad": "é" * (n % 7)} for n in range(900)]
+    bodies = {"a": "\n".join(map(json.dumps, rows)) + "\n",
+              "b": "\r\n \r\n".join(json.dumps({"response": [{"n": r["n"]}, {"n": -1}], "k": 1}) for r in rows)}
+    for name, body in bodies.items():
+        _write(f"{tmp_dir}/big {name}.json", body)
+    _write(f"{tmp_dir}/c.json", "\n".join(map(json.dumps, rows)) + '\n{"n": 5, "pad": 1} {"n": 7}\nno json')
+    _write(f"{tmp_dir}/d.json", json.dumps(rows))                                     # one document
+    _write(f"{tmp_dir}/e.json", '{"n": 1}\n' + json.dumps([{"n": 2}] * 900))          # a line that is too long
+    record = T.StructType.fromDDL("n bigint")
+    monkeypatch.setattr(RAW, "LARGE_JSON", 4000)
+    monkeypatch.setattr(RAW, "PART_CHARS", 4000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = RAW.read_raw_json(spark, tmp_dir, record).withColumn("task", F.spark_partition_id()).collect()
+        assert [os.path.basename(f) for f in sorted(RAW._line_files(spark, tmp_dir))] == ["big%20a.json", "big%20b.json"]
+        assert [os.path.basename(r.path) for r in RAW.unreadable_files(spark, tmp_dir).collect()] == ["c.json"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    numbers = {}
+    for r in sorted(got, key=lambda r: (r.file_path, r.record_pos)):
+        numbers.setdefault(os.path.basename(r.file_path), []).append(r.n)
+    assert len({(r.file_path, r.record_pos) for r in got}) == len(got)
+    assert numbers == {"big%20a.json": list(range(900)), "big%20b.json": [n for r in rows for n in (r["n"], -1)],
+                       "c.json": [*range(900), 5, 7], "d.json": list(range(900)), "e.json": [1] + [2] * 900}
+    for name in ("a", "b"):
+        assert len({r.task for r in got if r.file_path.endswith(f"{name}.json")}) > 1
