@@ -21,6 +21,9 @@ WORD_SPACE = "\\x20\\x09-\\x0D"
 #: Tables are broadcast up to this many bytes, measured first.
 BROADCAST_BYTES = 8 << 20
 
+#: Rows of a few figures that fill a file of a stored table.
+FILE_ROWS = 1 << 15
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -35,11 +38,21 @@ def column(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the cluster's shared folder
-    (``spark.checkpoint.dir``), which survives the loss of executors."""
+    (``spark.checkpoint.dir``), which survives the loss of executors.
+
+    ``rows``, of a table of a few figures a row: it has no more rows than that, and
+    goes to no more files than they fill (:data:`FILE_ROWS`).  A file costs an executor
+    several processes where Hadoop's native library is missing, each seen with the
+    whole memory of the JVM that starts it.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    return (df if rows is None else df.coalesce(files_of(rows))).checkpoint()
+
+
+def files_of(rows: int) -> int:
+    return max(1, -(-rows // FILE_ROWS))
 
 
 def shuffle_width(spark: SparkSession) -> int:

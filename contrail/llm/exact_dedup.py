@@ -93,9 +93,11 @@ def decide(rows: DataFrame, largest: bool = False, width: int | None = None,
     keep = F.col("keep").desc_nulls_last() if largest else F.col("keep").asc_nulls_last()
     names = [c.split()[0] for c in _RUN.split(", ")]
 
+    count = rows.count()
+
     def merged(runs: DataFrame) -> DataFrame:
         runs = runs.sortWithinPartitions(*key, keep, "tie")
-        return stored(runs.select(*names).mapInArrow(_merge, _RUN))
+        return stored(runs.select(*names).mapInArrow(_merge, _RUN), count)
 
     def towards(side: int, low: int):
         """The partition that a row goes to when ``side`` bits from ``low`` on are its digest's."""

@@ -88,7 +88,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     narrow = stored(rows.drop("row"))
     rows = rows if carry else narrow
 
-    slots = stored(narrow.groupBy("source", "slot").agg(F.sum("size").alias("slot_size")))
+    count = narrow.count()
+    slots = stored(narrow.groupBy("source", "slot").agg(F.sum("size").alias("slot_size")), count)
     sources = slots.groupBy("source").agg(F.sum("slot_size").alias("source_size"))
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     turns = F.array(*[F.lit(float(w)) for w in weights])
@@ -102,7 +103,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sources = sources.withColumn("whole", whole.cast("long")).select(
         "source", "source_size", "target", "whole",
         (goal - F.col("whole") * F.col("source_size")).alias("rest"))
-    cuts = stored(_cuts(narrow, slots, stored(sources)))
+    cuts = stored(_cuts(narrow, slots, stored(sources)), count)
 
     # a proven size allows the broadcast; else the join shuffles, and AQE splits a hot source
     held = cuts.agg(F.sum(F.coalesce(F.octet_length("cut_source"), F.lit(0)) + 80)).first()[0] or 0

@@ -201,7 +201,8 @@ def band_masks(distance: int, given: int = 0) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def keyed(distinct: DataFrame, distance: int = 3, part: int = 2048) -> DataFrame:
+def keyed(distinct: DataFrame, distance: int = 3, part: int = 2048,
+          most: int | None = None) -> DataFrame:
     """Groups (``mask``, ``key``) of fingerprints ``fp``: two within ``distance`` meet in
     one at least.
 
@@ -210,13 +211,16 @@ def keyed(distinct: DataFrame, distance: int = 3, part: int = 2048) -> DataFrame
     groups, not to a part for each other part.  Every round fixes two fifths of the
     bits left (for a distance of 3), so four rounds leave groups of ``part`` at most: a
     key that leaves r bits open holds 2^r different fingerprints.
+
+    There are no more than ``most`` fingerprints, where that is known.
     """
     spark, masks, out = distinct.sparkSession, band_masks(distance), None
     rows = distinct.select("fp", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
     while True:
         rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         counts = rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
-        sized = stored(rows.join(counts, ["mask", "key"]).select("fp", "mask", "key", "n"))
+        most = most and most * len(masks)  # a row goes to a group for each mask
+        sized = stored(rows.join(counts, ["mask", "key"]).select("fp", "mask", "key", "n"), most)
         hot = (F.col("n") > part) & (64 - F.bit_count("mask") > distance + 2)
         done = sized.where(~hot).select("fp", "mask", "key")
         out = done if out is None else out.unionByName(done)
@@ -227,11 +231,12 @@ def keyed(distinct: DataFrame, distance: int = 3, part: int = 2048) -> DataFrame
         rows = sized.where(hot).join(F.broadcast(finer), "mask").select("fp", F.col("finer").alias("mask")).distinct()
 
 
-def links(distinct: DataFrame, distance: int = 3, part: int = 2048) -> DataFrame:
+def links(distinct: DataFrame, distance: int = 3, part: int = 2048,
+          most: int | None = None) -> DataFrame:
     """Links (``u``, ``v``) that connect all fingerprints ``fp`` of ``distinct``
-    within ``distance`` bits of one another."""
+    within ``distance`` bits of one another; of at most ``most`` fingerprints."""
     keys = ["mask", "key"]
-    dealt = keyed(distinct, distance, part).repartition(shuffle_width(distinct.sparkSession), *keys) \
+    dealt = keyed(distinct, distance, part, most).repartition(shuffle_width(distinct.sparkSession), *keys) \
         .sortWithinPartitions(*keys, "fp")
     return dealt.mapInArrow(_links(distance, 4 * part), "u long, v long").distinct()
 
@@ -254,8 +259,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def linked(rows: DataFrame, distance: int = 3) -> DataFrame:
     """``rows`` (with ``doc_id`` and ``fp``) with ``component_id``."""
-    least = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(least.select("fp"), distance), "u", "v")
+    least = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), rows.count())
+    count = least.count()
+    roots = components(links(least.select("fp"), distance, most=count), "u", "v",
+                       count * len(band_masks(distance)))
     named = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
