@@ -34,6 +34,10 @@ MARGIN = 8
 #: Characters of a chunk within a batch, and of its overlap with the next.
 CHUNK, OVERLAP = 2048, 256
 
+#: Rows that a worker gets at once, and pieces that it keeps the ids of.  Encoding and
+#: decoding are two workers a core when one follows the other, and both stay.
+ROWS, PIECES = 256, 100_000
+
 
 @functools.lru_cache(maxsize=2)
 def _ranks(path: str) -> dict[bytes, int]:
@@ -52,7 +56,7 @@ def _ids(path: str) -> Cache:
     def make(piece: str) -> bytes:
         return np.asarray(core.encode_single_piece(piece.encode()), dtype="<u4").tobytes()
 
-    return Cache(make)
+    return Cache(make, PIECES)
 
 
 @functools.lru_cache(maxsize=2)
@@ -195,7 +199,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", chunk: int = 1 <<
     however many rows have it.  An empty table gives an empty result.  Columns of
     ``docs`` named ``ids`` or ``chunks_col`` are replaced.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, ROWS)
     split, text = ByteLevel(), text_of(text_col)
     names = [c for c in docs.columns if c not in ("ids", chunks_col)]
     kept = F.struct(*[column(c) for c in names]).alias("row")
@@ -230,7 +234,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", chunk: int = 1 <<
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows`` with ``out``: the raw bytes of the tokens, joined.  Null ids
     decode to nothing.  A column named ``out`` is replaced."""
-    small_batches(rows.sparkSession)
+    small_batches(rows.sparkSession, ROWS)
     names = [c for c in rows.columns if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
