@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import stored
+from contrail.llm.common import BROADCAST_BYTES, stored
 
 
 def components(links: DataFrame, a: str, b: str, most: int | None = None) -> DataFrame:
@@ -22,13 +22,15 @@ def components(links: DataFrame, a: str, b: str, most: int | None = None) -> Dat
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct()
     edges = stored(edges, most)
     count = edges.count()
+    # two nodes a link at most, two longs each: a proven size allows the broadcast
+    held = F.broadcast if 32 * count <= BROADCAST_BYTES else lambda nodes: nodes
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, "u") \
+        large = both.where(F.col("v") > F.col("u")).join(held(least), "u") \
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = large.join(held(least), "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .where("u != v").union(least.select("u", F.col("m").alias("v"))).distinct()
         edges = stored(small, count)

@@ -4,8 +4,7 @@ import os
 
 import pytest
 
-from contrail.llm import common, exact_dedup, mixing, simhash
-from contrail.session import checkpoint_dir
+from contrail.llm import common, components, exact_dedup, mixing, simhash
 
 ALIKE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
 
@@ -28,9 +27,11 @@ def wide(spark):
         spark.conf.set(k, v)
 
 
-def files(spark):
-    top = checkpoint_dir(spark).removeprefix("file:")
-    return {os.path.join(at, x) for at, _, names in os.walk(top) for x in names if x.startswith("part-")}
+@pytest.fixture
+def files(tmp_path, monkeypatch):
+    """Stored files, in a folder that no other session uses."""
+    monkeypatch.setattr(common, "checkpoint_dir", lambda s: s.sparkContext.setCheckpointDir(str(tmp_path)))
+    return lambda: sum(x.startswith("part-") for _, _, names in os.walk(tmp_path) for x in names)
 
 
 @pytest.mark.parametrize("name,run,most", [
@@ -40,14 +41,21 @@ def files(spark):
     ("exact", lambda d: exact_dedup.exact_duplicates(d, largest=True), 20),
     # the ranks of the sources are in a file for each of their ranges
     ("mixing", mixing.mix, 20)])
-def test_small_tables_take_few_files(spark, docs, wide, monkeypatch, name, run, most):
-    before = files(spark)
+def test_small_tables_take_few_files(docs, wide, files, monkeypatch, name, run, most):
     got = sorted(run(docs).collect())
     assert len(got) == 120
-    assert len(files(spark) - before) <= most
+    assert 0 < files() <= most
     monkeypatch.setattr(common, "FILE_ROWS", 3)
     assert sorted(run(docs).collect()) == got
 
 
 def test_files_follow_the_rows():
     assert [common.files_of(n) for n in (0, 1, 1 << 15, (1 << 15) + 1, 10 ** 9)] == [1, 1, 1, 2, 30518]
+
+
+@pytest.mark.parametrize("size", [0, 8 << 20])
+def test_components_with_and_without_broadcasts(spark, monkeypatch, size):
+    monkeypatch.setattr(components, "BROADCAST_BYTES", size)
+    pairs = [(9, k) for k in range(10, 60)] + [(k, k + 1) for k in range(100, 140)] + [(59, 100), (3, 3), (None, 5)]
+    got = components.components(spark.createDataFrame(pairs, "u long, v long"), "u", "v")
+    assert sorted(map(tuple, got.collect())) == [(k, 9) for k in (*range(9, 60), *range(100, 141))]
